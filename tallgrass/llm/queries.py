@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, lines, mixing, packing, trees
+from . import archives, lines, mixing, packing, setjoin, trees, vectors
 from .common import held, table
 
 
@@ -25,6 +25,15 @@ def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held("doc_id", 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op6_projection_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = setjoin.jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_units(table(spark, sf_dir, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
@@ -39,5 +48,5 @@ def op10_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_quality_trees, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}
+QUERIES = {f.__name__: f for f in (op2_packing, op4_quality_trees, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}
 ORACLES = {"op8_line_dedup": lines.SQL, "op9_arc_to_warc": archives.SQL, "op10_fair_mixing": mixing.SQL}
