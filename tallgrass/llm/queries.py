@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, lines, mixing, packing, setjoin, trees, vectors
+from . import archives, lines, mixing, packing, setjoin, substrings, trees, vectors
 from .common import held, table
 
 
@@ -25,6 +25,10 @@ def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held("doc_id", 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op5_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents")).drop("_t", "removed")
+
+
 def op6_projection_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -48,5 +52,5 @@ def op10_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_quality_trees, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}
+QUERIES = {f.__name__: f for f in (op2_packing, op4_quality_trees, op5_suffix_family, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}
 ORACLES = {"op8_line_dedup": lines.SQL, "op9_arc_to_warc": archives.SQL, "op10_fair_mixing": mixing.SQL}
