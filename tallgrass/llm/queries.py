@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, lines, mixing, packing, setjoin, substrings, trees, vectors
+from . import archives, divergence, lines, mixing, packing, setjoin, substrings, trees, vectors
 from .common import held, table
 
 
@@ -19,6 +19,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file()).drop("_t")
 
 
+def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
 def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scores = trees.classify(docs, trees.train(docs, table(spark, sf_dir, "labels")))
@@ -52,5 +56,5 @@ def op10_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_quality_trees, op5_suffix_family, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}
-ORACLES = {"op8_line_dedup": lines.SQL, "op9_arc_to_warc": archives.SQL, "op10_fair_mixing": mixing.SQL}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_divergence, op4_quality_trees, op5_suffix_family, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}
+ORACLES = {"op3_divergence": divergence.sql(), "op8_line_dedup": lines.SQL, "op9_arc_to_warc": archives.SQL, "op10_fair_mixing": mixing.SQL}
