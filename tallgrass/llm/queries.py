@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, divergence, lines, mixing, packing, setjoin, substrings, trees, vectors
+from . import archives, divergence, lines, mixing, mixing_lm, packing, setjoin, substrings, trees, vectors
 from .common import held, table
 
 
@@ -15,6 +15,10 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mixing_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_lm.score_documents(table(spark, sf_dir, "documents")).drop("_t")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file()).drop("_t")
 
@@ -56,5 +60,5 @@ def op10_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_divergence, op4_quality_trees, op5_suffix_family, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}
+QUERIES = {f.__name__: f for f in (op1_mixing_score, op2_packing, op3_divergence, op4_quality_trees, op5_suffix_family, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}
 ORACLES = {"op3_divergence": divergence.sql(), "op8_line_dedup": lines.SQL, "op9_arc_to_warc": archives.SQL, "op10_fair_mixing": mixing.SQL}
