@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import scalars
+from . import curation, extraction, flagship, scalars, streams
 
-BOOKS = [scalars.book]
+BOOKS = [flagship.book, scalars.book, extraction.book, curation.book, streams.book]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
