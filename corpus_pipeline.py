@@ -1,12 +1,56 @@
-"""A five-stage corpus pipeline over documents."""
+"""Documents to packed training sequences: quality, near copies, repeated lines, mixture, packing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from tallgrass.llm import lines, mixing, packing, setjoin, trees
+from tallgrass.llm.common import stored, table, with_copies
+from tallgrass.llm.queries import tokenizer_file
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labels, does not reject."""
+    return trees.keep_scored(docs, trees.train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return setjoin.one_of_each_group(docs)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that stand in an earlier document."""
+    return lines.deduplicated(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mixture of its source takes it."""
+    chosen = mixing.mix_sources(docs).filter("copies > 0")
+    return with_copies(docs, chosen.select(F.col("doc_id").alias("_id"), "_t", F.col("copies").alias("n")))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their place in a sequence."""
+    return packing.pack_documents(docs, tokenizer_file()).drop("_t")
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", repeated_lines),
+    ("mixing sources", mixture),
+    ("packing", packed),
+]
+
+#: SQL has no form for the classifier; tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents; every stage's rows are written and read before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

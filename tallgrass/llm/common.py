@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space as every operator here sees it: space and tab to carriage return.
@@ -57,3 +57,19 @@ def held(doc_id: str, remainder: int) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def with_copies(docs: DataFrame, counts: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Repeat every row of ``docs`` as often as ``counts`` (_id, _t, n) says; rows without a count go.
+
+    Equal rows share their count: the first of them get one copy more if it does not come out even. All columns stay
+    as they are. Texts move once, by key.
+    """
+    names = docs.columns
+    c = counts.groupBy("_id", "_t").agg(F.sum("n").alias("_n")).withColumn("_k", F.xxhash64("_id", "_t"))
+    d = docs.select(F.struct(*[docs[n] for n in names]).alias("_row"), docs[doc_id].cast("long").alias("_d"), F.xxhash64(docs[doc_id].cast("long"), text_tag(docs[text])).alias("_k"))
+    j = d.join(c, (d["_k"] == c["_k"]) & d["_d"].eqNullSafe(c["_id"])).select(d["_k"], "_d", "_row", "_n")
+    same_key = Window.partitionBy("_k", "_d")
+    j = j.withColumn("_i", F.row_number().over(same_key.orderBy(F.lit(1)))).withColumn("_m", F.count("*").over(same_key))
+    times = F.floor(F.col("_n") / F.col("_m")) + F.when(F.col("_i") <= F.col("_n") % F.col("_m"), 1).otherwise(0)
+    return j.select("_row", F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias("_one")).select("_row.*")

@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import same, text_tag
+from .common import WORD, same, stored, text_tag
 from .textops import pieces
 
 _SPLIT = {"line": re.compile("\n"), "paragraph": re.compile(r"\n[ \t-\r]*\n")}
@@ -62,11 +63,20 @@ def _rebuilt(unit: str):
                 out[2].append("".join(kept))
                 out[3].append(spans)
             span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch["_id"], batch["_t"], pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], span)], ["_id", "_t", "n_units", "n_removed", "kept_text", "removed"])
+            yield pa.RecordBatch.from_arrays([batch["_id"], batch["_t"], pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], span), batch["_rest"]], ["_id", "_t", "n_units", "n_removed", "kept_text", "removed", "rest"])
 
     return run
 
 
+def _gone(rows: DataFrame, unit: str, min_words: int) -> DataFrame:
+    """(_id, _t, _gone): for texts that lose units, which ones."""
+    units = rows.mapInArrow(_digests(unit, min_words), "_id long, _t long, _i int, _digest binary")
+    rank = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("d"), F.col("_t").alias("t"), F.col("_i").alias("i"))
+    repeated = units.groupBy("_digest").agg(F.min(rank).alias("_first"), F.max(rank).alias("_last")).filter("_first != _last").drop("_last")
+    gone = units.join(repeated, "_digest").filter(rank != F.col("_first"))
+    return gone.groupBy("_id", "_t").agg(F.collect_set("_i").alias("_gone"))
+
+
 def dedup_units(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", unit: str = "line", min_words: int = 5) -> DataFrame:
     """Remove lines (or paragraphs) that also stand earlier in the corpus.
 
@@ -75,19 +85,27 @@ def dedup_units(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     as integers, null last. A removed unit goes with the separator after it. Digests are counted with partial sums, so
     a unit that stands in every document costs a task no more than its own rows.
 
-    Returns doc_id, _t (tag of the text), n_units, n_removed, kept_text, and removed: the offsets of removed units, in
-    code points of the original text. Null and empty texts have one empty unit and keep the text ''. Equal rows are
-    one document: each gets the same result. An empty table gives no rows; other columns are not read.
+    Returns doc_id, _t (tag of the text), n_units, n_removed, kept_text, removed: the offsets of removed units, in code
+    points of the original text, and rest: the other columns, as they were. Null and empty texts have one empty unit
+    and keep the text ''. Equal rows are one document: each gets the same result. An empty table gives no rows.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    units = rows.mapInArrow(_digests(unit, min_words), "_id long, _t long, _i int, _digest binary")
-    rank = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("d"), F.col("_t").alias("t"), F.col("_i").alias("i"))
-    repeated = units.groupBy("_digest").agg(F.min(rank).alias("_first"), F.max(rank).alias("_last")).filter("_first != _last").drop("_last")
-    gone = units.join(repeated, "_digest").filter(rank != F.col("_first"))
-    gone = gone.groupBy("_id", "_t").agg(F.collect_set("_i").alias("_gone"))
-    joined = rows.join(gone, same(rows, gone, "_id", "_t"), "left").select(rows["_id"], rows["_t"], "_text", "_gone")
-    out = joined.mapInArrow(_rebuilt(unit), "_id long, _t long, n_units long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>")
-    return out.withColumnRenamed("_id", "doc_id")
+    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), F.coalesce(F.col(text), F.lit("")).alias("_text"), F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("_rest"))
+    gone = _gone(rows.select("_id", "_t", "_text"), unit, min_words)
+    joined = rows.join(gone, same(rows, gone, "_id", "_t"), "left").select(rows["_id"], rows["_t"], "_text", "_gone", "_rest")
+    kind = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_t", T.LongType()), T.StructField("n_units", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+    kind = kind.add("removed", T.ArrayType(span)).add("rest", rows.schema["_rest"].dataType)
+    return joined.mapInArrow(_rebuilt(unit), kind).withColumnRenamed("_id", "doc_id")
+
+
+def deduplicated(docs: DataFrame, *, text: str = "text", length: str | None = "n_chars", **options) -> DataFrame:
+    """The documents with repeated units removed; those that lose all their words go. A length column is kept true."""
+    out = dedup_units(docs, text=text, **options)
+    out = out.filter((F.col("n_removed") == 0) | F.col("kept_text").rlike(WORD))
+    new = {text: F.col("kept_text")}
+    if length and length in docs.columns:
+        new[length] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(docs.schema[length].dataType)).otherwise(F.col(f"rest.{length}"))
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"rest.{c}").alias(c) for c in docs.columns])
 
 
 #: What the query returns, by window functions.

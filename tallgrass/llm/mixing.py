@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, new_path
+from .common import WORD, new_path, text_tag
 
 #: Hex digits of the shuffle key that name a slice of a source for the running sums.
 SLICE_DIGITS = 3
@@ -61,13 +61,13 @@ def mix_sources(
     documents. A source's running sum is made of sums per slice of the shuffled order, so no task holds a whole source;
     the global running sum is made of sums per range partition.
 
-    Returns doc_id, size, source_size, target, copies, taken (copies * size), and the tag that tells rows of equal id
-    apart. A null text has size 0; a null source is a source of its own, the last; null ids and repeated rows are
+    Returns doc_id, _t (tag of the text), size, source_size, target, copies and taken (copies * size). A null text has size 0; a null source is a source of its own, the last; null ids and repeated rows are
     documents like others (equal rows are interchangeable); an empty table gives no rows; empty documents are never
     taken. Other columns are not read.
     """
     sized = docs.select(
         F.col(doc_id).alias("doc_id"),
+        text_tag(text).alias("_t"),
         F.col(source).alias("_source"),
         n_words(text).alias("size"),
         F.md5(F.concat(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))).alias("_h"),
@@ -84,7 +84,7 @@ def mix_sources(
         "_within", F.sum("size").over(Window.partitionBy("_source", "_slice").orderBy("_h", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, 0))
     )
     placed = _null_join(_null_join(placed, slices, ["_source", "_slice"]), targets, ["_source"])
-    placed = placed.withColumn("_at", F.col("_before") + F.col("_within")).select("doc_id", "size", "source_size", "target", "source_rank", "_h", "_at")
+    placed = placed.withColumn("_at", F.col("_before") + F.col("_within")).select("doc_id", "_t", "size", "source_size", "target", "source_rank", "_at")
     placed_path = new_path(docs.sparkSession, "mix-placed")
     placed.write.option("compression", "zstd").parquet(placed_path)
     placed = docs.sparkSession.read.schema(placed.schema).parquet(placed_path)
@@ -100,7 +100,7 @@ def mix_sources(
         key = F.struct(finish(F.lit(e)).alias("a"), F.col("source_rank").alias("b"), F.col("_at").alias("c"))
         inside = F.lit(True) if cut is None else key < F.struct(F.lit(cut[0]).alias("a"), F.lit(cut[1]).alias("b"), F.lit(cut[2]).alias("c"))
         taken = taken + F.when((F.col("size") > 0) & inside, 1).otherwise(0)
-    return placed.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("copies"), (taken * F.col("size")).cast("long").alias("taken"))
+    return placed.select("doc_id", "_t", "size", "source_size", "target", taken.cast("long").alias("copies"), (taken * F.col("size")).cast("long").alias("taken"))
 
 
 def first_beyond(df: DataFrame, keys: list[str], size: str, budget: int):

@@ -57,7 +57,7 @@ def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("_t")
 
 
 QUERIES = {f.__name__: f for f in (op1_mixing_score, op2_packing, op3_divergence, op4_quality_trees, op5_suffix_family, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}

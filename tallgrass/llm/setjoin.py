@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_tag
+from .common import stored, text_tag, with_copies
 from .components import connected_components
 from .textops import flat, ints, mix, pieces, word_hashes
 
@@ -296,3 +296,10 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     out = docs_in.join(smallest, (F.col("g") == F.col("_g")) & (F.col("n") > 0), "left")
     first = F.col("r._id").eqNullSafe(F.col("_id")) & F.col("r._t").eqNullSafe(F.col("_t"))
     return out.select(F.col("_id").alias("doc_id"), "_t", F.col("n").alias("n_shingles"), F.when(F.col("r").isNull(), F.col("_id")).otherwise(F.col("r._id")).alias("component_id"), (F.col("r").isNull() | first).alias("kept"))
+
+
+def one_of_each_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents with all their columns, one of each group of near copies; of equal rows one stays too."""
+    found = jaccard_components(docs, doc_id=doc_id, text=text, words=words, percent=percent)
+    kept = found.filter("kept").select(F.col("doc_id").alias("_id"), "_t").distinct()
+    return with_copies(docs, kept.withColumn("n", F.lit(1)), doc_id=doc_id, text=text)

@@ -183,3 +183,16 @@ def classify(docs: DataFrame, forest: Forest, *, doc_id: str = "doc_id", text: s
     others; an empty table gives no rows; other columns are not read. The forest (a few tens of kB) goes to the tasks.
     """
     return _rows(docs, doc_id, text).mapInArrow(_scores(forest), "doc_id long, _t long, score double")
+
+
+def _passing(forest: Forest, text: str, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text, 1 << 20):
+            yield batch.filter(pa.array(forest.score(features(batch[batch.schema.get_field_index(text)])) >= least))
+
+    return run
+
+
+def keep_scored(docs: DataFrame, forest: Forest, *, text: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows whose text scores ``least`` or more, with all their columns; nothing moves between tasks."""
+    return docs.mapInArrow(_passing(forest, text, least), docs.schema)
