@@ -22,11 +22,15 @@ TAILS = "(?:ng|nh|ch|[cmnptk]|u|i|o|y)"
 MARKED = "âêôơưăáàảãạắằẳẵặấầẩẫậéèẻẽẹếềểễệíìỉĩịóòỏõọốồổỗộớờởỡợúùủũụứừửữựýỳỷỹỵ"
 
 
-@F.pandas_udf("string")
-def nfc(s: pd.Series) -> pd.Series:
+def _composed(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
 
+def nfc(s: Column) -> Column:
+    """Composed form; made here, as a function of Spark needs a session."""
+    return F.pandas_udf(_composed, "string")(s)
+
+
 def repair(s: Column, *, reconnect: bool = True) -> Column:
     """Join tone marks to their vowels and split syllables to their ends, in composed form; null is ''.
 
