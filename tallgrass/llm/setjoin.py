@@ -49,6 +49,13 @@ def set_key(s: np.ndarray) -> np.uint64:
     return mix(np.add.reduce(mix(s ^ _ODD[3])) + np.uint64(len(s)) * _ODD[2])
 
 
+def bitmap(s: np.ndarray) -> tuple[int, int]:
+    """128 bits, each flipped by the shingles that hash to it: as many bits differ as shingles of two sets at most."""
+    h = mix(s * _ODD[1])
+    ones = np.bincount((h >> np.uint64(57)).astype(np.int64), minlength=128) & 1
+    return tuple(np.packbits(ones.astype(np.uint8)).view(">i8").tolist())
+
+
 def prefix_length(n: int, percent: int, matches: int) -> int:
     """Smallest tokens of a set of ``n`` among which a similar set shares at least ``matches``."""
     return min(n, n - -(-percent * n // 100) + matches)
@@ -85,7 +92,7 @@ def _sketch(k: int):
         counts = np.zeros(SKETCH, np.int32)
         for _, sets in _chunks(batches, k):
             for s in sets:
-                np.add.at(counts, (s & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+                np.add.at(counts, (s & np.uint64(SKETCH - 1)).astype(np.int64), np.ones(len(s), np.int32))
         yield _blocks(counts)
 
     return run
@@ -113,18 +120,18 @@ def gathered(parts: DataFrame, size: int, combine: Callable, kind: type) -> np.n
     blocks = size // BLOCK
     summed = parts.repartition(min(blocks, int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block").mapInArrow(_added(combine, kind), "block int, counts binary")
     out = np.zeros(size, kind)
-    for row in summed.toLocalIterator():
+    for row in summed.collect():  # as many blocks as the array has
         out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(row["counts"])), kind)
     return out
 
 
 def _prefixes(k: int, percent: int, sketch, keep):
-    """(token, c, packed size, position and matches) for the prefix of every set; ``keep`` is a filter of tokens or None."""
+    """(token, c, packed size, position and matches, bitmap) for the prefix of every set; ``keep`` filters tokens, or is None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, bits = sketch.value, keep.value if keep else None
         for _, sets in _chunks(batches, k):
-            tokens, owners, packed = [], [], []
+            tokens, owners, packed, maps = [], [], [], []
             for s in sets:
                 n = len(s)
                 if not n:
@@ -142,8 +149,10 @@ def _prefixes(k: int, percent: int, sketch, keep):
                     tokens.append(first)
                     owners.append(np.full(len(first), set_key(s), np.uint64))
                     packed.append((np.int64(n) << 32) | (at << 3) | m)
+                    maps.append(np.tile(bitmap(s), (len(first), 1)))
             if tokens:
-                yield pa.RecordBatch.from_arrays([ints(np.concatenate(tokens)), ints(np.concatenate(owners)), ints(np.concatenate(packed))], ["token", "c", "p"])
+                x = np.concatenate(maps)
+                yield pa.RecordBatch.from_arrays([ints(np.concatenate(tokens)), ints(np.concatenate(owners)), ints(np.concatenate(packed)), ints(x[:, 0]), ints(x[:, 1])], ["token", "c", "p", "x", "y"])
 
     return run
 
@@ -165,10 +174,11 @@ def has_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _bit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    on = np.zeros(FILTER_BITS, bool)
+    on = np.zeros(FILTER_BITS // 8, np.uint8)
     for batch in batches:
-        on[_spread(batch["key"].to_numpy().astype(np.int64).view(np.uint64))] = True
-    yield _blocks(np.packbits(on, bitorder="little"))
+        at = _spread(batch["key"].to_numpy().astype(np.int64).view(np.uint64))
+        np.bitwise_or.at(on, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+    yield _blocks(on)
 
 
 def key_filter(keys: DataFrame) -> np.ndarray:
@@ -250,44 +260,53 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     keyed = stored(rows.mapInArrow(_classes(words), "_id long, _t long, c long, n long"), "classes")
     sketch = spark.sparkContext.broadcast(gathered(rows.select("_text").mapInArrow(_sketch(words), "block int, counts binary"), SKETCH, np.add, np.int32))
     text_rows = rows.select("_text")
-    met = text_rows.mapInArrow(_prefixes(words, percent, sketch, None), "token long, c long, p long")
+    met = text_rows.mapInArrow(_prefixes(words, percent, sketch, None), "token long, c long, p long, x long, y long")
     met = met.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("token")
     some = spark.sparkContext.broadcast(key_filter(met))
-    found = text_rows.mapInArrow(_prefixes(words, percent, sketch, some), "token long, c long, p long").distinct()
-    found = found.select("token", "c", F.shiftright("p", 32).alias("n"), (F.shiftright("p", 3).bitwiseAND(F.lit((1 << 29) - 1))).alias("pos"), F.col("p").bitwiseAND(F.lit(7)).alias("m"))
+    found = text_rows.mapInArrow(_prefixes(words, percent, sketch, some), "token long, c long, p long, x long, y long").distinct()
+    found = found.select("token", "c", F.shiftright("p", 32).alias("n"), (F.shiftright("p", 3).bitwiseAND(F.lit((1 << 29) - 1))).alias("pos"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), "x", "y")
     found = stored(found, "prefixes")
     least = F.shiftleft(F.col("pos"), 40) + F.shiftright(F.xxhash64("c").bitwiseAND(F.lit((1 << 62) - 1)), 24)
-    leaders = found.groupBy("token").agg(F.min_by("c", least).alias("lead"), F.min_by("n", least).alias("lead_n"), F.min_by("pos", least).alias("lead_pos"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    leaders = found.groupBy("token").agg(F.min_by("c", least).alias("lead"), F.min_by("n", least).alias("lead_n"), F.min_by("pos", least).alias("lead_pos"), F.min_by("x", least).alias("lead_x"), F.min_by("y", least).alias("lead_y"), F.min("c").alias("lo"), F.max("c").alias("hi"))
     leaders = stored(leaders.filter("lo != hi").drop("lo", "hi"), "leaders")
     shared = stored(found.join(leaders, "token"), "shared")
 
-    def allowed(n1: str, n2: str, p1: str, p2: str, m: str) -> F.Column:
-        """Sizes near enough, and not too many shingles passed on both sides before a match."""
-        n1, n2, p1, p2 = F.col(n1), F.col(n2), F.col(p1), F.col(p2)
-        return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & ((100 + percent) * (p1 + p2 - 2 * (F.expr(m) - 1)) <= (100 - percent) * (n1 + n2))
-
-    stars = shared.filter("c != lead").filter(allowed("n", "lead_n", "pos", "lead_pos", "1")).select(F.col("lead").alias("a"), F.col("c").alias("b")).distinct()
+    def allowed(a: dict, b: dict, m: str) -> F.Column:
+        """Sizes near enough, and neither the shingles passed before a match nor the bitmaps show too many differences."""
+        n = F.col(a["n"]) + F.col(b["n"])
+        passed = F.col(a["pos"]) + F.col(b["pos"]) - 2 * (F.expr(m) - 1)
+        differ = sum((F.bit_count(F.col(a[c]).bitwiseXOR(F.col(b[c]))) for c in "xy"), F.lit(0))
+        near = 100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"])
+        return near & ((100 + percent) * F.greatest(passed, differ) <= (100 - percent) * n)
+
+    names = ("n", "pos", "x", "y")
+    own, lead = {k: k for k in names}, {k: f"lead_{k}" for k in names}
+    stars = shared.filter("c != lead").filter(allowed(own, lead, "1")).select(F.col("lead").alias("a"), F.col("c").alias("b")).distinct()
     stars = stored(stars, "stars")
-    inside = shared.select("c").distinct()
-    reps = keyed.filter("n > 0").groupBy("c").agg(F.min(F.struct(F.col("_id").isNull().alias("x"), "_id", "_t")).alias("r"))
-    reps = stored(reps.join(inside, "c", "left_semi").select("c", F.xxhash64("r._id", "r._t").alias("k")), "representatives")
-    wanted = spark.sparkContext.broadcast(key_filter(reps.select("k")))
-    sets = rows.select(F.xxhash64("_id", "_t").alias("_k"), "_text").mapInArrow(_sets(words, wanted), "k long, c long, s binary")
-    sets = sets.join(reps, ["k", "c"], "left_semi").dropDuplicates(["k"]).select("c", "s")
-    sets = stored(sets, "sets")
-    links = stored(_verify(stars, sets, percent), "links")
+    reps = stored(keyed.filter("n > 0").groupBy("c").agg(F.min(F.struct(F.col("_id").isNull().alias("x"), "_id", "_t")).alias("r")).select("c", F.xxhash64("r._id", "r._t").alias("k")), "representatives")
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The sets of all classes that the pairs name, from one text of each."""
+        some = reps.join(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "c", "left_semi")
+        some = stored(some, "wanted")
+        wanted = spark.sparkContext.broadcast(key_filter(some.select("k")))
+        sets = rows.select(F.xxhash64("_id", "_t").alias("_k"), "_text").mapInArrow(_sets(words, wanted), "k long, c long, s binary")
+        return stored(sets.join(some, ["k", "c"], "left_semi").dropDuplicates(["k"]).select("c", "s"), "sets")
+
+    links = stored(_verify(stars, sets_of(stars), percent), "links")
     parts = stored(connected_components(links, "a", "b"), "parts")
 
-    placed = stored(shared.join(parts, shared["c"] == parts["node"], "left").select("token", "c", "n", "pos", "m", F.coalesce("component", "c").alias("part")), "placed")
+    placed = stored(shared.join(parts, shared["c"] == parts["node"], "left").select("token", "c", "n", "pos", "m", "x", "y", F.coalesce("component", "c").alias("part")), "placed")
     apart = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("token")
     apart = stored(apart, "apart")
     placed = placed.join(apart, "token", "left_semi")
     placed = placed.withColumn("size", F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-9)))
     left = placed.withColumn("at", F.explode(F.array(F.col("size"), F.col("size") + 1))).toDF(*[f"{c}_a" for c in placed.columns], "at").withColumn("key", F.xxhash64("token_a", "at")).drop("at")
     right = placed.toDF(*[f"{c}_b" for c in placed.columns]).withColumn("key", F.xxhash64("token_b", "size_b"))
-    pairs = left.join(right, "key").filter("token_a = token_b AND part_a != part_b AND (size_a != size_b OR c_a < c_b)").filter(allowed("n_a", "n_b", "pos_a", "pos_b", "least(m_a, m_b)"))
+    pairs = left.join(right, "key").filter("token_a = token_b AND part_a != part_b AND (size_a != size_b OR c_a < c_b)").filter(allowed({k: f"{k}_a" for k in names}, {k: f"{k}_b" for k in names}, "least(m_a, m_b)"))
     pairs = pairs.groupBy(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).agg(F.count("*").alias("met"), F.min(F.least("m_a", "m_b")).alias("m")).filter("met >= m").select("a", "b")
-    more = stored(_verify(pairs, sets, percent), "links")
+    pairs = stored(pairs, "pairs")
+    more = stored(_verify(pairs, sets_of(pairs), percent), "links")
     parts = stored(connected_components(links.union(more), "a", "b"), "parts")
 
     docs_in = keyed.join(parts, keyed["c"] == parts["node"], "left").select("_id", "_t", "n", F.coalesce("component", "c").alias("g"))
