@@ -73,6 +73,7 @@ def _gone(rows: DataFrame, unit: str, min_words: int) -> DataFrame:
     units = rows.mapInArrow(_digests(unit, min_words), "_id long, _t long, _i int, _digest binary")
     rank = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("d"), F.col("_t").alias("t"), F.col("_i").alias("i"))
     repeated = units.groupBy("_digest").agg(F.min(rank).alias("_first"), F.max(rank).alias("_last")).filter("_first != _last").drop("_last")
+    repeated = stored(repeated, "repeated-units")  # joined as a table, so that the rows of a common unit can be split
     gone = units.join(repeated, "_digest").filter(rank != F.col("_first"))
     return gone.groupBy("_id", "_t").agg(F.collect_set("_i").alias("_gone"))
 
