@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path
+from .common import new_path, stored
 from .textops import pieces
 
 # The field names that the second and third lines of a version block announce, by version.
@@ -149,6 +149,7 @@ def plan_revisits(records: DataFrame, smallest: int = SMALLEST_REVISITED) -> Dat
     rank = F.struct(F.col("page_id").isNull().alias("n"), F.col("page_id").alias("p"), F.col("url").alias("u"), F.col("locator").alias("l"))
     large = F.col("payload_bytes") >= smallest
     first = records.filter(large).groupBy(F.col("payload_digest").alias("_d")).agg(F.min(rank).alias("_f"), F.count("*").alias("_n")).filter("_n > 1")
+    first = stored(first, "first-records")  # once written its size is known, and copies in one group are split or met by a broadcast
     joined = records.join(first, large & (F.col("payload_digest") == F.col("_d")), "left")
     return joined.withColumn("first", F.when(F.col("_f.l") != F.col("locator"), F.col("_f.l"))).drop("_d", "_f", "_n")
 
