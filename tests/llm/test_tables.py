@@ -5,11 +5,13 @@ import io
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallgrass.llm import archives, mixing, packing
 from tallgrass.llm.common import with_copies
 from tallgrass.llm.queries import tokenizer_file
+from tallgrass.llm.textops import flat
 from .helpers import no_documents, odd_documents, words
 
 
@@ -33,9 +35,11 @@ def test_words_give_the_tokenizers_ids():
 
     tk, mine = Tokenizer.from_file(tokenizer_file()), packing.WordTokenizer(tokenizer_file())
     odd = ["Don't", "it's.", "é", "éa", "ÀÉ!!", "x1y2", "'s", "a'b've", " q", "a b", "ẞß", "İi", "ǆ", "²3", "日本語", "", "--", "ab́c", "ͅ", "<|endoftext|>", "a<|endoftext|>b"]
-    known = mine.prepare(set(odd))
-    for w in odd:
-        assert np.frombuffer(known[w], "<u4").tolist() == tk.encode(w, add_special_tokens=False).ids, w
+    column = pa.array([*odd, None, " ".join(odd), "\u0085a\u00a0b\u2003c d"])
+    for _ in range(2):
+        ids, cut = mine.encode(*flat(column))
+        for i, w in enumerate(column.to_pylist()):
+            assert ids[cut[i] : cut[i + 1]].tolist() == tk.encode(w or "", add_special_tokens=False).ids, w
 
 
 def test_best_fill_is_best():
