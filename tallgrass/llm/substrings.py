@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,50 +147,74 @@ def _runs(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, window: int
     return pa.RecordBatch.from_arrays([*_ids(batch, row[first]), ints(start[first]), ints(start[last] + window)], ["_id", "_t", "start", "end"])
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches without rows of the same place as the row before: what repeated rows of a document send twice."""
+    last = None
+    for whole in batches:
+        for at in range(0, whole.num_rows, BATCH // 34):
+            batch = whole.slice(at, BATCH // 34)
+            places = list(zip(*(batch[c].to_pylist() for c in ("_id", "_t", "low")), strict=True))
+            new = [p != q for p, q in zip(places, [last, *places[:-1]], strict=True)]
+            last = places[-1]
+            if any(new):
+                yield batch if all(new) else batch.filter(pa.array(new))
+
+
 def _scan(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = SuffixFamily(window)
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH // 34):
-                batch = whole.slice(at, BATCH // 34)
-                suffixes, row, start = _windows(batch, window)
-                seen = family.add(suffixes)
-                yield _runs(batch, row[seen], start[seen], window)
+        for batch in _once(batches):
+            suffixes, row, start = _windows(batch, window)
+            seen = family.add(suffixes)
+            yield _runs(batch, row[seen], start[seen], window)
 
     return run
 
 
 def _hashed_windows(window: int):
+    """Windows that a task sees first, by hash, to be compared across tasks; those seen before in the task leave as spans."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family = SuffixFamily(window)
         with np.errstate(over="ignore"):
-            for whole in batches:
-                for at in range(0, whole.num_rows, 2000):
-                    batch = whole.slice(at, 2000)
-                    data, off = flat(batch["bytes"])
-                    each = np.diff(off) - window + 1
-                    row = np.repeat(np.arange(len(each)), each)
-                    start = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
-                    a = off[:-1][row] + start
-                    h1 = span_hash(prefix_hash(data), a, a + window)
-                    h2 = span_hash(prefix_hash(data ^ np.uint8(0x5B)), a, a + window)
-                    yield pa.RecordBatch.from_arrays([ints(h1), ints(h2), *_ids(batch, row), ints(start + batch["low"].to_numpy()[row])], ["h1", "h2", "_id", "_t", "at"])
+            for batch in _once(batches):
+                suffixes, row, start = _windows(batch, window)
+                seen = family.add(suffixes)
+                spans = _runs(batch, row[seen], start[seen], window)
+                none = pa.nulls(spans.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, *spans.columns], ["h1", "h2", *spans.schema.names])
+                row, start = row[~seen], start[~seen]
+                data, off = flat(batch["bytes"])
+                a = off[:-1][row] + start - batch["low"].to_numpy()[row]
+                h1 = span_hash(prefix_hash(data), a, a + window)
+                h2 = span_hash(prefix_hash(data ^ np.uint8(0x5B)), a, a + window)
+                yield pa.RecordBatch.from_arrays([ints(h1), ints(h2), *_ids(batch, row), ints(start), ints(start + window)], ["h1", "h2", "_id", "_t", "start", "end"])
 
     return run
 
 
+def _merged(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs of bytes that the intervals cover."""
+    if not len(start):
+        return []
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+    last = np.concatenate([first[1:], [len(start)]]) - 1
+    return list(zip(start[first].tolist(), reach[last].tolist(), strict=True))
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "_text"):
+    for batch in pieces(batches, "_text", CHUNK):
         data, off = flat(batch["_text"])
         raw = data.tobytes()
+        spans = batch["_spans"].combine_chunks() if isinstance(batch["_spans"], pa.ChunkedArray) else batch["_spans"]
+        cut = np.concatenate([[0], np.cumsum(np.array(pc.fill_null(pc.list_value_length(spans), 0)))]).astype(np.int64)
+        starts, ends = (np.array(spans.flatten().field(k), np.int64) for k in ("start", "end"))
         out: list[list] = [[], [], [], [], []]
-        for i, spans in enumerate(batch["_spans"].to_pylist()):
+        for i in range(batch.num_rows):
             text = raw[off[i] : off[i + 1]]
-            merged: list[list[int]] = []
-            for s in sorted((x["start"], x["end"]) for x in spans or ()):
-                if merged and s[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], s[1])
-                else:
-                    merged.append(list(s))
+            merged = _merged(starts[cut[i] : cut[i + 1]], ends[cut[i] : cut[i + 1]])
             at, kept = 0, []
             for a, b in merged:
                 kept.append(text[at:a])
@@ -212,7 +237,8 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     anchor's whole surroundings stood before, all its windows did. What remains are the edges of repeats: for each gram
     the different surroundings, in order of the documents. Tasks take them in batches into a logarithmic family of
     suffix arrays and scan each new array against the levels. Grams with more than MANY surroundings, which
-    would make a task grow, are taken apart into windows whose first places are partial aggregates.
+    would make a task grow, stay where they are: each task scans its own part in the same way, and the windows that it
+    saw first are compared across tasks by hash, with partial aggregates.
 
     Returns doc_id, _t (tag of the text), n_bytes, n_removed, n_spans, kept_sha256 of the bytes left, and removed, the
     maximal spans. Null and empty texts, and texts under ``window`` bytes, keep all. Equal rows (same id and text) are
@@ -225,9 +251,9 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     ddl = "gram long, around long, _id long, _t long, place long"
     found = stored(rows.mapInArrow(_places(window, repeated), ddl), "anchors")
     rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_t", "place")
-    firsts = found.groupBy("gram", "around").agg(F.min(rank).alias("first"))
-    firsts = stored(firsts.select("gram", "around", "first._id", "first._t", "first.place"), "firsts")
-    told = firsts.toDF("gram", "around", "f_id", "f_t", "f_place")
+    firsts = found.groupBy("gram", "around").agg(F.min(rank).alias("first"), F.count("*").alias("c"))
+    firsts = stored(firsts.select("gram", "around", "first._id", "first._t", "first.place", "c"), "firsts")
+    told = firsts.filter("c > 1").drop("c").toDF("gram", "around", "f_id", "f_t", "f_place")
     later = ~(F.col("_id").eqNullSafe(F.col("f_id")) & (F.col("_t") == F.col("f_t")) & (F.col("place") == F.col("f_place")))
     low = F.shiftright("place", 8)
     inner = found.join(told, ["gram", "around"]).filter(later).select("_id", "_t", low.alias("start"), (low + F.col("place").bitwiseAND(F.lit(255)) + window).alias("end"))
@@ -235,17 +261,19 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     edge = firsts.join(kinds.select("gram"), "gram", "left_semi")
     edges = spark.sparkContext.broadcast(key_filter(edge.select("around", "_t", "place").mapInArrow(_edge_keys, "key long")))
     contents = stored(rows.mapInArrow(_contents(window, repeated, edges), "gram long, _id long, _t long, low long, bytes binary"), "edges")
-    hot = kinds.filter(F.col("count") > MANY).select("gram")
+    hot = stored(kinds.filter(F.col("count") > MANY).select("gram"), "hot")
+    in_order = [F.col("_id").asc_nulls_last(), "_t", "low"]
     cold = contents.join(hot, "gram", "left_anti")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cold = cold.repartition(tasks, "gram").sortWithinPartitions(F.col("_id").asc_nulls_last(), "_t", "low")
+    cold = cold.repartition(tasks, "gram").sortWithinPartitions(*in_order)
     outer = cold.mapInArrow(_scan(window), "_id long, _t long, start long, end long")
-    single = contents.join(hot, "gram", "left_semi").mapInArrow(_hashed_windows(window), "h1 long, h2 long, _id long, _t long, at long")
-    single = stored(single, "windows")
-    at_first = F.min(F.struct(F.col("_id").isNull().alias("n"), "_id", "_t", "at")).alias("first")
-    first = stored(single.groupBy("h1", "h2").agg(at_first, F.count("*").alias("c")).filter("c > 1").drop("c"), "first-windows")
-    place = F.struct(F.col("_id").isNull().alias("n"), "_id", "_t", "at")
-    again = single.join(first, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first"))).select("_id", "_t", F.col("at").alias("start"), (F.col("at") + window).alias("end"))
+    single = contents.join(hot, "gram", "left_semi").sortWithinPartitions(*in_order)
+    single = stored(single.mapInArrow(_hashed_windows(window), "h1 long, h2 long, _id long, _t long, start long, end long"), "windows")
+    place = F.struct(F.col("_id").isNull().alias("n"), "_id", "_t", F.col("start").alias("at"))
+    first = single.filter("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c")
+    first = stored(first, "first-windows")
+    again = single.join(first, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first"))).select("_id", "_t", "start", "end")
+    again = again.union(single.filter("h1 IS NULL").select("_id", "_t", "start", "end"))
     spans = inner.union(outer).union(again)
     spans = spans.groupBy("_id", "_t").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
     joined = rows.join(spans, same(rows, spans, "_id", "_t"), "left").select(rows["_id"], rows["_t"], "_text", "_spans")
