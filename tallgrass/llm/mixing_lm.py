@@ -24,8 +24,11 @@ RARE = 2
 WORD_BITS = (14, 21, 21, 20, 20)
 LETTER_BITS = (12, 18, 18, 18)
 GATES, BUCKETS, DEPTHS = 16, 33, 24
+#: The node of the bit that tells whether a word repeats the one before.
+REPEAT = 1 << 20
 BLOCK = 1 << 15
 CHUNK = 1 << 19
+_LOG = np.log(np.arange(1 << 15, dtype=np.float32) + np.float32(0.4))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 # Letters by about their frequency in European languages; other bytes follow by number.
 LETTERS = "enitarshdloucgmfpbvwkyzjqx.,;:!?-'|"
@@ -96,8 +99,10 @@ class Mixer:
             return np.stack([r[s] for r, s in zip(self.ratio, slots, strict=True)]).astype(np.float32) * np.float32(0.1)
         out = np.empty((len(slots), len(slots[0])), np.float32)
         for o, c, s in zip(out, self.counts, slots, strict=True):
-            o[:] = np.log((c[2 * s + 1] + np.float32(0.4)) / (c[2 * s] + np.float32(0.4)))
-        return np.clip(out, -8, 8)
+            both = c.view(np.int64)[s].view(np.int32)  # a pair of counts is fetched as one number
+            logs = _LOG[np.minimum(both, len(_LOG) - 1)]
+            np.subtract(logs[1::2], logs[0::2], out=o)
+        return np.clip(out, -8, 8, out=out)
 
     def mixed(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Stretched prediction and gate: how sure the two strongest contexts are."""
@@ -110,23 +115,24 @@ class Mixer:
         return np.clip(total, -12, 12), gate
 
     def learn(self, contexts: list[np.ndarray], owner: np.ndarray, node: np.ndarray, bit: np.ndarray, depth: np.ndarray) -> None:
-        for a in range(0, len(owner), 1 << 16):
-            cut = slice(a, a + (1 << 16))
+        for a in range(0, len(owner), 1 << 14):
+            cut = slice(a, a + (1 << 14))
             b = bit[cut]
             slots = self.slots(contexts, owner[cut], node[cut])
             x = self.inputs(slots)
             s, gate = self.mixed(x)
             p = 1 / (1 + np.exp(-s))
             error, spread = b - p, p * (1 - p)
+            certainty = np.bincount(gate, spread, GATES)
             for j in range(len(x)):
                 g = np.bincount(gate, error * x[j], GATES)
-                h = np.bincount(gate, spread * x[j] * x[j], GATES)
-                self.weights[:, j] += 0.05 * g / (h + 20)
+                self.weights[:, j] += 0.05 * g / (certainty * float(np.mean(x[j] * x[j])) + 20)
             place = np.minimum(depth[cut], DEPTHS - 1) * BUCKETS + np.rint((s + 12) * (BUCKETS - 1) / 24).astype(np.int64)
             for k, v in ((0, 1 - b), (1, b)):
                 self.refined[:, :, k] += np.bincount(place, v, DEPTHS * BUCKETS).reshape(DEPTHS, BUCKETS)
+            ones = np.ones(len(b), np.int32)
             for c, t in zip(self.counts, slots, strict=True):
-                np.add.at(c, 2 * t + b, 1)
+                np.add.at(c, 2 * t + b, ones)
             self.seen += len(b)
 
     def log_probability(self, contexts: list[np.ndarray], owner: np.ndarray, node: np.ndarray, bit: np.ndarray, depth: np.ndarray) -> np.ndarray:
@@ -135,8 +141,8 @@ class Mixer:
         at = np.linspace(-12, 12, BUCKETS)
         prior = 1 / (1 + np.exp(-at))
         table = ((self.refined[:, :, 1] + 20 * prior) / (self.refined.sum(2) + 20)).astype(np.float32).ravel()
-        for a in range(0, len(owner), 1 << 16):
-            cut = slice(a, a + (1 << 16))
+        for a in range(0, len(owner), 1 << 14):
+            cut = slice(a, a + (1 << 14))
             s, _ = self.mixed(self.inputs(self.slots(contexts, owner[cut], node[cut])))
             place = np.minimum(depth[cut], DEPTHS - 1) * BUCKETS + np.rint((s + 12) * (BUCKETS - 1) / 24).astype(np.int64)
             p = np.clip((1 / (1 + np.exp(-s)) + table[place]) / 2, 1e-6, 1 - 1e-6)
@@ -188,12 +194,21 @@ class Lexicon:
         words, count, symbol, code, *rest = plain
         return cls(words, count, symbol, Code(*code), _letter_code(), *rest)
 
+    def __post_init__(self):
+        # a table by the top bits of the hash; words that find their place taken are looked up by search
+        self.shift = np.uint64(64 - max(4, (4 * len(self.words)).bit_length()))
+        self.place = np.zeros(1 << int(64 - self.shift), np.int32)
+        self.place[(self.words[::-1] >> self.shift).astype(np.int64)] = np.arange(len(self.words), dtype=np.int32)[::-1]
+
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Count (0 if not listed), symbol, and whether a word is listed."""
         if not len(self.words):
             return np.zeros(len(h), np.int64), np.ones(len(h), np.int64), np.zeros(len(h), bool)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
+        at = self.place[(h >> self.shift).astype(np.int64)].astype(np.int64)
         on = self.words[at] == h
+        miss = np.flatnonzero(~on)
+        at[miss] = np.minimum(np.searchsorted(self.words, h[miss]), len(self.words) - 1)
+        on[miss] = self.words[at[miss]] == h[miss]
         return np.where(on, self.count[at], 0), np.where(on, self.symbol[at], 1), on
 
 
@@ -237,15 +252,13 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contexts(h: np.ndarray, before: np.ndarray, symbol: np.ndarray, data: np.ndarray, ends: np.ndarray):
-    """Tokens of all texts with their ends: owner text, position of the word or -1, symbols, and word contexts."""
+    """Tokens of all texts with their ends: their text, whether a word repeats the one before, symbols, and contexts."""
     n_rows = len(before) - 1
     per = np.diff(before) + 1
     row = np.repeat(np.arange(n_rows), per)
     first = np.cumsum(per) - per
     is_end = np.zeros(len(row), bool)
     is_end[first + per - 1] = True
-    word = np.full(len(row), -1)
-    word[~is_end] = np.arange(len(h))
     sym = np.zeros(len(row), np.int64)
     sym[~is_end] = symbol
     hashes = np.ones(len(row), np.uint64)
@@ -268,8 +281,18 @@ def _contexts(h: np.ndarray, before: np.ndarray, symbol: np.ndarray, data: np.nd
     ok = (at > 0) & (last >= first[row])
     topic = np.where(ok, sym[np.maximum(last, 0)], 0).astype(np.uint64)
     style = back(tail, 1) * np.uint64(256) + back(tail, 2)
-    contexts = [np.zeros(len(row), np.uint64), mix(one + np.uint64(1)), mix(one * np.uint64(3) + mix(two + np.uint64(2))), mix(two + np.uint64(5)), mix(topic * np.uint64(65536) + style + np.uint64(7))]
-    return row, word, sym, contexts
+    same = (one == hashes) & ~is_end & (at > 0)
+    run = back(same.astype(np.uint64), 1) * np.uint64(2) + back(same.astype(np.uint64), 2)
+    contexts = [run, mix(one + np.uint64(1)), mix(one * np.uint64(3) + mix(two + np.uint64(2))), mix(two + np.uint64(5)), mix(topic * np.uint64(65536) + style + np.uint64(7))]
+    return row, same, sym, contexts
+
+
+def _steps(code: Code, symbols: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A bit for every token that tells a repeat of the word before, and the bits of the codes of all others."""
+    fresh = np.flatnonzero(~same)
+    owner, node, bit, depth = code.steps(symbols[fresh])
+    n = len(same)
+    return np.concatenate([np.arange(n), fresh[owner]]), np.concatenate([np.full(n, REPEAT), node]), np.concatenate([same.astype(bit.dtype), bit]), np.concatenate([np.full(n, DEPTHS - 1), np.minimum(depth, DEPTHS - 2)])
 
 
 def _letters(data: np.ndarray, s: np.ndarray, e: np.ndarray):
@@ -328,8 +351,8 @@ def _learned(lexicon):
                 s, e, before = word_spans(low, off)
                 h = span_hash(prefix_hash(low), s, e)
                 c, symbol, _ = lex.look_up(h)
-                _, _, sym, contexts = _contexts(h, before, symbol, low, e)
-                words.learn(contexts, *lex.code.steps(sym))
+                _, same, sym, contexts = _contexts(h, before, symbol, low, e)
+                words.learn(contexts, *_steps(lex.code, sym, same))
                 rare = np.flatnonzero((symbol == 1) & (c <= RARE))
                 rare = rare[np.unique(h[rare], return_index=True)[1]]
                 _, sym, contexts = _letters(low, s[rare], e[rare])
@@ -352,13 +375,14 @@ def _scored(lexicon, model):
                 s, e, before = word_spans(low, off)
                 h = span_hash(prefix_hash(low), s, e)
                 c, symbol, listed = lex.look_up(h)
-                row, word, sym, contexts = _contexts(h, before, symbol, low, e)
-                owner, node, bit, depth = lex.code.steps(sym)
+                row, same, sym, contexts = _contexts(h, before, symbol, low, e)
+                owner, node, bit, depth = _steps(lex.code, sym, same)
                 lp = words.log_probability(contexts, owner, node, bit, depth)
                 n = batch.num_rows
                 model_part = np.bincount(row[owner], lp, n) / math.log(10)
                 owner_row = np.repeat(np.arange(n), np.diff(before))
-                known = listed & (symbol == 1)
+                fresh = ~np.delete(same, np.cumsum(np.diff(before) + 1) - 1)  # of the words, without the ends
+                known = listed & (symbol == 1) & fresh
                 model_part += np.bincount(owner_row[known], np.log10((1 - new) * c[known] / max(lex.outside, 1)), n)
                 base = np.bincount(owner_row[listed], np.log10((c[listed] + 0.5) / total), n) + math.log10((lex.ends + 0.5) / total)
                 listed_tokens = np.bincount(owner_row[listed], minlength=n) + (lex.ends > 0)
@@ -377,7 +401,8 @@ def _scored(lexicon, model):
                 cut = np.searchsorted(owner_row[rare], np.arange(n + 1))
                 lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), ints(h[rare]))
                 spell = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(spelled[inverse] if len(rare) else np.zeros(0)))
-                yield pa.RecordBatch.from_arrays([batch["_id"], batch["_t"], batch["_held"], ints(np.diff(before) + 1), ints(listed_tokens), ints(np.diff(off)), pa.array(base), pa.array(model_part), lists, spell], ["_id", "_t", "_held", "n_tokens", "listed", "n_bytes", "base", "model", "rare", "spelled"])
+                firsts = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(fresh[rare].astype(np.int8)))
+                yield pa.RecordBatch.from_arrays([batch["_id"], batch["_t"], batch["_held"], ints(np.diff(before) + 1), ints(listed_tokens), ints(np.diff(off)), pa.array(base), pa.array(model_part), lists, spell, firsts], ["_id", "_t", "_held", "n_tokens", "listed", "n_bytes", "base", "model", "rare", "spelled", "fresh"])
 
     return run
 
@@ -405,7 +430,7 @@ def train(texts: DataFrame, text: str) -> tuple:
     n_word, n_letter = len(WORD_BITS), len(LETTER_BITS)
     tables = [np.zeros(1 << b, np.int8) for b in WORD_BITS] + [np.zeros(GATES * n_word + DEPTHS * BUCKETS * 2 + 1)]
     tables += [np.zeros(1 << b, np.int8) for b in LETTER_BITS] + [np.zeros(GATES * n_letter + DEPTHS * BUCKETS * 2 + 1)]
-    for r in summed.toLocalIterator():
+    for r in summed.collect():  # as many blocks as the tables have
         t, wide = r["table"], BLOCK // 2 if _is_counts(r["table"]) else BLOCK
         got = np.frombuffer(bytes(r["part"]), tables[t].dtype)
         tables[t][r["block"] * wide : r["block"] * wide + len(got)] = got
@@ -416,7 +441,8 @@ def train(texts: DataFrame, text: str) -> tuple:
 def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Train on documents whose crc32(id) mod 5 is not 1 and score all.
 
-    A-Z are lower-cased; tokens are the words and one end of text. The CODED most frequent words and the end have
+    A-Z are lower-cased; tokens are the words and one end of text. A bit tells whether a word repeats the one before;
+    the others are coded: the CODED most frequent words and the end have
     codes of bits; another word is one escape and then, if training saw it, its share of the escaped tokens, or else
     its letters as bits. Each bit is predicted by hashed contexts (order 0 to 2, the word before last, a topic of last
     common word and last bytes); predictions are mixed in the logistic domain with weights chosen by how sure the
@@ -432,11 +458,11 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), held(doc_id, 1).alias("_held"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     counts, lexicon, lex, model = train(rows.filter(~F.col("_held")), "_text")
-    ddl = "_id long, _t long, _held boolean, n_tokens long, listed long, n_bytes long, base double, model double, rare array<long>, spelled array<double>"
+    ddl = "_id long, _t long, _held boolean, n_tokens long, listed long, n_bytes long, base double, model double, rare array<long>, spelled array<double>, fresh array<tinyint>"
     scored = stored(rows.mapInArrow(_scored(lexicon, model), ddl), "scored")
     total = lex.tokens + 0.5 * (lex.types + 1)
-    rare = scored.filter(F.size("rare") > 0).select("_id", "_t", F.explode(F.arrays_zip("rare", "spelled")).alias("r"))
-    rare = rare.groupBy("_id", "_t", F.col("r.rare").alias("word")).agg(F.count("*").alias("n"), F.max("r.spelled").alias("spelled"))
+    rare = scored.filter(F.size("rare") > 0).select("_id", "_t", F.explode(F.arrays_zip("rare", "spelled", "fresh")).alias("r"))
+    rare = rare.groupBy("_id", "_t", F.col("r.rare").alias("word")).agg(F.count("*").alias("n"), F.max("r.spelled").alias("spelled"), F.sum(F.col("r.fresh").cast("long")).alias("fresh"))
     copies = scored.groupBy("_id", "_t").agg(F.count("*").alias("copies"))
     new = (lex.once + 1) / (lex.outside + 2)
     joined = rare.join(counts, "word", "left")
@@ -444,10 +470,10 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     joined = joined.groupBy("_id", "_t").agg(
         F.sum(F.when(seen > 0, F.col("n")).otherwise(0)).alias("r_known"),
         F.sum(F.col("n") * F.log10((seen + 0.5) / F.lit(total))).alias("r_base"),
-        F.sum(F.col("n") * F.when(seen > 0, F.log10(F.lit(1 - new) * seen / F.lit(float(max(lex.outside, 1))))).otherwise(F.col("spelled"))).alias("r_model"),
+        F.sum(F.col("fresh") * F.when(seen > 0, F.log10(F.lit(1 - new) * seen / F.lit(float(max(lex.outside, 1))))).otherwise(F.col("spelled"))).alias("r_model"),
     )
     joined = joined.join(copies, same(joined, copies, "_id", "_t")).select(joined["_id"], joined["_t"], *[(F.col(c) / F.col("copies")).alias(c) for c in ("r_known", "r_base", "r_model")])
-    narrow = scored.drop("rare", "spelled")
+    narrow = scored.drop("rare", "spelled", "fresh")
     out = narrow.join(joined, same(narrow, joined, "_id", "_t"), "left").select(narrow["_id"].alias("doc_id"), narrow["_t"], *[c for c in narrow.columns if c not in ("_id", "_t")], "r_known", "r_base", "r_model")
     zero = F.lit(0.0)
     score = F.col("model") + F.coalesce("r_model", zero)
