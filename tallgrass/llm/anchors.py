@@ -9,10 +9,10 @@ from .textops import prefix_hash, span_hash
 GRAM = 32
 
 
-def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int = GRAM, prefix: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """(row, anchor, low, high, gram hash): the starts low..high of windows of a row whose leftmost least gram is at anchor.
 
-    Positions count bytes of ``data``. The intervals of a row cover each start of a window once.
+    Positions count bytes of ``data``, or what ``prefix`` hashes, one for each item of ``data``. The intervals of a row cover each start of a window once.
     """
     n = len(data)
     none = tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
@@ -20,7 +20,7 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int = GRAM) ->
         return none
     count, wide = n - gram + 1, window - gram + 1
     at = np.arange(count)
-    h = span_hash(prefix_hash(data), at, at + gram)
+    h = span_hash(prefix_hash(data) if prefix is None else prefix, at, at + gram)
     place = np.uint64(max(1, int(count).bit_length()))
     key = ((h >> place) << place) | at.astype(np.uint64)
     padded = np.full(-(-count // wide) * wide, np.iinfo(np.uint64).max, np.uint64)

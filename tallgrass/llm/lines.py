@@ -99,9 +99,9 @@ def dedup_units(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return joined.mapInArrow(_rebuilt(unit), kind).withColumnRenamed("_id", "doc_id")
 
 
-def deduplicated(docs: DataFrame, *, text: str = "text", length: str | None = "n_chars", **options) -> DataFrame:
-    """The documents with repeated units removed; those that lose all their words go. A length column is kept true."""
-    out = dedup_units(docs, text=text, **options)
+def deduplicated(docs: DataFrame, *, text: str = "text", length: str | None = "n_chars", by=dedup_units, **options) -> DataFrame:
+    """The documents with repeated units (or what ``by`` finds) removed; those that lose all their words go. A length column is kept true."""
+    out = by(docs, text=text, **options)
     out = out.filter((F.col("n_removed") == 0) | F.col("kept_text").rlike(WORD))
     new = {text: F.col("kept_text")}
     if length and length in docs.columns:

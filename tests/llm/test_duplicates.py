@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from tallgrass.llm import components, lines, setjoin, substrings, vectors
+from tallgrass.llm import components, lines, passages, setjoin, substrings, vectors
 from .helpers import components as brute_components
 from .helpers import no_documents, odd_documents, words
 
@@ -215,3 +215,52 @@ def test_vector_rounds_reach_recall():
         p = vectors.hit_probability(0.93, bits)
         n = vectors.rounds_for(p, 2, 0.995)
         assert (1 - p) ** n + n * p * (1 - p) ** (n - 1) <= 0.005
+
+
+def _passages(rows, n, least=5):
+    """Text left by brute force: words of windows seen before (less the first copy where they overlap) and of lines seen before."""
+    windows, seen, out = {}, set(), {}
+    for key, text in rows:
+        text = text or ""
+        w, gone, at = words(text), set(), 0
+        for p in range(len(w) - n + 1):
+            f = windows.setdefault(tuple(w[p : p + n]), (key, p))
+            if f != (key, p):
+                gone |= set(range(max(p, f[1] + n) if f[0] == key else p, p + n))
+        for line in text.split("\n"):
+            mine = tuple(words(line))
+            if len(mine) >= least and mine in seen:
+                gone |= set(range(at, at + len(mine)))
+            seen.add(mine)
+            at += len(mine)
+        out[key] = [x for i, x in enumerate(w) if i not in gone]
+    return out
+
+
+@pytest.mark.parametrize("window", [20, 50])
+def test_passages(spark, window):
+    docs, rows = odd_documents(spark)
+    rows = sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: r[0])
+    want = _passages(rows, window)
+    got = passages.dedup_passages(docs.filter("doc_id IS NOT NULL"), window=window).toPandas()
+    assert len(got) == docs.filter("doc_id IS NOT NULL").count()
+    text = {k: v or "" for k, v in rows}
+    for r in got.itertuples():
+        assert words(r.kept_text) == want[r.doc_id]
+        at, kept = 0, ""
+        for s in r.removed:
+            kept, at = kept + text[r.doc_id][at : s["start"]], s["end"]
+        assert kept + text[r.doc_id][at:] == r.kept_text
+    assert sum(map(len, want.values())) < sum(len(words(v)) for v in text.values()) * 3 // 4
+    assert passages.dedup_passages(no_documents(spark)).count() == 0
+
+
+def test_pipeline_removes_passages_inside_lines(spark):
+    import corpus_pipeline
+
+    p = " ".join(f"w{i}" for i in range(51))
+    texts = [(1, f"one before {p} after it\nend"), (2, f"two\nahead {p.upper()} behind\nlast"), (3, f"{p} three"), (4, f"four {p}\n\nfive"), (None, f"none {p}")]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in texts], "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.repeated_lines(spark, docs, "").collect()}
+    want = {1: texts[0][1], 2: "two\nahead behind\nlast", 3: "three", 4: "four\n\nfive", None: "none"}
+    assert got == {k: (v, len(v)) for k, v in want.items()}
