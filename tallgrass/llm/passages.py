@@ -8,17 +8,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .anchors import anchors
-from .common import same, stored, text_tag
-from .lines import _WORD, _gone, _units
-from .setjoin import has_bits, key_filter
-from .substrings import CHUNK, edge_key
+from .common import stored
+from .filters import has_bits, key_filter
 from .textops import flat, ints, mix, pieces, powers, span_hash, word_hashes
 
-#: Words of the gram that anchors a window.
+#: Words of the gram that anchors a window; bytes of text looked at together.
 GRAM = 16
+CHUNK = 1 << 18
 
 
 def _found(batch: pa.RecordBatch, window: int):
@@ -31,6 +29,10 @@ def _found(batch: pa.RecordBatch, window: int):
     return before, prefix, row, low, high, gram, around
 
 
+def edge_key(around: np.ndarray, tag: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return mix(around + mix(tag + low.astype(np.uint64)))
+
+
 def _ids(batch: pa.RecordBatch, row: np.ndarray) -> list[pa.Array]:
     return [batch["_id"].take(pa.array(row)), batch["_t"].take(pa.array(row))]
 
@@ -100,72 +102,8 @@ def repeated_passages(rows: DataFrame, window: int) -> DataFrame:
     firsts = stored(_firsts(places), "passage-firsts")
     kinds = stored(firsts.groupBy("gram").count().filter("count > 1").select("gram"), "passage-kinds")
     edge = firsts.join(kinds, "gram").select("words", F.col("f_t").alias("_t"), F.col("f_low").alias("low"))
-    edges = spark.sparkContext.broadcast(key_filter(edge.mapInArrow(_edge_keys, "key long")))
+    edges = spark.sparkContext.broadcast(key_filter(stored(edge.mapInArrow(_edge_keys, "key long"), "edge-keys")))
     windows = stored(rows.mapInArrow(_windows(window, edges), ddl), "passage-windows")
     edges.destroy()  # the windows are a table now
     spans = _later(places, firsts, window).union(_later(windows, stored(_firsts(windows).filter("c > 1"), "first-windows"), window))
     return spans.groupBy("_id", "_t").agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
-
-
-def _cuts(text: str, spans: list[dict]) -> list[tuple[int, int]]:
-    """Code points that go with spans of words: a passage that begins a line takes the space after it, another the one before."""
-    word = [m.span() for m in _WORD.finditer(text)]
-    runs: list[list[int]] = []
-    for start, end in sorted((s["start"], s["end"]) for s in spans):
-        if runs and start <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], end)
-        else:
-            runs.append([start, end])
-    out = []
-    for i, j in runs:
-        a, b, last = word[i][0], word[j - 1][1], word[i - 1][1] if i else 0
-        if not i or "\n" in text[last:a]:
-            out.append((a, word[j][0] if j < len(word) else len(text)))
-        else:
-            out.append((last, b))
-    return out
-
-
-def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "_text", CHUNK):
-        out: list[list] = [[], [], []]
-        for text, gone, spans in zip(*(batch[c].to_pylist() for c in ("_text", "_gone", "_spans")), strict=True):
-            cuts = _cuts(text, spans) if spans else []
-            if gone:
-                units = _units(text, "line")
-                cuts += [(units[i][0], units[i + 1][0] if i + 1 < len(units) else len(text)) for i in gone]
-            removed, kept, at = [], [], 0
-            for a, b in sorted(cuts):
-                if removed and a <= removed[-1]["end"]:
-                    removed[-1]["end"] = max(removed[-1]["end"], b)
-                else:
-                    removed.append({"start": a, "end": b})
-            for r in removed:
-                kept.append(text[at : r["start"]])
-                at = r["end"]
-            for o, v in zip(out, (len(removed), "".join([*kept, text[at:]]), removed), strict=True):
-                o.append(v)
-        span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        yield pa.RecordBatch.from_arrays([batch["_id"], batch["_t"], pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], span), batch["_rest"]], ["doc_id", "_t", "n_removed", "kept_text", "removed", "rest"])
-
-
-def dedup_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = 50, min_words: int = 5) -> DataFrame:
-    """Remove every run of ``window`` words that also starts earlier in the corpus, and the lines ``dedup_units`` removes.
-
-    Words are compared with A-Z lower-cased, whatever white space lies between them, and in whole texts, so passages
-    may begin and end inside lines. Both kinds of repeats are found in the texts as they came and go together. The order
-    is that of ``dedup_units``; of equal passages the first stays whole, also where a text repeats itself with overlap.
-
-    Returns doc_id, _t (tag of the text), n_removed, kept_text, removed: the maximal spans that go, in code points of
-    the original text, and rest: the other columns, as they were. Null texts are ''. Equal rows are one document: each
-    gets the same result. An empty table gives no rows.
-    """
-    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), F.coalesce(F.col(text), F.lit("")).alias("_text"), F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("_rest"))
-    texts = rows.select("_id", "_t", "_text")
-    gone = _gone(texts, "line", min_words).withColumn("_spans", F.lit(None).cast("array<struct<start:long,end:long>>"))
-    spans = repeated_passages(texts, window).withColumn("_gone", F.lit(None).cast("array<int>"))
-    both = gone.unionByName(spans).groupBy("_id", "_t").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("_gone", "_spans")])
-    joined = rows.join(both, same(rows, both, "_id", "_t"), "left").select(rows["_id"], rows["_t"], "_text", "_gone", "_spans", "_rest")
-    kind = T.StructType().add("doc_id", "long").add("_t", "long").add("n_removed", "long").add("kept_text", "string")
-    span = T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())
-    return joined.mapInArrow(_rebuilt, kind.add("removed", T.ArrayType(span)).add("rest", rows.schema["_rest"].dataType))

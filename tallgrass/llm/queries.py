@@ -49,7 +49,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_units(table(spark, sf_dir, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    return out.select("doc_id", "n_units", "n_removed", removed.alias("removed_chars"), F.sha2("kept_text", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_seen", "n_removed", removed.alias("removed_chars"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,7 +61,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0] : off[-1]] if len(off) else data[:0], off - off[0] if len(off) else np.zeros(1, np.int64)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one holds at most ``most`` bytes of text, or a single row."""
     for batch in batches:
         if not batch.num_rows:
@@ -94,5 +94,15 @@ def word_hashes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return span_hash(prefix_hash(LOWER[data]), starts, ends), before
 
 
+def digests(h: np.ndarray, other: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each run a:b of words, from two independent hashes of every word."""
+    out = []
+    for words in (h, other):
+        prefix = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words * powers(len(words))[0], out=prefix[1:])
+        out.append(span_hash(prefix, a, b))
+    return out[0], out[1]
+
+
 def ints(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64) if values.dtype == np.uint64 else values.astype(np.int64))

@@ -2,11 +2,12 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
 
-from tallgrass.llm import components, lines, passages, setjoin, substrings, vectors
+from tallgrass.llm import components, lines, setjoin, substrings, vectors
 from .helpers import components as brute_components
 from .helpers import no_documents, odd_documents, words
 
@@ -116,7 +117,8 @@ def test_substrings(spark, monkeypatch, many):
 
 
 def test_substrings_null_ids_and_nothing(spark):
-    text = "".join(random.Random(4).choice("abcdef \n") for _ in range(400))
+    r = random.Random(4)
+    text = "".join(r.choice("abcdef \n") for _ in range(400))
     docs = spark.createDataFrame([(None, text), (5, text)], "doc_id long, text string")
     got = {r["doc_id"]: r["n_removed"] for r in substrings.dedup_substrings(docs).collect()}
     assert got == {5: 0, None: 400}
@@ -152,33 +154,66 @@ def test_anchors_agree_for_equal_windows():
     assert sum(high - low + 1) == sum(max(0, len(t) - 99) for t in texts)
 
 
-def test_lines(spark):
+def _units(rows, unit, min_words, min_run, window=0):
+    """Words left by brute force: units seen before in runs of ``min_run`` words, and windows of words seen before."""
+    stop = {"line": r"\n", "paragraph": r"\n[ \t-\r]*\n", "clause": r"\n|(?<=[.!?,;:])(?=[ \t-\r])"}[unit]
+    windows, seen, out = {}, set(), {}
+    for key, text in rows:
+        w, gone, at, run = words(text), set(), 0, []
+        for part in [*re.split(stop, text or ""), None]:
+            mine = tuple(words(part)) if part is not None else ()
+            if part is None or len(mine) >= min_words and mine not in seen:
+                if sum(len(r) for r, old in run if old) >= min_run:
+                    gone |= set(range(run[0][0][0], run[-1][0][-1] + 1))
+                run = []
+            elif len(mine) >= min_words:
+                run.append((range(at, at + len(mine)), True))
+            if len(mine) >= min_words:
+                seen.add(mine)
+            at += len(mine)
+        for p in range(len(w) - window + 1 if window else 0):
+            f = windows.setdefault(tuple(w[p : p + window]), (key, p))
+            if f != (key, p):
+                gone |= set(range(max(p, f[1] + window) if f[0] == key else p, p + window))
+        out[key] = [x for i, x in enumerate(w) if i not in gone]
+    return out
+
+
+@pytest.mark.parametrize("options", [{"unit": "clause"}, {"unit": "line", "min_words": 5, "min_run": 5}, {"unit": "paragraph", "min_run": 6}, {"unit": "clause", "window": 50}, {"unit": "clause", "window": 20}])
+def test_units(spark, options):
+    options = {"min_words": 3, "min_run": 25, "window": 0} | options
     docs, rows = odd_documents(spark)
-    got = lines.dedup_units(docs).toPandas()
+    r, base = random.Random(6), max(i for i, *_ in rows if i is not None) + 1
+    clauses = [" ".join(f"u{r.randrange(400)}" for _ in range(r.randrange(1, 12))) + r.choice(".,;!?") for _ in range(60)]
+    for i in range(30):
+        a = r.randrange(50)
+        rows.append((base + i, f"own{i} word{i}, " + r.choice([" ", "\n", "\n\n", "  \n "]).join(clauses[a : a + r.randrange(2, 9)]) + f" then {i}.\nNext {i}", *rows[9][2:]))
+    docs = spark.createDataFrame(rows, docs.schema)
+    want = _units(sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: r[0]), **options)
+    got = lines.dedup_units(docs, **options).toPandas()
+    text = {r[0]: r[1] or "" for r in rows}
     assert len(got) == len(rows)
-    seen, want = set(), {}
-    for i, text in sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: r[0]):
-        kept, spans, at, parts = [], [], 0, (text or "").split("\n")
-        for n, line in enumerate(parts):
-            key = tuple(words(line))
-            if len(key) >= 5 and key in seen:
-                spans.append((at, at + len(line)))
-            else:
-                kept.append(line + ("\n" if n + 1 < len(parts) else ""))
-                seen.add(key)
-            at += len(line) + 1
-        want[i] = "".join(kept), spans
-    for r in got[got.doc_id.notna()].itertuples():
-        assert (r.kept_text, [(s["start"], s["end"]) for s in r.removed]) == want[r.doc_id]
-    out = lines.deduplicated(docs)
-    assert out.columns == docs.columns and lines.dedup_units(no_documents(spark)).count() == 0
+    for x in got[got.doc_id.notna()].itertuples():
+        assert words(x.kept_text) == want[x.doc_id]
+        at, kept = 0, ""
+        for s in x.removed:
+            kept, at = kept + text[x.doc_id][at : s["start"]], s["end"]
+        assert kept + text[x.doc_id][at:] == x.kept_text and x.n_removed == len(x.removed)
+    assert sum(map(len, want.values())) < sum(len(words(v)) for v in text.values())
+    out = lines.deduplicated(docs, **options)
+    assert out.columns == docs.columns and lines.dedup_units(no_documents(spark), **options).count() == 0
+
 
+def test_short_common_lines_stay(spark):
+    docs = spark.createDataFrame([(i, f"All rights reserved.\nText number {i} of its own.") for i in range(20)], "doc_id long, text string")
+    assert {x["n_removed"] for x in lines.dedup_units(docs).collect()} == {0}
 
-def test_paragraphs(spark):
-    p = "a b c d e f"
-    docs = spark.createDataFrame([(1, f"{p}\n\nx"), (2, f"y\n \n{p.upper()}\n\nz")], "doc_id long, text string")
-    got = {r["doc_id"]: r["kept_text"] for r in lines.dedup_units(docs, unit="paragraph").collect()}
-    assert got == {1: f"{p}\n\nx", 2: "y\n \nz"}
+
+def test_white_space_around_what_goes(spark):
+    p = " ".join(f"p{i}" for i in range(30)) + "."
+    docs = spark.createDataFrame([(1, f"{p}\n\nx"), (2, f"y\n \n{p.upper()}\n\nz"), (3, f"before. {p}\nafter"), (4, p)], "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in lines.dedup_units(docs).collect()}
+    assert got == {1: f"{p}\n\nx", 2: "y\n \nz", 3: "before.\nafter", 4: ""}
 
 
 def _vectors(spark, n=260, d=32):
@@ -217,44 +252,6 @@ def test_vector_rounds_reach_recall():
         assert (1 - p) ** n + n * p * (1 - p) ** (n - 1) <= 0.005
 
 
-def _passages(rows, n, least=5):
-    """Text left by brute force: words of windows seen before (less the first copy where they overlap) and of lines seen before."""
-    windows, seen, out = {}, set(), {}
-    for key, text in rows:
-        text = text or ""
-        w, gone, at = words(text), set(), 0
-        for p in range(len(w) - n + 1):
-            f = windows.setdefault(tuple(w[p : p + n]), (key, p))
-            if f != (key, p):
-                gone |= set(range(max(p, f[1] + n) if f[0] == key else p, p + n))
-        for line in text.split("\n"):
-            mine = tuple(words(line))
-            if len(mine) >= least and mine in seen:
-                gone |= set(range(at, at + len(mine)))
-            seen.add(mine)
-            at += len(mine)
-        out[key] = [x for i, x in enumerate(w) if i not in gone]
-    return out
-
-
-@pytest.mark.parametrize("window", [20, 50])
-def test_passages(spark, window):
-    docs, rows = odd_documents(spark)
-    rows = sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: r[0])
-    want = _passages(rows, window)
-    got = passages.dedup_passages(docs.filter("doc_id IS NOT NULL"), window=window).toPandas()
-    assert len(got) == docs.filter("doc_id IS NOT NULL").count()
-    text = {k: v or "" for k, v in rows}
-    for r in got.itertuples():
-        assert words(r.kept_text) == want[r.doc_id]
-        at, kept = 0, ""
-        for s in r.removed:
-            kept, at = kept + text[r.doc_id][at : s["start"]], s["end"]
-        assert kept + text[r.doc_id][at:] == r.kept_text
-    assert sum(map(len, want.values())) < sum(len(words(v)) for v in text.values()) * 3 // 4
-    assert passages.dedup_passages(no_documents(spark)).count() == 0
-
-
 def test_pipeline_removes_passages_inside_lines(spark):
     import corpus_pipeline
 
