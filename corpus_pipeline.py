@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.llm import lines, mixing, packing, passages, setjoin, trees
+from tallgrass.llm import lines, mixing, packing, setjoin, trees
 from tallgrass.llm.common import stored, table, with_copies
 from tallgrass.llm.queries import tokenizer_file
 
@@ -21,8 +21,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines, and the passages of 50 words inside lines, that stand in an earlier document."""
-    return lines.deduplicated(docs, by=passages.dedup_passages)
+    """Texts without the runs of clauses, and of 50 words wherever they begin, that stand in an earlier document.
+
+    Null texts become ''; documents that lose all their words go; an empty table gives an empty table.
+    """
+    return lines.deduplicated(docs, window=50)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
