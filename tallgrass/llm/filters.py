@@ -42,7 +42,7 @@ def gathered(parts: DataFrame, size: int, combine: Callable, kind: type) -> np.n
     """Combine per-task arrays of a fixed size, block by block in tasks; the driver gets one array of that size."""
     tasks = min(size // BLOCK, int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     out = np.zeros(size, kind)
-    for row in parts.repartition(tasks, "block").mapInArrow(_added(combine, kind), "block int, part binary").toLocalIterator():  # as many blocks as the array has
+    for row in parts.repartition(tasks, "block").mapInArrow(_added(combine, kind), "block int, part binary").collect():  # as many blocks as the array has
         out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(row["part"])), kind)
     return out
 
@@ -78,3 +78,71 @@ def key_filter(keys: DataFrame) -> np.ndarray:
     while n_bits < min(wanted, MOST_BITS):
         n_bits *= 2
     return gathered(keys.select(F.col(keys.columns[0]).alias("key")).mapInArrow(_bit_rows(n_bits), "block int, part binary"), n_bits // 8, np.bitwise_or, np.uint8)
+
+
+def _twice_rows(column: str, n_bits: int):
+    """The places of a task's keys by blocks of 2^16 places, two bytes each, whatever the number of blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            with np.errstate(over="ignore"):
+                held.append(_places(batch[column].flatten().to_numpy().astype(np.int64).view(np.uint64), n_bits).astype(np.int32))
+            if sum(map(len, held)) > 1 << 21:
+                yield _by_block(np.concatenate(held))
+                held.clear()
+        if held:
+            yield _by_block(np.concatenate(held))
+
+    return run
+
+
+def _by_block(places: np.ndarray) -> pa.RecordBatch:
+    places = np.sort(places)
+    first = np.flatnonzero(np.diff(places >> 16, prepend=-1))
+    cut = np.append(first, len(places)).astype(np.int32) * 2
+    data = pa.py_buffer((places & 0xFFFF).astype(np.uint16).tobytes())
+    parts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(cut.tobytes()), data])
+    return pa.RecordBatch.from_arrays([pa.array(places[first] >> 16, pa.int32()), parts], ["block", "part"])
+
+
+def _counted_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: dict[int, list[np.ndarray]] = {}  # for each block the places met once and twice, as bits
+    late: dict[int, list[bytes]] = {}
+
+    def count() -> None:
+        for block, parts in late.items():
+            n = np.bincount(np.frombuffer(b"".join(parts), np.uint16), minlength=1 << 16)
+            once, twice = found.get(block) or [np.uint8(0)] * 2
+            mine = np.packbits(n > 0, bitorder="little")
+            found[block] = [once | mine, twice | (once & mine) | np.packbits(n > 1, bitorder="little")]
+        late.clear()
+
+    size = 0
+    for batch in batches:
+        for block, part in zip(batch["block"].to_pylist(), batch["part"].to_pylist(), strict=True):
+            late.setdefault(block, []).append(part)
+            size += len(part)
+        if size > 1 << 25:
+            count()
+            size = 0
+    count()
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for _, x in found.values()], pa.binary())], ["block", "part"])
+
+
+def twice_filter(table: DataFrame, column: str) -> np.ndarray:
+    """A bit for the hash of every number that the lists of a stored table hold twice or more; others pass by chance.
+
+    Only two bytes a number are shuffled. Like ``key_filter`` it is bounded, and what it lets through in vain a later
+    aggregate by the number itself sorts out.
+    """
+    n_bits = LEAST_BITS
+    total = table.agg(F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0]
+    while n_bits < min(2 * BITS_A_KEY * total, MOST_BITS):
+        n_bits *= 2
+    parts = table.select(column).mapInArrow(_twice_rows(column, n_bits), "block int, part binary")
+    tasks = min(n_bits >> 16, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    out = np.zeros(n_bits // 8, np.uint8)
+    for row in parts.repartition(tasks, "block").mapInArrow(_counted_twice, "block int, part binary").collect():  # as many blocks as the filter has
+        out[row["block"] << 13 : row["block"] + 1 << 13] = np.frombuffer(zlib.decompress(bytes(row["part"])), np.uint8)
+    return out

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import math
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,40 +12,50 @@ from pyspark.sql import functions as F
 
 from .common import stored, text_tag, with_copies
 from .components import connected_components
+from .filters import blocks_of, gathered, has_bits, key_filter, twice_filter
 from .textops import flat, ints, mix, pieces, word_hashes
 
-#: Counters of the frequency sketch and bits of the shingle filter; both are fixed, whatever the input.
+#: Counters of the frequency sketches of words and of shingles; both are fixed, whatever the input.
 SKETCH = 1 << 20
-FILTER_BITS = 1 << 26
-BLOCK = 1 << 14
 #: Longest extension of a prefix.
 MOST_MATCHES = 4
+#: Steps of estimated frequencies for each doubling, and the step of frequency one.
+STEPS, ONE = 3, 120
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
+def shingles(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all runs of ``k`` words, by the hashes of the words."""
+    n = len(h)
+    out = np.zeros(max(n - k + 1, 0), np.uint64)
+    for j in range(k):
+        out = out * _ODD[0] + mix(h[j : n - k + 1 + j] + _ODD[j % 5]) if len(out) else out
+    return mix(out)
+
+
+def short_text(h: np.ndarray) -> np.uint64:
+    """One shingle of all words of a text that has fewer than it takes."""
+    x = np.uint64(len(h))
+    for v in h:
+        x = mix(x * _ODD[1] + v)
+    return x
+
+
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
     """For each text its sorted distinct shingle hashes: of ``k`` words, or of all words if there are fewer."""
     h, before = word_hashes(*flat(column))
-    n = len(h)
-    whole = np.zeros(max(n - k + 1, 0), np.uint64)
-    for j in range(k):
-        whole = whole * _ODD[0] + mix(h[j : n - k + 1 + j] + _ODD[j % 5]) if len(whole) else whole
-    whole = mix(whole)
+    whole = shingles(h, k)
     for a, b in zip(before[:-1], before[1:], strict=True):
         if b - a >= k:
             yield np.unique(whole[a : b - k + 1])
-        elif b > a:
-            x = np.uint64(b - a)
-            for v in h[a:b]:
-                x = mix(x * _ODD[1] + v)
-            yield np.array([x], np.uint64)
         else:
-            yield np.zeros(0, np.uint64)
+            yield np.array([short_text(h[a:b])], np.uint64) if b > a else np.zeros(0, np.uint64)
 
 
-def set_key(s: np.ndarray) -> np.uint64:
-    """One hash for a set; sets are taken as equal if it and the size agree."""
-    return mix(np.add.reduce(mix(s ^ _ODD[3])) + np.uint64(len(s)) * _ODD[2])
+def set_keys(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """128 bits for a set; sets are taken as equal if these and the size agree."""
+    n = np.uint64(len(s))
+    return mix(np.add.reduce(mix(s ^ _ODD[3])) + n * _ODD[2]), mix(np.add.reduce(mix(s * _ODD[4] + _ODD[1])) ^ n)
 
 
 def bitmap(s: np.ndarray) -> tuple[int, int]:
@@ -61,132 +70,142 @@ def prefix_length(n: int, percent: int, matches: int) -> int:
     return min(n, n - -(-percent * n // 100) + matches)
 
 
-def choose_matches(counts: np.ndarray, n: int, percent: int) -> int:
+def choose_matches(frequency: np.ndarray, n: int, percent: int) -> int:
     """How far to lengthen a prefix: the number of matches with the least estimated cost.
 
-    ``counts`` are the sketch's frequencies of the tokens in order. Lengthening adds the rows that the further tokens
-    meet; asking for m matches leaves at most 1/m of the rows met as candidates, each to be verified against n tokens.
+    ``frequency`` has estimates for the tokens in order. Lengthening adds the rows that the further tokens meet;
+    asking for m matches leaves at most 1/m of the rows met as candidates, each to be verified against n tokens.
     """
     most = max(1, min(MOST_MATCHES, (percent * percent * n) // 10_000))
-    met = np.cumsum(np.maximum(counts.astype(float) - 1, 0))
+    met = np.cumsum(np.maximum(frequency - 1, 0))
     costs = [met[prefix_length(n, percent, m) - 1] * (1 + n / 16 / m) for m in range(1, most + 1)]
     return int(np.argmin(costs)) + 1
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], k: int):
-    with np.errstate(over="ignore"):
-        for batch in pieces(batches, "_text"):
-            yield batch, list(shingle_sets(batch["_text"], k))
+_NONE = {"_id": pa.int64(), "_t": pa.int64(), "c": pa.int64(), "c2": pa.int64(), "n": pa.int64(), "x": pa.int64(), "y": pa.int64(), "block": pa.int32(), "part": pa.binary()}
 
 
-def _classes(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _chunks(batches, k):
-            yield pa.RecordBatch.from_arrays([batch["_id"], batch["_t"], ints(np.array([set_key(s) for s in sets], np.uint64)), ints(np.array([len(s) for s in sets]))], ["_id", "_t", "c", "n"])
+def _rows(**columns: pa.Array) -> pa.RecordBatch:
+    size = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([columns.get(k, pa.nulls(size, kind)) for k, kind in _NONE.items()], list(_NONE))
 
-    return run
 
+def _classes(k: int):
+    """A row for every text with the keys, size and bitmap of its set; at the end of a task the blocks of both sketches."""
 
-def _sketch(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int32)
-        for _, sets in _chunks(batches, k):
-            for s in sets:
-                np.add.at(counts, (s & np.uint64(SKETCH - 1)).astype(np.int64), np.ones(len(s), np.int32))
-        yield _blocks(counts)
+        counts = np.zeros(2 * SKETCH, np.int32)
+        late: list[np.ndarray] = [np.zeros(0, np.int64)]
+
+        def count(least: int) -> None:
+            if sum(map(len, late)) > least:
+                np.add(counts, np.bincount(np.concatenate(late), minlength=2 * SKETCH), out=counts, casting="unsafe")
+                late[1:] = []
+
+        with np.errstate(over="ignore"):
+            for batch in pieces(batches, "_text"):
+                h, _ = word_hashes(*flat(batch["_text"]))
+                sets = list(shingle_sets(batch["_text"], k))
+                late.append((h >> np.uint64(44)).astype(np.int64))
+                late.append((np.concatenate([*sets, h[:0]]) >> np.uint64(44)).astype(np.int64) + SKETCH)
+                count(SKETCH)
+                keys = np.array([set_keys(s) for s in sets], np.uint64).reshape(-1, 2)
+                maps = np.array([bitmap(s) for s in sets], np.int64).reshape(-1, 2)
+                yield _rows(_id=batch["_id"], _t=batch["_t"], c=ints(keys[:, 0]), c2=ints(keys[:, 1]), n=ints(np.array([len(s) for s in sets])), x=ints(maps[:, 0]), y=ints(maps[:, 1]))
+        count(0)
+        blocks = blocks_of(counts)
+        yield _rows(block=blocks["block"], part=blocks["part"])
 
     return run
 
 
-def _blocks(counts: np.ndarray) -> pa.RecordBatch:
-    n = len(counts) // BLOCK
-    return pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array([zlib.compress(counts[i * BLOCK : (i + 1) * BLOCK].tobytes(), 1) for i in range(n)], pa.binary())], ["block", "counts"])
+def estimates(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What the sketches tell of frequencies, as logarithms to base 2 of words' shares, of shingles against the mean, and of shingles that stand out."""
+    words, sets = counts[:SKETCH].astype(np.float64), counts[SKETCH:].astype(np.float64)
+    total, mean = max(words.sum(), 1), max(sets.mean(), 1e-9)
+    above = sets - mean - 5 * math.sqrt(mean) - 4
+    out = np.log2(np.maximum(words, 1) / total), np.log2(np.maximum(sets, 1) / max(mean, 1)), np.where(above > 1, np.log2(np.maximum(above, 1)), -40)
+    return tuple(x.astype(np.float32) for x in out) + (np.float32(math.log2(total)),)
 
 
-def _added(combine: Callable, kind: type):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, c in zip(batch["block"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-                got = np.frombuffer(zlib.decompress(c), kind)
-                total[i] = combine(total[i], got) if i in total else got.copy()
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in total.values()], pa.binary())], ["block", "counts"])
+def ordered_tokens(h: np.ndarray, k: int, told: tuple) -> np.ndarray:
+    """For every run of ``k`` words a token of 64 bits: its estimated frequency in steps, then 56 bits of its hash.
+
+    The estimate is that of independent words, corrected by the shingle's counter as far as that tells more than noise,
+    and never below what stands out of the counter's mean. So rare shingles come first however large the corpus.
+    """
+    word, near, high, total = told
+    n = len(h) - k + 1
+    s = shingles(h, k)
+    at = (s >> np.uint64(44)).astype(np.int64)
+    share = word[(h >> np.uint64(44)).astype(np.int64)]
+    est = 4 * near[at] + total
+    for j in range(k):
+        est += share[j : n + j]
+    step = np.clip(np.rint(np.maximum(est, high[at]) * STEPS) + ONE, 0, 255).astype(np.uint64)
+    return (step << np.uint64(56)) | (s >> np.uint64(8))
 
-    return run
 
+def frequency_of(tokens: np.ndarray) -> np.ndarray:
+    return np.exp2(((tokens >> np.uint64(56)).astype(np.float64) - ONE) / STEPS)
 
-def gathered(parts: DataFrame, size: int, combine: Callable, kind: type) -> np.ndarray:
-    """Combine per-task arrays of a fixed size, block by block in tasks; the driver gets one array of that size."""
-    blocks = size // BLOCK
-    summed = parts.repartition(min(blocks, int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block").mapInArrow(_added(combine, kind), "block int, counts binary")
-    out = np.zeros(size, kind)
-    for row in summed.collect():  # as many blocks as the array has
-        out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(bytes(row["counts"])), kind)
-    return out
 
+def _key(s: np.ndarray, twins: set[int]) -> np.uint64:
+    """The first key of a set, or where different sets share that, both."""
+    a, b = set_keys(s)
+    return mix(a + b * _ODD[2]) if int(a) in twins else a
 
-def _prefixes(k: int, percent: int, sketch, keep):
-    """(token, c, packed size, position and matches, bitmap) for the prefix of every set; ``keep`` filters tokens, or is None."""
+
+def _prefixes(k: int, percent: int, told, twins: set[int]):
+    """(c, p, tokens) for the prefix of every set; p packs its size and matches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, bits = sketch.value, keep.value if keep else None
-        for _, sets in _chunks(batches, k):
-            tokens, owners, packed, maps = [], [], [], []
-            for s in sets:
-                n = len(s)
-                if not n:
-                    continue
-                f = counts[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
-                longest = prefix_length(n, percent, MOST_MATCHES)
-                order = np.lexsort((s, f))[:longest] if n < 64 else _smallest(f, s, longest)
-                m = choose_matches(f[order], n, percent)
-                first = s[order[: prefix_length(n, percent, m)]]
-                at = np.arange(len(first))
-                if bits is not None:
-                    on = has_bits(bits, first)
-                    first, at = first[on], at[on]
-                if len(first):
+        with np.errstate(over="ignore"):
+            for batch in pieces(batches, "_text"):
+                h, before = word_hashes(*flat(batch["_text"]))
+                whole, order = shingles(h, k), ordered_tokens(h, k, told.value) if len(h) >= k else None
+                c, p, tokens, size = [], [], [], [0]
+                for a, b in zip(before[:-1], before[1:], strict=True):
+                    if b == a:
+                        continue
+                    s = np.unique(whole[a : b - k + 1]) if b - a >= k else np.array([short_text(h[a:b])], np.uint64)
+                    t = np.unique(order[a : b - k + 1]) if b - a >= k else s >> np.uint64(8)
+                    m = choose_matches(frequency_of(t[: prefix_length(len(s), percent, MOST_MATCHES)]), min(len(s), len(t)), percent)
+                    first = t[: prefix_length(len(s), percent, m)]
+                    c.append(_key(s, twins))
+                    p.append(len(s) << 3 | m)
                     tokens.append(first)
-                    owners.append(np.full(len(first), set_key(s), np.uint64))
-                    packed.append((np.int64(n) << 32) | (at << 3) | m)
-                    maps.append(np.tile(bitmap(s), (len(first), 1)))
-            if tokens:
-                x = np.concatenate(maps)
-                yield pa.RecordBatch.from_arrays([ints(np.concatenate(tokens)), ints(np.concatenate(owners)), ints(np.concatenate(packed)), ints(x[:, 0]), ints(x[:, 1])], ["token", "c", "p", "x", "y"])
+                    size.append(len(first))
+                if c:
+                    lists = pa.ListArray.from_arrays(pa.array(np.cumsum(size), pa.int32()), ints(np.concatenate(tokens)))
+                    yield pa.RecordBatch.from_arrays([ints(np.array(c, np.uint64)), ints(np.array(p)), lists], ["c", "p", "tokens"])
 
     return run
 
 
-def _smallest(f: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
-    """Indices of the ``n`` smallest tokens by (frequency, hash), in that order."""
-    limit = np.partition(f, n - 1)[n - 1]
-    some = np.flatnonzero(f <= limit)
-    return some[np.lexsort((s[some], f[some]))[:n]]
-
-
-def _spread(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys * _ODD[4]) >> np.uint64(64 - 26)).astype(np.int64)
-
-
-def has_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = _spread(keys)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
-def _bit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    on = np.zeros(FILTER_BITS // 8, np.uint8)
-    for batch in batches:
-        at = _spread(batch["key"].to_numpy().astype(np.int64).view(np.uint64))
-        np.bitwise_or.at(on, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-    yield _blocks(on)
+def _shared_tokens(twice):
+    """Prefixes without the tokens that stand in one of them only; places tell where in the prefix the others stood."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = twice.value
+        for whole in batches:
+            for a in range(0, whole.num_rows, 2000):
+                batch = whole.slice(a, 2000)
+                tokens = batch["tokens"].flatten().to_numpy().astype(np.int64)
+                size = batch["tokens"].value_lengths().to_numpy()
+                row = np.repeat(np.arange(len(size)), size)
+                at = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+                with np.errstate(over="ignore"):
+                    on = has_bits(bits, tokens.view(np.uint64))
+                left = np.bincount(row[on], minlength=len(size))
+                cut = pa.array(np.concatenate([[0], np.cumsum(left)]), pa.int32())
+                lists = [pa.ListArray.from_arrays(cut, pa.array(x[on], pa.int64())) for x in (tokens, at)]
+                yield pa.RecordBatch.from_arrays([batch["c"], batch["p"], *lists], ["c", "p", "tokens", "places"]).filter(pa.array(left > 0))
 
-def key_filter(keys: DataFrame) -> np.ndarray:
-    """A bit for the hash of every key; other keys pass by chance, ever more as keys grow, and are sorted out by joins."""
-    return gathered(keys.select(keys.columns[0]).toDF("key").mapInArrow(_bit_rows, "block int, counts binary"), FILTER_BITS // 8, np.bitwise_or, np.uint8)
+    return run
 
 
-def _sets(k: int, wanted):
+def _sets(k: int, wanted, twins: set[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         for batch in pieces(batches, "_text"):
@@ -195,22 +214,11 @@ def _sets(k: int, wanted):
             if batch.num_rows:
                 with np.errstate(over="ignore"):
                     sets = list(shingle_sets(batch["_text"], k))
-                    yield pa.RecordBatch.from_arrays([batch["_k"], ints(np.array([set_key(s) for s in sets], np.uint64)), pa.array([pack(s) for s in sets], pa.binary())], ["k", "c", "s"])
+                    yield pa.RecordBatch.from_arrays([batch["_k"], ints(np.array([_key(s, twins) for s in sets], np.uint64)), pa.array([s.tobytes() for s in sets], pa.binary())], ["k", "c", "s"])
 
     return run
 
 
-def pack(s: np.ndarray) -> bytes:
-    """The upper 40 bits of each hash, sorted."""
-    return np.sort(s >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-
-
-def unpack(b: bytes) -> np.ndarray:
-    out = np.zeros((len(b) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(b, np.uint8).reshape(-1, 5)
-    return out.reshape(-1).view("<u8")
-
-
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if len(a) > len(b):
         a, b = b, a
@@ -219,14 +227,25 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def _split_twins(twins: set[int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                c, c2 = (batch[x].to_numpy().astype(np.int64).view(np.uint64) for x in ("c", "c2"))
+                new = np.where(np.isin(c, np.array(list(twins), np.uint64)), mix(c + c2 * _ODD[2]), c)
+                yield pa.RecordBatch.from_arrays([ints(new) if name == "c" else batch[name] for name in batch.schema.names], batch.schema.names)
+
+    return run
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             last, left, ok = None, None, []
             for a, b in zip(batch["s_a"].to_pylist(), batch["s_b"].to_pylist(), strict=True):
                 if a is not last:
-                    last, left = a, unpack(a)
-                ok.append(similar(left, unpack(b), percent))
+                    last, left = a, np.frombuffer(a, np.uint64)
+                ok.append(similar(left, np.frombuffer(b, np.uint64), percent))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
@@ -244,8 +263,8 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     Words are lower-cased in A-Z; a text of fewer words is one shingle; a text without words, or null, links with
     nothing. Documents of equal sets form classes, and only classes are compared.
 
-    Every set is ordered by the frequency of its shingles (a sketch of fixed size, filled from all documents) and then
-    by hash. A class sends its prefix, the shingles among which any similar set must share at least m; m and with it
+    Every set is ordered by the estimated frequency of its shingles (from that of their words and from counters of
+    shingles, two sketches of fixed size filled from all documents) and then by hash. A class sends its prefix, the shingles among which any similar set must share at least m; m and with it
     the length is chosen for each class by estimated cost. First, each shingle compares its classes with the one that
     has it earliest in its order, which links most members of a group without any pairs inside it. Then classes of
     different components that meet in a shingle, of sizes and positions that allow the similarity, are counted, and
@@ -257,55 +276,65 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    keyed = stored(rows.mapInArrow(_classes(words), "_id long, _t long, c long, n long"), "classes")
-    sketch = spark.sparkContext.broadcast(gathered(rows.select("_text").mapInArrow(_sketch(words), "block int, counts binary"), SKETCH, np.add, np.int32))
-    text_rows = rows.select("_text")
-    met = text_rows.mapInArrow(_prefixes(words, percent, sketch, None), "token long, c long, p long, x long, y long")
-    met = met.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("token")
-    some = spark.sparkContext.broadcast(key_filter(met))
-    found = text_rows.mapInArrow(_prefixes(words, percent, sketch, some), "token long, c long, p long, x long, y long").distinct()
-    found = found.select("token", "c", F.shiftright("p", 32).alias("n"), (F.shiftright("p", 3).bitwiseAND(F.lit((1 << 29) - 1))).alias("pos"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), "x", "y")
-    found = stored(found, "prefixes")
+    first = stored(rows.mapInArrow(_classes(words), "_id long, _t long, c long, c2 long, n long, x long, y long, block int, part binary"), "classes")
+    keyed = first.filter("block IS NULL").drop("block", "part")
+    told = spark.sparkContext.broadcast(estimates(gathered(first.filter("block IS NOT NULL").select("block", "part"), 2 * SKETCH, np.add, np.int32)))
+    # different sets with one key: by chance n^2 / 2^65 for n classes
+    twins = {r["c"] & (1 << 64) - 1 for r in keyed.groupBy("c").agg(F.min("c2").alias("lo"), F.max("c2").alias("hi")).filter("lo != hi").select("c").collect()}
+    if twins:
+        keyed = keyed.mapInArrow(_split_twins(twins), keyed.schema)
+    prefixes = stored(rows.select("_text").mapInArrow(_prefixes(words, percent, told, twins), "c long, p long, tokens array<long>"), "prefixes")
+    told.destroy()  # the prefixes are a table now
+    twice = spark.sparkContext.broadcast(twice_filter(prefixes, "tokens"))
+    found = prefixes.mapInArrow(_shared_tokens(twice), "c long, p long, tokens array<long>, places array<long>")
+    found = stored(found.groupBy("c").agg(F.first("p").alias("p"), F.first("tokens").alias("tokens"), F.first("places").alias("places")), "shared")
+    twice.destroy()
+    classes = stored(keyed.filter("n > 0").groupBy("c").agg(F.min(F.struct(F.col("_id").isNull().alias("null"), "_id", "_t")).alias("r"), F.first("x").alias("x"), F.first("y").alias("y")).select("c", F.xxhash64("r._id", "r._t").alias("k"), "x", "y"), "representatives")
+
+    met = found.select("c", "p", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select("c", F.col("at.tokens").alias("token"), F.shiftright("p", 3).alias("n"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), F.col("at.places").alias("pos"))
     least = F.shiftleft(F.col("pos"), 40) + F.shiftright(F.xxhash64("c").bitwiseAND(F.lit((1 << 62) - 1)), 24)
-    leaders = found.groupBy("token").agg(F.min_by("c", least).alias("lead"), F.min_by("n", least).alias("lead_n"), F.min_by("pos", least).alias("lead_pos"), F.min_by("x", least).alias("lead_x"), F.min_by("y", least).alias("lead_y"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    leaders = stored(leaders.filter("lo != hi").drop("lo", "hi"), "leaders")
-    shared = stored(found.join(leaders, "token"), "shared")
-
-    def allowed(a: dict, b: dict, m: str) -> F.Column:
-        """Sizes near enough, and neither the shingles passed before a match nor the bitmaps show too many differences."""
-        n = F.col(a["n"]) + F.col(b["n"])
-        passed = F.col(a["pos"]) + F.col(b["pos"]) - 2 * (F.expr(m) - 1)
-        differ = sum((F.bit_count(F.col(a[c]).bitwiseXOR(F.col(b[c]))) for c in "xy"), F.lit(0))
-        near = 100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"])
-        return near & ((100 + percent) * F.greatest(passed, differ) <= (100 - percent) * n)
-
-    names = ("n", "pos", "x", "y")
-    own, lead = {k: k for k in names}, {k: f"lead_{k}" for k in names}
-    stars = shared.filter("c != lead").filter(allowed(own, lead, "1")).select(F.col("lead").alias("a"), F.col("c").alias("b")).distinct()
-    stars = stored(stars, "stars")
-    reps = stored(keyed.filter("n > 0").groupBy("c").agg(F.min(F.struct(F.col("_id").isNull().alias("x"), "_id", "_t")).alias("r")).select("c", F.xxhash64("r._id", "r._t").alias("k")), "representatives")
+    leaders = met.groupBy("token").agg(F.min_by("c", least).alias("lead"), F.min_by("n", least).alias("lead_n"), F.min(least).alias("at"), F.count("*").alias("count")).filter("count > 1")
+    leaders = stored(leaders.select("token", "lead", "lead_n", F.shiftright("at", 40).alias("lead_pos")), "leaders")
+
+    def allowed(n_a: str, n_b: str, pos_a: str, pos_b: str, m: str) -> F.Column:
+        """Sizes near enough, and not too many shingles passed before a match."""
+        passed = F.col(pos_a) + F.col(pos_b) - 2 * (F.expr(m) - 1)
+        return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & ((100 + percent) * passed <= (100 - percent) * (F.col(n_a) + F.col(n_b)))
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Pairs whose bitmaps don't show too many differences, of rows a, n_a, b, n_b."""
+        for side in "ab":
+            pairs = pairs.join(classes.select(F.col("c").alias(side), F.col("x").alias(f"x_{side}"), F.col("y").alias(f"y_{side}")), side)
+        differ = sum((F.bit_count(F.col(f"{v}_a").bitwiseXOR(F.col(f"{v}_b"))) for v in "xy"), F.lit(0))
+        return pairs.filter((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+    stars = met.join(leaders, "token").filter("c != lead").filter(allowed("n", "lead_n", "pos", "lead_pos", "1"))
+    stars = stars.select(F.col("lead").alias("a"), F.col("c").alias("b"), F.col("lead_n").alias("n_a"), F.col("n").alias("n_b")).distinct()
+    stars = stored(alike(stars), "stars")
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         """The sets of all classes that the pairs name, from one text of each."""
-        some = reps.join(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "c", "left_semi")
+        some = classes.join(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "c", "left_semi").select("c", "k")
         some = stored(some, "wanted")
         wanted = spark.sparkContext.broadcast(key_filter(some.select("k")))
-        sets = rows.select(F.xxhash64("_id", "_t").alias("_k"), "_text").mapInArrow(_sets(words, wanted), "k long, c long, s binary")
+        sets = rows.select(F.xxhash64("_id", "_t").alias("_k"), "_text").mapInArrow(_sets(words, wanted, twins), "k long, c long, s binary")
         return stored(sets.join(some, ["k", "c"], "left_semi").dropDuplicates(["k"]).select("c", "s"), "sets")
 
     links = stored(_verify(stars, sets_of(stars), percent), "links")
     parts = stored(connected_components(links, "a", "b"), "parts")
 
-    placed = stored(shared.join(parts, shared["c"] == parts["node"], "left").select("token", "c", "n", "pos", "m", "x", "y", F.coalesce("component", "c").alias("part")), "placed")
+    placed = found.join(parts, found["c"] == parts["node"], "left").select("c", "p", "tokens", "places", F.coalesce("component", "c").alias("part"))
+    placed = stored(placed.select("c", "p", "part", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select("c", F.col("at.tokens").alias("token"), F.shiftright("p", 3).alias("n"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), F.col("at.places").alias("pos"), "part"), "placed")
     apart = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("token")
     apart = stored(apart, "apart")
     placed = placed.join(apart, "token", "left_semi")
     placed = placed.withColumn("size", F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-9)))
     left = placed.withColumn("at", F.explode(F.array(F.col("size"), F.col("size") + 1))).toDF(*[f"{c}_a" for c in placed.columns], "at").withColumn("key", F.xxhash64("token_a", "at")).drop("at")
     right = placed.toDF(*[f"{c}_b" for c in placed.columns]).withColumn("key", F.xxhash64("token_b", "size_b"))
-    pairs = left.join(right, "key").filter("token_a = token_b AND part_a != part_b AND (size_a != size_b OR c_a < c_b)").filter(allowed({k: f"{k}_a" for k in names}, {k: f"{k}_b" for k in names}, "least(m_a, m_b)"))
-    pairs = pairs.groupBy(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).agg(F.count("*").alias("met"), F.min(F.least("m_a", "m_b")).alias("m")).filter("met >= m").select("a", "b")
-    pairs = stored(pairs, "pairs")
+    pairs = left.join(right, "key").filter("token_a = token_b AND part_a != part_b AND (size_a != size_b OR c_a < c_b)").filter(allowed("n_a", "n_b", "pos_a", "pos_b", "least(m_a, m_b)"))
+    turned = F.col("c_a") > F.col("c_b")
+    pairs = pairs.groupBy(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).agg(F.count("*").alias("met"), F.min(F.least("m_a", "m_b")).alias("m"), F.first(F.when(turned, F.col("n_b")).otherwise(F.col("n_a"))).alias("n_a"), F.first(F.when(turned, F.col("n_a")).otherwise(F.col("n_b"))).alias("n_b"))
+    pairs = stored(alike(pairs.filter("met >= m").drop("met", "m")), "pairs")
     more = stored(_verify(pairs, sets_of(pairs), percent), "links")
     parts = stored(connected_components(links.union(more), "a", "b"), "parts")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .anchors import anchors
 from .common import same, stored, text_tag
-from .setjoin import has_bits, key_filter
+from .filters import has_bits, key_filter
 from .textops import flat, ints, mix, pieces, prefix_hash, span_hash
 
 #: Bytes of text that a task looks at together, and suffixes in a new array of the index.
@@ -247,7 +247,7 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     grams = rows.select("_text").mapInArrow(_grams(window), "gram long").groupBy("gram").count().filter("count > 1").select("gram")
-    repeated = spark.sparkContext.broadcast(key_filter(grams))
+    repeated = spark.sparkContext.broadcast(key_filter(stored(grams, "grams")))
     ddl = "gram long, around long, _id long, _t long, place long"
     found = stored(rows.mapInArrow(_places(window, repeated), ddl), "anchors")
     rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_t", "place")
@@ -259,7 +259,7 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     inner = found.join(told, ["gram", "around"]).filter(later).select("_id", "_t", low.alias("start"), (low + F.col("place").bitwiseAND(F.lit(255)) + window).alias("end"))
     kinds = stored(firsts.groupBy("gram").count().filter("count > 1"), "kinds")
     edge = firsts.join(kinds.select("gram"), "gram", "left_semi")
-    edges = spark.sparkContext.broadcast(key_filter(edge.select("around", "_t", "place").mapInArrow(_edge_keys, "key long")))
+    edges = spark.sparkContext.broadcast(key_filter(stored(edge.select("around", "_t", "place").mapInArrow(_edge_keys, "key long"), "edge-keys")))
     contents = stored(rows.mapInArrow(_contents(window, repeated, edges), "gram long, _id long, _t long, low long, bytes binary"), "edges")
     hot = stored(kinds.filter(F.col("count") > MANY).select("gram"), "hot")
     in_order = [F.col("_id").asc_nulls_last(), "_t", "low"]
