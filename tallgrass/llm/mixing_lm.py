@@ -20,20 +20,26 @@ CODED = 8192
 LISTED = 1 << 18
 #: Words without a code that are not listed, or no more frequent than this, teach the letters.
 RARE = 2
-#: Bits of the slot numbers of each word predictor (order 0 to 2, skip, topic) and of each letter predictor.
-WORD_BITS = (14, 21, 21, 20, 20)
+#: Bits of the slot numbers of each letter predictor; those of the word predictors follow from the training tokens.
 LETTER_BITS = (12, 18, 18, 18)
+N_WORD, MOST_BITS = 5, 24
 GATES, BUCKETS, DEPTHS = 16, 33, 24
 #: The node of the bit that tells whether a word repeats the one before.
 REPEAT = 1 << 20
 BLOCK = 1 << 15
 CHUNK = 1 << 19
-_LOG = np.log(np.arange(1 << 15, dtype=np.float32) + np.float32(0.4))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93 * 0x9E3779B97F4A7C15 % (1 << 64))
 # Letters by about their frequency in European languages; other bytes follow by number.
 LETTERS = "enitarshdloucgmfpbvwkyzjqx.,;:!?-'|"
 
 
+def word_bits(tokens: int) -> tuple[int, ...]:
+    """Bits of the slots of each word predictor (order 0 to 2, skip, topic): a slot for each 16 training tokens or more, up to 2^24."""
+    top = min(MOST_BITS, max(18, int(tokens).bit_length() - 4))
+    return 14, top, top, top - 1, top - 1
+
+
 @dataclass
 class Code:
     """A binary code of symbols: for each, the nodes passed and the bits taken, in flat arrays."""
@@ -54,14 +60,18 @@ class Code:
             heapq.heappush(heap, (a[0] + b[0], serial, (a, b)))
             serial += 1
         paths: list[list[tuple[int, int]]] = [[] for _ in weights]
-        todo, nodes = [(heap[0], [])], 0
+        # three levels of nodes share a number but for the last three bits, and so a line of the cache in every table
+        todo, blocks = [(heap[0], [], 1)], 1
         while todo:
-            (_, i, pair), path = todo.pop()
+            (_, i, pair), path, node = todo.pop()
             if pair is None:
                 paths[i] = path
                 continue
-            todo += [(pair[0], [*path, (nodes, 0)]), (pair[1], [*path, (nodes, 1)])]
-            nodes += 1
+            for bit in (0, 1):
+                below = node + (node & 7) + bit
+                if node & 7 >= 4:
+                    below, blocks = blocks * 8 + 1, blocks + 1
+                todo.append((pair[bit], [*path, (node, bit)], below))
         length = np.array([len(p) for p in paths])
         flat_paths = np.array([x for p in paths for x in p], np.int64).reshape(-1, 2)
         return cls(length, np.cumsum(length) - length, flat_paths[:, 0], flat_paths[:, 1])
@@ -75,6 +85,11 @@ class Code:
         return owner, self.node[at], self.bit[at], depth
 
 
+def _places(stretched: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    """Cells of the refinement table: by depth in the code and by prediction."""
+    return np.minimum(depth, DEPTHS - 1) * BUCKETS + np.rint((stretched + 12) * np.float32((BUCKETS - 1) / 24)).astype(np.int64)
+
+
 class Mixer:
     """Bit predictors over hashed contexts, their gated mixing weights, and the table that refines the result.
 
@@ -91,17 +106,29 @@ class Mixer:
         self.seen = 0
 
     def slots(self, contexts: list[np.ndarray], owner: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
-        spread = node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        return [(((c[owner] + spread) * _ODD) >> np.uint64(64 - b)).astype(np.int64) for c, b in zip(contexts, self.bits, strict=True)]
+        """Slot of each bit in each table; contexts come multiplied by _ODD, which then is done once a token and not once a bit."""
+        node = node.view(np.uint64)
+        spread, last = (node >> np.uint64(3)) * _SPREAD, node & np.uint64(7)
+        out = []
+        for c, b in zip(contexts, self.bits, strict=True):
+            at = c[owner]
+            at += spread
+            at >>= np.uint64(64 - b)
+            at ^= last
+            out.append(at.view(np.int64))
+        return out
 
     def inputs(self, slots: list[np.ndarray]) -> np.ndarray:
-        if self.ratio:
-            return np.stack([r[s] for r, s in zip(self.ratio, slots, strict=True)]).astype(np.float32) * np.float32(0.1)
         out = np.empty((len(slots), len(slots[0])), np.float32)
+        if self.ratio:
+            for o, r, s in zip(out, self.ratio, slots, strict=True):
+                np.multiply(r.take(s), np.float32(0.1), out=o)
+            return out
         for o, c, s in zip(out, self.counts, slots, strict=True):
-            both = c.view(np.int64)[s].view(np.int32)  # a pair of counts is fetched as one number
-            logs = _LOG[np.minimum(both, len(_LOG) - 1)]
-            np.subtract(logs[1::2], logs[0::2], out=o)
+            both = c.view(np.int64).take(s).view(np.int32).astype(np.float32)  # a pair of counts is fetched as one number
+            both += np.float32(0.4)
+            np.divide(both[1::2], both[0::2], out=o)
+        np.log(out, out=out)
         return np.clip(out, -8, 8, out=out)
 
     def mixed(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,8 +138,10 @@ class Mixer:
         w = self.weights.astype(np.float32).T
         total = np.zeros(x.shape[1], np.float32)
         for j in range(len(x)):
-            total += w[j][gate] * x[j]
-        return np.clip(total, -12, 12), gate
+            part = w[j].take(gate)
+            part *= x[j]
+            total += part
+        return np.clip(total, -12, 12, out=total), gate
 
     def learn(self, contexts: list[np.ndarray], owner: np.ndarray, node: np.ndarray, bit: np.ndarray, depth: np.ndarray) -> None:
         for a in range(0, len(owner), 1 << 14):
@@ -122,14 +151,13 @@ class Mixer:
             x = self.inputs(slots)
             s, gate = self.mixed(x)
             p = 1 / (1 + np.exp(-s))
-            error, spread = b - p, p * (1 - p)
+            error, spread = b.astype(np.float32) - p, p * (1 - p)
             certainty = np.bincount(gate, spread, GATES)
             for j in range(len(x)):
                 g = np.bincount(gate, error * x[j], GATES)
-                self.weights[:, j] += 0.05 * g / (certainty * float(np.mean(x[j] * x[j])) + 20)
-            place = np.minimum(depth[cut], DEPTHS - 1) * BUCKETS + np.rint((s + 12) * (BUCKETS - 1) / 24).astype(np.int64)
-            for k, v in ((0, 1 - b), (1, b)):
-                self.refined[:, :, k] += np.bincount(place, v, DEPTHS * BUCKETS).reshape(DEPTHS, BUCKETS)
+                self.weights[:, j] += 0.05 * g / (certainty * (float(x[j] @ x[j]) / len(b)) + 20)
+            place = 2 * _places(s, depth[cut]) + b
+            self.refined += np.bincount(place, minlength=2 * DEPTHS * BUCKETS).reshape(DEPTHS, BUCKETS, 2)
             ones = np.ones(len(b), np.int32)
             for c, t in zip(self.counts, slots, strict=True):
                 np.add.at(c, 2 * t + b, ones)
@@ -144,7 +172,7 @@ class Mixer:
         for a in range(0, len(owner), 1 << 14):
             cut = slice(a, a + (1 << 14))
             s, _ = self.mixed(self.inputs(self.slots(contexts, owner[cut], node[cut])))
-            place = np.minimum(depth[cut], DEPTHS - 1) * BUCKETS + np.rint((s + 12) * (BUCKETS - 1) / 24).astype(np.int64)
+            place = _places(s, depth[cut])
             p = np.clip((1 / (1 + np.exp(-s)) + table[place]) / 2, 1e-6, 1 - 1e-6)
             out[cut] = np.log(np.where(bit[cut] == 1, p, 1 - p))
         return out
@@ -284,7 +312,7 @@ def _contexts(h: np.ndarray, before: np.ndarray, symbol: np.ndarray, data: np.nd
     same = (one == hashes) & ~is_end & (at > 0)
     run = back(same.astype(np.uint64), 1) * np.uint64(2) + back(same.astype(np.uint64), 2)
     contexts = [run, mix(one + np.uint64(1)), mix(one * np.uint64(3) + mix(two + np.uint64(2))), mix(two + np.uint64(5)), mix(topic * np.uint64(65536) + style + np.uint64(7))]
-    return row, same, sym, contexts
+    return row, same, sym, [c * _ODD for c in contexts]
 
 
 def _steps(code: Code, symbols: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -312,7 +340,7 @@ def _letters(data: np.ndarray, s: np.ndarray, e: np.ndarray):
 
     a, b, c = back(1), back(2), back(3)
     two, three = a * np.uint64(512) + b, (a * np.uint64(512) + b) * np.uint64(512) + c
-    return owner, sym, [mix(a + np.uint64(11)), mix(two + np.uint64(13)), mix(three + np.uint64(17)), mix(three * np.uint64(512) + back(4) + np.uint64(19))]
+    return owner, sym, [c * _ODD for c in (mix(a + np.uint64(11)), mix(two + np.uint64(13)), mix(three + np.uint64(17)), mix(three * np.uint64(512) + back(4) + np.uint64(19)))]
 
 
 def _parts(mixers: list[Mixer]) -> Iterator[pa.RecordBatch]:
@@ -325,7 +353,7 @@ def _parts(mixers: list[Mixer]) -> Iterator[pa.RecordBatch]:
 
 
 def _is_counts(table: int) -> bool:
-    return table not in (len(WORD_BITS), len(WORD_BITS) + 1 + len(LETTER_BITS))
+    return table not in (N_WORD, N_WORD + 1 + len(LETTER_BITS))
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,7 +371,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _learned(lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex = Lexicon.of(lexicon.value)
-        words, letters = Mixer(WORD_BITS), Mixer(LETTER_BITS)
+        words, letters = Mixer(word_bits(lex.tokens)), Mixer(LETTER_BITS)
         with np.errstate(over="ignore"):
             for batch in pieces(batches, "_text", CHUNK):
                 data, off = flat(batch["_text"])
@@ -407,8 +435,22 @@ def _scored(lexicon, model):
     return run
 
 
+def _least_listed(counts: DataFrame) -> int:
+    """The least count of a listed word: as many whole steps of counts as hold LISTED words or fewer, from a histogram."""
+    step = F.floor(16 * F.log2("c"))
+    total = 0
+    told = counts.groupBy(step.alias("s")).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()  # 16 steps for each doubling of a count
+    least = max((r["least"] for r in told), default=1) + 1
+    for r in sorted(told, key=lambda r: -r["s"]):
+        total += r["n"]
+        if total > LISTED:
+            break
+        least = r["least"]
+    return least
+
+
 def train(texts: DataFrame, text: str) -> tuple:
-    """Word counts of all training texts, the lexicon, and the mixed model; the model's size does not depend on the input."""
+    """Word counts of all training texts, the lexicon, and the mixed model, whose tables grow with the training tokens up to 2^24 slots."""
     spark = texts.sparkSession
     texts = texts.select(F.coalesce(F.col(text), F.lit("")).alias("_text"))
     raw = stored(texts.mapInArrow(_word_counts, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
@@ -416,8 +458,10 @@ def train(texts: DataFrame, text: str) -> tuple:
     ends = ends["c"] if ends else 0
     counts = raw.filter("word IS NOT NULL")
     told = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1)).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(LISTED).toArrow()
-    word, c = top["word"].to_numpy().astype(np.int64).view(np.uint64), top["c"].to_numpy().astype(np.int64)
+    top = counts.filter(F.col("c") >= _least_listed(counts)).toArrow()  # LISTED rows at most
+    word, c = top["word"].to_numpy().astype(np.int64), top["c"].to_numpy().astype(np.int64)
+    by_count = np.lexsort((word, -c))
+    word, c = word[by_count].view(np.uint64), c[by_count]
     coded = min(CODED, len(word))
     symbol = np.where(np.arange(len(word)) < coded, np.arange(len(word)) + 2, 1)
     outside = int(told[0] - c[:coded].sum())
@@ -427,14 +471,15 @@ def train(texts: DataFrame, text: str) -> tuple:
     lexicon = spark.sparkContext.broadcast(lex.plain())
     parts = texts.mapInArrow(_learned(lexicon), "table int, block int, part binary, size long")
     summed = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "table", "block").mapInArrow(_summed, "table int, block int, part binary")
-    n_word, n_letter = len(WORD_BITS), len(LETTER_BITS)
-    tables = [np.zeros(1 << b, np.int8) for b in WORD_BITS] + [np.zeros(GATES * n_word + DEPTHS * BUCKETS * 2 + 1)]
+    bits = word_bits(lex.tokens)
+    n_word, n_letter = len(bits), len(LETTER_BITS)
+    tables = [np.zeros(1 << b, np.int8) for b in bits] + [np.zeros(GATES * n_word + DEPTHS * BUCKETS * 2 + 1)]
     tables += [np.zeros(1 << b, np.int8) for b in LETTER_BITS] + [np.zeros(GATES * n_letter + DEPTHS * BUCKETS * 2 + 1)]
     for r in summed.collect():  # as many blocks as the tables have
         t, wide = r["table"], BLOCK // 2 if _is_counts(r["table"]) else BLOCK
         got = np.frombuffer(bytes(r["part"]), tables[t].dtype)
         tables[t][r["block"] * wide : r["block"] * wide + len(got)] = got
-    model = spark.sparkContext.broadcast([(WORD_BITS, tables[:n_word], tables[n_word]), (LETTER_BITS, tables[n_word + 1 : -1], tables[-1])])
+    model = spark.sparkContext.broadcast([(bits, tables[:n_word], tables[n_word]), (LETTER_BITS, tables[n_word + 1 : -1], tables[-1])])
     return counts, lexicon, lex, model
 
 
