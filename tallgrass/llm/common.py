@@ -34,7 +34,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that no result reads any more."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t._stored_at)
+        path.getFileSystem(t.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)
 
 
 def text_tag(text: str | Column) -> Column:

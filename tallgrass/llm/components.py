@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,13 +45,15 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = stored(edges.distinct(), "edges")
     last = None
     while True:
+        before, stars = edges, []
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "large")
+        stars.append(least := stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "large"))
         large = both.join(least, "a").filter("b > a AND b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = stored(large, "star")
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "small")
+        stars.append(large := stored(large, "star"))
+        stars.append(least := stored(large.groupBy("a").agg(F.min("b").alias("m")), "small"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
         edges = stored(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        discard(before, *stars)
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == last:
             break

@@ -130,18 +130,17 @@ def _counted_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for _, x in found.values()], pa.binary())], ["block", "part"])
 
 
-def twice_filter(table: DataFrame, column: str) -> np.ndarray:
-    """A bit for the hash of every number that the lists of a stored table hold twice or more; others pass by chance.
+def twice_filter(lists: DataFrame, column: str, total: int) -> np.ndarray:
+    """A bit for the hash of every number that the lists hold twice or more, about ``total`` in all; others pass by chance.
 
     Only two bytes a number are shuffled. Like ``key_filter`` it is bounded, and what it lets through in vain a later
     aggregate by the number itself sorts out.
     """
     n_bits = LEAST_BITS
-    total = table.agg(F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0]
     while n_bits < min(2 * BITS_A_KEY * total, MOST_BITS):
         n_bits *= 2
-    parts = table.select(column).mapInArrow(_twice_rows(column, n_bits), "block int, part binary")
-    tasks = min(n_bits >> 16, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = lists.select(column).mapInArrow(_twice_rows(column, n_bits), "block int, part binary")
+    tasks = min(n_bits >> 16, int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     out = np.zeros(n_bits // 8, np.uint8)
     for row in parts.repartition(tasks, "block").mapInArrow(_counted_twice, "block int, part binary").collect():  # as many blocks as the filter has
         out[row["block"] << 13 : row["block"] + 1 << 13] = np.frombuffer(zlib.decompress(bytes(row["part"])), np.uint8)

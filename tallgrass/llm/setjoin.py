@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_tag, with_copies
+from .common import discard, stored, text_tag, with_copies
 from .components import connected_components
 from .filters import blocks_of, gathered, has_bits, key_filter, twice_filter
 from .textops import flat, ints, mix, pieces, word_hashes
@@ -285,10 +285,11 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         keyed = keyed.mapInArrow(_split_twins(twins), keyed.schema)
     prefixes = stored(rows.select("_text").mapInArrow(_prefixes(words, percent, told, twins), "c long, p long, tokens array<long>"), "prefixes")
     told.destroy()  # the prefixes are a table now
-    twice = spark.sparkContext.broadcast(twice_filter(prefixes, "tokens"))
+    twice = spark.sparkContext.broadcast(twice_filter(prefixes, "tokens", prefixes.agg(F.coalesce(F.sum(F.size("tokens")), F.lit(0))).first()[0]))
     found = prefixes.mapInArrow(_shared_tokens(twice), "c long, p long, tokens array<long>, places array<long>")
     found = stored(found.groupBy("c").agg(F.first("p").alias("p"), F.first("tokens").alias("tokens"), F.first("places").alias("places")), "shared")
     twice.destroy()
+    discard(prefixes)
     classes = stored(keyed.filter("n > 0").groupBy("c").agg(F.min(F.struct(F.col("_id").isNull().alias("null"), "_id", "_t")).alias("r"), F.first("x").alias("x"), F.first("y").alias("y")).select("c", F.xxhash64("r._id", "r._t").alias("k"), "x", "y"), "representatives")
 
     met = found.select("c", "p", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select("c", F.col("at.tokens").alias("token"), F.shiftright("p", 3).alias("n"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), F.col("at.places").alias("pos"))
@@ -312,15 +313,20 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     stars = stars.select(F.col("lead").alias("a"), F.col("c").alias("b"), F.col("lead_n").alias("n_a"), F.col("n").alias("n_b")).distinct()
     stars = stored(alike(stars), "stars")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """The sets of all classes that the pairs name, from one text of each."""
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Pairs that are similar by the sets of all classes that they name, from one text of each."""
         some = classes.join(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "c", "left_semi").select("c", "k")
         some = stored(some, "wanted")
         wanted = spark.sparkContext.broadcast(key_filter(some.select("k")))
         sets = rows.select(F.xxhash64("_id", "_t").alias("_k"), "_text").mapInArrow(_sets(words, wanted, twins), "k long, c long, s binary")
-        return stored(sets.join(some, ["k", "c"], "left_semi").dropDuplicates(["k"]).select("c", "s"), "sets")
-
-    links = stored(_verify(stars, sets_of(stars), percent), "links")
+        sets = stored(sets.join(some, ["k", "c"], "left_semi").dropDuplicates(["k"]).select("c", "s"), "sets")
+        wanted.destroy()
+        out = stored(_verify(pairs, sets, percent), "links")
+        discard(some, sets)
+        return out
+
+    links = verified(stars)
+    discard(leaders, stars)
     parts = stored(connected_components(links, "a", "b"), "parts")
 
     placed = found.join(parts, found["c"] == parts["node"], "left").select("c", "p", "tokens", "places", F.coalesce("component", "c").alias("part"))
@@ -335,8 +341,10 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     turned = F.col("c_a") > F.col("c_b")
     pairs = pairs.groupBy(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).agg(F.count("*").alias("met"), F.min(F.least("m_a", "m_b")).alias("m"), F.first(F.when(turned, F.col("n_b")).otherwise(F.col("n_a"))).alias("n_a"), F.first(F.when(turned, F.col("n_a")).otherwise(F.col("n_b"))).alias("n_b"))
     pairs = stored(alike(pairs.filter("met >= m").drop("met", "m")), "pairs")
-    more = stored(_verify(pairs, sets_of(pairs), percent), "links")
+    more = verified(pairs)
+    discard(found, classes, parts, placed, apart, pairs)
     parts = stored(connected_components(links.union(more), "a", "b"), "parts")
+    discard(links, more)
 
     docs_in = keyed.join(parts, keyed["c"] == parts["node"], "left").select("_id", "_t", "n", F.coalesce("component", "c").alias("g"))
     smallest = docs_in.filter("n > 0").groupBy("g").agg(F.min(F.struct(F.col("_id").isNull().alias("x"), "_id", "_t")).alias("r"))

@@ -12,15 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import anchors
-from .common import same, stored, text_tag
-from .filters import has_bits, key_filter
+from .common import discard, same, stored, text_tag
+from .filters import has_bits, key_filter, twice_filter
 from .textops import flat, ints, mix, pieces, prefix_hash, span_hash
 
 #: Bytes of text that a task looks at together, and suffixes in a new array of the index.
 CHUNK = 1 << 18
 BATCH = 30_000
-#: Grams with more different surroundings than this are compared window by window across tasks.
+#: Surroundings of one gram up to which one task takes them all; those of other grams are dealt out by window.
 MANY = 64
+#: A place packs the spread of its windows in the last bits.
+SPREAD = 8
 
 
 class SuffixFamily:
@@ -69,7 +71,8 @@ def _grams(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in pieces(batches, "_text", CHUNK):
-                yield pa.RecordBatch.from_arrays([ints(anchors(*flat(batch["_text"]), window)[4])], ["gram"])
+                gram = ints(anchors(*flat(batch["_text"]), window)[4])
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(gram)], pa.int32()), gram)], ["grams"])
 
     return run
 
@@ -80,8 +83,10 @@ def _found(batch: pa.RecordBatch, window: int, bits: np.ndarray):
     row, at, low, high, gram = anchors(data, off, window)
     on = has_bits(bits, gram)
     row, at, low, high, gram = row[on], at[on], low[on], high[on], gram[on]
-    around = mix(span_hash(prefix_hash(data), low, high + window) + ((at - low) << 8 | (high - low)).astype(np.uint64))
-    return data, off, row, at, low, high, gram, around
+    around = mix(span_hash(prefix_hash(data), low, high + window) + ((at - low) << SPREAD | (high - low)).astype(np.uint64))
+    same = np.zeros(len(row), bool)  # as the anchor before it in the text: so are all anchors of a periodic text but its first and last
+    same[1:] = (row[1:] == row[:-1]) & (gram[1:] == gram[:-1]) & (around[1:] == around[:-1])
+    return data, off, row, at, low, high, gram, around, same
 
 
 def _ids(batch: pa.RecordBatch, row: np.ndarray) -> list[pa.Array]:
@@ -92,9 +97,13 @@ def _places(window: int, repeated):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in pieces(batches, "_text", CHUNK):
-                _, off, row, at, low, high, gram, around = _found(batch, window, repeated.value)
-                place = (low - off[row]) << 8 | (high - low)
-                yield pa.RecordBatch.from_arrays([ints(gram), ints(around), *_ids(batch, row), ints(place)], ["gram", "around", "_id", "_t", "place"])
+                _, off, row, at, low, high, gram, around, same = _found(batch, window, repeated.value)
+                runs = _merged_rows(row[same], low[same] - off[row[same]], high[same] - off[row[same]] + window)
+                none = pa.nulls(len(runs[0]), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, *_ids(batch, runs[0]), ints(runs[1]), ints(runs[2])], ["gram", "around", "_id", "_t", "place", "end"])
+                row, low, high, gram, around = (x[~same] for x in (row, low, high, gram, around))
+                place = (low - off[row]) << SPREAD | (high - low)
+                yield pa.RecordBatch.from_arrays([ints(gram), ints(around), *_ids(batch, row), ints(place), pa.nulls(len(row), pa.int64())], ["gram", "around", "_id", "_t", "place", "end"])
 
     return run
 
@@ -103,7 +112,8 @@ def _contents(window: int, repeated, edges):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in pieces(batches, "_text", CHUNK):
-                data, off, row, at, low, high, gram, around = _found(batch, window, repeated.value)
+                data, off, row, at, low, high, gram, around, same = _found(batch, window, repeated.value)
+                row, low, high, gram, around = (x[~same] for x in (row, low, high, gram, around))
                 t = batch["_t"].to_numpy().astype(np.int64).view(np.uint64)[row] if len(row) else np.zeros(0, np.uint64)
                 on = has_bits(edges.value, edge_key(around, t, low - off[row]))
                 row, low, high, gram = row[on], low[on], high[on], gram[on]
@@ -122,7 +132,7 @@ def _edge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:
             around, tag, place = (batch[c].to_numpy().astype(np.int64) for c in ("around", "_t", "place"))
-            yield pa.RecordBatch.from_arrays([ints(edge_key(around.view(np.uint64), tag.view(np.uint64), place >> 8))], ["key"])
+            yield pa.RecordBatch.from_arrays([ints(edge_key(around.view(np.uint64), tag.view(np.uint64), place >> SPREAD))], ["key"])
 
 
 def _windows(batch: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,23 +157,25 @@ def _runs(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, window: int
     return pa.RecordBatch.from_arrays([*_ids(batch, row[first]), ints(start[first]), ints(start[last] + window)], ["_id", "_t", "start", "end"])
 
 
-def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches without rows of the same place as the row before: what repeated rows of a document send twice."""
+def _once(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Batches of some BATCH windows, without rows of the same place as the row before: what repeated rows of a document send twice."""
     last = None
     for whole in batches:
-        for at in range(0, whole.num_rows, BATCH // 34):
-            batch = whole.slice(at, BATCH // 34)
+        held = np.cumsum(pc.binary_length(whole["bytes"]).to_numpy(zero_copy_only=False).astype(np.int64) - window + 1)
+        cuts = np.unique(np.searchsorted(held, np.arange(BATCH, int(held[-1]) if len(held) else 0, BATCH), side="right"))
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), whole.num_rows], strict=True):
+            batch = whole.slice(a, b - a)
             places = list(zip(*(batch[c].to_pylist() for c in ("_id", "_t", "low")), strict=True))
             new = [p != q for p, q in zip(places, [last, *places[:-1]], strict=True)]
-            last = places[-1]
             if any(new):
+                last = places[-1]
                 yield batch if all(new) else batch.filter(pa.array(new))
 
 
 def _scan(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = SuffixFamily(window)
-        for batch in _once(batches):
+        for batch in _once(batches, window):
             suffixes, row, start = _windows(batch, window)
             seen = family.add(suffixes)
             yield _runs(batch, row[seen], start[seen], window)
@@ -171,28 +183,79 @@ def _scan(window: int):
     return run
 
 
-def _hashed_windows(window: int):
-    """Windows that a task sees first, by hash, to be compared across tasks; those seen before in the task leave as spans."""
+def _single_windows(window: int):
+    """What a task of hot surroundings finds by a family of its own, as spans, and the windows that it saw first, as lists of starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = SuffixFamily(window)
         with np.errstate(over="ignore"):
-            for batch in _once(batches):
+            for batch in _once(batches, window):
                 suffixes, row, start = _windows(batch, window)
                 seen = family.add(suffixes)
                 spans = _runs(batch, row[seen], start[seen], window)
-                none = pa.nulls(spans.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, *spans.columns], ["h1", "h2", *spans.schema.names])
+                none = spans.num_rows
+                yield pa.RecordBatch.from_arrays([*spans.columns, pa.nulls(none, pa.list_(pa.int64())), pa.nulls(none, pa.list_(pa.int64())), pa.nulls(none, pa.binary())], [*spans.schema.names, "keys", "starts", "bytes"])
                 row, start = row[~seen], start[~seen]
                 data, off = flat(batch["bytes"])
                 a = off[:-1][row] + start - batch["low"].to_numpy()[row]
-                h1 = span_hash(prefix_hash(data), a, a + window)
-                h2 = span_hash(prefix_hash(data ^ np.uint8(0x5B)), a, a + window)
-                yield pa.RecordBatch.from_arrays([ints(h1), ints(h2), *_ids(batch, row), ints(start), ints(start + window)], ["h1", "h2", "_id", "_t", "start", "end"])
+                keys = span_hash(prefix_hash(data), a, a + window)
+                cut = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(cut, ints(x)) for x in (keys, start)]
+                none = pa.nulls(batch.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch["_id"], batch["_t"], batch["low"], none, *lists, batch["bytes"]], ["_id", "_t", "start", "end", "keys", "starts", "bytes"])
 
     return run
 
 
+def _dealt_windows(window: int, twice):
+    """The bytes of the windows that stand in more than one task, to be dealt out by their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                keys, start = (batch[c].flatten().to_numpy().astype(np.int64) for c in ("keys", "starts"))
+                row = np.repeat(np.arange(batch.num_rows), batch["keys"].value_lengths().to_numpy())
+                with np.errstate(over="ignore"):
+                    on = has_bits(twice.value, keys.view(np.uint64))
+                keys, start, row = keys[on], start[on], row[on]
+                data, off = flat(batch["bytes"])
+                a = off[:-1][row] + start - batch["start"].to_numpy()[row]
+                view = np.lib.stride_tricks.sliding_window_view(data, window)[a] if len(a) else np.zeros((0, window), np.uint8)
+                cut = pa.py_buffer((np.arange(len(a) + 1, dtype=np.int32) * window).tobytes())
+                texts = pa.Array.from_buffers(pa.binary(), len(a), [None, cut, pa.py_buffer(view.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), *_ids(batch, row), pa.array(start), texts], ["gram", "_id", "_t", "low", "bytes"])
+
+    return run
+
+
+def _merged_rows(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals in order of row and start, joined where they touch."""
+    if not len(row):
+        return row, start, end
+    first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] > end[:-1])]))
+    last = np.concatenate([first[1:], [len(row)]]) - 1
+    return row[first], start[first], end[last]
+
+
+def _joined_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted spans of documents as maximal runs, a list for each document; spans of a document that two batches hold make two lists."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = [np.asarray(batch[c].fill_null(0).to_numpy(zero_copy_only=False), np.int64) for c in ("_id", "_t")] + [np.asarray(batch["_id"].is_null().to_numpy(zero_copy_only=False))]
+        new = np.concatenate([[True], np.any([k[1:] != k[:-1] for k in key], axis=0)])
+        row = np.cumsum(new) - 1
+        start, end = (batch[c].to_numpy().astype(np.int64) for c in ("start", "end"))
+        shift = row * (int(end.max()) + 1)  # so that ends grow from row to row
+        reach = np.maximum.accumulate(end + shift)
+        first = np.flatnonzero(np.concatenate([[True], (start + shift)[1:] > reach[:-1]]) | new)
+        last = np.concatenate([first[1:], [len(row)]]) - 1
+        cut = pa.array(np.searchsorted(row[first], np.arange(row[-1] + 2)), pa.int32())
+        spans = pa.StructArray.from_arrays([pa.array(start[first]), pa.array(reach[last] - shift[last])], ["start", "end"])
+        yield pa.RecordBatch.from_arrays([*_ids(batch, np.flatnonzero(new)), pa.ListArray.from_arrays(cut, spans)], ["_id", "_t", "spans"])
+
+
 def _merged(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs of bytes that the intervals cover."""
     if not len(start):
@@ -227,54 +290,70 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["_id"], batch["_t"], *(pa.array(o, pa.int64()) for o in out[:3]), pa.array(out[3], pa.string()), pa.array(out[4], span)], ["doc_id", "_t", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
 
 
+def _in_order(rows: DataFrame) -> DataFrame:
+    return rows.sortWithinPartitions(F.col("_id").asc_nulls_last(), "_t", "low")
+
+
+def scanned(contents: DataFrame, window: int) -> DataFrame:
+    """Spans of the windows that came before, by families of suffix arrays, one for each share of the grams."""
+    dealt = contents.repartition(int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions")), "gram")
+    return _in_order(dealt).mapInArrow(_scan(window), "_id long, _t long, start long, end long")
+
+
 def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = 100) -> DataFrame:
     """Find every byte covered by a string of ``window`` bytes that also starts earlier in the corpus.
 
     Texts are whole and as UTF-8; strings never cross texts; the order is (doc_id with null last, text tag, position).
 
     Every window picks an anchor by its content, so equal windows pick equal grams at equal places. Anchors whose gram
-    stands once in the corpus are left out (a filter of fixed size lets some through; joins sort them out). Where an
-    anchor's whole surroundings stood before, all its windows did. What remains are the edges of repeats: for each gram
-    the different surroundings, in order of the documents. Tasks take them in batches into a logarithmic family of
-    suffix arrays and scan each new array against the levels. Grams with more than MANY surroundings, which
-    would make a task grow, stay where they are: each task scans its own part in the same way, and the windows that it
-    saw first are compared across tasks by hash, with partial aggregates.
+    stands once in the corpus are left out. Equal surroundings of an anchor are one suffix with all its places, found
+    by a group with partial aggregates: the first place goes on, at the others all windows came before. Where a gram
+    has several surroundings, their bytes go, in order of the documents, to a logarithmic family of suffix arrays: a
+    task sorts each batch into an array, scans it against the levels, and merges levels of equal size. Grams with more
+    than MANY surroundings, which would make a task grow, are taken by families twice: where they stand, and then,
+    for windows that several tasks hold, dealt out by the hash of the window. What repeats the anchor before it in its
+    own text, as in periodic texts, is a span at once.
 
     Returns doc_id, _t (tag of the text), n_bytes, n_removed, n_spans, kept_sha256 of the bytes left, and removed, the
     maximal spans. Null and empty texts, and texts under ``window`` bytes, keep all. Equal rows (same id and text) are
     one document: each gets the same result. An empty table gives no rows; other columns are not read.
     """
+    if not 32 <= window < 32 + (1 << SPREAD):
+        raise ValueError("the window must have 32 to 287 bytes")
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    grams = rows.select("_text").mapInArrow(_grams(window), "gram long").groupBy("gram").count().filter("count > 1").select("gram")
-    repeated = spark.sparkContext.broadcast(key_filter(stored(grams, "grams")))
-    ddl = "gram long, around long, _id long, _t long, place long"
-    found = stored(rows.mapInArrow(_places(window, repeated), ddl), "anchors")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    repeated = spark.sparkContext.broadcast(twice_filter(rows.select("_text").mapInArrow(_grams(window), "grams array<long>"), "grams", 3 * size // window))
+    written = stored(rows.mapInArrow(_places(window, repeated), "gram long, around long, _id long, _t long, place long, end long"), "anchors")
+    found = written.filter("gram IS NOT NULL").drop("end")
     rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_t", "place")
     firsts = found.groupBy("gram", "around").agg(F.min(rank).alias("first"), F.count("*").alias("c"))
     firsts = stored(firsts.select("gram", "around", "first._id", "first._t", "first.place", "c"), "firsts")
     told = firsts.filter("c > 1").drop("c").toDF("gram", "around", "f_id", "f_t", "f_place")
     later = ~(F.col("_id").eqNullSafe(F.col("f_id")) & (F.col("_t") == F.col("f_t")) & (F.col("place") == F.col("f_place")))
-    low = F.shiftright("place", 8)
-    inner = found.join(told, ["gram", "around"]).filter(later).select("_id", "_t", low.alias("start"), (low + F.col("place").bitwiseAND(F.lit(255)) + window).alias("end"))
+    low = F.shiftright("place", SPREAD)
+    inner = found.join(told, ["gram", "around"]).filter(later).select("_id", "_t", low.alias("start"), (low + F.col("place").bitwiseAND(F.lit((1 << SPREAD) - 1)) + window).alias("end"))
+    inner = inner.union(written.filter("gram IS NULL").select("_id", "_t", F.col("place").alias("start"), "end"))
     kinds = stored(firsts.groupBy("gram").count().filter("count > 1"), "kinds")
     edge = firsts.join(kinds.select("gram"), "gram", "left_semi")
-    edges = spark.sparkContext.broadcast(key_filter(stored(edge.select("around", "_t", "place").mapInArrow(_edge_keys, "key long"), "edge-keys")))
+    keys = stored(edge.select("around", "_t", "place").mapInArrow(_edge_keys, "key long"), "edge-keys")
+    edges = spark.sparkContext.broadcast(key_filter(keys))
     contents = stored(rows.mapInArrow(_contents(window, repeated, edges), "gram long, _id long, _t long, low long, bytes binary"), "edges")
+    edges.destroy()
+    repeated.destroy()
     hot = stored(kinds.filter(F.col("count") > MANY).select("gram"), "hot")
-    in_order = [F.col("_id").asc_nulls_last(), "_t", "low"]
-    cold = contents.join(hot, "gram", "left_anti")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cold = cold.repartition(tasks, "gram").sortWithinPartitions(*in_order)
-    outer = cold.mapInArrow(_scan(window), "_id long, _t long, start long, end long")
-    single = contents.join(hot, "gram", "left_semi").sortWithinPartitions(*in_order)
-    single = stored(single.mapInArrow(_hashed_windows(window), "h1 long, h2 long, _id long, _t long, start long, end long"), "windows")
-    place = F.struct(F.col("_id").isNull().alias("n"), "_id", "_t", F.col("start").alias("at"))
-    first = single.filter("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("c")).filter("c > 1").drop("c")
-    first = stored(first, "first-windows")
-    again = single.join(first, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first"))).select("_id", "_t", "start", "end")
-    again = again.union(single.filter("h1 IS NULL").select("_id", "_t", "start", "end"))
-    spans = inner.union(outer).union(again)
-    spans = spans.groupBy("_id", "_t").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
+    outer = scanned(contents.join(hot, "gram", "left_anti"), window)
+    single = _in_order(contents.join(hot, "gram", "left_semi"))
+    single = stored(single.mapInArrow(_single_windows(window), "_id long, _t long, start long, end long, keys array<long>, starts array<long>, bytes binary"), "hot-windows")
+    lists = single.filter("keys IS NOT NULL")
+    total = lists.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
+    twice = spark.sparkContext.broadcast(twice_filter(lists, "keys", total))
+    dealt = lists.select("_id", "_t", "start", "keys", "starts", "bytes").mapInArrow(_dealt_windows(window, twice), "gram long, _id long, _t long, low long, bytes binary")
+    again = scanned(dealt, window).union(single.filter("keys IS NULL").select("_id", "_t", "start", "end"))
+    spans = inner.union(outer).union(again).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_id", "_t", F.shiftright("start", 20)).sortWithinPartitions("_id", "_t", "start")
+    spans = spans.mapInArrow(_joined_spans, "_id long, _t long, spans array<struct<start:long,end:long>>")
+    spans = stored(spans.groupBy("_id", "_t").agg(F.flatten(F.collect_list("spans")).alias("_spans")), "spans")
+    twice.destroy()
+    discard(written, firsts, kinds, keys, contents, hot, single)
     joined = rows.join(spans, same(rows, spans, "_id", "_t"), "left").select(rows["_id"], rows["_t"], "_text", "_spans")
     return joined.mapInArrow(_removed, "doc_id long, _t long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>")

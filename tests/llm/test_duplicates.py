@@ -122,9 +122,35 @@ def test_substrings_null_ids_and_nothing(spark):
     docs = spark.createDataFrame([(None, text), (5, text)], "doc_id long, text string")
     got = {r["doc_id"]: r["n_removed"] for r in substrings.dedup_substrings(docs).collect()}
     assert got == {5: 0, None: 400}
+    with pytest.raises(ValueError):
+        substrings.dedup_substrings(docs, window=300)
     assert substrings.dedup_substrings(no_documents(spark)).count() == 0
 
 
+@pytest.mark.parametrize("many", [1, 64])
+def test_substrings_of_periodic_and_common_texts(spark, monkeypatch, many):
+    monkeypatch.setattr(substrings, "MANY", many)
+    monkeypatch.setattr(substrings, "BATCH", 500)
+    r = random.Random(9)
+    line = "".join(r.choice("abcdefgh ") for _ in range(90))
+    rows = [(1, "." * 5000), (2, "x" + "." * 700 + "y"), (3, "ab" * 900), (4, "abc" * 500 + "ab" * 400), (5, "." * 120), (6, "é" * 300), (7, "\0" * 250 + "a"), (8, "\0" * 180)]
+    for i in range(10, 90):  # one passage in many surroundings, which repeat now and then
+        rows.append((i, "".join(r.choice("ijklm") for _ in range(70)) + line + f"{r.randrange(6)}" * 60 + str(i)))
+    want = _substrings(rows, 100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for x in substrings.dedup_substrings(docs).collect():
+        assert (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) == want[x["doc_id"]], x["doc_id"]
+
+
+def test_periodic_text_makes_few_rows():
+    import pyarrow as pa
+
+    text = "." * 100_000
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), pa.array([text])], ["_id", "_t", "_text"])
+    all_on = type("", (), {"value": np.full(1 << 13, 255, np.uint8)})
+    assert sum(b.num_rows for b in substrings._places(100, all_on)(iter([batch]))) < 10
+
+
 def test_suffix_family_tells_what_came_before():
     r = np.random.default_rng(0)
     family, seen = substrings.SuffixFamily(4), set()
