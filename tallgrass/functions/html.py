@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from . import text as T
 from . import urls as U
 
+# Elements of an item page that are no text of it: by tag, by style, by class, and shop links by address.
+SILENT_TAGS = frozenset(("script", "style", "noscript"))
+HIDDEN_STYLES = ("display: none", "display:none")
+BOX_CLASSES = frozenset(("notice-item", "alert", "reading-notice"))
+SHOPS = ("shopee", "lazada")
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _NODE = "page string, pos int, tag string, classes array<string>, id string, attrs map<string,string>, text string, up array<struct<pos:int,tag:string,classes:array<string>,id:string>>"
 
@@ -19,8 +24,9 @@ _NODE = "page string, pos int, tag string, classes array<string>, id string, att
 class _Tree(HTMLParser):
     """Elements in document order with their ancestors and the text inside them."""
 
-    def __init__(self):
+    def __init__(self, text_only: bool = False):
         super().__init__(convert_charrefs=True)
+        self.text_only = text_only  # whether what _silent tells is left out of the texts of its ancestors
         self.nodes: list[dict] = []
         self.open: list[dict] = []
 
@@ -29,6 +35,7 @@ class _Tree(HTMLParser):
             self._close("p")
         a = {k: v or "" for k, v in attrs}
         node = {"pos": len(self.nodes), "tag": tag, "classes": a.get("class", "").split(), "id": a.get("id", ""), "attrs": a, "text": [], "up": list(self.open)}
+        node["silent"] = self.text_only and (_silent(tag, node["classes"], a) or bool(self.open) and self.open[-1]["silent"])
         self.nodes.append(node)
         if tag not in _VOID:
             self.open.append(node)
@@ -43,12 +50,18 @@ class _Tree(HTMLParser):
                 return
 
     def handle_data(self, data):
-        for node in self.open:
-            if node.get("wanted", True):
+        if self.open and not self.open[-1]["silent"]:
+            for node in self.open:
                 node["text"].append(data)
 
 
-def _nodes(tags: frozenset, classes: frozenset):
+def _silent(tag: str, classes: list[str], attrs: dict[str, str]) -> bool:
+    if tag in SILENT_TAGS or BOX_CLASSES.intersection(classes):
+        return True
+    return any(x in attrs.get("style", "") for x in HIDDEN_STYLES) or tag == "a" and any(x in attrs.get("href", "") for x in SHOPS)
+
+
+def _nodes(tags: frozenset, classes: frozenset, ids: frozenset, text_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         brief = lambda u: {"pos": u["pos"], "tag": u["tag"], "classes": u["classes"], "id": u["id"]}
         up = pa.struct([("pos", pa.int32()), ("tag", pa.string()), ("classes", pa.list_(pa.string())), ("id", pa.string())])
@@ -58,21 +71,24 @@ def _nodes(tags: frozenset, classes: frozenset):
                 rows = []
                 part = batch.slice(at, 200)
                 for page, html in zip(part["page"].to_pylist(), part["html"].to_pylist(), strict=True):
-                    tree = _Tree()
+                    tree = _Tree(text_only)
                     tree.feed(html or "")
                     tree.close()
                     for n in tree.nodes:
-                        if n["tag"] in tags or classes.intersection(n["classes"]):
+                        if not n["silent"] and (n["tag"] in tags or n["id"] in ids or classes.intersection(n["classes"])):
                             rows.append({**n, "page": page, "attrs": list(n["attrs"].items()), "text": "".join(n["text"]).strip(), "up": [brief(u) for u in n["up"]]})
                 yield pa.RecordBatch.from_pylist([{k: r[k] for k in schema.names} for r in rows], schema)
 
     return run
 
 
-def html_nodes(pages: DataFrame, page: str, html: str, *, tags: Iterable[str] = (), classes: Iterable[str] = ()) -> DataFrame:
-    """The elements of every page that have one of the tags or classes: position, attributes, text, ancestors."""
+def html_nodes(pages: DataFrame, page: str, html: str, *, tags: Iterable[str] = (), classes: Iterable[str] = (), ids: Iterable[str] = (), text_only: bool = False) -> DataFrame:
+    """The elements of every page that have one of the tags, classes or ids: position, attributes, text, ancestors.
+
+    With ``text_only``, scripts, hidden elements, notice boxes and shop links are left out, also of the texts around them.
+    """
     rows = pages.select(F.col(page).cast("string").alias("page"), F.col(html).alias("html"))
-    return rows.mapInArrow(_nodes(frozenset(tags), frozenset(classes)), _NODE)
+    return rows.mapInArrow(_nodes(frozenset(tags), frozenset(classes), frozenset(ids), text_only), _NODE)
 
 
 def has_class(*names: str) -> Column:
@@ -101,7 +117,7 @@ def info_pairs(nodes: DataFrame, labels: dict[str, tuple[str, ...]], item: str,
     return pair.groupBy("page").agg(*[F.max_by("value", F.when(F.col("_to") == c, F.col("_item"))).alias(c) for c in labels])
 
 
-#: Label words, in the order in which they are tried.
+# Label words, in the order in which they are tried.
 INFO_LABELS = {"author": ("tác giả",), "artist": ("họa sĩ", "minh họa"), "status": ("tình trạng",), "other_names": ("tên khác", "khác")}
 STAT_LABELS = {"words": ("số từ", "từ"), "views": ("lượt xem", "xem"), "bookmarks": ("theo dõi", "bookmark"), "rating_text": ("đánh giá",), "updated": ("lần cuối", "cập nhật")}
 _RATING = r"([\d.,]+)\s*/\s*(\d+)"
@@ -136,7 +152,7 @@ def type_and_summary(nodes: DataFrame) -> DataFrame:
     return found.select("page", F.coalesce("t", F.lit("Truyện dịch")).alias("work_type"), F.coalesce(T.clean(F.col("s")), F.lit("")).alias("summary"))
 
 
-#: Containers whose links are no items.
+# Containers whose links are no items.
 NOISE_CLASSES = ("ln-comment", "comment-wrapper", "fbcmt_root", "sidebar", "series-users", "same-author", "feature-section", "series-action")
 NOISE_IDS = ("series-comments", "ln-comment", "comment-section", "navbar")
 
@@ -171,7 +187,10 @@ def table_of_contents(nodes: DataFrame, base: str) -> DataFrame:
 
 
 def feed_entries(nodes: DataFrame, base: str, card: tuple[str, ...] = ("thumb-item-flow", "series-item")) -> DataFrame:
-    """One row per card with a title link; pages without cards fall back to bare title links."""
+    """One row per card with a title link; pages without cards fall back to bare title links.
+
+    The first class of cards that a page has is taken; narrower selectors of the first class choose no other cards.
+    """
     is_card = has_class(*card)
     kinds = nodes.filter(is_card).groupBy("page").agg(*[F.max(has_class(c)).alias(f"_{i}") for i, c in enumerate(card)])
     chosen = F.lit(None).cast("string")
@@ -203,6 +222,69 @@ def asset_urls(nodes: DataFrame, base: str) -> DataFrame:
     return listed.select("page", F.array_distinct("t").alias("assets"))
 
 
+def first_text(condition: Column) -> Column:
+    """Text of the first element of a page for which the condition holds, also an empty one; an aggregate."""
+    return F.min_by("text", F.when(condition, F.col("pos")))
+
+
+def work_titles(pages: DataFrame, nodes: DataFrame, page: str = "page") -> DataFrame:
+    """(page, title): the first element of class series-name, or else the slug of the page's address."""
+    found = nodes.groupBy("page").agg(first_text(has_class("series-name")).alias("_title"))
+    all_pages = pages.select(F.col(page).cast("string").alias("page")).distinct()
+    return all_pages.join(found, "page", "left").select("page", F.coalesce("_title", U.slug(F.col("page"))).alias("title"))
+
+
+def catalog_urls(nodes: DataFrame, base: str, prefixes: tuple[str, ...] = U.WORK_PREFIXES) -> DataFrame:
+    """(page, item_index, url): addresses of works on a catalogue page, distinct, in order of their first link.
+
+    Nodes need the tag a. Links count inside of series-title, and covers inside of thumb-item-flow.
+    """
+    linked = inside("series-title").isNotNull() | (has_class("series-cover") & inside("thumb-item-flow").isNotNull())
+    urls = nodes.filter((F.col("tag") == "a") & linked).select("page", "pos", U.normalize(F.col("attrs")["href"], base).alias("url"))
+    kept = urls.filter(" OR ".join(f"contains(url, '/{p}/')" for p in prefixes)).groupBy("page", "url").agg(F.min("pos").alias("pos"))
+    return kept.select("page", F.row_number().over(Window.partitionBy("page").orderBy("pos")).cast("long").alias("item_index"), "url")
+
+
+def largest_pages(nodes: DataFrame) -> DataFrame:
+    """(page, max_page): largest number among the pagination links of each page that has any, 1 at least.
+
+    Nodes need the tag a. A link whose text is a number counts with that, another with ``page=`` in its address.
+    """
+    within = lambda name: inside(name).isNotNull()
+    listed = within("paging_item") | within("pagination_wrap") | F.exists("up", lambda u: (u["tag"] == "li") & (u["pos"] > inside("pagination")))
+    address = F.regexp_extract(F.col("attrs")["href"], r"page=(\d+)", 1)
+    number = F.when(F.col("text").rlike(r"^\d+$"), F.col("text")).otherwise(address).try_cast("long")
+    return nodes.filter((F.col("tag") == "a") & F.coalesce(listed, F.lit(False))).groupBy("page").agg(F.greatest(F.lit(1), F.coalesce(F.max(number), F.lit(1))).cast("long").alias("max_page"))
+
+
+#: What ``html_nodes`` must give for ``item_pages``, besides ``text_only``.
+ITEM_NODES = {"tags": ("h4", "h6", "p"), "classes": ("chapter-title", "chapter-content", "reading-content"), "ids": ("chapter-content",)}
+
+
+def item_pages(nodes: DataFrame, repair: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """(page, title, section, words, date, text) of every item page.
+
+    The first heading is the title, or else a constant; the first subheading is the section's title and may tell words
+    and date. The text is the paragraphs of the content, or where it has none its lines: trimmed, not empty, no notice, not
+    equal to a title, joined by blank lines. Without a number of words in the heading the text's are counted. Title,
+    section and text are repaired after that.
+    """
+    top = inside("title-top").isNotNull()
+    is_content = has_class("chapter-content", "reading-content") | (F.col("id") == "chapter-content")
+    named = (F.col("tag") == "h4") & (top | has_class("title-item")) | has_class("chapter-title")
+    content = F.min(F.when(is_content, F.col("pos")))
+    heads = nodes.groupBy("page").agg(first_text(named).alias("title"), first_text((F.col("tag") == "h6") & (top | has_class("title-item"))).alias("section"), content.alias("_content"), first_text(is_content).alias("_all"))
+    heads = heads.withColumn("title", F.coalesce("title", F.lit("Chương"))).withColumn("section", F.coalesce("section", F.lit("")))
+    inner = nodes.filter("tag = 'p'").select("page", "pos", "text", F.explode(F.transform("up", lambda u: u["pos"])).alias("_content"))
+    inner = inner.groupBy("page", "_content").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("_paragraphs"))
+    lines = F.transform(F.split(T.clean(F.col("_all")), "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+    kept = F.filter(F.coalesce("_paragraphs", lines), lambda x: (x != "") & ~T.is_notice(x) & (x != F.col("title")) & (x != F.col("section")))
+    out = heads.join(inner, ["page", "_content"], "left").withColumn("text", repair(F.coalesce(F.array_join(kept, "\n\n"), F.lit(""))))
+    told = T.digits_to_int(F.regexp_extract("section", r"(?iu)Độ dài:\s*([\d.,]+)\s*từ", 1))
+    date = F.trim(F.regexp_extract("section", r"(?iu)Cập nhật:\s*([^\n\r]+)", 1))
+    return out.select("page", repair(F.col("title")).alias("title"), repair(F.col("section")).alias("section"), F.when(told > 0, told).otherwise(T.word_count(F.col("text"))).cast("long").alias("words"), date.alias("date"), "text")
+
+
 # Flat markup: expressions only.
 
 

@@ -101,6 +101,16 @@ def asset_extension(url: Column) -> Column:
     return F.when(low.contains(".png"), ".png").when(low.contains(".webp"), ".webp").otherwise(".jpg")
 
 
+def cover_path(file_name: Column, url: Column) -> Column:
+    """Covers are named after their work."""
+    return F.concat(file_name, asset_extension(url))
+
+
+def recovered_path(url: Column) -> Column:
+    """Where assets go that a retry fetched, whatever their kind."""
+    return F.concat(F.lit("retry/"), F.substring(F.md5(url), 1, 12), F.lit(".jpg"))
+
+
 def asset_path(file_name: Column, url: Column) -> Column:
     """Folder of the work, first 12 digits of the URL's md5, extension."""
     return F.concat(file_name, F.lit("/"), F.substring(F.md5(url), 1, 12), asset_extension(url))

@@ -16,6 +16,7 @@ TONES = {
     "\u0303": "\u007e\u02dc\u0303",
     "\u0323": "\u0323\u02d9",
 }
+# Vowels that take a tone mark.
 VOWELS = "aăâeêioôơuưyAĂÂEÊIOÔƠUƯY"
 # Pieces that end a syllable, and the marked vowels that a syllable may end with before them.
 TAILS = "(?:ng|nh|ch|[cmnptk]|u|i|o|y)"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import escape_html
+from ..functions.urls import asset_extension
 
 
 def toc_islands(items: DataFrame, work: str = "work_id", index: str = "item_index", section: str = "section", tie: tuple[str, ...] = ()) -> DataFrame:
@@ -28,8 +29,41 @@ def toc_islands(items: DataFrame, work: str = "work_id", index: str = "item_inde
     return out.select(work, "grp", title.alias("title"), "first_index", "last_index", "items")
 
 
-def fragment(title: Column, text: Column, words: Column, date: Column | None = None) -> Column:
-    """Markup of one item: heading, a line of date and words if there are any, paragraphs with line breaks, escaped."""
+def export_assets(uses: DataFrame, stored: DataFrame, work: str, url: str, path: str, order: list[str]) -> DataFrame:
+    """Uses of assets with ``src``, the name in the archive where a file is stored, else the address, and ``embedded``.
+
+    ``stored`` has the paths of files. An archive takes a stored file in once, at its first use within the work.
+    """
+    have = stored.select(F.col(path).alias("_p")).distinct()
+    name = F.concat(F.lit("images/img_"), F.substring(F.md5(url), 1, 12), asset_extension(F.col(url)))
+    j = uses.join(have, uses[path] == have["_p"], "left").withColumn("src", F.when(F.col("_p").isNotNull(), name).otherwise(F.col(url)))
+    first = F.row_number().over(Window.partitionBy(work, "src").orderBy(*order)) == 1
+    return j.withColumn("embedded", F.col("_p").isNotNull() & first).drop("_p")
+
+
+def introduction(title: Column, alternative_titles: Column, author: Column, artist: Column, genres: Column, status: Column, url: Column, summary: Column) -> Column:
+    """Markup of a work's first page: title, facts that are there, and the summary's lines; escaped."""
+    fact = lambda label, value: F.concat(F.lit(f"<p><strong>{label}:</strong> "), value, F.lit("</p>"))
+    given = lambda label, value: F.when(F.coalesce(value, F.lit("")) != "", fact(label, escape_html(value)))
+    link = F.concat(F.lit('<a href="'), escape_html(url), F.lit('">'), escape_html(url), F.lit("</a>"))
+    facts = [
+        F.concat(F.lit("<h1>"), escape_html(title), F.lit("</h1>")), F.lit('<div class="meta">'), given("Tên khác", alternative_titles),
+        fact("Tác giả", escape_html(F.coalesce(F.nullif(author, F.lit("")), F.lit("Chưa rõ")))), given("Họa sĩ", artist), given("Thể loại", F.array_join(genres, ", ")),
+        fact("Tình trạng", escape_html(status)), F.when(F.coalesce(url, F.lit("")) != "", fact("Nguồn", link)), F.lit("</div>"),
+    ]
+    lines = F.filter(F.transform(F.split(F.coalesce(summary, F.lit("")), "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+    told = F.transform(lines, lambda x: F.concat(F.lit("<p>"), escape_html(x), F.lit("</p>")))
+    box = F.when(F.size(lines) > 0, F.concat(F.array(F.lit('<div class="summary">'), F.lit("<h3>Tóm tắt nội dung</h3>")), told, F.array(F.lit("</div>")))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.concat(F.array_compact(F.array(*facts)), box), "\n")
+
+
+def exportable_works(works: DataFrame, work: str = "work_id", status: str = "status") -> DataFrame:
+    """Completed works in order of their ids."""
+    return works.filter(F.col(status) == "completed").orderBy(work)
+
+
+def fragment(title: Column, text: Column, words: Column, date: Column | None = None, assets: Column | None = None) -> Column:
+    """Markup of one item: heading, a line of date and words if there are any, images, paragraphs with line breaks, escaped."""
     facts = [F.when(words > 0, F.concat(F.format_number(words, 0), F.lit(" từ")))]
     if date is not None:
         facts.insert(0, F.when(F.coalesce(date, F.lit("")) != "", F.concat(F.lit("Cập nhật: "), escape_html(date))))
@@ -42,7 +76,9 @@ def fragment(title: Column, text: Column, words: Column, date: Column | None = N
         lines = F.filter(F.transform(F.split(p, "\n"), strip), lambda x: x != "")
         return F.concat(F.lit("<p>"), F.array_join(F.transform(lines, escape_html), "<br />"), F.lit("</p>"))
 
-    parts = F.concat(F.array_compact(F.array(F.concat(F.lit("<h2>"), escape_html(title), F.lit("</h2>")), meta)), F.transform(paragraphs, paragraph))
+    images = F.array().cast("array<string>") if assets is None else F.coalesce(assets, F.array().cast("array<string>"))
+    shown = F.transform(images, lambda x: F.concat(F.lit('<p class="center"><img src="'), escape_html(x), F.lit('" alt="Minh họa" /></p>')))
+    parts = F.concat(F.array_compact(F.array(F.concat(F.lit("<h2>"), escape_html(title), F.lit("</h2>")), meta)), shown, F.transform(paragraphs, paragraph))
     return F.array_join(parts, "\n")
 
 

@@ -37,6 +37,11 @@ def attach(left: DataFrame, right: DataFrame, key: str, value: str, fallback: Co
     return j.withColumn(value, F.coalesce("_v", fallback)).drop("_k", "_v")
 
 
+def section_titles(items: DataFrame, sections: DataFrame, key: str = "section_id", title: str = "section_title") -> DataFrame:
+    """Items with the title of their section; null where the section is unknown, so that a group's number can stand for it."""
+    return attach(items.withColumn(title, F.lit(None).cast("string")), sections, key, title, F.lit(None).cast("string"))
+
+
 def asset_status(assets: DataFrame, inventory: DataFrame, path: str = "path", *, least: int = 100) -> DataFrame:
     """Downloaded if a stored file over ``least`` bytes is there, failed without a web address, else to fetch."""
     stored = inventory.filter(F.col("length") > least).select(F.col(path).alias("_p"), F.col("length").alias("_n"))

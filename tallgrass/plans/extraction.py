@@ -46,14 +46,14 @@ def body_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @book.add(r"SELECT host, max(n) AS max_page FROM (SELECT regexp_extract(url, '^https?://([^/?#]*)', 1) AS host, greatest(1, coalesce(TRY_CAST(nullif(regexp_extract(url, 'page=(\d+)', 1), '') AS BIGINT), 1)) AS n FROM pages) GROUP BY host")
-def max_page(spark: SparkSession, sf: str) -> DataFrame:
-    """Largest page number among the links of a host."""
+def host_max_page(spark: SparkSession, sf: str) -> DataFrame:
+    """Largest page number in the addresses of a host's pages."""
     n = F.coalesce(F.regexp_extract("url", r"page=(\d+)", 1).try_cast("long"), F.lit(1))
     return table(spark, sf, "pages").groupBy(U.host(F.col("url")).alias("host")).agg(F.greatest(F.lit(1), F.max(n)).cast("long").alias("max_page"))
 
 
 @book.add("SELECT url, min(page_id) AS first_page FROM (SELECT url, page_id FROM pages WHERE contains(url, '/en/') OR contains(url, '/fr/')) GROUP BY url")
-def catalog_urls(spark: SparkSession, sf: str) -> DataFrame:
+def language_urls(spark: SparkSession, sf: str) -> DataFrame:
     urls = table(spark, sf, "pages").select("page_id", U.normalize(F.col("url"), BASE).alias("url")).filter(F.col("url").rlike("/(en|fr)/"))
     return urls.groupBy("url").agg(F.min("page_id").alias("first_page"))
 
@@ -160,3 +160,75 @@ def feed_extract(spark: SparkSession, sf: str) -> DataFrame:
     pages = rows.groupBy("o_custkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "b"))), lambda x: x["b"]), "").alias("html"))
     nodes = H.html_nodes(pages, "o_custkey", "html", tags=["a", "time"], classes=["thumb-item-flow", "series-item"])
     return H.feed_entries(nodes, BASE).select(F.col("page").cast("long").alias("o_custkey"), "work_url", "title", "latest_title", "latest_url", "updated")
+
+
+def _joined(rows: DataFrame, key: str, order: str, part: str) -> DataFrame:
+    """(key, html): parts of a page in order."""
+    return rows.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, part))), lambda x: x[part]), "").alias("html"))
+
+
+@book.add("""SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY min(o_orderkey)) AS item_index, url FROM (SELECT o_custkey, o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'https://site.example/truyen/' || o_orderkey
+WHEN 1 THEN 'https://site.example/sang-tac/' || o_orderkey % 50 WHEN 2 THEN 'https://other.example/convert/' || o_orderkey END AS url FROM orders) WHERE url IS NOT NULL GROUP BY o_custkey, url""")
+def catalog_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as links of a catalogue page per customer: titles and covers, repeated ones, other sites, and links that are no works."""
+    key = F.col("o_orderkey").cast("string")
+    link = lambda href, cls="": F.concat(F.lit(f'<a class="{cls}" href="'), href, F.lit('">x</a>'))
+    title = lambda href: F.concat(F.lit('<div class="thumb_attr series-title">'), link(href), F.lit("</div>"))
+    cover = lambda href: F.concat(F.lit('<div class="thumb-item-flow">'), link(href, "series-cover"), F.lit("</div>"))
+    own, shared = F.concat(F.lit("/truyen/"), key), F.concat(F.lit("sang-tac/"), (F.col("o_orderkey") % 50).cast("string"))
+    foreign = F.concat(F.lit("//other.example/convert/"), key)
+    k = F.col("o_orderkey") % 4
+    part = F.when(k == 0, F.concat(title(own), cover(own))).when(k == 1, cover(shared)).when(k == 2, title(foreign)).otherwise(F.concat(title(F.concat(F.lit("/tin-tuc/"), key)), link(own)))
+    pages = _joined(table(spark, sf, "orders").select("o_custkey", "o_orderkey", part.alias("part")), "o_custkey", "o_orderkey", "part")
+    found = H.catalog_urls(H.html_nodes(pages, "o_custkey", "html", tags=["a"]), BASE)
+    return found.select(F.col("page").cast("long").alias("o_custkey"), "item_index", "url")
+
+
+@book.add("SELECT c_custkey, greatest(1, CASE WHEN c_custkey % 5 = 0 THEN 1 WHEN c_custkey % 5 = 1 THEN c_nationkey + 2 ELSE greatest(c_nationkey, 3) END) AS max_page FROM (SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer)")
+def max_page(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as pages with pagination: numbers, a last page known by its address only, numbers that are no pages, or none."""
+    c = table(spark, sf, "customer")
+    n, k = F.col("c_nationkey").cast("long"), F.col("c_custkey") % 5
+    link = lambda text, href: F.concat(F.lit('<a href="'), href, F.lit('">'), text, F.lit("</a>"))
+    plain = F.lit("/danh-sach")
+    wrap = F.concat(F.lit('<div class="pagination_wrap">'), link(F.lit(" 2 "), plain), link(F.lit("Cuối"), F.concat(F.lit("/danh-sach?a=1&amp;page="), (n + 2).cast("string"))), F.lit("</div>"))
+    listed = F.concat(F.lit('<ul class="pagination"><li>'), link(n.cast("string"), F.lit("/x?page=999")), F.lit("</li><li>"), link(F.lit("3"), plain), F.lit("</li>"), link(F.lit("777"), plain), F.lit("</ul>"))
+    html = F.concat(link(F.lit("888"), plain), F.when(k == 0, "").when(k == 1, wrap).otherwise(listed))
+    found = H.largest_pages(H.html_nodes(c.select("c_custkey", html.alias("html")), "c_custkey", "html", tags=["a"]))
+    pages = c.select("c_custkey").join(found.select(F.col("page").cast("long").alias("c_custkey"), "max_page"), "c_custkey", "left")
+    return pages.select("c_custkey", F.coalesce("max_page", F.lit(1)).cast("long").alias("max_page"))
+
+
+@book.add("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN '' ELSE c_custkey || '-w' END AS title FROM customer")
+def work_title(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as work pages: with a name, with an empty one, and with none."""
+    k = F.col("c_custkey") % 3
+    name = F.when(k == 0, F.concat(F.lit('<span class="series-name"><a href="/x"> '), "c_name", F.lit(' </a></span><h1 class="series-name">second</h1>'))).when(k == 1, '<h1 class="series-name"> </h1>').otherwise("<h1>no</h1>")
+    pages = table(spark, sf, "customer").select(F.concat(F.lit(f"{BASE}/truyen/"), F.col("c_custkey").cast("string"), F.lit("-w/")).alias("page"), name.alias("html"))
+    found = H.work_titles(pages, H.html_nodes(pages, "page", "html", classes=["series-name"]))
+    return found.select(F.regexp_extract("page", r"/(\d+)-w", 1).cast("long").alias("c_custkey"), "title")
+
+
+_ITEM_LINES = r"list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '')"
+
+
+@book.add(rf"""SELECT doc_id, title, section, CASE WHEN doc_id % 3 = 0 THEN doc_id * 1234 + 1 ELSE len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) END AS words, CASE WHEN doc_id % 4 = 0 THEN '' ELSE doc_id || ' giờ trước' END AS date, sha256(text) AS text
+FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'Chương' ELSE 'T ' || source END AS title, trim(CASE WHEN doc_id % 3 = 0 THEN 'S Độ dài: ' || format('{{:,}}', doc_id * 1234 + 1) || ' từ' ELSE 'S' END || CASE WHEN doc_id % 4 = 0 THEN '' ELSE chr(10) || 'Cập nhật: ' || doc_id || ' giờ trước' END) AS section,
+array_to_string({_ITEM_LINES}, chr(10) || chr(10)) AS text FROM documents)""")
+def item_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as item pages: header with words and date, paragraphs or bare lines, hidden parts, boxes, shop links, notices, repeated titles."""
+    d = table(spark, sf, "documents")
+    i = F.col("doc_id").cast("string")
+    title = F.concat(F.lit("T "), "source")
+    length = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("S Độ dài: "), F.format_number(F.col("doc_id") * 1234 + 1, 0), F.lit(" từ"))).otherwise("S")
+    date = F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.concat(F.lit("\nCập nhật: "), i, F.lit(" giờ trước")))
+    head = F.concat(F.lit('<div class="title-top"><h2>no</h2>'), F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.concat(F.lit("<h4>"), T.escape_html(title), F.lit(" </h4>"))), F.lit('<h6 class="title-item">'), length, date, F.lit("</h6></div>"))
+    noise = F.concat(F.lit('<script>var p = "<p>no</p>";</script><div class="alert x"><p>no</p></div><p style="color:red;display: none">no</p><a href="https://shopee.example/1">no</a><noscript>no</noscript>'))
+    notice = "Ủng hộ Hako nhé"
+    paragraphs = F.array_join(F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("<p id='1'>"), T.escape_html(x), F.lit("</p>"))), "\n")
+    with_p = F.concat(noise, paragraphs, F.lit(f"<p>{notice}</p><p>"), T.escape_html(F.when(F.col("doc_id") % 7 == 0, "Chương").otherwise(title)), F.lit("</p><p> </p>"))
+    without = F.concat(F.lit("<style>p {}</style>"), T.escape_html(F.col("text")), F.lit(f"\n{notice}\n\n\n\n<div class='reading-notice'>no</div>\n"))
+    body = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit('<div id="chapter-content">'), without)).otherwise(F.concat(F.lit('<div class="long-text reading-content">'), with_p))
+    pages = d.select("doc_id", F.concat(head, F.lit("<p>outside</p>"), body, F.lit("</div><p>after</p>")).alias("html"))
+    nodes = H.html_nodes(pages, "doc_id", "html", text_only=True, **H.ITEM_NODES)
+    return H.item_pages(nodes).select(F.col("page").cast("long").alias("doc_id"), "title", "section", "words", "date", F.sha2("text", 256).alias("text"))
