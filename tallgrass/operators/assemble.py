@@ -83,7 +83,7 @@ def fragment(title: Column, text: Column, words: Column, date: Column | None = N
 
 
 def first_embedding(assets: DataFrame, work: str, asset: str, order: list[str]) -> DataFrame:
-    """Flag the first use of an asset within a work."""
+    """Flag the first use of an asset within a work; a window holds the uses of one asset in one work."""
     return assets.withColumn("embedded", F.row_number().over(Window.partitionBy(work, asset).orderBy(*order)) == 1)
 
 

@@ -15,12 +15,13 @@ def ledger(actions: DataFrame, key: Sequence[str] = ("target_url",), *, seq: str
     resolve resolves; a sync leaves the dead dead and makes all others pending. What comes before the insert is void.
 
     In closed form: attempts are the adds and fails after the insert; the last action that is no sync decides, and a
-    sync after it turns all but death into pending. So one window for the insert and one group by key do.
+    sync after it turns all but death into pending. So the insert is one group by key, joined back so that the actions
+    of a hot key can be split, and the fold another; both have partial aggregates.
     """
     a = F.col(action)
     known = actions.filter(a.isin("add", "sync", "fail", "resolve"))
-    first = F.min(F.when(a.isin("add", "sync"), F.col(seq))).over(Window.partitionBy(*key))
-    after = known.withColumn("_first", first).filter(F.col(seq) >= F.col("_first"))
+    first = known.filter(a.isin("add", "sync")).groupBy(*key).agg(F.min(seq).alias("_first"))
+    after = known.join(first, list(key)).filter(F.col(seq) >= F.col("_first"))
     later = F.col(seq) > F.col("_first")
     counted = a.isin("add", "fail") & later
     folded = after.groupBy(*key).agg(

@@ -52,14 +52,23 @@ def mark_assets(spark: SparkSession, sf: str) -> DataFrame:
     return merge.mark_assets(merge.register_assets(history), outcomes)
 
 
-@book.add("""SELECT event_id AS run_id, user_id, coalesce(s, 'running') AS status, coalesce(n, 0) AS items FROM events LEFT JOIN
-(SELECT event_id - event_id % 5 AS k, arg_max(CASE event_type WHEN 'error' THEN 'partial' ELSE 'success' END, event_id) AS s, arg_max(CAST(floor(value) AS BIGINT), event_id) AS n FROM events WHERE event_id % 5 IN (1, 2) AND event_type <> 'view' GROUP BY 1) ON event_id = k WHERE event_id % 5 = 0""")
+@book.add("""SELECT user_id AS run_id, coalesce(arg_max(CASE event_type WHEN 'error' THEN 'partial' ELSE 'success' END, event_id) FILTER (WHERE event_type IN ('error', 'purchase')), 'running') AS status,
+coalesce(arg_max(CAST(floor(value) AS BIGINT), event_id) FILTER (WHERE event_type IN ('error', 'purchase')), 0) AS items FROM events GROUP BY user_id""")
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Every fifth event opens a run, the two after it may close it."""
+    """Every user's first event opens a run, errors and purchases close it; the last close counts."""
     e = table(spark, sf, "events")
-    opened = e.filter("event_id % 5 = 0").select(F.col("event_id").alias("run_id"), "user_id")
-    closed = e.filter("event_id % 5 IN (1, 2) AND event_type != 'view'").select((F.col("event_id") - F.col("event_id") % 5).alias("run_id"), F.when(F.col("event_type") == "error", "partial").otherwise("success").alias("status"), F.floor("value").alias("items"), F.col("event_id").alias("seq"))
-    return merge.close_runs(opened, closed)
+    closed = e.filter("event_type IN ('error', 'purchase')").select(F.col("user_id").alias("run_id"), F.when(F.col("event_type") == "error", "partial").otherwise("success").alias("status"), F.floor("value").alias("items"), F.col("event_id").alias("seq"))
+    return merge.close_runs(e.select(F.col("user_id").alias("run_id")).distinct(), closed)
+
+
+@book.add("""SELECT work_id, coalesce(s, status) AS status, coalesce(e, error_message) AS error_message FROM (SELECT work_id, status, CASE WHEN work_id % 5 = 0 THEN 'old' END AS error_message FROM works_v)
+LEFT JOIN (SELECT l_orderkey, CASE WHEN count(*) FILTER (WHERE l_linestatus <> 'F') = 0 THEN 'completed' ELSE 'partial' END AS s, CASE WHEN count(*) FILTER (WHERE l_linestatus <> 'F') > 0 THEN count(*) FILTER (WHERE l_linestatus <> 'F') || ' item(s) failed during crawl' END AS e
+FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey) ON work_id = l_orderkey""")
+def update_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Works take the completion of their items; an old message stays where nothing failed."""
+    works = view(spark, sf, "works_v").select("work_id", "status", F.when(F.col("work_id") % 5 == 0, "old").alias("error_message"))
+    items = table(spark, sf, "lineitem").filter("l_returnflag != 'R'").select(F.col("l_orderkey").alias("work_id"), F.when(F.col("l_linestatus") == "F", "completed").otherwise("failed").alias("status"))
+    return merge.update_status(works, stats.work_completion(items, "work_id"), "work_id")
 
 
 @book.add("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'update' ELSE 'stub' END AS change, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE 'work-' || o_orderkey END AS title, 'error' AS status, 'status ' || o_orderstatus AS error_message, 'add' AS ledger_action FROM orders WHERE o_orderstatus = 'P'""")
@@ -226,9 +235,9 @@ def recent_runs(spark: SparkSession, sf: str) -> DataFrame:
     return fr.ordered(table(spark, sf, "events").select("event_id", "event_type"), [F.desc("event_id")], 20)
 
 
-@book.add("SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem WHERE l_orderkey % 10 = 3")
+@book.add("SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM lineitem")
 def ordered_children(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "lineitem").filter("l_orderkey % 10 = 3").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     return fr.ordered(rows, ["l_orderkey", "l_linenumber", "l_partkey"])
 
 
@@ -361,13 +370,102 @@ def url_list(spark: SparkSession, sf: str) -> DataFrame:
     return read_url_list(spark, path, "text")
 
 
-@book.add("SELECT page_id, CAST(octet_length(encode(html)) + 1 AS BIGINT) AS length FROM pages WHERE octet_length(encode(html)) + 1 > 700")
+@book.add("SELECT page_id // 50 AS folder, CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS length FROM pages GROUP BY 1 HAVING sum(octet_length(encode(html)) + 1) > 30000")
 def asset_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages written one file each, by the folder's name; those over 700 bytes are listed."""
+    """Pages written fifty to a file; files over 30,000 bytes are listed."""
     from ..sources.tables import asset_inventory as inventory
     from ..sources.tables import new_folder
 
     path = new_folder(spark, "assets")
-    table(spark, sf, "pages").select("page_id", "html").repartition(8, "page_id").write.partitionBy("page_id").text(path)
-    found = inventory(spark, path, least=700)
-    return found.groupBy(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long").alias("page_id")).agg(F.sum("length").alias("length"))
+    table(spark, sf, "pages").select(F.floor(F.col("page_id") / 50).alias("folder"), "html").repartition("folder").write.partitionBy("folder").text(path)
+    return inventory(spark, path, least=30_000).select(F.regexp_extract("path", r"folder=(\d+)", 1).cast("long").alias("folder"), "length")
+
+
+@book.add("SELECT work_id, updated_at, price FROM works_v WHERE status = 'completed'")
+def exportable_works(spark: SparkSession, sf: str) -> DataFrame:
+    return assemble.exportable_works(view(spark, sf, "works_v").select("work_id", "status", "updated_at", "price")).drop("status")
+
+
+@book.add("SELECT l_orderkey, l_linenumber, l_partkey, s_name AS section_title FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey <> 3) ON l_suppkey = s_suppkey")
+def section_titles(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_suppkey").alias("section_id"))
+    sections = table(spark, sf, "supplier").filter("s_nationkey != 3").select(F.col("s_suppkey").alias("section_id"), F.col("s_name").alias("section_title"))
+    return joins.section_titles(items, sections).drop("section_id")
+
+
+@book.add("""SELECT l.l_orderkey AS work_id, l.l_linenumber, l.l_returnflag AS title, m.vol_index, m.url_id FROM lineitem AS l JOIN
+(SELECT work_id, title, arg_max_null(vol_index, seq) AS vol_index, arg_max(url_id, seq) FILTER (WHERE url_id IS NOT NULL) AS url_id FROM section_history GROUP BY work_id, title) AS m ON l.l_orderkey = m.work_id AND l.l_returnflag = m.title""")
+def resolve_sections(spark: SparkSession, sf: str) -> DataFrame:
+    """Items of a listing with the merged section of their work and title."""
+    listing = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("work_id"), "l_linenumber", F.col("l_returnflag").alias("title"))
+    return joins.resolve_sections(listing, merge_sections(spark, sf), ["work_id", "title"])
+
+
+@book.add("""SELECT url, seq, source_rank FROM (SELECT url, arg_min(seq, (rank, seq)) AS seq, min(rank) AS source_rank FROM (SELECT regexp_replace(url, '[?#].*$', '') AS url, page_id AS seq, CASE WHEN page_id % 2 = 0 THEN 0 ELSE 1 END AS rank FROM pages) GROUP BY url)
+ORDER BY source_rank, seq, url LIMIT 25""")
+def cap_frontier(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 25 addresses of the frontier in order of discovery."""
+    pages = table(spark, sf, "pages").select(F.regexp_replace("url", "[?#].*$", "").alias("url"), F.col("page_id").alias("seq"))
+    return fr.union_frontier(pages.filter("seq % 2 = 0"), pages.filter("seq % 2 = 1"), limit=25)
+
+
+@book.add("SELECT work_id, status, price FROM works_v")
+def write_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions of the works, partitioned by status; what the second holds."""
+    from ..sources.tables import new_folder
+    from ..sources.tables import write_snapshot as write
+
+    path, works = new_folder(spark, "works"), view(spark, sf, "works_v").select("work_id", "status", "price")
+    old = write(works.withColumn("price", F.lit(0.0)), path, ["status"])
+    new = write(spark.read.parquet(old).drop("price").join(works.select("work_id", "price"), "work_id"), path, ["status"])
+    return spark.read.parquet(new).select("work_id", "status", "price")
+
+
+@book.add(r"SELECT doc_id, sha256(text) AS content FROM documents")
+def export_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents written by file name, and read back."""
+    from ..sources import tables
+
+    docs = table(spark, sf, "documents").select(T.file_name(F.concat(F.lit("work: "), F.col("doc_id").cast("string"))).alias("file_name"), F.col("text").alias("content"))
+    path = tables.new_folder(spark, "export")
+    tables.export_text(docs, path)
+    return tables.read_export(spark, path).select(F.regexp_extract("file_name", r"(\d+)", 1).cast("long").alias("doc_id"), F.sha2("content", 256).alias("content"))
+
+
+_ASSET_URL = "'https://h/<' || l_partkey || CASE l_partkey % 3 WHEN 0 THEN '.PNG' WHEN 1 THEN '.webp?x' ELSE '.gif' END"
+
+
+@book.add(f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, src, stored AND row_number() OVER (PARTITION BY l_orderkey, src ORDER BY l_linenumber, l_suppkey, l_extendedprice) = 1 AS embedded FROM (
+SELECT *, CASE WHEN stored THEN 'images/img_' || substr(md5(url), 1, 12) || CASE l_partkey % 3 WHEN 0 THEN '.png' WHEN 1 THEN '.webp' ELSE '.jpg' END ELSE url END AS src FROM (SELECT *, {_ASSET_URL} AS url, l_partkey % 4 <> 0 AS stored FROM lineitem))""")
+def export_assets(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts of an order as its images; three quarters of them are stored."""
+    name = lambda key: F.concat(F.lit("https://h/<"), key, F.when(F.col(key) % 3 == 0, ".PNG").when(F.col(key) % 3 == 1, ".webp?x").otherwise(".gif"))
+    uses = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", name("l_partkey").alias("url"))
+    uses = uses.withColumn("path", U.asset_path(F.lit("work"), F.col("url")))
+    stored = table(spark, sf, "part").filter("p_partkey % 4 != 0").select(U.asset_path(F.lit("work"), name("p_partkey")).alias("path"))
+    out = assemble.export_assets(uses, stored, "l_orderkey", "url", "path", ["l_linenumber", "l_suppkey", "l_extendedprice"])
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "src", "embedded")
+
+
+@book.add(f"""SELECT conv_id, turn, sha256('<h2>' || role || '</h2>' || chr(10) || '<p class="center"><img src="images/img_' || substr(md5(role), 1, 12) || '.jpg" alt="Minh họa" /></p>' || chr(10) || '<p class="center"><img src="https://h/?a&amp;b=' || turn || '" alt="Minh họa" /></p>' ||
+coalesce((SELECT string_agg(chr(10) || '<p>' || array_to_string(list_transform({_LINES.format('p', 'chr(10)')}, lambda y: {_ESC.format('y')}), '<br />') || '</p>', '' ORDER BY i) FROM (SELECT unnest({_LINES.format("text", "chr(10) || chr(10)")}) AS p, generate_subscripts({_LINES.format("text", "chr(10) || chr(10)")}, 1) AS i)), '')) AS fragment FROM conversations""")
+def illustrated_fragments(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns as items with an image from the archive and one by its address."""
+    images = F.array(F.concat(F.lit("images/img_"), F.substring(F.md5("role"), 1, 12), F.lit(".jpg")), F.concat(F.lit("https://h/?a&b="), F.col("turn").cast("string")))
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.sha2(assemble.fragment(F.col("role"), F.col("text"), F.lit(0), None, images), 256).alias("fragment"))
+
+
+@book.add(f"""SELECT c_custkey, sha256(array_to_string(list_filter(['<h1>' || c_name || '</h1>', '<div class="meta">', CASE WHEN c_custkey % 2 = 0 THEN '<p><strong>Tên khác:</strong> ' || c_custkey || ' &amp; co</p>' END,
+'<p><strong>Tác giả:</strong> ' || CASE WHEN c_custkey % 3 = 0 THEN 'Chưa rõ' ELSE c_mktsegment END || '</p>', CASE WHEN c_custkey % 5 = 0 THEN '<p><strong>Họa sĩ:</strong> ' || c_nationkey || '</p>' END, CASE WHEN c_custkey % 7 <> 0 THEN '<p><strong>Thể loại:</strong> a, ' || c_nationkey || '</p>' END,
+'<p><strong>Tình trạng:</strong> &lt;open&gt;</p>', '<p><strong>Nguồn:</strong> <a href="https://h/' || c_custkey || '">https://h/' || c_custkey || '</a></p>', '</div>',
+CASE WHEN c_custkey % 4 = 0 THEN '<div class="summary">' || chr(10) || '<h3>Tóm tắt nội dung</h3>' || chr(10) || '<p>one</p>' || chr(10) || '<p>' || c_custkey || '</p>' || chr(10) || '</div>' END], lambda x: x IS NOT NULL), chr(10))) AS introduction FROM customer""")
+def introductions(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as works with some facts missing."""
+    k = F.col("c_custkey")
+    some = lambda n, value: F.when(k % n == 0, value)
+    genres = F.when(k % 7 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("a"), F.col("c_nationkey").cast("string")))
+    page = assemble.introduction(
+        F.col("c_name"), some(2, F.concat(k.cast("string"), F.lit(" & co"))), F.when(k % 3 == 0, "").otherwise(F.col("c_mktsegment")), some(5, F.col("c_nationkey").cast("string")), genres,
+        F.lit("<open>"), F.concat(F.lit("https://h/"), k.cast("string")), some(4, F.concat(F.lit(" one \n\n"), k.cast("string"), F.lit("\n"))),
+    )
+    return table(spark, sf, "customer").select("c_custkey", F.sha2(page, 256).alias("introduction"))

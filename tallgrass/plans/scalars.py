@@ -153,3 +153,17 @@ def page_selection(spark: SparkSession, sf: str) -> DataFrame:
 
     spec = F.concat_ws(",", (F.col("o_custkey") % 9).cast("string"), F.lit(" x"), F.concat(F.lit(" "), (F.col("o_orderkey") % 7).cast("string")), F.lit("-3"), (F.col("o_custkey") % 9).cast("string"))
     return table(spark, sf, "orders").select("o_orderkey", F.array_join(select(spec).cast("array<string>"), ",").alias("pages"))
+
+
+@book.add("SELECT page_id, 'w' || page_id || CASE page_id % 2 WHEN 0 THEN '.png' ELSE '.jpg' END AS cover, 'retry/' || substr(md5(url || CASE page_id % 2 WHEN 0 THEN '.PNG' ELSE '' END), 1, 12) || '.jpg' AS recovered FROM pages")
+def other_asset_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Where covers and assets that a retry fetched are stored."""
+    u = F.concat("url", F.when(F.col("page_id") % 2 == 0, ".PNG").otherwise(""))
+    name = F.concat(F.lit("w"), F.col("page_id").cast("string"))
+    return table(spark, sf, "pages").select("page_id", U.cover_path(name, F.concat(F.lit("x"), F.when(F.col("page_id") % 2 == 0, ".PNG").otherwise(""))).alias("cover"), U.recovered_path(u).alias("recovered"))
+
+
+@book.add("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_orderpriority ELSE o_orderstatus END AS value FROM orders")
+def first_nonempty(spark: SparkSession, sf: str) -> DataFrame:
+    given = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).when(F.col("o_orderkey") % 2 == 0, "")
+    return table(spark, sf, "orders").select("o_orderkey", T.first_nonempty(given, F.col("o_orderpriority")).alias("value"))

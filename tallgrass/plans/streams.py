@@ -14,17 +14,19 @@ from .views import table, view
 book = Book()
 
 
-def _as_stream(df: DataFrame, name: str, order: str, files: int = 3) -> DataFrame:
-    """A stream of the rows in so many files, read one a batch in the order of their writing."""
+def _as_stream(df: DataFrame, name: str, order: str, batches: int = 3) -> DataFrame:
+    """A stream of the rows in so many batches by ``order``, each of as many files as it has rows for."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    bounds = df.select(F.percentile_approx(order, [i / files for i in range(1, files)], 10_000)).first()[0] or []
+    bounds, rows = df.select(F.percentile_approx(order, [i / batches for i in range(1, batches)], 10_000), F.count("*")).first()
     part = F.lit(0)
-    for b in bounds:
+    for b in bounds or []:
         part = part + F.when(F.col(order) > b, 1).otherwise(0)
-    for i in range(files):
-        df.filter(part == i).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    # every batch has the same number of files, none empty, so that a trigger reads one batch
+    files = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (10_000 * batches)))
+    for i in range(batches):
+        df.filter(part == i).repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @book.add("SELECT DISTINCT regexp_replace(url, '[?#].*$', '') AS url FROM pages")
@@ -56,5 +58,5 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Works after all batches of pages, and how many pages each was seen on."""
     path = new_folder(spark, "ingest")
     pipelines.ingest(_as_stream(table(spark, sf, "pages"), "pages", "page_id"), path).awaitTermination()
-    works = pipelines.latest(spark, f"{path}/works")
+    works = pipelines.current(spark, f"{path}/works")
     return works.select("url", "seen")

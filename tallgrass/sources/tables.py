@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -13,12 +14,16 @@ _own: list[str] = []
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share; under /tmp only where that is unset."""
+    """A new folder under spark.checkpoint.dir, or where that is unset, under the warehouse; both are shared by all machines.
+
+    A session with all its threads on one machine takes a folder of its own instead of the warehouse.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
+    if not base and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         if not _own:
-            _own.append(tempfile.mkdtemp(prefix="spark-tallgrass-", dir="/tmp"))
+            _own.append(tempfile.mkdtemp(prefix="spark-tallgrass-"))
         base = _own[0]
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/tallgrass-scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -55,9 +60,20 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
     return version
 
 
-def export_text(documents: DataFrame, path: str, name: str = "file_name", content: str = "content") -> None:
-    """One text file per document, in a folder of its name."""
-    documents.select(F.col(name), F.col(content).alias("value")).write.partitionBy(name).text(path)
+def export_text(documents: DataFrame, path: str, name: str = "file_name", content: str = "content", *, each: bool = False) -> None:
+    """Documents by file name, sorted, many to a file as lines of JSON; with ``each``, a folder and a text file for every one.
+
+    A folder for each document is for exports of a few thousand; more would be a burden to any store.
+    """
+    rows = documents.select(F.col(name).alias("file_name"), F.col(content).alias("content"))
+    if each:
+        rows.select("file_name", F.col("content").alias("value")).write.partitionBy("file_name").text(path)
+    else:
+        rows.repartitionByRange("file_name").sortWithinPartitions("file_name").write.json(path)
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("file_name string, content string").json(path)
 
 
 def asset_inventory(spark: SparkSession, path: str, *, least: int = 100) -> DataFrame:

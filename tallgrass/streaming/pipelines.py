@@ -74,14 +74,16 @@ def run_to_end(stream: DataFrame, path: str, *, mode: str = "append") -> DataFra
     return spark.read.schema(stream.schema.add("batch", "long")).parquet(f"{path}/out")
 
 
-def latest(spark: SparkSession, path: str) -> DataFrame | None:
-    """The last version of a table written as batch folders, or None."""
+def current(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """A table written in buckets by batch: of each bucket the last version (before a batch), or None without any."""
     try:
-        all_ = spark.read.parquet(path)
+        versions = spark.read.option("basePath", path).parquet(path)
     except AnalysisException:
         return None
-    last = all_.agg(F.max("batch")).first()[0]
-    return all_.filter(F.col("batch") == F.lit(last)).drop("batch") if last is not None else None
+    if before is not None:
+        versions = versions.filter(F.col("batch") < before)
+    last = versions.groupBy("bucket").agg(F.max("batch").alias("batch"))  # a row for each bucket
+    return versions.join(F.broadcast(last), ["bucket", "batch"]).drop("batch")
 
 
 def ingest_batch(pages: DataFrame, works: DataFrame | None, number: int, langs: tuple[str, ...] = ("en", "fr", "de", "es")) -> DataFrame:
@@ -97,26 +99,23 @@ def ingest_batch(pages: DataFrame, works: DataFrame | None, number: int, langs:
     return merged.join(history.groupBy("url").agg(F.sum("seen").alias("seen")), "url")
 
 
-def ingest(pages: DataFrame, path: str, *, interval: str | None = None):
+def ingest(pages: DataFrame, path: str, *, interval: str | None = None, buckets: int = 64):
     """Keep the works table under ``path`` current with a stream of pages; returns the query.
 
-    Each batch writes a whole new version in a folder of its number, so a batch that runs again changes nothing.
+    Works lie in buckets by the hash of their address. Each batch writes new versions of the buckets it touches in a
+    folder of its number, so a small batch rewrites little, and a batch that runs again changes nothing.
     Without an interval, what is there is read and the query ends.
     """
     spark = pages.sparkSession
+    bucket = F.pmod(F.xxhash64(F.regexp_replace("url", "[?#].*$", "")), F.lit(buckets)).cast("int")
 
     def step(batch: DataFrame, number: int) -> None:
-        known = None
-        if number > 0:
-            known = latest_before(spark, f"{path}/works", number)
-        ingest_batch(batch, known, number).write.mode("overwrite").parquet(f"{path}/works/batch={number}")
+        known = current(spark, f"{path}/works", number) if number else None
+        if known is not None:
+            touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+            known = known.filter(F.col("bucket").isin(touched)).drop("bucket")
+        works = ingest_batch(batch, known, number).withColumn("bucket", bucket)
+        works.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/works/batch={number}")
 
     w = pages.writeStream.option("checkpointLocation", f"{path}/state").foreachBatch(step)
     return (w.trigger(processingTime=interval) if interval else w.trigger(availableNow=True)).start()
-
-
-def latest_before(spark: SparkSession, path: str, number: int) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{path}/batch={number - 1}")
-    except AnalysisException:
-        return None

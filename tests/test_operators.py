@@ -134,8 +134,9 @@ def test_snapshot_and_lists(spark, tmp_path):
     assert tables.as_json_list(df.union(df)).first()[0] == '["a","b"]'
     tables.as_json_list(df).write.text(str(tmp_path / "j"))
     assert sorted(r[0] for r in tables.read_url_list(spark, str(tmp_path / "j"), "json").collect()) == ["a", "b"]
-    spark.createDataFrame([("Tên", "một\nhai")], "file_name string, content string").transform(lambda d: tables.export_text(d, str(tmp_path / "x")) or d)
+    spark.createDataFrame([("Tên", "một\nhai")], "file_name string, content string").transform(lambda d: tables.export_text(d, str(tmp_path / "x"), each=True) or tables.export_text(d, str(tmp_path / "y")) or d)
     assert spark.read.text(str(tmp_path / "x"), wholetext=True).first()[0] == "một\nhai\n"
+    assert tables.read_export(spark, str(tmp_path / "y")).collect() == [("Tên", "một\nhai")]
 
 
 def test_checks(spark):
