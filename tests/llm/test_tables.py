@@ -94,10 +94,42 @@ def test_foreign_arc_file():
     head, rest = text.split(b"\n", 1)
     block = b"1 0 Someone\nURL IP-address Archive-date Content-type Archive-length\n"
     stream = io.BufferedReader(io.BytesIO(b"filedesc://x.arc 0.0.0.0 20010101000000 text/plain %d\n" % len(block) + block + b"\nhttp://a/b c 1.2.3.4 20010203040506 text/html 5\nhello\n\nhttp://d 1.2.3.4 20010203040506 text/html 0\n\n"))
-    got = [(f["URL"], b) for f, b, _ in archives.arc_records(stream)]
+    got = [(f["URL"], b) for f, b, _, problem in archives.arc_records(stream) if problem is None]
     assert got == [("http://a/b c", b"hello"), ("http://d", b"")]
 
 
+def test_bytes_and_broken_records(spark, tmp_path):
+    """Latin-1, an image, a block without HTTP, lines that are no headers, and a record that is cut."""
+    image = bytes(range(256)) * 2
+    http = b"HTTP/1.1 200 OK\r\nX-Page-Id: %d\r\n\r\n"
+    blocks = [http % 1 + "déjà vu ".encode("latin-1") * 20, http % 2 + image, http % 3 + image, b"20010101000000\n1.2.3.4"]
+    body = b"1 0 Someone\nURL IP-address Archive-date Content-type Archive-length\n"
+    raw = b"filedesc://x.arc 0.0.0.0 20010101000000 text/plain %d\n" % len(body) + body
+    for i, b in enumerate(blocks):
+        raw += b"\nhttp://h/%d 1.2.3.4 20010203040506 text/html %d\n" % (i, len(b)) + b + b"\n"
+        if i == 1:
+            raw += b"\nhttp://lost 1.2.3.4 20010203040506 text/html -\nsome lines\nof nothing 7\n"
+    raw += b"\nhttp://cut 1.2.3.4 20010203040506 text/html 5000\nshort"
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.arc").write_bytes(raw)
+    records = archives.read_arc(spark, str(tmp_path / "a"))
+    told = {r["url"]: (bytes(r["payload"]), r["problem"]) for r in records.collect()}
+    assert told["http://h/0"] == ("déjà vu ".encode("latin-1") * 20, None) and told["http://h/1"] == told["http://h/2"] == (image, None)
+    assert told["http://h/3"] == (blocks[3], None) and told["http://cut"] == (b"short", "cut")
+    assert [u for u, (_, problem) in told.items() if problem == "no header"] == ["http://lost 1.2.3.4 20010203040506 text/html -"]
+    path = archives.new_path(spark, "warc-test")
+    archives.write_warc(archives.plan_revisits(records), path)
+    back = sorted((r["url"], r["record_type"], r["payload_bytes"], r["payload_digest"]) for r in archives.read_warc(spark, path).collect())
+    digest = lambda b: hashlib.sha256(b).hexdigest()
+    assert back == [
+        ("http://h/0", "response", 160, digest("déjà vu ".encode("latin-1") * 20)), ("http://h/1", "response", 512, digest(image)),
+        ("http://h/2", "revisit", 512, digest(image)), ("http://h/3", "resource", 22, digest(blocks[3])),
+    ]
+    files = [f for f in spark.read.format("binaryFile").load(path).collect() if f["length"]]
+    raw_back = b"".join(archives._stream(bytes(f["content"])).read() for f in files)
+    assert image in raw_back and "déjà vu ".encode("latin-1") * 20 in raw_back
+
+
 def test_mixing(spark):
     docs, rows = odd_documents(spark)
     got = mixing.mix_sources(docs).toPandas()
