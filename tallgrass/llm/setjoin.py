@@ -333,10 +333,9 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     placed = stored(placed.select("c", "p", "part", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select("c", F.col("at.tokens").alias("token"), F.shiftright("p", 3).alias("n"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), F.col("at.places").alias("pos"), "part"), "placed")
     apart = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("token")
     apart = stored(apart, "apart")
-    placed = placed.join(apart, "token", "left_semi")
-    placed = placed.withColumn("size", F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-9)))
-    left = placed.withColumn("at", F.explode(F.array(F.col("size"), F.col("size") + 1))).toDF(*[f"{c}_a" for c in placed.columns], "at").withColumn("key", F.xxhash64("token_a", "at")).drop("at")
-    right = placed.toDF(*[f"{c}_b" for c in placed.columns]).withColumn("key", F.xxhash64("token_b", "size_b"))
+    open_ = placed.join(apart, "token", "left_semi").withColumn("size", F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-9)))
+    left = open_.withColumn("at", F.explode(F.array(F.col("size"), F.col("size") + 1))).toDF(*[f"{c}_a" for c in open_.columns], "at").withColumn("key", F.xxhash64("token_a", "at")).drop("at")
+    right = open_.toDF(*[f"{c}_b" for c in open_.columns]).withColumn("key", F.xxhash64("token_b", "size_b"))
     pairs = left.join(right, "key").filter("token_a = token_b AND part_a != part_b AND (size_a != size_b OR c_a < c_b)").filter(allowed("n_a", "n_b", "pos_a", "pos_b", "least(m_a, m_b)"))
     turned = F.col("c_a") > F.col("c_b")
     pairs = pairs.groupBy(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).agg(F.count("*").alias("met"), F.min(F.least("m_a", "m_b")).alias("m"), F.first(F.when(turned, F.col("n_b")).otherwise(F.col("n_a"))).alias("n_a"), F.first(F.when(turned, F.col("n_a")).otherwise(F.col("n_b"))).alias("n_b"))
