@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ _ASCII_MARKS = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
 class WordTokenizer:
     """Ids of whole texts from the ids of their words, for tokenizers that drop white space and never cross it.
 
-    Words are known by 64-bit hashes of their bytes; only new ones become strings. A run of letters at a word's start
+    Words are known by 64-bit hashes of their bytes, checked by a second one; only new ones become strings. A run of letters at a word's start
     is a token sequence of its own if what follows is ASCII, so runs, lower-cased where that is plain, are encoded
     once, many at a time, and parted at the tokens that end a word.
     """
@@ -40,7 +41,8 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self.hash, self.start, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hash, self.other = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, "<u4")
 
     def _alone(self, text: str) -> bytes:
@@ -82,19 +84,21 @@ class WordTokenizer:
             out.append(self.runs[x] + rest[y] if x else rest[y])
         return out
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, other: np.ndarray, words: list[str]) -> None:
         found = self.word_ids(words)
         length = np.array([len(x) // 4 for x in found], np.int64)
         start = len(self.ids) + np.cumsum(length) - length
         self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
         at = np.searchsorted(self.hash, hashes)
-        self.hash, self.start, self.length = np.insert(self.hash, at, hashes), np.insert(self.start, at, start), np.insert(self.length, at, length)
+        self.hash, self.other = np.insert(self.hash, at, hashes), np.insert(self.other, at, other)
+        self.start, self.length = np.insert(self.start, at, start), np.insert(self.length, at, length)
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a flat column, and where each text's begin."""
         s, e, before = word_spans(data, off)
         with np.errstate(over="ignore"):
             unique, first, inverse = np.unique(span_hash(prefix_hash(data), s, e), return_index=True, return_inverse=True)
+            other = span_hash(prefix_hash(data ^ np.uint8(0x5B)), s, e)
         if len(self.hash) > REMEMBERED:
             self._forget()
         at = np.searchsorted(self.hash, unique)
@@ -103,8 +107,13 @@ class WordTokenizer:
         new[inside] = self.hash[at[inside]] != unique[inside]
         if new.any():
             raw = data.tobytes()
-            self._learn(unique[new], [raw[s[i] : e[i]].decode() for i in first[new]])
+            self._learn(unique[new], other[first[new]], [raw[s[i] : e[i]].decode() for i in first[new]])
             at = np.searchsorted(self.hash, unique)
+        if (self.other[at][inverse] != other).any():  # different words with one hash: each by itself
+            raw = data.tobytes()
+            each = [self._alone(raw[a:b].decode()) for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+            ahead = np.concatenate([[0], np.cumsum([len(x) // 4 for x in each])]).astype(np.int64)
+            return np.frombuffer(b"".join(each), "<u4"), ahead[before]
         length = self.length[at][inverse]
         ahead = np.concatenate([[0], np.cumsum(length)])
         ids = self.ids[np.arange(ahead[-1]) + np.repeat(self.start[at][inverse] - ahead[:-1], length)]
@@ -116,13 +125,14 @@ def _cut(tokenizer_file: str, end_id: int, window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
+        import sys
+        import types
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import tokenizers
-
-        # one tokenizer for all tasks of a worker; loading it costs time and memory
-        held = vars(tokenizers).setdefault("_held_by_worker", {})
+        # one tokenizer for all tasks of a worker process, in a module of its own; loading it costs time and memory
+        held = vars(sys.modules.setdefault("_tallgrass_worker", types.ModuleType("_tallgrass_worker"))).setdefault("tokenizers", {})
         words = held.get(tokenizer_file) or held.setdefault(tokenizer_file, WordTokenizer(tokenizer_file))
+        repeats: Counter = Counter()
         end = np.array([end_id], "<u4").tobytes()
         for batch in pieces(batches, "_text", 1 << 20):
             every, cut = words.encode(*flat(batch["_text"]))
@@ -130,12 +140,13 @@ def _cut(tokenizer_file: str, end_id: int, window: int):
             rows: list[tuple] = []
             for i, (d, t) in enumerate(zip(batch["_id"].to_pylist(), batch["_t"].to_pylist(), strict=True)):
                 ids = raw[cut[i] : cut[i + 1]] + end
+                repeats[d, t] += 1
                 n = len(ids) // 4
                 for a in range(0, n, window):
                     part = ids[4 * a : 4 * (a + window)]
-                    rows.append((d, t, a, len(part) // 4, zlib.crc32(part), n))
+                    rows.append((d, t, a, len(part) // 4, zlib.crc32(part), n, repeats[d, t]))
             cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "_t", "start", "length", "ids_crc32", "doc_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "_t", "start", "length", "ids_crc32", "doc_tokens", "_copy"])
 
     return run
 
@@ -201,7 +212,7 @@ def _pack(window: int):
         # full windows are numbered by the documents that fill them, so numbers never meet across groups
         group["sequence_id"] = group["_group"].astype("int64") * (1 << 32) + where
         group["offset"] = offset
-        return group.drop(columns=["_group"])
+        return group.drop(columns=["_group", "_copy"])
 
     return run
 
@@ -219,7 +230,7 @@ def pack_documents(
     """Pack all documents into sequences of at most ``window`` tokens.
 
     A document is its ids and ``end_id``. It is cut into pieces of ``window`` ids and a rest. Pieces are dealt by the
-    hash of id and text to groups of about ``group_docs`` documents; in each, sequences are filled one after the other
+    hash of id, text and number among the equal rows of a task, so that repeats of a row spread, to groups of about ``group_docs`` documents; in each, sequences are filled one after the other
     with the multiset of remaining lengths whose sum comes nearest to the window (``best_fill``). Groups bound a
     task's memory at any input size; only the last sequences of a group have slack.
 
@@ -231,7 +242,7 @@ def pack_documents(
     table gives no rows; other columns are not read.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    cut = rows.mapInArrow(_cut(tokenizer_file, end_id, window), "doc_id long, _t long, start long, length long, ids_crc32 long, doc_tokens long")
+    cut = rows.mapInArrow(_cut(tokenizer_file, end_id, window), "doc_id long, _t long, start long, length long, ids_crc32 long, doc_tokens long, _copy long")
     groups = max(1, -(-docs.count() // group_docs))
-    cut = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "_t"), F.lit(groups)))
+    cut = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "_t", "_copy"), F.lit(groups)))
     return cut.groupBy("_group").applyInPandas(_pack(window), "doc_id long, _t long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
