@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,13 +17,18 @@ _own_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or where that is unset, one under the warehouse.
+
+    A session with all its threads on one machine, as in tests, takes a folder of its own instead of the warehouse.
+    """
     global _own_dir
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return f"{spark.conf.get('spark.sql.warehouse.dir')}/tallgrass-scratch"
     if _own_dir is None:
-        _own_dir = tempfile.mkdtemp(prefix="spark-tallgrass-", dir="/tmp")
+        _own_dir = tempfile.mkdtemp(prefix="spark-tallgrass-")
     return _own_dir
 
 
@@ -72,14 +78,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def with_copies(docs: DataFrame, counts: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Repeat every row of ``docs`` as often as ``counts`` (_id, _t, n) says; rows without a count go.
 
-    Equal rows share their count: the first of them get one copy more if it does not come out even. All columns stay
-    as they are. Texts move once, by key.
+    Rows with one id and text share their count: in order of the hashes of whole rows, the first of them get one copy
+    more if it does not come out even. All columns stay as they are. Rows that are equal in all columns are counted
+    with partial sums and reduced to one that carries the copies of all, so no task holds the repeats of a row; a
+    window holds the different rows of one id and text, as counts. Texts move by key in a join whose hot keys can be split.
     """
     names = docs.columns
-    c = counts.groupBy("_id", "_t").agg(F.sum("n").alias("_n")).withColumn("_k", F.xxhash64("_id", "_t"))
-    d = docs.select(F.struct(*[docs[n] for n in names]).alias("_row"), docs[doc_id].cast("long").alias("_d"), F.xxhash64(docs[doc_id].cast("long"), text_tag(docs[text])).alias("_k"))
-    j = d.join(c, (d["_k"] == c["_k"]) & d["_d"].eqNullSafe(c["_id"])).select(d["_k"], "_d", "_row", "_n")
-    same_key = Window.partitionBy("_k", "_d")
-    j = j.withColumn("_i", F.row_number().over(same_key.orderBy(F.lit(1)))).withColumn("_m", F.count("*").over(same_key))
-    times = F.floor(F.col("_n") / F.col("_m")) + F.when(F.col("_i") <= F.col("_n") % F.col("_m"), 1).otherwise(0)
-    return j.select("_row", F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias("_one")).select("_row.*")
+    key = F.xxhash64(docs[doc_id].cast("long"), text_tag(docs[text]))
+    d = docs.select(F.struct(*[docs[n] for n in names]).alias("_row"), docs[doc_id].cast("long").alias("_d"), key.alias("_k"), F.xxhash64(*[docs[n] for n in names]).alias("_h"))
+    kinds = d.groupBy("_k", "_d", "_h").agg(F.count("*").alias("_m"))
+    mine = Window.partitionBy("_k", "_d")
+    before = F.coalesce(F.sum("_m").over(mine.orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    kinds = kinds.withColumn("_before", before).withColumn("_all", F.sum("_m").over(mine))
+    c = counts.groupBy("_id", "_t").agg(F.sum("n").alias("_n")).withColumn("_c", F.xxhash64("_id", "_t"))
+    kinds = kinds.join(c, (kinds["_k"] == c["_c"]) & kinds["_d"].eqNullSafe(c["_id"]))
+    times = F.col("_m") * F.floor(F.col("_n") / F.col("_all")) + F.greatest(F.lit(0), F.least(F.col("_m"), F.col("_n") % F.col("_all") - F.col("_before")))
+    kinds = kinds.select(F.col("_k").alias("_k2"), F.col("_d").alias("_d2"), F.col("_h").alias("_h2"), "_m", times.cast("int").alias("_times")).filter("_times > 0")
+    j = d.join(kinds, (d["_k"] == kinds["_k2"]) & (d["_h"] == kinds["_h2"]) & d["_d"].eqNullSafe(kinds["_d2"])).select("_row", "_k", "_d", "_h", "_m", "_times")
+    out = j.filter("_m = 1").union(j.filter("_m > 1").dropDuplicates(["_k", "_d", "_h"]))
+    return out.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("_times"))).alias("_one")).select("_row.*")
