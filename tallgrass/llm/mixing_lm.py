@@ -330,7 +330,8 @@ def _letters(data: np.ndarray, s: np.ndarray, e: np.ndarray):
     at = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     place = s[owner] + at
     is_end = at == n[owner] - 1
-    sym = np.where(is_end, 256, data[np.minimum(place, len(data) - 1)] if len(data) else 0).astype(np.int64)
+    sym = data[np.minimum(place, len(data) - 1)].astype(np.int64) if len(data) else np.zeros(len(owner), np.int64)
+    sym[is_end] = 256
 
     def back(k: int) -> np.ndarray:
         out = np.zeros(len(owner), np.uint64)
@@ -469,7 +470,9 @@ def train(texts: DataFrame, text: str) -> tuple:
     code = Code.of([max(ends, 1), max(outside, 1), *c[:coded].tolist()])
     lex = Lexicon(word[order], c[order], symbol[order], code, _letter_code(), told[0] + ends, told[1] + (ends > 0), ends, outside, told[2])
     lexicon = spark.sparkContext.broadcast(lex.plain())
-    parts = texts.mapInArrow(_learned(lexicon), "table int, block int, part binary, size long")
+    # a learning task sends whole tables, so it must read at least as many bytes of text
+    tasks = max(2 * spark.sparkContext.defaultParallelism, 6 * lex.tokens // sum(8 << b for b in word_bits(lex.tokens)))
+    parts = texts.coalesce(tasks).mapInArrow(_learned(lexicon), "table int, block int, part binary, size long")
     summed = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "table", "block").mapInArrow(_summed, "table int, block int, part binary")
     bits = word_bits(lex.tokens)
     n_word, n_letter = len(bits), len(LETTER_BITS)

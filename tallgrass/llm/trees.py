@@ -155,13 +155,14 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     """Fit a forest on labelled documents whose crc32(id) mod 5 is not 0, at most ``most_rows`` of them by id hash.
 
     The bound holds what the driver collects (29 doubles a row). Labels that are null, other than 0 and 1, or given
-    for a null id are ignored; of several labels for an id the largest counts. Without labels the score is 0.5.
+    for a null id are ignored; of several labels for an id the largest counts, of several texts the one with the
+    smallest tag. Without labels the score is 0.5.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held(doc_id, 0)).groupBy(F.col(doc_id).alias("_k")).agg(F.max(label).alias("_y"))
     known = known.orderBy(F.xxhash64("_k"), "_k").limit(most_rows)
     rows = _rows(docs, doc_id, text)
-    got = rows.join(F.broadcast(known), rows["doc_id"] == known["_k"]).select("_text", "_y", F.xxhash64("doc_id", "_t").alias("_o"))
-    got = got.select("_text", "_y").mapInArrow(_features, "x array<double>, y int").limit(2 * most_rows).toArrow()
+    got = rows.join(F.broadcast(known), rows["doc_id"] == known["_k"]).groupBy("_k").agg(F.min_by("_text", "_t").alias("_text"), F.first("_y").alias("_y"))
+    got = got.select("_text", "_y").mapInArrow(_features, "x array<double>, y int").toArrow()  # a row for each labelled id
     x = np.array(got["x"].to_pylist(), dtype=float).reshape(-1, len(FEATURES))
     y = got["y"].to_numpy().astype(float) if len(x) else np.zeros(0)
     order = np.lexsort(np.column_stack([x, y]).T) if len(x) else np.zeros(0, int)  # the same model whatever order rows come in

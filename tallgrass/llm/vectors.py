@@ -75,11 +75,20 @@ def _project(rounds: int, bits: int, width: float, seed: int):
 
 def _cosines(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a = [np.frombuffer(x) for x in batch["u_a"].to_pylist()]
-            b = [np.frombuffer(x) for x in batch["u_b"].to_pylist()]
-            cosine = np.array([math.fsum(x * y) for x, y in zip(a, b, strict=True)])
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(cosine >= least))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                batch = whole.slice(at, 2000)
+                a, b = ([np.frombuffer(x) for x in batch[c].to_pylist()] for c in ("u_a", "u_b"))
+                dims = np.array([len(x) for x in a])
+                on = np.zeros(len(a), bool)
+                for d in np.unique(dims):
+                    some = np.flatnonzero(dims == d)
+                    products = np.stack([a[i] for i in some]) * np.stack([b[i] for i in some])
+                    cosine = products.sum(1)
+                    for i in np.flatnonzero(np.abs(cosine - least) < 1e-9):  # so near that the order of summing could decide
+                        cosine[i] = math.fsum(products[i])
+                    on[some] = cosine >= least
+                yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(on))
 
     return run
 
@@ -115,6 +124,11 @@ def link_vectors(
     keyed = rows.filter("_key IS NOT NULL")
     classes = keyed.groupBy("_key").agg(F.min("_id").alias("rep"), F.count("*").alias("copies"), F.first("_label").alias("_label"), F.first("_unit").alias("_unit"))
     classes = stored(classes.withColumn("node", F.xxhash64("_key")), "classes")
+    # keys have 128 bits; different ones with one node, by chance n^2 / 2^65 of n, get their nodes from the key's end
+    twins = [r["node"] for r in classes.groupBy("node").count().filter("count > 1").select("node").collect()]
+    if twins:
+        other = F.xxhash64(F.substring("_key", 9, 8), F.substring("_key", 1, 8))
+        classes = stored(classes.withColumn("node", F.when(F.col("node").isin(twins), other).otherwise(F.col("node"))), "classes")
     largest = classes.groupBy("_label").count().agg(F.max("count")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, largest / cell_size))))
     rounds = rounds_for(hit_probability(min_cosine, bits), least_collisions, recall)

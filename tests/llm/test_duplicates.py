@@ -271,6 +271,14 @@ def test_vectors(spark):
     assert vectors.link_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_repeated_tied_and_with_other_columns(spark):
+    rows = [(1, [1.0, 0.0], 0), (2, [3.0, 4.0], 0), (2, [3.0, 4.0], 0), (2, [6.0, 8.0], 0), (3, [0.0, -1.0], 0), (None, [1.0, 0.0], 0), (4, [1.0, 0.0], 1), (5, [0.59, 0.81], 0)]
+    df = spark.createDataFrame([(*r, 7, b"k", 1.0) for r in rows], "vec_id long, embedding array<double>, label int, node long, _key binary, place double")
+    got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in vectors.link_vectors(df, min_cosine=0.6, recall=0.999999).collect())
+    # 1 and null are equal; they tie with both forms of 2 at 0.6, and 5 lies just below the limit to them
+    assert got == [(0, 4, 1, False), (1, 4, 1, True), *[(2, 5, 1, False)] * 3, (3, 0, 3, True), (4, 0, 4, True), (5, 3, 1, False)]
+
+
 def test_vector_rounds_reach_recall():
     for bits in (0, 5, 12):
         p = vectors.hit_probability(0.93, bits)

@@ -11,6 +11,7 @@ import pytest
 
 from tallgrass.llm import divergence, mixing_lm, textops, trees
 from .helpers import no_documents, odd_documents, words
+from .helpers import words as words_of
 
 
 def test_word_hashes_follow_words():
@@ -133,3 +134,91 @@ def test_forest_traversal_matches_nodes():
 def test_features_of_nothing(column):
     x = trees.features(column)
     assert x.shape == (len(column), len(trees.FEATURES)) and np.isfinite(x).all()
+
+
+def test_model_score_by_a_scalar_version(spark):
+    """Every bit of a text predicted one by one in plain Python, from the tables that training gave."""
+    r = random.Random(3)
+    vocab = [f"w{i}" for i in range(60)]
+    texts = [" ".join(r.choice(vocab[: r.choice([5, 60])]) for _ in range(120)) for _ in range(40)]
+    asked = ["w1 w2 w2 w2 never Seen w59, w3", "", "W1\tw1 w4 élan"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    _, lexicon, lex, model = mixing_lm.train(docs, "text")
+    words, letters = (mixing_lm.Mixer.ready(*x) for x in model.value)
+    mask = (1 << 64) - 1
+    odd, spread = int(mixing_lm._ODD), 0xD6E8FEB86659FD93
+
+    def mix(h):
+        h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        h = (h ^ (h >> 27)) * 0x94D049BB133111EB & mask
+        return h ^ (h >> 31)
+
+    def bit_log(m, contexts, node, bit, depth):
+        x = []
+        for c, b, table in zip(contexts, m.bits, m.ratio):
+            slot = ((c + (node >> 3) * spread) * odd & mask) >> (64 - b)
+            x.append(0.1 * float(table[slot ^ (node & 7)]))
+        sure = [min(int(min(abs(x[j]) * 0.7, 3)), 3) for j in (1, 2)]
+        s = max(-12.0, min(12.0, sum(w * v for w, v in zip(m.weights[sure[0] * 4 + sure[1]], x))))
+        place = round((s + 12) * 32 / 24)
+        centre = 1 / (1 + math.exp(-(-12 + 24 * place / 32)))
+        seen = m.refined[min(depth, mixing_lm.DEPTHS - 1), place]
+        p = (1 / (1 + math.exp(-s)) + (seen[1] + 20 * centre) / (seen.sum() + 20)) / 2
+        return math.log(p if bit else 1 - p)
+
+    def path(code, symbol):
+        a = int(code.start[symbol])
+        return [(int(code.node[a + k]), int(code.bit[a + k]), k) for k in range(int(code.length[symbol]))]
+
+    def hashed(word):
+        a = np.frombuffer(word, np.uint8)
+        with np.errstate(over="ignore"):
+            return int(mixing_lm.span_hash(mixing_lm.prefix_hash(a), np.array([0]), np.array([len(a)]))[0])
+
+    def score(text):
+        tokens = [w.encode() for w in words_of(text)]
+        symbol = []
+        for w in tokens:
+            at = int(np.searchsorted(lex.words, np.uint64(hashed(w))))
+            known = at < len(lex.words) and int(lex.words[at]) == hashed(w)
+            symbol.append((int(lex.symbol[at]), int(lex.count[at])) if known else (1, 0))
+        total, runs, topic = 0.0, [], 0
+        for i in range(len(tokens) + 1):
+            end = i == len(tokens)
+            back = lambda k: hashed(tokens[i - k]) if i >= k else 0
+            tail = lambda k: tokens[i - k][-1] if i >= k else 0
+            if i and 2 <= symbol[i - 1][0] < 66:
+                topic = symbol[i - 1][0]
+            run = (runs[-1] if runs else 0) * 2 + (runs[-2] if len(runs) > 1 else 0)
+            style = tail(1) * 256 + tail(2)
+            contexts = [run, mix((back(1) + 1) & mask), mix((back(1) * 3 + mix((back(2) + 2) & mask)) & mask), mix((back(2) + 5) & mask), mix((topic * 65536 + style + 7) & mask)]
+            same = int(not end and i > 0 and tokens[i] == tokens[i - 1])
+            runs.append(same)
+            total += bit_log(words, contexts, mixing_lm.REPEAT, same, mixing_lm.DEPTHS - 1)
+            if same:
+                continue
+            s, c = (0, 0) if end else symbol[i]
+            for node, bit, depth in path(lex.code, s):
+                total += bit_log(words, contexts, node, bit, min(depth, mixing_lm.DEPTHS - 2))
+            if s != 1:
+                continue
+            new = (lex.once + 1) / (lex.outside + 2)
+            if c:
+                total += math.log((1 - new) * c / max(lex.outside, 1))
+                continue
+            total += math.log(new)
+            w = tokens[i]
+            for k in range(len(w) + 1):
+                ch = [w[k - j] + 1 if k >= j else 0 for j in (1, 2, 3, 4)]
+                three = (ch[0] * 512 + ch[1]) * 512 + ch[2]
+                ctx = [mix(ch[0] + 11), mix(ch[0] * 512 + ch[1] + 13), mix(three + 17), mix(three * 512 + ch[3] + 19)]
+                for node, bit, depth in path(lex.letters, w[k] if k < len(w) else 256):
+                    total += bit_log(letters, ctx, node, bit, depth)
+        return total / math.log(10)
+
+    n = len(asked)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([0] * n), pa.array([True] * n), pa.array(asked)], ["_id", "_t", "_held", "_text"])
+    out = next(mixing_lm._scored(lexicon, model)(iter([batch]))).to_pylist()
+    for text, row in zip(asked, out, strict=True):
+        got = row["model"] + sum(x for x, fresh in zip(row["spelled"], row["fresh"], strict=True) if fresh)
+        assert abs(got - score(text)) < 1e-4 * max(1, abs(got)), (text, got, score(text))
