@@ -11,25 +11,26 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import anchors
+from .anchors import GRAM, anchors
 from .common import discard, same, stored, text_tag
-from .filters import has_bits, key_filter, twice_filter
+from .filters import has_bits, twice_filter
 from .textops import flat, ints, mix, pieces, prefix_hash, span_hash
 
 #: Bytes of text that a task looks at together, and suffixes in a new array of the index.
 CHUNK = 1 << 18
 BATCH = 30_000
 #: Surroundings of one gram up to which one task takes them all; those of other grams are dealt out by window.
-MANY = 64
-#: A place packs the spread of its windows in the last bits.
-SPREAD = 8
+MANY = 1024
+#: Bytes of surroundings for each task of the index.
+TASK_BYTES = 1 << 26
+_SPANS = "_id long, _t long, start long, end long"
+_CONTENTS = "gram long, _id long, _t long, low long, end long, bytes binary"
 
 
 class SuffixFamily:
-    """Sorted arrays of suffixes (their first ``window`` bytes), the larger ones merged from smaller of equal rank."""
+    """Sorted arrays of suffixes, cut or padded to one width; the larger arrays are merged from smaller of equal rank."""
 
-    def __init__(self, window: int):
-        self.kind = f"S{window}"
+    def __init__(self):
         self.levels: list[np.ndarray | None] = []
 
     def add(self, suffixes: np.ndarray) -> np.ndarray:
@@ -77,64 +78,67 @@ def _grams(window: int):
     return run
 
 
-def _found(batch: pa.RecordBatch, window: int, bits: np.ndarray):
-    """Anchors of a chunk whose grams are in the filter, with the hash of what their windows cover."""
-    data, off = flat(batch["_text"])
-    row, at, low, high, gram = anchors(data, off, window)
-    on = has_bits(bits, gram)
-    row, at, low, high, gram = row[on], at[on], low[on], high[on], gram[on]
-    around = mix(span_hash(prefix_hash(data), low, high + window) + ((at - low) << SPREAD | (high - low)).astype(np.uint64))
-    same = np.zeros(len(row), bool)  # as the anchor before it in the text: so are all anchors of a periodic text but its first and last
-    same[1:] = (row[1:] == row[:-1]) & (gram[1:] == gram[:-1]) & (around[1:] == around[:-1])
-    return data, off, row, at, low, high, gram, around, same
-
-
 def _ids(batch: pa.RecordBatch, row: np.ndarray) -> list[pa.Array]:
     return [batch["_id"].take(pa.array(row)), batch["_t"].take(pa.array(row))]
 
 
-def _places(window: int, repeated):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in pieces(batches, "_text", CHUNK):
-                _, off, row, at, low, high, gram, around, same = _found(batch, window, repeated.value)
-                runs = _merged_rows(row[same], low[same] - off[row[same]], high[same] - off[row[same]] + window)
-                none = pa.nulls(len(runs[0]), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, *_ids(batch, runs[0]), ints(runs[1]), ints(runs[2])], ["gram", "around", "_id", "_t", "place", "end"])
-                row, low, high, gram, around = (x[~same] for x in (row, low, high, gram, around))
-                place = (low - off[row]) << SPREAD | (high - low)
-                yield pa.RecordBatch.from_arrays([ints(gram), ints(around), *_ids(batch, row), ints(place), pa.nulls(len(row), pa.int64())], ["gram", "around", "_id", "_t", "place", "end"])
+def _suffixes(data: np.ndarray, start: np.ndarray, end: np.ndarray, window: int) -> np.ndarray:
+    """data[start:end] each as a string of one width: its length over the window, its bytes, zeros."""
+    wide = 2 * window - GRAM
+    out = np.zeros((len(start), wide + 2), np.uint8)
+    extra = end - start - window
+    out[:, 0], out[:, 1] = extra >> 8, extra & 255
+    at = np.minimum(start[:, None] + np.arange(wide), len(data) - 1)
+    out[:, 2:] = data[at] * (np.arange(wide) < (end - start)[:, None])
+    return out.view(f"S{wide + 2}").ravel()
+
+
+def _repeats_last(data: np.ndarray, row: np.ndarray, low: np.ndarray, high: np.ndarray, window: int) -> np.ndarray:
+    """Whether an anchor's surroundings are those of the anchor before it in the text, as in periodic texts."""
+    ahead = np.arange(0, window, 7)
+    same = np.zeros(len(row), bool)
+    same[1:] = (row[1:] == row[:-1]) & (high[1:] - low[1:] == high[:-1] - low[:-1])
+    for a in range(0, len(row), BATCH):  # by some bytes first, then by all
+        on = np.flatnonzero(same[a : a + BATCH]) + a
+        on = on[(data[low[on, None] + ahead] == data[low[on - 1, None] + ahead]).all(1)]
+        equal = _suffixes(data, low[on], high[on] + window, window) == _suffixes(data, low[on - 1], high[on - 1] + window, window)
+        same[a : a + BATCH] = False
+        same[on[equal]] = True
+    return same
 
-    return run
 
+def _contents(window: int, repeated):
+    """Surroundings of the anchors whose grams are in the filter that this task, in order of the documents, sees first; the others as spans."""
 
-def _contents(window: int, repeated, edges):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family = SuffixFamily()
+        last = None
         with np.errstate(over="ignore"):
             for batch in pieces(batches, "_text", CHUNK):
-                data, off, row, at, low, high, gram, around, same = _found(batch, window, repeated.value)
-                row, low, high, gram, around = (x[~same] for x in (row, low, high, gram, around))
-                t = batch["_t"].to_numpy().astype(np.int64).view(np.uint64)[row] if len(row) else np.zeros(0, np.uint64)
-                on = has_bits(edges.value, edge_key(around, t, low - off[row]))
+                keys = list(zip(batch["_id"].to_pylist(), batch["_t"].to_pylist(), strict=True))
+                again = np.array([k == m for k, m in zip(keys, [last, *keys[:-1]], strict=True)])  # a repeated row is one document
+                last = keys[-1]
+                batch = batch.filter(pa.array(~again))
+                data, off = flat(batch["_text"])
+                row, _, low, high, gram = anchors(data, off, window)
+                on = has_bits(repeated.value, gram)
                 row, low, high, gram = row[on], low[on], high[on], gram[on]
+                seen = _repeats_last(data, row, low, high, window)
+                ask = np.flatnonzero(~seen)
+                for a in range(0, len(ask), BATCH):
+                    some = ask[a : a + BATCH]
+                    seen[some] = family.add(_suffixes(data, low[some], high[some] + window, window))
+                spans = _merged_rows(row[seen], low[seen] - off[row[seen]], high[seen] - off[row[seen]] + window)
+                none = len(spans[0])
+                yield pa.RecordBatch.from_arrays([pa.nulls(none, pa.int64()), *_ids(batch, spans[0]), ints(spans[1]), ints(spans[2]), pa.nulls(none, pa.binary())], ["gram", "_id", "_t", "low", "end", "bytes"])
+                row, low, high, gram = row[~seen], low[~seen], high[~seen], gram[~seen]
                 raw = data.tobytes()
                 texts = pa.array([raw[a : b + window] for a, b in zip(low.tolist(), high.tolist(), strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([ints(gram), *_ids(batch, row), ints(low - off[row]), texts], ["gram", "_id", "_t", "low", "bytes"])
+                yield pa.RecordBatch.from_arrays([ints(gram), *_ids(batch, row), ints(low - off[row]), pa.nulls(len(row), pa.int64()), texts], ["gram", "_id", "_t", "low", "end", "bytes"])
 
     return run
 
 
-def edge_key(around: np.ndarray, tag: np.ndarray, low: np.ndarray) -> np.ndarray:
-    return mix(around + mix(tag + low.astype(np.uint64)))
-
-
-def _edge_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            around, tag, place = (batch[c].to_numpy().astype(np.int64) for c in ("around", "_t", "place"))
-            yield pa.RecordBatch.from_arrays([ints(edge_key(around.view(np.uint64), tag.view(np.uint64), place >> SPREAD))], ["key"])
-
-
 def _windows(batch: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All windows of a batch of contents: as fixed-length bytes, their row, and their start in the row's document."""
     data, off = flat(batch["bytes"])
@@ -157,27 +161,53 @@ def _runs(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, window: int
     return pa.RecordBatch.from_arrays([*_ids(batch, row[first]), ints(start[first]), ints(start[last] + window)], ["_id", "_t", "start", "end"])
 
 
-def _once(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Batches of some BATCH windows, without rows of the same place as the row before: what repeated rows of a document send twice."""
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted batches without rows of the same place as the row before: what repeated rows of a document send twice."""
     last = None
+    for batch in batches:
+        places = list(zip(*(batch[c].to_pylist() for c in ("_id", "_t", "low")), strict=True))
+        new = [p != q for p, q in zip(places, [last, *places[:-1]], strict=True)]
+        last = places[-1] if places else last
+        yield batch if all(new) else batch.filter(pa.array(new))
+
+
+def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Batches of some BATCH windows each."""
     for whole in batches:
         held = np.cumsum(pc.binary_length(whole["bytes"]).to_numpy(zero_copy_only=False).astype(np.int64) - window + 1)
         cuts = np.unique(np.searchsorted(held, np.arange(BATCH, int(held[-1]) if len(held) else 0, BATCH), side="right"))
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), whole.num_rows], strict=True):
-            batch = whole.slice(a, b - a)
-            places = list(zip(*(batch[c].to_pylist() for c in ("_id", "_t", "low")), strict=True))
-            new = [p != q for p, q in zip(places, [last, *places[:-1]], strict=True)]
-            if any(new):
-                last = places[-1]
-                yield batch if all(new) else batch.filter(pa.array(new))
+            if b > a:
+                yield whole.slice(a, b - a)
 
 
 def _scan(window: int):
+    """Spans of the windows that came before, of all surroundings of some grams in order of the documents.
+
+    Surroundings as wholes go through one family. Of those that came first, grams that have several are cut into
+    windows, which go through another, again in order.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = SuffixFamily(window)
-        for batch in _once(batches, window):
+        whole, single = SuffixFamily(), SuffixFamily()
+        first: list[pa.RecordBatch] = []  # bounded by TASK_BYTES
+        for some in _once(batches):
+            for a in range(0, some.num_rows, BATCH):
+                batch = some.slice(a, BATCH)
+                data, off = flat(batch["bytes"])
+                seen = whole.add(_suffixes(data, off[:-1], off[1:], window))
+                on = np.flatnonzero(seen)
+                low = batch["low"].to_numpy()[on]
+                yield pa.RecordBatch.from_arrays([*_ids(batch, on), pa.array(low), pa.array(low + np.diff(off)[on])], ["_id", "_t", "start", "end"])
+                first.append(batch.filter(pa.array(~seen)))
+        if not first:
+            return
+        table = pa.Table.from_batches(first).combine_chunks()
+        _, at, n = np.unique(table["gram"].to_numpy(), return_inverse=True, return_counts=True)
+        several = table.filter(pa.array(n[at] > 1)).combine_chunks()
+        for batch in _cut(iter(several.to_batches()), window):
             suffixes, row, start = _windows(batch, window)
-            seen = family.add(suffixes)
+            seen = single.add(suffixes)
             yield _runs(batch, row[seen], start[seen], window)
 
     return run
@@ -187,9 +217,9 @@ def _single_windows(window: int):
     """What a task of hot surroundings finds by a family of its own, as spans, and the windows that it saw first, as lists of starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = SuffixFamily(window)
+        family = SuffixFamily()
         with np.errstate(over="ignore"):
-            for batch in _once(batches, window):
+            for batch in _cut(_once(batches), window):
                 suffixes, row, start = _windows(batch, window)
                 seen = family.add(suffixes)
                 spans = _runs(batch, row[seen], start[seen], window)
@@ -296,8 +326,10 @@ def _in_order(rows: DataFrame) -> DataFrame:
 
 def scanned(contents: DataFrame, window: int) -> DataFrame:
     """Spans of the windows that came before, by families of suffix arrays, one for each share of the grams."""
-    dealt = contents.repartition(int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions")), "gram")
-    return _in_order(dealt).mapInArrow(_scan(window), "_id long, _t long, start long, end long")
+    spark = contents.sparkSession
+    size = contents.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES)
+    return _in_order(contents.repartition(tasks, "gram")).mapInArrow(_scan(window), _SPANS)
 
 
 def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = 100) -> DataFrame:
@@ -305,55 +337,43 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
 
     Texts are whole and as UTF-8; strings never cross texts; the order is (doc_id with null last, text tag, position).
 
-    Every window picks an anchor by its content, so equal windows pick equal grams at equal places. Anchors whose gram
-    stands once in the corpus are left out. Equal surroundings of an anchor are one suffix with all its places, found
-    by a group with partial aggregates: the first place goes on, at the others all windows came before. Where a gram
-    has several surroundings, their bytes go, in order of the documents, to a logarithmic family of suffix arrays: a
-    task sorts each batch into an array, scans it against the levels, and merges levels of equal size. Grams with more
-    than MANY surroundings, which would make a task grow, are taken by families twice: where they stand, and then,
-    for windows that several tasks hold, dealt out by the hash of the window. What repeats the anchor before it in its
-    own text, as in periodic texts, is a span at once.
+    Every window picks an anchor by its content, so equal windows pick equal grams at equal places, and the text around
+    an anchor holds all windows that pick it. Anchors whose gram stands once in the corpus are left out by a filter;
+    the others are the suffixes of an index, a logarithmic family of suffix arrays: a batch of suffixes, in order of
+    the documents, is sorted into an array, scanned against the levels for those that came before, and merged with
+    levels of equal size. First each task asks a family of its own about the texts it reads, so that of copies in
+    thousands only one a task goes on; then suffixes are dealt out by their grams and asked again. Of those that came
+    first, grams with several surroundings are cut into windows, which go through a family in the same way; these find
+    the edges of repeats. Grams with more than MANY surroundings, which would make a task grow, are cut into windows
+    where they stand, and the windows that several tasks hold are dealt out by their own hash. All decisions compare
+    bytes; hashes only deal and filter.
 
     Returns doc_id, _t (tag of the text), n_bytes, n_removed, n_spans, kept_sha256 of the bytes left, and removed, the
     maximal spans. Null and empty texts, and texts under ``window`` bytes, keep all. Equal rows (same id and text) are
     one document: each gets the same result. An empty table gives no rows; other columns are not read.
     """
-    if not 32 <= window < 32 + (1 << SPREAD):
-        raise ValueError("the window must have 32 to 287 bytes")
+    if window < GRAM:
+        raise ValueError(f"the window must have {GRAM} bytes or more")
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
     repeated = spark.sparkContext.broadcast(twice_filter(rows.select("_text").mapInArrow(_grams(window), "grams array<long>"), "grams", 3 * size // window))
-    written = stored(rows.mapInArrow(_places(window, repeated), "gram long, around long, _id long, _t long, place long, end long"), "anchors")
-    found = written.filter("gram IS NOT NULL").drop("end")
-    rank = F.struct(F.col("_id").isNull().alias("n"), "_id", "_t", "place")
-    firsts = found.groupBy("gram", "around").agg(F.min(rank).alias("first"), F.count("*").alias("c"))
-    firsts = stored(firsts.select("gram", "around", "first._id", "first._t", "first.place", "c"), "firsts")
-    told = firsts.filter("c > 1").drop("c").toDF("gram", "around", "f_id", "f_t", "f_place")
-    later = ~(F.col("_id").eqNullSafe(F.col("f_id")) & (F.col("_t") == F.col("f_t")) & (F.col("place") == F.col("f_place")))
-    low = F.shiftright("place", SPREAD)
-    inner = found.join(told, ["gram", "around"]).filter(later).select("_id", "_t", low.alias("start"), (low + F.col("place").bitwiseAND(F.lit((1 << SPREAD) - 1)) + window).alias("end"))
-    inner = inner.union(written.filter("gram IS NULL").select("_id", "_t", F.col("place").alias("start"), "end"))
-    kinds = stored(firsts.groupBy("gram").count().filter("count > 1"), "kinds")
-    edge = firsts.join(kinds.select("gram"), "gram", "left_semi")
-    keys = stored(edge.select("around", "_t", "place").mapInArrow(_edge_keys, "key long"), "edge-keys")
-    edges = spark.sparkContext.broadcast(key_filter(keys))
-    contents = stored(rows.mapInArrow(_contents(window, repeated, edges), "gram long, _id long, _t long, low long, bytes binary"), "edges")
-    edges.destroy()
+    in_order = rows.sortWithinPartitions(F.col("_id").asc_nulls_last(), "_t")
+    found = stored(in_order.mapInArrow(_contents(window, repeated), _CONTENTS), "surroundings")
     repeated.destroy()
-    hot = stored(kinds.filter(F.col("count") > MANY).select("gram"), "hot")
-    outer = scanned(contents.join(hot, "gram", "left_anti"), window)
+    contents = found.filter("gram IS NOT NULL").drop("end")
+    hot = stored(contents.groupBy("gram").count().filter(F.col("count") > MANY).select("gram"), "hot")
+    cold = scanned(contents.join(hot, "gram", "left_anti"), window)
     single = _in_order(contents.join(hot, "gram", "left_semi"))
-    single = stored(single.mapInArrow(_single_windows(window), "_id long, _t long, start long, end long, keys array<long>, starts array<long>, bytes binary"), "hot-windows")
+    single = stored(single.mapInArrow(_single_windows(window), f"{_SPANS}, keys array<long>, starts array<long>, bytes binary"), "hot-windows")
     lists = single.filter("keys IS NOT NULL")
-    total = lists.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
-    twice = spark.sparkContext.broadcast(twice_filter(lists, "keys", total))
+    twice = spark.sparkContext.broadcast(twice_filter(lists, "keys", lists.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]))
     dealt = lists.select("_id", "_t", "start", "keys", "starts", "bytes").mapInArrow(_dealt_windows(window, twice), "gram long, _id long, _t long, low long, bytes binary")
-    again = scanned(dealt, window).union(single.filter("keys IS NULL").select("_id", "_t", "start", "end"))
-    spans = inner.union(outer).union(again).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_id", "_t", F.shiftright("start", 20)).sortWithinPartitions("_id", "_t", "start")
+    local = found.filter("gram IS NULL").select("_id", "_t", F.col("low").alias("start"), "end").union(single.filter("keys IS NULL").select("_id", "_t", "start", "end"))
+    spans = cold.union(scanned(dealt, window)).union(local).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "_id", "_t", F.shiftright("start", 20)).sortWithinPartitions("_id", "_t", "start")
     spans = spans.mapInArrow(_joined_spans, "_id long, _t long, spans array<struct<start:long,end:long>>")
     spans = stored(spans.groupBy("_id", "_t").agg(F.flatten(F.collect_list("spans")).alias("_spans")), "spans")
     twice.destroy()
-    discard(written, firsts, kinds, keys, contents, hot, single)
+    discard(found, hot, single)
     joined = rows.join(spans, same(rows, spans, "_id", "_t"), "left").select(rows["_id"], rows["_t"], "_text", "_spans")
     return joined.mapInArrow(_removed, "doc_id long, _t long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,end:long>>")

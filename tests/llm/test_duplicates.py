@@ -123,7 +123,7 @@ def test_substrings_null_ids_and_nothing(spark):
     got = {r["doc_id"]: r["n_removed"] for r in substrings.dedup_substrings(docs).collect()}
     assert got == {5: 0, None: 400}
     with pytest.raises(ValueError):
-        substrings.dedup_substrings(docs, window=300)
+        substrings.dedup_substrings(docs, window=20)
     assert substrings.dedup_substrings(no_documents(spark)).count() == 0
 
 
@@ -148,12 +148,19 @@ def test_periodic_text_makes_few_rows():
     text = "." * 100_000
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), pa.array([text])], ["_id", "_t", "_text"])
     all_on = type("", (), {"value": np.full(1 << 13, 255, np.uint8)})
-    assert sum(b.num_rows for b in substrings._places(100, all_on)(iter([batch]))) < 10
+    assert sum(b.num_rows for b in substrings._contents(100, all_on)(iter([batch]))) < 10
+
+
+def test_nothing_goes_without_the_index(spark, monkeypatch):
+    docs, _ = odd_documents(spark)
+    monkeypatch.setattr(substrings.SuffixFamily, "add", lambda self, suffixes: np.zeros(len(suffixes), bool))
+    got = substrings.dedup_substrings(docs.filter("doc_id NOT IN (6, 7)")).agg({"n_removed": "sum"}).first()[0]  # but periodic texts
+    assert got == 0
 
 
 def test_suffix_family_tells_what_came_before():
     r = np.random.default_rng(0)
-    family, seen = substrings.SuffixFamily(4), set()
+    family, seen = substrings.SuffixFamily(), set()
     for _ in range(30):
         batch = np.array([bytes(x) for x in r.integers(97, 100, (200, 4)).astype(np.uint8)], "S4")
         want = []
