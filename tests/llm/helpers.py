@@ -52,3 +52,28 @@ def components(n, links):
         a, b = find(a), find(b)
         up[max(a, b)] = min(a, b)
     return [find(i) for i in range(n)]
+
+
+def brute_units(rows, unit, min_words, min_run, window=0):
+    """Words left by brute force: units seen before in runs of ``min_run`` words, and windows of words seen before."""
+    stop = {"line": r"\n", "paragraph": r"\n[ \t-\r]*\n", "clause": r"\n|(?<=[.!?,;:])(?=[ \t-\r])"}[unit]
+    windows, seen, out = {}, set(), {}
+    for key, text in rows:
+        w, gone, at, run = words(text), set(), 0, []
+        for part in [*re.split(stop, text or ""), None]:
+            mine = tuple(words(part)) if part is not None else ()
+            if part is None or len(mine) >= min_words and mine not in seen:
+                if sum(len(r) for r, old in run if old) >= min_run:
+                    gone |= set(range(run[0][0][0], run[-1][0][-1] + 1))
+                run = []
+            elif len(mine) >= min_words:
+                run.append((range(at, at + len(mine)), True))
+            if len(mine) >= min_words:
+                seen.add(mine)
+            at += len(mine)
+        for p in range(len(w) - window + 1 if window else 0):
+            f = windows.setdefault(tuple(w[p : p + window]), (key, p))
+            if f != (key, p):
+                gone |= set(range(max(p, f[1] + window) if f[0] == key else p, p + window))
+        out[key] = [x for i, x in enumerate(w) if i not in gone]
+    return out

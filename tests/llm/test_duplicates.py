@@ -2,14 +2,13 @@
 
 import hashlib
 import random
-import re
 
 import numpy as np
 import pytest
 
 from tallgrass.llm import components, lines, setjoin, substrings, vectors
 from .helpers import components as brute_components
-from .helpers import no_documents, odd_documents, words
+from .helpers import brute_units, no_documents, odd_documents, words
 
 
 def _sets(rows, k):
@@ -187,31 +186,6 @@ def test_anchors_agree_for_equal_windows():
     assert sum(high - low + 1) == sum(max(0, len(t) - 99) for t in texts)
 
 
-def _units(rows, unit, min_words, min_run, window=0):
-    """Words left by brute force: units seen before in runs of ``min_run`` words, and windows of words seen before."""
-    stop = {"line": r"\n", "paragraph": r"\n[ \t-\r]*\n", "clause": r"\n|(?<=[.!?,;:])(?=[ \t-\r])"}[unit]
-    windows, seen, out = {}, set(), {}
-    for key, text in rows:
-        w, gone, at, run = words(text), set(), 0, []
-        for part in [*re.split(stop, text or ""), None]:
-            mine = tuple(words(part)) if part is not None else ()
-            if part is None or len(mine) >= min_words and mine not in seen:
-                if sum(len(r) for r, old in run if old) >= min_run:
-                    gone |= set(range(run[0][0][0], run[-1][0][-1] + 1))
-                run = []
-            elif len(mine) >= min_words:
-                run.append((range(at, at + len(mine)), True))
-            if len(mine) >= min_words:
-                seen.add(mine)
-            at += len(mine)
-        for p in range(len(w) - window + 1 if window else 0):
-            f = windows.setdefault(tuple(w[p : p + window]), (key, p))
-            if f != (key, p):
-                gone |= set(range(max(p, f[1] + window) if f[0] == key else p, p + window))
-        out[key] = [x for i, x in enumerate(w) if i not in gone]
-    return out
-
-
 @pytest.mark.parametrize("options", [{"unit": "clause"}, {"unit": "line", "min_words": 5, "min_run": 5}, {"unit": "paragraph", "min_run": 6}, {"unit": "clause", "window": 50}, {"unit": "clause", "window": 20}])
 def test_units(spark, options):
     options = {"min_words": 3, "min_run": 25, "window": 0} | options
@@ -222,7 +196,7 @@ def test_units(spark, options):
         a = r.randrange(50)
         rows.append((base + i, f"own{i} word{i}, " + r.choice([" ", "\n", "\n\n", "  \n "]).join(clauses[a : a + r.randrange(2, 9)]) + f" then {i}.\nNext {i}", *rows[9][2:]))
     docs = spark.createDataFrame(rows, docs.schema)
-    want = _units(sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: r[0]), **options)
+    want = brute_units(sorted({r[:2] for r in rows if r[0] is not None}, key=lambda r: r[0]), **options)
     got = lines.dedup_units(docs, **options).toPandas()
     text = {r[0]: r[1] or "" for r in rows}
     assert len(got) == len(rows)

@@ -3,16 +3,17 @@
 import hashlib
 import io
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallgrass.llm import archives, mixing, packing
+from tallgrass.llm import archives, mixing, packing, trees
 from tallgrass.llm.common import with_copies
 from tallgrass.llm.queries import tokenizer_file
 from tallgrass.llm.textops import flat
-from .helpers import no_documents, odd_documents, words
+from .helpers import brute_units, components, no_documents, odd_documents, words
 
 
 def test_packing_round_trip(spark):
@@ -180,6 +181,48 @@ def test_pipeline(spark):
     assert set(out.doc_id) == ids and out.groupby("sequence_id").length.sum().max() <= 4096
 
 
+def test_pipeline_by_brute_force(spark):
+    """Every stage on what the one before kept, in plain Python; the mixture's copies by its own operator, which has SQL."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    stages = [f for _, f in corpus_pipeline.STAGES]
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+
+    forest = trees.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    score = dict(zip(texts, forest.score(trees.features(pa.array(list(texts.values())))), strict=True))
+    good = stages[0](spark, docs, sf)
+    assert {r["doc_id"] for r in good.select("doc_id").collect()} == {i for i, x in score.items() if x >= 0.3}
+
+    ids = sorted(i for i, x in score.items() if x >= 0.3)
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()) for w in (words(texts[i]) for i in ids)]
+    links = [(a, b) for b in range(len(ids)) for a in range(b) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    root = components(len(ids), links)
+    kept = [i for k, i in enumerate(ids) if root[k] == k]
+    single = stages[1](spark, good, sf)
+    assert sorted(r["doc_id"] for r in single.select("doc_id").collect()) == kept
+
+    left = brute_units([(i, texts[i]) for i in kept], "clause", 3, 25, 50)
+    lines = stages[2](spark, single, sf)
+    rows = lines.collect()
+    assert {r["doc_id"]: words(r["text"]) for r in rows} == {i: w for i, w in left.items() if w or not words(texts[i])}
+    assert all(r["n_chars"] == len(r["text"]) for r in rows)
+
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(lines).collect() if r["copies"]}
+    mixed = [r["doc_id"] for r in stages[3](spark, lines, sf).collect()]
+    assert Counter(mixed) == copies
+
+    from tokenizers import Tokenizer
+
+    tk, text = Tokenizer.from_file(tokenizer_file()), {r["doc_id"]: r["text"] for r in rows}
+    want = Counter((i, a, min(4096, n - a)) for i in mixed for n in [len(tk.encode(text[i], add_special_tokens=False).ids) + 1] for a in range(0, n, 4096))
+    packed = corpus_pipeline.run(spark, sf).toPandas()
+    assert Counter(zip(packed.doc_id, packed.start, packed.length)) == want
+    for _, x in packed.sort_values("offset").groupby("sequence_id"):
+        assert x.offset.tolist() == [0, *x.length.cumsum().tolist()[:-1]] and x.length.sum() <= 4096
+
+
 def test_pipeline_on_odd_rows(spark, tmp_path):
     import corpus_pipeline
 
@@ -192,3 +235,8 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         assert d.columns == docs.columns
         d.count()
     assert corpus_pipeline.STAGES[-1][1](spark, d, str(tmp_path)).count() >= 0
+    none = no_documents(spark)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        none = stage(spark, none, str(tmp_path))
+        assert none.columns == docs.columns and none.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, none, str(tmp_path)).count() == 0
