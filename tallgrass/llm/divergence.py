@@ -25,6 +25,8 @@ WINDOW = 5
 #: Texts below these sizes are not judged by the histogram.
 MIN_CHARS = 150
 MIN_WORDS = 40
+#: Languages with fewer documents that pass the base rules have no reference.
+MIN_REFERENCE = 20
 #: Largest Jensen-Shannon distances (square root of the divergence in bits) to the reference of the language.
 MAX_CLASS_DISTANCE = 0.2
 MAX_WORD_DISTANCE = 0.245
@@ -111,7 +113,8 @@ def judge(
     all words. A document is dropped if it fails a base rule (fewer than 10 words; over 20 % of its words in 5-word
     windows that repeat), or if a Jensen-Shannon distance to the reference passes its limit. Texts under MIN_CHARS or
     MIN_WORDS are too short for the class or the word histogram and are not judged by it; neither is a document whose
-    language has no reference.
+    language has no reference, for which MIN_REFERENCE documents must pass the base rules. The reference is the corpus
+    itself, so the rule finds what is unlike most texts of its language: where most are junk, junk is what it keeps.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance,
     word_distance (null where not judged) and kept. Null and empty texts have no words and fail the base rule. Unknown
@@ -122,7 +125,7 @@ def judge(
     failed = (F.col("n_words") < BASE_MIN_WORDS) | (100 * F.col("n_repeat_words") > BASE_MAX_REPEATED * F.col("n_words"))
     classes, words = list(CLASSES), [f"word_{k}" for k in range(len(COMMON_WORDS[""]))]
     counts = counts.withColumn("base_failed", failed).withColumn("white", F.col("chars") - F.col("word_chars"))
-    sums = counts.filter(~failed).groupBy(F.col("_lang").alias("_k")).agg(*[F.sum(c).alias(f"r_{c}") for c in ("chars", "n_words", "white", *classes, *words)])
+    sums = counts.filter(~failed).groupBy(F.col("_lang").alias("_k")).agg(F.count("*").alias("_n"), *[F.sum(c).alias(f"r_{c}") for c in ("chars", "n_words", "white", *classes, *words)]).filter(F.col("_n") >= MIN_REFERENCE)
     shares = lambda names, total, pre: _shares([F.col(pre + c) for c in names], F.col(pre + total))
     reference = stored(sums.select("_k", shares(["white", *classes], "chars", "r_").alias("r_classes"), shares(words, "n_words", "r_").alias("r_words")), "reference")
     told = counts.join(reference, counts["_lang"] == reference["_k"], "left").withColumns({"p_classes": shares(["white", *classes], "chars", ""), "p_words": shares(words, "n_words", "")})
@@ -157,7 +160,7 @@ n AS (SELECT w.r, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(a
              {", ".join(f"len(list_filter(w, lambda x: x = c[{k + 1}])) AS word_{k}" for k in range(len(words)))}
       FROM w LEFT JOIN q ON q.r = w.r),
 b AS (SELECT *, n_words < {BASE_MIN_WORDS} OR 100 * n_repeat_words > {BASE_MAX_REPEATED} * n_words AS base_failed FROM n),
-s AS (SELECT lang AS k, {", ".join(f"CAST(sum({c}) AS BIGINT) AS r_{c}" for c in ("chars", "n_words", *names, *words))} FROM b WHERE NOT base_failed GROUP BY lang),
+s AS (SELECT lang AS k, {", ".join(f"CAST(sum({c}) AS BIGINT) AS r_{c}" for c in ("chars", "n_words", *names, *words))} FROM b WHERE NOT base_failed GROUP BY lang HAVING count(*) >= {MIN_REFERENCE}),
 h AS (SELECT b.*, {share(names, "chars", "")} AS pc, {share(words, "n_words", "")} AS pw, {share(names, "chars", "r_")} AS rc, {share(words, "n_words", "r_")} AS rw, k FROM b LEFT JOIN s ON b.lang = s.k),
 j AS (SELECT *, CASE WHEN k IS NOT NULL AND chars >= {MIN_CHARS} THEN {distance("pc", "rc")} END AS cd, CASE WHEN k IS NOT NULL AND n_words >= {MIN_WORDS} THEN {distance("pw", "rw")} END AS wd FROM h)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
