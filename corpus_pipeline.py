@@ -11,12 +11,20 @@ from tallgrass.llm.queries import tokenizer_file
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labels, does not reject."""
+    """Documents that the classifier, fitted on the labels, scores 0.3 or more.
+
+    Null texts are scored as empty ones; null ids, repeated rows and other columns stay as they are; without labels
+    all documents stay; an empty table gives an empty table.
+    """
     return trees.keep_scored(docs, trees.train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies (five words, 0.8): that with the smallest id, null last.
+
+    Texts without words are groups of their own but for equal rows, of which one stays; ids that repeat with different
+    texts are different documents; an empty table gives an empty table.
+    """
     return setjoin.one_of_each_group(docs)
 
 
@@ -29,13 +37,17 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mixture of its source takes it."""
+    """Every document as often as the mixture of its source takes it.
+
+    Documents without words have no size and are not taken; a null source is a source; equal rows share their copies;
+    an empty table gives an empty table.
+    """
     chosen = mixing.mix_sources(docs).filter("copies > 0")
     return with_copies(docs, chosen.select(F.col("doc_id").alias("_id"), "_t", F.col("copies").alias("n")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their place in a sequence."""
+    """Pieces of documents with their place in a sequence; a null or empty text is one piece, repeats are documents."""
     return packing.pack_documents(docs, tokenizer_file()).drop("_t")
 
 
