@@ -16,10 +16,17 @@ book = Book()
 # Merges
 
 
-@book.add("""SELECT work_key, arg_max_null(title, seq) AS title, coalesce(arg_max(author, seq) FILTER (WHERE author <> ''), '') AS author, arg_max(cover, seq) FILTER (WHERE cover IS NOT NULL) AS cover FROM work_history GROUP BY work_key""")
+_OVER = {"slug": "concat('s', CAST(o_orderkey % 9 AS STRING))", "title": "o_orderpriority", "status": "o_orderstatus", "total_words": "o_orderkey", "rating": "o_totalprice", "error_message": "CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END"}
+_EMPTY = {"author": "CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END", "artist": "CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END", "alternative_titles": "CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE CAST(o_orderkey AS STRING) END", "summary": "''"}
+_WORKS = f"""SELECT o_custkey AS url, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS seq, {", ".join(f"{x} AS {c}" for c, x in (_OVER | _EMPTY).items())},
+CASE WHEN o_totalprice < 100000 THEN NULL ELSE o_orderkey END AS cover_local_path, o_orderdate AS created_at FROM orders"""
+
+
+@book.add(f"""SELECT url, {", ".join(f"arg_max_null({c}, seq) AS {c}" for c in _OVER)}, {", ".join(f"coalesce(arg_max({c}, seq) FILTER (WHERE {c} <> ''), '') AS {c}" for c in _EMPTY)}, arg_max(cover_local_path, seq) FILTER (WHERE cover_local_path IS NOT NULL) AS cover_local_path,
+arg_min(created_at, seq) AS created_at FROM ({_WORKS}) GROUP BY url""")
 def merge_works(spark: SparkSession, sf: str) -> DataFrame:
-    rules = {"title": "overwrite", "author": "keep_if_empty", "cover": "keep_if_null"}
-    return merge.merge_works(view(spark, sf, "work_history"), rules=rules, key=["work_key"])
+    """A customer's orders as writes of one work, under every kind of rule."""
+    return merge.merge_works(sql(spark, sf, _WORKS))
 
 
 @book.add("SELECT work_id, title, arg_max_null(vol_index, seq) AS vol_index, arg_max(url_id, seq) FILTER (WHERE url_id IS NOT NULL) AS url_id FROM section_history GROUP BY work_id, title")
@@ -302,13 +309,20 @@ def item_fragments(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "conversations").select("conv_id", F.concat(F.lit("chap_"), "turn", F.lit(".xhtml")).alias("file_name"), F.sha2(fragment, 256).alias("fragment"))
 
 
-@book.add("""SELECT conv_id, sha256(repeat('=', 60) || chr(10) || 'WORK ' || conv_id || chr(10) || 'Tác giả: Chưa rõ' || chr(10) || 'Thể loại: a, b' || chr(10) || 'Tình trạng: completed' || chr(10) || 'Nguồn: https://h/' || conv_id || chr(10) || repeat('=', 60) || chr(10) || chr(10)
-|| string_agg('--- ' || upper(role) || ' ---' || chr(10) || '[' || turn || ']' || chr(10) || chr(10) || text || chr(10) || chr(10) || repeat('-', 60) || chr(10), chr(10) ORDER BY turn)) AS content FROM conversations GROUP BY conv_id""")
+@book.add("""SELECT conv_id, sha256(array_to_string(list_concat(list_filter([repeat('=', 60), 'WORK ' || conv_id, CASE WHEN conv_id % 2 = 0 THEN 'Tên khác: alt ' || conv_id END, 'Tác giả: ' || CASE WHEN conv_id % 3 = 0 THEN 'a ' || conv_id ELSE 'Chưa rõ' END,
+CASE WHEN conv_id % 5 = 0 THEN 'Họa sĩ: h' END, 'Thể loại: a, b', 'Tình trạng: completed', 'Nguồn: https://h/' || conv_id, repeat('=', 60), ''], lambda x: x IS NOT NULL), CASE WHEN conv_id % 4 = 0 THEN ['TÓM TẮT NỘI DUNG:', 's' || chr(10) || conv_id, '', repeat('-', 60), ''] ELSE [] END), chr(10)) || chr(10)
+|| string_agg('--- ' || upper(role) || ' ---' || chr(10) || CASE WHEN turn % 2 = 0 THEN '[' || turn || ']' || chr(10) ELSE '' END || chr(10) || text || chr(10) || chr(10) || repeat('-', 60) || chr(10), chr(10) ORDER BY turn)) AS content FROM conversations GROUP BY conv_id""")
 def assemble_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations as works; other names, authors, artists, summaries and dates are there for some."""
     turns = table(spark, sf, "conversations")
-    none = F.lit("")
-    works = turns.select("conv_id").distinct().select("conv_id", F.concat(F.lit("work "), "conv_id").alias("title"), none.alias("alternative_titles"), none.alias("author"), none.alias("artist"), F.array(F.lit("a"), F.lit("b")).alias("genres"), F.lit("completed").alias("status"), F.concat(F.lit("https://h/"), "conv_id").alias("url"), none.alias("summary"))
-    items = turns.select("conv_id", F.col("turn").alias("item_index"), F.col("role").alias("title"), F.col("turn").cast("string").alias("date"), "text")
+    k = F.col("conv_id")
+    some = lambda n, value: F.when(k % n == 0, value).otherwise("")
+    key = k.cast("string")
+    works = turns.select("conv_id").distinct().select(
+        "conv_id", F.concat(F.lit("work "), key).alias("title"), some(2, F.concat(F.lit("alt "), key)).alias("alternative_titles"), some(3, F.concat(F.lit("a "), key)).alias("author"), some(5, F.lit("h")).alias("artist"),
+        F.array(F.lit("a"), F.lit("b")).alias("genres"), F.lit("completed").alias("status"), F.concat(F.lit("https://h/"), key).alias("url"), some(4, F.concat(F.lit("s\n"), key)).alias("summary"),
+    )
+    items = turns.select("conv_id", F.col("turn").alias("item_index"), F.col("role").alias("title"), F.when(F.col("turn") % 2 == 0, F.col("turn").cast("string")).alias("date"), "text")
     return assemble.document_text(works, items, "conv_id").select("conv_id", F.sha2("content", 256).alias("content"))
 
 

@@ -60,8 +60,13 @@ def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.sha2(T.clean(broken), 256).alias("cleaned"))
 
 
+_BROKEN = {".": " ", "an": "a ` n", "on": "ô n", "ed": "e\u0302 \u00b4 t", "er": "ư\u00a0\u0323\u200bơ ng", "la": "nga\u0303\u00ad i"}
+
+
 def _vn_sql() -> str:
-    s = "replace(text, '.', ' ')"
+    s = "text"
+    for a, b in _BROKEN.items():
+        s = f"replace({s}, '{a}', '{b}')"
     s = "regexp_replace(replace(%s, chr(160), ' '), '[\\x{200B}\\x{200C}\\x{200D}\\x{FEFF}\\x{00AD}\\r]', '', 'g')" % s
     s = "regexp_replace(%s, '([a-zA-Z\\x{00C0}-\\x{1EF9}])\\s+([\\x{0300}-\\x{036F}\\x{1DC0}-\\x{1DFF}\\x{1AB0}-\\x{1AFF}])', '\\1\\2', 'g')" % s
     for mark, forms in V.TONES.items():
@@ -74,7 +79,11 @@ def _vn_sql() -> str:
 
 @book.add(_vn_sql())
 def vn_repair(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", F.sha2(V.repair(F.replace("text", F.lit("."), F.lit(" "))), 256).alias("repaired"))
+    """Texts in which common letter pairs became syllables that came apart."""
+    text = F.col("text")
+    for a, b in _BROKEN.items():
+        text = F.replace(text, F.lit(a), F.lit(b))
+    return table(spark, sf, "documents").select("doc_id", F.sha2(V.repair(text), 256).alias("repaired"))
 
 
 @book.add("SELECT page_id, concat('work/', substr(md5(u), 1, 12), CASE WHEN contains(lower(u), '.png') THEN '.png' WHEN contains(lower(u), '.webp') THEN '.webp' ELSE '.jpg' END) AS asset_path FROM (SELECT page_id, concat(url, CASE page_id % 3 WHEN 0 THEN '.PNG' WHEN 1 THEN '.webp' ELSE '' END) AS u FROM pages)")
