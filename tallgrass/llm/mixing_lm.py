@@ -35,8 +35,8 @@ LETTERS = "enitarshdloucgmfpbvwkyzjqx.,;:!?-'|"
 
 
 def word_bits(tokens: int) -> tuple[int, ...]:
-    """Bits of the slots of each word predictor (order 0 to 2, skip, topic): a slot for each 16 training tokens or more, up to 2^24."""
-    top = min(MOST_BITS, max(18, int(tokens).bit_length() - 4))
+    """Bits of the slots of each word predictor (order 0 to 2, skip, topic): a slot for 16 to 32 training tokens, up to 2^24."""
+    top = min(MOST_BITS, max(18, int(tokens).bit_length() - 5))
     return 14, top, top, top - 1, top - 1
 
 
