@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from .textops import mix
 
-#: Bits for a key, and the least and most bits of a filter: 8 kB to 32 MB.
+#: Bits for a key, how many of them it sets, and the least and most bits of a filter: 8 kB to 32 MB.
 BITS_A_KEY = 10
+SETS = 4
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 BLOCK = 1 << 13
 _ODD = np.uint64(0x85EBCA77C2B2AE63)
@@ -51,17 +52,36 @@ def _places(keys: np.ndarray, n_bits: int) -> np.ndarray:
     return (mix(keys * _ODD) >> np.uint64(64 - (n_bits.bit_length() - 1))).astype(np.int64)
 
 
-def has_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = _places(keys, len(bits) * 8)
+def _all_places(keys: np.ndarray, n_bits: int) -> Iterator[np.ndarray]:
+    """The places that a key sets, one array after the other."""
+    for k in range(SETS):
+        yield _places(keys + np.uint64(k) * _ODD, n_bits)
+
+
+def _on(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def has_key(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a ``key_filter`` lets keys pass."""
+    out = np.ones(len(keys), bool)
+    for at in _all_places(keys, len(bits) * 8):
+        out &= _on(bits, at)
+    return out
+
+
+def has_twice(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a ``twice_filter`` lets keys pass."""
+    return _on(bits, _places(keys, len(bits) * 8))
+
+
 def _bit_rows(n_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         on = np.zeros(n_bits, bool)
         for batch in batches:
             with np.errstate(over="ignore"):
-                on[_places(batch["key"].to_numpy().astype(np.int64).view(np.uint64), n_bits)] = True
+                for at in _all_places(batch["key"].to_numpy().astype(np.int64).view(np.uint64), n_bits):
+                    on[at] = True
         yield blocks_of(np.packbits(on, bitorder="little"))
 
     return run
@@ -70,8 +90,8 @@ def _bit_rows(n_bits: int):
 def key_filter(keys: DataFrame) -> np.ndarray:
     """A bit for the hash of every key of a stored table, with BITS_A_KEY bits for each up to MOST_BITS in all.
 
-    Other keys pass by chance, about one in ten, and beyond some 10^7 keys ever more: a filter only saves rows that a
-    join sorts out afterwards, so results never depend on it and a full filter costs one more shuffle of narrow rows.
+    Other keys pass by chance, about one in eighty, and beyond some 10^7 keys ever more: a filter only saves rows that
+    a join sorts out afterwards, so results never depend on it and a full filter costs one more shuffle of rows.
     """
     n_bits = LEAST_BITS
     wanted = BITS_A_KEY * keys.count()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WORD, same, stored, text_tag
-from .filters import has_bits, key_filter
+from .filters import has_key, key_filter
 from .passages import repeated_passages
 from .textops import LOWER, digests, flat, ints, pieces, prefix_hash, span_hash, word_spans
 
@@ -61,7 +61,7 @@ def _passing(bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                yield batch.filter(pa.array(has_bits(bits.value, batch["_h1"].to_numpy().astype(np.int64).view(np.uint64))))
+                yield batch.filter(pa.array(has_key(bits.value, batch["_h1"].to_numpy().astype(np.int64).view(np.uint64))))
 
     return run
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .anchors import anchors
 from .common import stored
-from .filters import has_bits, key_filter
+from .filters import has_key, key_filter
 from .textops import flat, ints, mix, pieces, powers, span_hash, word_hashes
 
 #: Words of the gram that anchors a window; bytes of text looked at together.
@@ -62,7 +62,7 @@ def _windows(window: int, edges):
             for batch in pieces(batches, "_text", CHUNK):
                 before, prefix, row, low, high, gram, around = _found(batch, window)
                 tag = batch["_t"].to_numpy().astype(np.int64).view(np.uint64)[row]
-                on = has_bits(edges.value, edge_key(around, tag, low - before[row]))
+                on = has_key(edges.value, edge_key(around, tag, low - before[row]))
                 row, low, high, gram = row[on], low[on], high[on], gram[on]
                 each = high - low + 1
                 of = np.repeat(np.arange(len(each)), each)

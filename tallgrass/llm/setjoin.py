@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 from .common import discard, stored, text_tag, with_copies
 from .components import connected_components
-from .filters import blocks_of, gathered, has_bits, key_filter, twice_filter
+from .filters import blocks_of, gathered, has_key, has_twice, key_filter, twice_filter
 from .textops import flat, ints, mix, pieces, word_hashes
 
 #: Counters of the frequency sketches of words and of shingles; both are fixed, whatever the input.
 SKETCH = 1 << 20
+#: Words of 64 bits in a set's bitmap.
+MAP = 8
+_MAPS = [f"x{i}" for i in range(MAP)]
 #: Longest extension of a prefix.
 MOST_MATCHES = 4
 #: Steps of estimated frequencies for each doubling, and the step of frequency one.
@@ -58,11 +61,11 @@ def set_keys(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
     return mix(np.add.reduce(mix(s ^ _ODD[3])) + n * _ODD[2]), mix(np.add.reduce(mix(s * _ODD[4] + _ODD[1])) ^ n)
 
 
-def bitmap(s: np.ndarray) -> tuple[int, int]:
-    """128 bits, each flipped by the shingles that hash to it: as many bits differ as shingles of two sets at most."""
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """64 * MAP bits, each flipped by the shingles that hash to it: as many bits differ as shingles of two sets at most."""
     h = mix(s * _ODD[1])
-    ones = np.bincount((h >> np.uint64(57)).astype(np.int64), minlength=128) & 1
-    return tuple(np.packbits(ones.astype(np.uint8)).view(">i8").tolist())
+    ones = np.bincount((h >> np.uint64(58 - (MAP.bit_length() - 1))).astype(np.int64), minlength=64 * MAP) & 1
+    return np.packbits(ones.astype(np.uint8)).view(">i8").astype(np.int64)
 
 
 def prefix_length(n: int, percent: int, matches: int) -> int:
@@ -82,7 +85,7 @@ def choose_matches(frequency: np.ndarray, n: int, percent: int) -> int:
     return int(np.argmin(costs)) + 1
 
 
-_NONE = {"_id": pa.int64(), "_t": pa.int64(), "c": pa.int64(), "c2": pa.int64(), "n": pa.int64(), "x": pa.int64(), "y": pa.int64(), "block": pa.int32(), "part": pa.binary()}
+_NONE = {"_id": pa.int64(), "_t": pa.int64(), "c": pa.int64(), "c2": pa.int64(), "n": pa.int64(), **dict.fromkeys(_MAPS, pa.int64()), "block": pa.int32(), "part": pa.binary()}
 
 
 def _rows(**columns: pa.Array) -> pa.RecordBatch:
@@ -110,8 +113,8 @@ def _classes(k: int):
                 late.append((np.concatenate([*sets, h[:0]]) >> np.uint64(44)).astype(np.int64) + SKETCH)
                 count(SKETCH)
                 keys = np.array([set_keys(s) for s in sets], np.uint64).reshape(-1, 2)
-                maps = np.array([bitmap(s) for s in sets], np.int64).reshape(-1, 2)
-                yield _rows(_id=batch["_id"], _t=batch["_t"], c=ints(keys[:, 0]), c2=ints(keys[:, 1]), n=ints(np.array([len(s) for s in sets])), x=ints(maps[:, 0]), y=ints(maps[:, 1]))
+                maps = np.array([bitmap(s) for s in sets], np.int64).reshape(-1, MAP)
+                yield _rows(_id=batch["_id"], _t=batch["_t"], c=ints(keys[:, 0]), c2=ints(keys[:, 1]), n=ints(np.array([len(s) for s in sets])), **{x: ints(maps[:, i]) for i, x in enumerate(_MAPS)})
         count(0)
         blocks = blocks_of(counts)
         yield _rows(block=blocks["block"], part=blocks["part"])
@@ -196,7 +199,7 @@ def _shared_tokens(twice):
                 row = np.repeat(np.arange(len(size)), size)
                 at = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
                 with np.errstate(over="ignore"):
-                    on = has_bits(bits, tokens.view(np.uint64))
+                    on = has_twice(bits, tokens.view(np.uint64))
                 left = np.bincount(row[on], minlength=len(size))
                 cut = pa.array(np.concatenate([[0], np.cumsum(left)]), pa.int32())
                 lists = [pa.ListArray.from_arrays(cut, pa.array(x[on], pa.int64())) for x in (tokens, at)]
@@ -206,15 +209,19 @@ def _shared_tokens(twice):
 
 
 def _sets(k: int, wanted, twins: set[int]):
+    """The sets of wanted texts; a task sends each once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = wanted.value
+        sent: set[int] = set()
         for batch in pieces(batches, "_text"):
-            on = has_bits(bits, batch["_k"].to_numpy().astype(np.int64).view(np.uint64))
+            keys = batch["_k"].to_numpy().astype(np.int64)
+            on = has_key(wanted.value, keys.view(np.uint64))
+            on[on] = [not (x in sent or sent.add(x)) for x in keys[on].tolist()]
             batch = batch.filter(pa.array(on))
             if batch.num_rows:
                 with np.errstate(over="ignore"):
                     sets = list(shingle_sets(batch["_text"], k))
-                    yield pa.RecordBatch.from_arrays([batch["_k"], ints(np.array([_key(s, twins) for s in sets], np.uint64)), pa.array([s.tobytes() for s in sets], pa.binary())], ["k", "c", "s"])
+                    yield pa.RecordBatch.from_arrays([ints(np.array([_key(s, twins) for s in sets], np.uint64)), pa.array([s.tobytes() for s in sets], pa.binary())], ["c", "s"])
 
     return run
 
@@ -257,26 +264,30 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "s_a", "s_b").mapInArrow(_verified(percent), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, all_links: bool = False) -> DataFrame:
     """Group documents whose sets of ``words``-word shingles are linked by a Jaccard similarity of ``percent``/100 or more.
 
     Words are lower-cased in A-Z; a text of fewer words is one shingle; a text without words, or null, links with
     nothing. Documents of equal sets form classes, and only classes are compared.
 
     Every set is ordered by the estimated frequency of its shingles (from that of their words and from counters of
-    shingles, two sketches of fixed size filled from all documents) and then by hash. A class sends its prefix, the shingles among which any similar set must share at least m; m and with it
-    the length is chosen for each class by estimated cost. First, each shingle compares its classes with the one that
+    shingles, two sketches of fixed size filled from all documents) and then by hash. A class sends its prefix, the shingles
+    among which any similar set must share at least m; m and with it the length is chosen for each class by estimated
+    cost. First, each shingle compares its classes with the one that
     has it earliest in its order, which links most members of a group without any pairs inside it. Then classes of
     different components that meet in a shingle, of sizes and positions that allow the similarity, are counted, and
-    pairs with as many matches as the shorter of both asks for are compared. Both steps compare whole sets.
+    pairs with as many matches as the shorter of both asks for are compared. Both steps compare whole sets. With
+    ``all_links`` the first step is left out and all similar classes are found, also inside of components; pairs then
+    grow with the links there are.
 
     Returns doc_id, _t (tag of the text), n_shingles, component_id (smallest id of the component; null ids count only
-    where all are null) and kept, true for one document: the smallest (doc_id, _t) of the component. A document without words is a component
+    where all are null) and kept, true for one document: the smallest (doc_id, _t) of the component; with ``all_links``
+    also n_links, the number of other documents that a document is linked with. A document without words is a component
     of its own. Equal rows get equal results. An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("_id"), text_tag(text).alias("_t"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    first = stored(rows.mapInArrow(_classes(words), "_id long, _t long, c long, c2 long, n long, x long, y long, block int, part binary"), "classes")
+    first = stored(rows.mapInArrow(_classes(words), "_id long, _t long, c long, c2 long, n long, " + ", ".join(f"{x} long" for x in _MAPS) + ", block int, part binary"), "classes")
     keyed = first.filter("block IS NULL").drop("block", "part")
     told = spark.sparkContext.broadcast(estimates(gathered(first.filter("block IS NOT NULL").select("block", "part"), 2 * SKETCH, np.add, np.int32)))
     # different sets with one key: by chance n^2 / 2^65 for n classes
@@ -290,67 +301,72 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     found = stored(found.groupBy("c").agg(F.first("p").alias("p"), F.first("tokens").alias("tokens"), F.first("places").alias("places")), "shared")
     twice.destroy()
     discard(prefixes)
-    classes = stored(keyed.filter("n > 0").groupBy("c").agg(F.min(F.struct(F.col("_id").isNull().alias("null"), "_id", "_t")).alias("r"), F.first("x").alias("x"), F.first("y").alias("y")).select("c", F.xxhash64("r._id", "r._t").alias("k"), "x", "y"), "representatives")
+    classes = stored(keyed.filter("n > 0").groupBy("c").agg(F.min(F.struct(F.col("_id").isNull().alias("null"), "_id", "_t")).alias("r"), *[F.first(x).alias(x) for x in _MAPS]).select("c", F.xxhash64("r._id", "r._t").alias("k"), *_MAPS), "representatives")
 
     met = found.select("c", "p", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select("c", F.col("at.tokens").alias("token"), F.shiftright("p", 3).alias("n"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), F.col("at.places").alias("pos"))
-    least = F.shiftleft(F.col("pos"), 40) + F.shiftright(F.xxhash64("c").bitwiseAND(F.lit((1 << 62) - 1)), 24)
-    leaders = met.groupBy("token").agg(F.min_by("c", least).alias("lead"), F.min_by("n", least).alias("lead_n"), F.min(least).alias("at"), F.count("*").alias("count")).filter("count > 1")
-    leaders = stored(leaders.select("token", "lead", "lead_n", F.shiftright("at", 40).alias("lead_pos")), "leaders")
-
     def allowed(n_a: str, n_b: str, pos_a: str, pos_b: str, m: str) -> F.Column:
         """Sizes near enough, and not too many shingles passed before a match."""
         passed = F.col(pos_a) + F.col(pos_b) - 2 * (F.expr(m) - 1)
         return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)) & ((100 + percent) * passed <= (100 - percent) * (F.col(n_a) + F.col(n_b)))
 
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Pairs whose bitmaps don't show too many differences, of rows a, n_a, b, n_b."""
-        for side in "ab":
-            pairs = pairs.join(classes.select(F.col("c").alias(side), F.col("x").alias(f"x_{side}"), F.col("y").alias(f"y_{side}")), side)
-        differ = sum((F.bit_count(F.col(f"{v}_a").bitwiseXOR(F.col(f"{v}_b"))) for v in "xy"), F.lit(0))
-        return pairs.filter((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    def mapped(side: str) -> DataFrame:
+        return classes.select(F.col("c").alias(f"c_{side}"), *[F.col(x).alias(f"{x}_{side}") for x in _MAPS])
 
-    stars = met.join(leaders, "token").filter("c != lead").filter(allowed("n", "lead_n", "pos", "lead_pos", "1"))
-    stars = stars.select(F.col("lead").alias("a"), F.col("c").alias("b"), F.col("lead_n").alias("n_a"), F.col("n").alias("n_b")).distinct()
-    stars = stored(alike(stars), "stars")
+    def alike(n_a: str, n_b: str) -> F.Column:
+        """Bitmaps that don't show too many differences."""
+        differ = sum((F.bit_count(F.col(f"{x}_a").bitwiseXOR(F.col(f"{x}_b"))) for x in _MAPS), F.lit(0))
+        return (100 + percent) * differ <= (100 - percent) * (F.col(n_a) + F.col(n_b))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs that are similar by the sets of all classes that they name, from one text of each."""
         some = classes.join(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "c", "left_semi").select("c", "k")
         some = stored(some, "wanted")
         wanted = spark.sparkContext.broadcast(key_filter(some.select("k")))
-        sets = rows.select(F.xxhash64("_id", "_t").alias("_k"), "_text").mapInArrow(_sets(words, wanted, twins), "k long, c long, s binary")
-        sets = stored(sets.join(some, ["k", "c"], "left_semi").dropDuplicates(["k"]).select("c", "s"), "sets")
+        sets = rows.select(F.xxhash64("_id", "_t").alias("_k"), "_text").mapInArrow(_sets(words, wanted, twins), "c long, s binary")
+        out = stored(_verify(pairs, sets.groupBy("c").agg(F.first("s").alias("s")), percent), "links")
         wanted.destroy()
-        out = stored(_verify(pairs, sets, percent), "links")
-        discard(some, sets)
+        discard(some)
         return out
 
-    links = verified(stars)
-    discard(leaders, stars)
-    parts = stored(connected_components(links, "a", "b"), "parts")
-
-    placed = found.join(parts, found["c"] == parts["node"], "left").select("c", "p", "tokens", "places", F.coalesce("component", "c").alias("part"))
+    placed = found.withColumn("part", F.col("c"))
+    if not all_links:
+        least = F.shiftleft(F.col("pos"), 40) + F.shiftright(F.xxhash64("c").bitwiseAND(F.lit((1 << 62) - 1)), 24)
+        leaders = met.groupBy("token").agg(F.min_by("c", least).alias("lead"), F.min_by("n", least).alias("lead_n"), F.min(least).alias("at"), F.count("*").alias("count")).filter("count > 1")
+        leaders = stored(leaders.select("token", "lead", "lead_n", F.shiftright("at", 40).alias("lead_pos")), "leaders")
+        stars = met.join(leaders, "token").filter("c != lead").filter(allowed("n", "lead_n", "pos", "lead_pos", "1"))
+        stars = stars.select(F.col("lead").alias("c_a"), F.col("c").alias("c_b"), F.col("lead_n").alias("n_a"), F.col("n").alias("n_b")).distinct()
+        stars = stars.join(mapped("a"), "c_a").join(mapped("b"), "c_b").filter(alike("n_a", "n_b"))
+        stars = stored(stars.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")), "stars")
+        links = verified(stars)
+        grouped = stored(connected_components(links, "a", "b"), "parts")
+        discard(leaders, stars)
+        placed = found.join(grouped, found["c"] == grouped["node"], "left").select("c", "p", "tokens", "places", F.coalesce("component", "c").alias("part"))
     placed = stored(placed.select("c", "p", "part", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select("c", F.col("at.tokens").alias("token"), F.shiftright("p", 3).alias("n"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), F.col("at.places").alias("pos"), "part"), "placed")
     apart = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("token")
     apart = stored(apart, "apart")
-    open_ = placed.join(apart, "token", "left_semi").withColumn("size", F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-9)))
+    open_ = placed.join(apart, "token", "left_semi").join(classes.select("c", *_MAPS), "c").withColumn("size", F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-9)))
     left = open_.withColumn("at", F.explode(F.array(F.col("size"), F.col("size") + 1))).toDF(*[f"{c}_a" for c in open_.columns], "at").withColumn("key", F.xxhash64("token_a", "at")).drop("at")
     right = open_.toDF(*[f"{c}_b" for c in open_.columns]).withColumn("key", F.xxhash64("token_b", "size_b"))
-    pairs = left.join(right, "key").filter("token_a = token_b AND part_a != part_b AND (size_a != size_b OR c_a < c_b)").filter(allowed("n_a", "n_b", "pos_a", "pos_b", "least(m_a, m_b)"))
-    turned = F.col("c_a") > F.col("c_b")
-    pairs = pairs.groupBy(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).agg(F.count("*").alias("met"), F.min(F.least("m_a", "m_b")).alias("m"), F.first(F.when(turned, F.col("n_b")).otherwise(F.col("n_a"))).alias("n_a"), F.first(F.when(turned, F.col("n_a")).otherwise(F.col("n_b"))).alias("n_b"))
-    pairs = stored(alike(pairs.filter("met >= m").drop("met", "m")), "pairs")
+    pairs = left.join(right, "key").filter("token_a = token_b AND part_a != part_b AND (size_a != size_b OR c_a < c_b)").filter(allowed("n_a", "n_b", "pos_a", "pos_b", "least(m_a, m_b)")).filter(alike("n_a", "n_b"))
+    pairs = pairs.groupBy(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).agg(F.count("*").alias("met"), F.min(F.least("m_a", "m_b")).alias("m"))
+    pairs = stored(pairs.filter("met >= m").select("a", "b"), "pairs")
     more = verified(pairs)
-    discard(found, classes, parts, placed, apart, pairs)
-    parts = stored(connected_components(links.union(more), "a", "b"), "parts")
-    discard(links, more)
-
-    docs_in = keyed.join(parts, keyed["c"] == parts["node"], "left").select("_id", "_t", "n", F.coalesce("component", "c").alias("g"))
+    discard(found, classes, placed, apart, pairs, *([] if all_links else [grouped]))
+    parts = stored(connected_components(more if all_links else links.union(more), "a", "b"), "parts")
+    counted = []
+    if all_links:
+        copies = stored(keyed.filter("n > 0").groupBy(F.col("c").alias("b")).agg(F.count("*").alias("copies")), "copies")
+        both = more.union(more.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+        linked = stored(both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("others")), "linked")
+        keyed = keyed.join(copies, keyed["c"] == copies["b"], "left").join(linked, F.col("c") == F.col("a"), "left").withColumn("n_links", F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)))
+        counted = ["n_links"]
+
+    docs_in = keyed.join(parts, F.col("c") == parts["node"], "left").select("_id", "_t", "n", F.coalesce("component", "c").alias("g"), *counted)
     smallest = docs_in.filter("n > 0").groupBy("g").agg(F.min(F.struct(F.col("_id").isNull().alias("x"), "_id", "_t")).alias("r"))
     smallest = stored(smallest, "smallest").withColumnRenamed("g", "_g")
     out = docs_in.join(smallest, (F.col("g") == F.col("_g")) & (F.col("n") > 0), "left")
     first = F.col("r._id").eqNullSafe(F.col("_id")) & F.col("r._t").eqNullSafe(F.col("_t"))
-    return out.select(F.col("_id").alias("doc_id"), "_t", F.col("n").alias("n_shingles"), F.when(F.col("r").isNull(), F.col("_id")).otherwise(F.col("r._id")).alias("component_id"), (F.col("r").isNull() | first).alias("kept"))
+    return out.select(F.col("_id").alias("doc_id"), "_t", F.col("n").alias("n_shingles"), F.when(F.col("r").isNull(), F.col("_id")).otherwise(F.col("r._id")).alias("component_id"), (F.col("r").isNull() | first).alias("kept"), *counted)
 
 
 def one_of_each_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .anchors import GRAM, anchors
 from .common import discard, same, stored, text_tag
-from .filters import has_bits, twice_filter
+from .filters import has_twice, twice_filter
 from .textops import flat, ints, mix, pieces, prefix_hash, span_hash
 
 #: Bytes of text that a task looks at together, and suffixes in a new array of the index.
@@ -121,7 +121,7 @@ def _contents(window: int, repeated):
                 batch = batch.filter(pa.array(~again))
                 data, off = flat(batch["_text"])
                 row, _, low, high, gram = anchors(data, off, window)
-                on = has_bits(repeated.value, gram)
+                on = has_twice(repeated.value, gram)
                 row, low, high, gram = row[on], low[on], high[on], gram[on]
                 seen = _repeats_last(data, row, low, high, window)
                 ask = np.flatnonzero(~seen)
@@ -247,7 +247,7 @@ def _dealt_windows(window: int, twice):
                 keys, start = (batch[c].flatten().to_numpy().astype(np.int64) for c in ("keys", "starts"))
                 row = np.repeat(np.arange(batch.num_rows), batch["keys"].value_lengths().to_numpy())
                 with np.errstate(over="ignore"):
-                    on = has_bits(twice.value, keys.view(np.uint64))
+                    on = has_twice(twice.value, keys.view(np.uint64))
                 keys, start, row = keys[on], start[on], row[on]
                 data, off = flat(batch["bytes"])
                 a = off[:-1][row] + start - batch["start"].to_numpy()[row]
@@ -344,8 +344,9 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     levels of equal size. First each task asks a family of its own about the texts it reads, so that of copies in
     thousands only one a task goes on; then suffixes are dealt out by their grams and asked again. Of those that came
     first, grams with several surroundings are cut into windows, which go through a family in the same way; these find
-    the edges of repeats. Grams with more than MANY surroundings, which would make a task grow, are cut into windows
-    where they stand, and the windows that several tasks hold are dealt out by their own hash. All decisions compare
+    the edges of repeats. Grams with more than MANY surroundings, which would make a task grow, are dealt out in
+    shares of about MANY by document, cut into windows there, and the windows that several tasks hold are dealt out by
+    their own hash. All decisions compare
     bytes; hashes only deal and filter.
 
     Returns doc_id, _t (tag of the text), n_bytes, n_removed, n_spans, kept_sha256 of the bytes left, and removed, the
@@ -362,10 +363,11 @@ def dedup_substrings(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     found = stored(in_order.mapInArrow(_contents(window, repeated), _CONTENTS), "surroundings")
     repeated.destroy()
     contents = found.filter("gram IS NOT NULL").drop("end")
-    hot = stored(contents.groupBy("gram").count().filter(F.col("count") > MANY).select("gram"), "hot")
+    hot = stored(contents.groupBy("gram").count().filter(F.col("count") > MANY), "hot")
     cold = scanned(contents.join(hot, "gram", "left_anti"), window)
-    single = _in_order(contents.join(hot, "gram", "left_semi"))
-    single = stored(single.mapInArrow(_single_windows(window), f"{_SPANS}, keys array<long>, starts array<long>, bytes binary"), "hot-windows")
+    salt = F.pmod(F.xxhash64("_id", "_t"), F.ceil(F.col("count") / MANY))
+    single = contents.join(hot, "gram").withColumn("salt", salt).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "gram", "salt")
+    single = stored(_in_order(single).select("_id", "_t", "low", "bytes").mapInArrow(_single_windows(window), f"{_SPANS}, keys array<long>, starts array<long>, bytes binary"), "hot-windows")
     lists = single.filter("keys IS NOT NULL")
     twice = spark.sparkContext.broadcast(twice_filter(lists, "keys", lists.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]))
     dealt = lists.select("_id", "_t", "start", "keys", "starts", "bytes").mapInArrow(_dealt_windows(window, twice), "gram long, _id long, _t long, low long, bytes binary")

@@ -34,6 +34,12 @@ def test_jaccard_components(spark, k, percent):
         ids = [rows[j][0] for j in range(len(rows)) if comp[j] == comp[i] and rows[j][0] is not None]
         mine = found[found.doc_id == r[0]]
         assert set(mine.n_shingles) == {len(sets[i])} and set(mine.component_id) == {min(ids)}
+    linked = setjoin.jaccard_components(docs, words=k, percent=percent, all_links=True).toPandas()
+    all_sets = [x for r in docs.collect() for x in _sets([tuple(r)], k)]
+    degree = {r[0]: sum(bool(a & b) and 100 * len(a & b) >= percent * len(a | b) for b in all_sets) - bool(a) for r, a in zip(rows, sets)}
+    for x in linked[linked.doc_id.notna()].itertuples():
+        assert x.n_links == degree[x.doc_id]
+    assert sorted(linked.component_id.fillna(-1)) == sorted(found.component_id.fillna(-1))
     kept = setjoin.one_of_each_group(docs, words=k, percent=percent)
     assert kept.columns == docs.columns and kept.count() == len(set(comp))
 
