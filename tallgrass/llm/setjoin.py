@@ -20,8 +20,9 @@ SKETCH = 1 << 20
 #: Words of 64 bits in a set's bitmap.
 MAP = 8
 _MAPS = [f"x{i}" for i in range(MAP)]
-#: Longest extension of a prefix.
-MOST_MATCHES = 4
+#: Longest extension of a prefix, and how many other sets a token meets at least by chance, whatever the estimate.
+MOST_MATCHES = 7
+BY_CHANCE = 0.02
 #: Steps of estimated frequencies for each doubling, and the step of frequency one.
 STEPS, ONE = 3, 120
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -80,7 +81,7 @@ def choose_matches(frequency: np.ndarray, n: int, percent: int) -> int:
     asking for m matches leaves at most 1/m of the rows met as candidates, each to be verified against n tokens.
     """
     most = max(1, min(MOST_MATCHES, (percent * percent * n) // 10_000))
-    met = np.cumsum(np.maximum(frequency - 1, 0))
+    met = np.cumsum(np.maximum(frequency - 1, 0) + BY_CHANCE)
     costs = [met[prefix_length(n, percent, m) - 1] * (1 + n / 16 / m) for m in range(1, most + 1)]
     return int(np.argmin(costs)) + 1
 
@@ -334,7 +335,8 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         leaders = met.groupBy("token").agg(F.min_by("c", least).alias("lead"), F.min_by("n", least).alias("lead_n"), F.min(least).alias("at"), F.count("*").alias("count")).filter("count > 1")
         leaders = stored(leaders.select("token", "lead", "lead_n", F.shiftright("at", 40).alias("lead_pos")), "leaders")
         stars = met.join(leaders, "token").filter("c != lead").filter(allowed("n", "lead_n", "pos", "lead_pos", "1"))
-        stars = stars.select(F.col("lead").alias("c_a"), F.col("c").alias("c_b"), F.col("lead_n").alias("n_a"), F.col("n").alias("n_b")).distinct()
+        # pairs with fewer matches are left to the second step
+        stars = stars.groupBy(F.col("lead").alias("c_a"), F.col("c").alias("c_b"), F.col("lead_n").alias("n_a"), F.col("n").alias("n_b")).agg(F.count("*").alias("met"), F.min("m").alias("m")).filter("met >= m")
         stars = stars.join(mapped("a"), "c_a").join(mapped("b"), "c_b").filter(alike("n_a", "n_b"))
         stars = stored(stars.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")), "stars")
         links = verified(stars)
