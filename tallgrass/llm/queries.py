@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import archives, divergence, lines, mixing, mixing_lm, packing, setjoin, substrings, trees, vectors
+from . import alignment, archives, divergence, lines, mixing, mixing_lm, packing, setjoin, substrings, toxicity, trees, vectors, whitening
 from .common import held, table
 
 
@@ -60,5 +60,19 @@ def op10_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("_t")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing_score, op2_packing, op3_divergence, op4_quality_trees, op5_suffix_family, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing)}
+def op11_polar_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity.classify(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scores.select("doc_id", held("doc_id", 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_texts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing_score, op2_packing, op3_divergence, op4_quality_trees, op5_suffix_family, op6_projection_links, op7_jaccard_join, op8_line_dedup, op9_arc_to_warc, op10_fair_mixing, op11_polar_whitening, op12_toxicity_automata, op13_token_alignment)}
 ORACLES = {"op3_divergence": divergence.sql(), "op8_line_dedup": lines.SQL, "op9_arc_to_warc": archives.SQL, "op10_fair_mixing": mixing.SQL}
