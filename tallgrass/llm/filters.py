@@ -18,6 +18,7 @@ SETS = 4
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 BLOCK = 1 << 13
 _ODD = np.uint64(0x85EBCA77C2B2AE63)
+_STEPS = [np.uint64(k * 0x85EBCA77C2B2AE63 % (1 << 64)) for k in range(SETS)]
 
 
 def blocks_of(array: np.ndarray) -> pa.RecordBatch:
@@ -54,8 +55,8 @@ def _places(keys: np.ndarray, n_bits: int) -> np.ndarray:
 
 def _all_places(keys: np.ndarray, n_bits: int) -> Iterator[np.ndarray]:
     """The places that a key sets, one array after the other."""
-    for k in range(SETS):
-        yield _places(keys + np.uint64(k) * _ODD, n_bits)
+    for step in _STEPS:
+        yield _places(keys + step, n_bits)
 
 
 def _on(bits: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -55,7 +55,7 @@ def mix_sources(
 ) -> DataFrame:
     """Choose how often each document enters a mixture whose sources come near their target weights.
 
-    Every source is shuffled by the md5 of seed and id and may be read up to ``max_epochs`` times. A copy of a
+    Every source is shuffled by the md5 of seed and id, then size and text, and may be read up to ``max_epochs`` times. A copy of a
     document finishes at the virtual time (words of its source up to and with it) / (target of the source). All copies
     are range-sorted by that time and taken until the next would pass the total budget, the number of words of all
     documents. A source's running sum is made of sums per slice of the shuffled order, so no task holds a whole source;
@@ -75,13 +75,16 @@ def mix_sources(
     path = new_path(docs.sparkSession, "mix-sizes")
     sized.write.option("compression", "zstd").parquet(path)
     sized = docs.sparkSession.read.schema(sized.schema).parquet(path)
-    slice_ = F.substring("_h", 1, SLICE_DIGITS)
+    # rows without an id share one key, so they have slices of their own, one for each size, in their place in the order
+    none = F.md5(F.lit(seed))
+    side = F.when(F.col("_h") < none, "0").when(F.col("doc_id").isNull(), F.concat(F.lit("1"), F.lpad(F.col("size").cast("string"), 18, "0"))).otherwise("2")
+    slice_ = F.concat(F.substring("_h", 1, SLICE_DIGITS), side)
     targets = source_targets(sized, "_source", "size", weights, max_epochs)
     slices = sized.groupBy("_source", slice_.alias("_slice")).agg(F.sum("size").alias("_n"))
     ahead = Window.partitionBy("_source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
     placed = sized.withColumn("_slice", slice_).withColumn(
-        "_within", F.sum("size").over(Window.partitionBy("_source", "_slice").orderBy("_h", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, 0))
+        "_within", F.sum("size").over(Window.partitionBy("_source", "_slice").orderBy("_h", F.col("doc_id").asc_nulls_last(), "size", "_t").rowsBetween(Window.unboundedPreceding, 0))
     )
     placed = _null_join(_null_join(placed, slices, ["_source", "_slice"]), targets, ["_source"])
     placed = placed.withColumn("_at", F.col("_before") + F.col("_within")).select("doc_id", "_t", "size", "source_size", "target", "source_rank", "_at")

@@ -210,7 +210,12 @@ class Lexicon:
     types: int
     ends: int
     outside: int  # training tokens of words without a code
-    once: int  # words seen once in training
+    once: int  # words without a code that training has once
+
+    @property
+    def new(self) -> float:
+        """The share of escaped words that training has not seen; below 1, as ``once`` never passes ``outside``."""
+        return (self.once + 1) / (self.outside + 2)
 
     def plain(self) -> tuple:
         """The fields without classes of this package, for a broadcast."""
@@ -363,6 +368,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for t, b, part, size in zip(*(batch[c].to_pylist() for c in ("table", "block", "part", "size")), strict=True):
             x = np.frombuffer(pa.decompress(part, size, "lz4", asbytes=True), np.int32 if _is_counts(t) else np.float64)
+            x = x.astype(np.int64) if _is_counts(t) else x  # a task's counts fit 32 bits, those of all need not
             total[t, b] = total[t, b] + x if (t, b) in total else x
     for (t, b), x in total.items():
         x = _ratios(x) if _is_counts(t) else x
@@ -396,7 +402,7 @@ def _scored(lexicon, model):
         lex = Lexicon.of(lexicon.value)
         words, letters = (Mixer.ready(*x) for x in model.value)
         total = lex.tokens + 0.5 * (lex.types + 1)
-        new = (lex.once + 1) / (lex.outside + 2)
+        new = lex.new
         with np.errstate(over="ignore"):
             for batch in pieces(batches, "_text", CHUNK):
                 data, off = flat(batch["_text"])
@@ -468,7 +474,7 @@ def train(texts: DataFrame, text: str) -> tuple:
     outside = int(told[0] - c[:coded].sum())
     order = np.argsort(word)
     code = Code.of([max(ends, 1), max(outside, 1), *c[:coded].tolist()])
-    lex = Lexicon(word[order], c[order], symbol[order], code, _letter_code(), told[0] + ends, told[1] + (ends > 0), ends, outside, told[2])
+    lex = Lexicon(word[order], c[order], symbol[order], code, _letter_code(), told[0] + ends, told[1] + (ends > 0), ends, outside, told[2] - int((c[:coded] == 1).sum()))
     lexicon = spark.sparkContext.broadcast(lex.plain())
     # a learning task sends whole tables, so it must read at least as many bytes of text
     tasks = max(2 * spark.sparkContext.defaultParallelism, 6 * lex.tokens // sum(8 << b for b in word_bits(lex.tokens)))
@@ -512,7 +518,7 @@ def score_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     rare = scored.filter(F.size("rare") > 0).select("_id", "_t", F.explode(F.arrays_zip("rare", "spelled", "fresh")).alias("r"))
     rare = rare.groupBy("_id", "_t", F.col("r.rare").alias("word")).agg(F.count("*").alias("n"), F.max("r.spelled").alias("spelled"), F.sum(F.col("r.fresh").cast("long")).alias("fresh"))
     copies = scored.groupBy("_id", "_t").agg(F.count("*").alias("copies"))
-    new = (lex.once + 1) / (lex.outside + 2)
+    new = lex.new
     joined = rare.join(counts, "word", "left")
     seen = F.coalesce(F.col("c"), F.lit(0))
     joined = joined.groupBy("_id", "_t").agg(

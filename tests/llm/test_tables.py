@@ -240,3 +240,13 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
         none = stage(spark, none, str(tmp_path))
         assert none.columns == docs.columns and none.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, none, str(tmp_path)).count() == 0
+
+
+def test_mixing_agrees_whatever_the_order_of_the_input(spark):
+    rows = [(None if i % 3 else i % 30, f"{'a b c ' if i % 2 else 'd e '}{i}" if i % 5 else f"same {i % 4}", f"s{i % 2}") for i in range(400)]
+    got = []
+    for k in (1, 7, 399):
+        turned = sorted(rows, key=lambda r: hash((r, k))) if k > 1 else rows
+        docs = spark.createDataFrame(turned, "doc_id long, text string, source string").repartition(k % 5 + 1)
+        got.append(sorted((str(r["doc_id"]), r["_t"], r["taken"], r["target"]) for r in mixing.mix_sources(docs).collect()))
+    assert got[0] == got[1] == got[2]

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from tallgrass.llm import divergence, mixing_lm, textops, trees
+from tallgrass.llm.common import table
 from .helpers import no_documents, odd_documents, words
 from .helpers import words as words_of
 
@@ -202,7 +203,7 @@ def test_model_score_by_a_scalar_version(spark):
                 total += bit_log(words, contexts, node, bit, min(depth, mixing_lm.DEPTHS - 2))
             if s != 1:
                 continue
-            new = (lex.once + 1) / (lex.outside + 2)
+            new = lex.new
             if c:
                 total += math.log((1 - new) * c / max(lex.outside, 1))
                 continue
@@ -222,3 +223,46 @@ def test_model_score_by_a_scalar_version(spark):
     for text, row in zip(asked, out, strict=True):
         got = row["model"] + sum(x for x, fresh in zip(row["spelled"], row["fresh"], strict=True) if fresh)
         assert abs(got - score(text)) < 1e-4 * max(1, abs(got)), (text, got, score(text))
+
+
+def _corpus(types, tokens=20_000, seed=0):
+    """Texts of words whose counts fall by rank, every word there once at least."""
+    r = np.random.default_rng(seed)
+    ids = np.concatenate([np.arange(types), np.minimum(r.zipf(1.3, tokens), types) - 1])
+    r.shuffle(ids)
+    return [" ".join(f"w{i}" for i in part) for part in np.array_split(ids, 60)]
+
+
+@pytest.mark.parametrize("types", [300, 9_000, 30_000])
+def test_mixing_scores_are_log_probabilities(spark, types):
+    texts = [*_corpus(types), "", "never seen before", "w1 unseenword w2"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "doc_id long, text string")
+    got = mixing_lm.score_documents(docs).toPandas()
+    assert len(got) == 2 * len(texts) and np.isfinite(got.score).all() and (got.score < 0).all() and np.isfinite(got.base_score).all()
+
+
+def test_mixing_scores_of_the_given_documents(spark):
+    got = mixing_lm.score_documents(table(spark, "/root/testdata/sf0.001", "documents")).toPandas()
+    assert np.isfinite(got.score).all() and (got.score < 0).all() and got.bits_per_byte.max() < 16
+
+
+@pytest.mark.parametrize("types", [40, 9_000])
+def test_mixing_shares_of_escaped_words_sum_to_one(spark, types):
+    """A token is coded by bits, whose two values always sum to one; an escaped word then has its share, or that of all new ones."""
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(_corpus(types, 3_000))], "text_id long, text string")
+    counts, lexicon, lex, model = mixing_lm.train(docs, "text")
+    coded = {int(w) for w, s in zip(lex.words, lex.symbol) if s > 1}
+    rest = [r["c"] for r in counts.collect() if (r["word"] % (1 << 64)) not in coded]
+    assert sum(rest) == lex.outside and sum(c == 1 for c in rest) == lex.once and 0 < lex.new < 1
+    assert sum((1 - lex.new) * c / max(lex.outside, 1) for c in rest) + lex.new <= 1 + 1e-9
+    asked = ["w1", "w2", "zz"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3)), pa.array([0] * 3), pa.array([True] * 3), pa.array(asked)], ["_id", "_t", "_held", "_text"])
+    assert all(r["model"] < 0 and all(x < 0 for x in r["spelled"]) for r in next(mixing_lm._scored(lexicon, model)(iter([batch]))).to_pylist())
+
+
+def test_mixing_counts_pass_31_bits():
+    tables = [np.array([1_500_000_000, 7] * (mixing_lm.BLOCK // 2), np.int32)]
+    part = pa.compress(tables[0].tobytes(), "lz4", asbytes=True)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0], pa.int32()), pa.array([0, 0], pa.int32()), pa.array([part, part], pa.binary()), pa.array([tables[0].nbytes] * 2, pa.int64())], ["table", "block", "part", "size"])
+    out = next(mixing_lm._summed(iter([batch]))).to_pylist()[0]
+    assert set(np.frombuffer(out["part"], np.int8)) == {-80}
