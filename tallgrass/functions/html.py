@@ -1,12 +1,13 @@
-"""Extraction from HTML: one tokenizer in tasks, and everything after it as DataFrame logic; flat markup by expressions."""
+"""Extraction from HTML: one parse of a page in a task, and everything after it as expressions; flat markup by expressions only."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-from html.parser import HTMLParser
+import re
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from html import unescape as plain
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -18,103 +19,221 @@ HIDDEN_STYLES = ("display: none", "display:none")
 BOX_CLASSES = frozenset(("notice-item", "alert", "reading-notice"))
 SHOPS = ("shopee", "lazada")
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_NODE = "page string, pos int, tag string, classes array<string>, id string, attrs map<string,string>, text string, up array<struct<pos:int,tag:string,classes:array<string>,id:string>>"
+_RAW = frozenset(("script", "style"))
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]++|"[^"<]*+"|'[^'<]*+')*+)>""", re.S)
+_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_KEPT = ("href", "src", "data-src", "style")
+NODES = "array<struct<pos:int,last:int,tag:string,classes:array<string>,id:string,attrs:map<string,string>,text:string,within:map<string,int>>>"
 
 
-class _Tree(HTMLParser):
-    """Elements in document order with their ancestors and the text inside them."""
+def _attributes(raw: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for name, *values in _ATTR.findall(raw):
+        out.setdefault(name.lower(), plain("".join(values)))
+    return out
 
-    def __init__(self, text_only: bool = False):
-        super().__init__(convert_charrefs=True)
-        self.text_only = text_only  # whether what _silent tells is left out of the texts of its ancestors
-        self.nodes: list[dict] = []
-        self.open: list[dict] = []
 
-    def handle_starttag(self, tag, attrs):
-        if tag == "p":  # a paragraph ends the one before
-            self._close("p")
-        a = {k: v or "" for k, v in attrs}
-        node = {"pos": len(self.nodes), "tag": tag, "classes": a.get("class", "").split(), "id": a.get("id", ""), "attrs": a, "text": [], "up": list(self.open)}
-        node["silent"] = self.text_only and (_silent(tag, node["classes"], a) or bool(self.open) and self.open[-1]["silent"])
-        self.nodes.append(node)
-        if tag not in _VOID:
-            self.open.append(node)
+def _silent(tag: str, classes: list[str], attrs: dict[str, str]) -> bool:
+    if tag in SILENT_TAGS or BOX_CLASSES.intersection(classes):
+        return True
+    return any(x in attrs.get("style", "") for x in HIDDEN_STYLES) or tag == "a" and any(x in attrs.get("href", "") for x in SHOPS)
 
-    def handle_endtag(self, tag):
-        self._close(tag)
 
-    def _close(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i]["tag"] == tag:
-                del self.open[i:]
-                return
+class _Chosen:
+    """Selectors (a tag, .class or #id), each with the names that it stands for."""
 
-    def handle_data(self, data):
-        if self.open and not self.open[-1]["silent"]:
-            for node in self.open:
-                node["text"].append(data)
+    def __init__(self, named: Mapping[str, Iterable[str]]):
+        self.tags: dict[str, list[str]] = {}
+        self.classes: dict[str, list[str]] = {}
+        self.ids: dict[str, list[str]] = {}
+        for name, selectors in named.items():
+            for s in selectors:
+                kind, key = (self.classes, s[1:]) if s[0] == "." else (self.ids, s[1:]) if s[0] == "#" else (self.tags, s)
+                kind.setdefault(key, []).append(name)
 
+    def of(self, tag: str, classes: list[str], id_: str) -> list[str]:
+        out = list(self.tags.get(tag, ()))
+        for c in classes:
+            out += self.classes.get(c, ())
+        if id_:
+            out += self.ids.get(id_, ())
+        return out
 
-def _silent(tag: str, classes: list[str], attrs: dict[str, str]) -> bool:
-    if tag in SILENT_TAGS or BOX_CLASSES.intersection(classes):
-        return True
-    return any(x in attrs.get("style", "") for x in HIDDEN_STYLES) or tag == "a" and any(x in attrs.get("href", "") for x in SHOPS)
 
+def parse(html: str, wanted: _Chosen, scopes: _Chosen, text_only: bool) -> list[tuple]:
+    """(pos, last, tag, classes, id, attrs, text, within) of the chosen elements of a page, in document order.
 
-def _nodes(tags: frozenset, classes: frozenset, ids: frozenset, text_only: bool):
+    Positions count all elements; ``last`` is the position of the last element inside. ``within`` gives, for each
+    scope, the position of the innermost element of it around. An unclosed element ends with its parent, a paragraph
+    also where the next begins; an end without a start is passed over; what looks like a tag and is none is text, and so
+    is one with ``<`` inside of it, so that the time is in proportion to the length of any page.
+    """
+    nodes: list[list] = []
+    texts: list[str] = []
+    around: dict[str, list[int]] = {}
+    # open elements: tag, position, scopes, whether silent, and the node with the place of its text if it was chosen
+    opened: list[tuple] = []
+    count, at, end = 0, 0, len(html)
+
+    def close(depth: int) -> None:
+        while len(opened) > depth:
+            _, _, names, _, node, first = opened.pop()
+            for name in names:
+                around[name].pop()
+            if node is not None:
+                node[1], node[6] = count - 1, "".join(texts[first:]).strip()
+
+    def say(data: str) -> None:
+        if data and opened and not opened[-1][3]:
+            texts.append(plain(data))
+
+    while at < end:
+        m = _TAG.search(html, at)
+        if m is None:
+            say(html[at:])
+            break
+        say(html[at : m.start()])
+        at = m.end()
+        closing, tag, raw = m.groups()
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if closing:
+            for depth in range(len(opened) - 1, -1, -1):
+                if opened[depth][0] == tag:
+                    close(depth)
+                    break
+            continue
+        if tag == "p":
+            for depth in range(len(opened) - 1, -1, -1):
+                if opened[depth][0] == "p":
+                    close(depth)
+                    break
+        attrs = _attributes(raw) if raw.strip(" /") else {}
+        classes, id_ = attrs.get("class", "").split(), attrs.get("id", "")
+        silent = text_only and (bool(opened) and opened[-1][3] or _silent(tag, classes, attrs))
+        node = None
+        if not silent and wanted.of(tag, classes, id_):
+            node = [count, count, tag, classes, id_, [(k, attrs[k]) for k in _KEPT if k in attrs], "", [(k, v[-1]) for k, v in around.items() if v]]
+            nodes.append(node)
+        if tag not in _VOID:
+            names = scopes.of(tag, classes, id_)
+            for name in names:
+                around.setdefault(name, []).append(count)
+            opened.append((tag, count, names, silent, node, len(texts)))
+            if tag in _RAW and not raw.endswith("/"):
+                stop = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+                inner = html[at : stop.start() if stop else end]
+                if inner and not silent:
+                    texts.append(inner)
+                at = stop.start() if stop else end
+        count += 1
+    close(0)
+    return nodes
+
+
+def _lists(cut: list[int], values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), values)
+
+
+def _maps(rows: list[list[tuple]], kind: pa.DataType) -> pa.MapArray:
+    cut = [0]
+    for r in rows:
+        cut.append(cut[-1] + len(r))
+    pairs = [x for r in rows for x in r]
+    return pa.MapArray.from_arrays(pa.array(cut, pa.int32()), pa.array([k for k, _ in pairs], pa.string()), pa.array([v for _, v in pairs], kind))
+
+
+def _parsed(wanted: Iterable[str], scopes: Mapping[str, tuple[str, ...]], text_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        brief = lambda u: {"pos": u["pos"], "tag": u["tag"], "classes": u["classes"], "id": u["id"]}
-        up = pa.struct([("pos", pa.int32()), ("tag", pa.string()), ("classes", pa.list_(pa.string())), ("id", pa.string())])
-        schema = pa.schema([("page", pa.string()), ("pos", pa.int32()), ("tag", pa.string()), ("classes", pa.list_(pa.string())), ("id", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("up", pa.list_(up))])
+        w, s = _Chosen({"": wanted}), _Chosen(scopes)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                rows = []
-                part = batch.slice(at, 200)
-                for page, html in zip(part["page"].to_pylist(), part["html"].to_pylist(), strict=True):
-                    tree = _Tree(text_only)
-                    tree.feed(html or "")
-                    tree.close()
-                    for n in tree.nodes:
-                        if not n["silent"] and (n["tag"] in tags or n["id"] in ids or classes.intersection(n["classes"])):
-                            rows.append({**n, "page": page, "attrs": list(n["attrs"].items()), "text": "".join(n["text"]).strip(), "up": [brief(u) for u in n["up"]]})
-                yield pa.RecordBatch.from_pylist([{k: r[k] for k in schema.names} for r in rows], schema)
+            for begin in range(0, batch.num_rows, 100):
+                part = batch.slice(begin, 100)
+                cut, nodes = [0], []
+                for html in part["html"].to_pylist():
+                    nodes += parse(html or "", w, s, text_only)
+                    cut.append(len(nodes))
+                pos, last, tag, classes, id_, attrs, text, within = zip(*nodes, strict=True) if nodes else ([],) * 8
+                inner = [0]
+                for c in classes:
+                    inner.append(inner[-1] + len(c))
+                struct = pa.StructArray.from_arrays(
+                    [pa.array(pos, pa.int32()), pa.array(last, pa.int32()), pa.array(tag, pa.string()), _lists(inner, pa.array([x for c in classes for x in c], pa.string())), pa.array(id_, pa.string()), _maps(list(attrs), pa.string()), pa.array(text, pa.string()), _maps(list(within), pa.int32())],
+                    ["pos", "last", "tag", "classes", "id", "attrs", "text", "within"],
+                )
+                yield pa.RecordBatch.from_arrays([part["page"], _lists(cut, struct)], ["page", "nodes"])
 
     return run
 
 
-def html_nodes(pages: DataFrame, page: str, html: str, *, tags: Iterable[str] = (), classes: Iterable[str] = (), ids: Iterable[str] = (), text_only: bool = False) -> DataFrame:
-    """The elements of every page that have one of the tags, classes or ids: position, attributes, text, ancestors.
+def html_pages(pages: DataFrame, page: str, html: str, wanted: Iterable[str], *, scopes: Mapping[str, Iterable[str]] | None = None, text_only: bool = False) -> DataFrame:
+    """(page, nodes): one row a page with the elements that ``wanted`` chooses, parsed once and in document order.
 
-    With ``text_only``, scripts, hidden elements, notice boxes and shop links are left out, also of the texts around them.
+    Selectors are a tag, ``.class`` or ``#id``. ``scopes`` names sets of them; each node tells the innermost element of a
+    scope around it. With ``text_only``, scripts, hidden elements, notice boxes and shop links are left out, also of the
+    texts around them. Every page keeps its row, also a null one, so what follows needs no join back. Attributes kept
+    are those that extraction reads: href, src, data-src and style.
     """
     rows = pages.select(F.col(page).cast("string").alias("page"), F.col(html).alias("html"))
-    return rows.mapInArrow(_nodes(frozenset(tags), frozenset(classes), frozenset(ids), text_only), _NODE)
+    return rows.mapInArrow(_parsed(tuple(wanted), {k: tuple(v) for k, v in (scopes or {}).items()}, text_only), f"page string, nodes {NODES}")
+
+
+def html_nodes(pages: DataFrame, page: str, html: str, wanted: Iterable[str], *, scopes: Mapping[str, Iterable[str]] | None = None, text_only: bool = False) -> DataFrame:
+    """The nodes of ``html_pages``, a row each."""
+    return html_pages(pages, page, html, wanted, scopes=scopes, text_only=text_only).select("page", F.inline_outer("nodes")).filter("pos IS NOT NULL")
+
 
+def has_class(node: Column, *names: str) -> Column:
+    return F.arrays_overlap(node["classes"], F.array(*[F.lit(n) for n in names]))
 
-def has_class(*names: str) -> Column:
-    return F.arrays_overlap("classes", F.array(*[F.lit(n) for n in names]))
 
+def first_node(nodes: Column, condition: Callable[[Column], Column]) -> Column:
+    """The first node for which the condition holds, or null."""
+    return F.get(F.filter(nodes, condition), F.lit(0))
 
-def inside(name: str) -> Column:
-    """Position of the innermost ancestor with a class, or null."""
-    found = F.filter("up", lambda u: F.array_contains(u["classes"], name))
-    return F.get(found, F.size(found) - 1)["pos"]
 
+def _last(items: Column) -> Column:
+    return F.get(items, F.size(items) - 1)
+
+
+def first_of_each(df: DataFrame, items: str, key: str) -> DataFrame:
+    """Of the structs in column ``items``, the first with each value of their field ``key``, in order.
+
+    By sorting and comparing neighbours, so a page with very many items costs little more than its sort.
+    """
+    keyed = F.array_sort(F.transform(items, lambda x, i: F.struct(x[key].alias("k"), i.alias("i"), x.alias("x"))))
+    df = df.withColumn("_keyed", F.transform(keyed, lambda y: F.struct(y["k"], y["i"])))
+    df = df.withColumn("_firsts", F.array_sort(F.transform(F.filter("_keyed", lambda y, i: (i == 0) | ~F.get(F.col("_keyed"), i - 1)["k"].eqNullSafe(y["k"])), lambda y: y["i"])))
+    return df.withColumn(items, F.transform("_firsts", lambda i: F.get(F.col(items), i))).drop("_keyed", "_firsts")
 
-def info_pairs(nodes: DataFrame, labels: dict[str, tuple[str, ...]], item: str, name: str, value: str) -> DataFrame:
-    """Label and value of every item; the first column whose words the label holds takes it, the last pair wins."""
-    pair = nodes.withColumn("_item", inside(item)).filter(F.col("_item").isNotNull())
-    pair = pair.groupBy("page", "_item").agg(
-        F.lower(F.min_by("text", F.when(has_class(name), F.col("pos")))).alias("label"), F.min_by("text", F.when(has_class(value), F.col("pos"))).alias("value")
-    ).filter("label IS NOT NULL AND value IS NOT NULL")
-    to = F.lit(None).cast("string")
-    for column, words in reversed(labels.items()):
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | F.col("label").contains(w)
-        to = F.when(hit, column).otherwise(to)
-    pair = pair.withColumn("_to", to)
-    return pair.groupBy("page").agg(*[F.max_by("value", F.when(F.col("_to") == c, F.col("_item"))).alias(c) for c in labels])
+
+def info_pairs(pages: DataFrame, labels: dict[str, tuple[str, ...]], name: str, value: str) -> DataFrame:
+    """Label and value of every item; the first column whose words the label holds takes it, the last pair wins.
+
+    Nodes need the classes ``name`` and ``value`` and the scope ``item``. Returns a row a page, null where nothing is told.
+    """
+
+    def told(cls: str) -> Column:
+        hit = F.filter("nodes", lambda n: has_class(n, cls) & n["within"]["item"].isNotNull())
+        return F.transform(hit, lambda n: F.struct(n["within"]["item"].alias("item"), n["text"].alias("text")))
+
+    both = first_of_each(first_of_each(pages.withColumn("_names", told(name)).withColumn("_values", told(value)), "_names", "item"), "_values", "item")
+
+    def column(label: Column) -> Column:
+        to = F.lit(None).cast("string")
+        for c, words in reversed(labels.items()):
+            hit = F.lit(False)
+            for w in words:
+                hit = hit | label.contains(w)
+            to = F.when(hit, c).otherwise(to)
+        return to
+
+    value_of = lambda values, n: F.get(F.filter(values, lambda x: x["item"] == n["item"]), F.lit(0))["text"]
+    pairs = U.let(F.struct("_names", "_values"), lambda v: F.transform(v["_names"], lambda n: F.struct(column(F.lower(n["text"])).alias("to"), value_of(v["_values"], n).alias("value"), n["item"].alias("item"))))
+    both = both.withColumn("_pairs", F.array_sort(F.filter(pairs, lambda p: p["value"].isNotNull()), lambda a, b: a["item"] - b["item"]))
+    last = lambda c: _last(F.filter("_pairs", lambda p: p["to"] == c))["value"]
+    return both.select("page", *[last(c).alias(c) for c in labels])
 
 
 # Label words, in the order in which they are tried.
@@ -134,11 +253,10 @@ def typed_stats(pairs: DataFrame) -> DataFrame:
     )
 
 
-def ordered_tags(nodes: DataFrame, classes: tuple[str, ...] = ("series-gerne-item", "badge-genre", "genre-item"), href: str = "/the-loai/") -> DataFrame:
-    """Distinct non-empty tag texts of a page in order."""
-    hit = nodes.filter((F.col("attrs")["href"].contains(href) & (F.col("tag") == "a")) | has_class(*classes))
-    listed = hit.groupBy("page").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("t"))
-    return listed.select("page", F.array_distinct(F.filter("t", lambda x: x != "")).alias("tags"))
+def ordered_tags(pages: DataFrame, classes: tuple[str, ...] = ("series-gerne-item", "badge-genre", "genre-item"), href: str = "/the-loai/") -> DataFrame:
+    """Distinct non-empty tag texts of a page in order; nodes need the tag a and the classes."""
+    hit = F.filter("nodes", lambda n: (n["attrs"]["href"].contains(href) & (n["tag"] == "a")) | has_class(n, *classes))
+    return pages.select("page", F.array_distinct(F.filter(F.transform(hit, lambda n: n["text"]), lambda x: x != "")).alias("tags"))
 
 
 def cover_url(style: Column, src: Column, data_src: Column, base: str) -> Column:
@@ -146,122 +264,159 @@ def cover_url(style: Column, src: Column, data_src: Column, base: str) -> Column
     return U.normalize(F.coalesce(styled, F.nullif(src, F.lit("")), F.nullif(data_src, F.lit(""))), base)
 
 
-def type_and_summary(nodes: DataFrame) -> DataFrame:
-    first = lambda cond: F.min_by("text", F.when(cond, F.col("pos")))
-    found = nodes.groupBy("page").agg(first(has_class("series-type")).alias("t"), first(has_class("summary-content")).alias("s"))
-    return found.select("page", F.coalesce("t", F.lit("Truyện dịch")).alias("work_type"), F.coalesce(T.clean(F.col("s")), F.lit("")).alias("summary"))
+def type_and_summary(pages: DataFrame) -> DataFrame:
+    first = lambda c: first_node(F.col("nodes"), lambda n: has_class(n, c))["text"]
+    return pages.select("page", F.coalesce(first("series-type"), F.lit("Truyện dịch")).alias("work_type"), F.coalesce(T.clean(first("summary-content")), F.lit("")).alias("summary"))
 
 
 # Containers whose links are no items.
 NOISE_CLASSES = ("ln-comment", "comment-wrapper", "fbcmt_root", "sidebar", "series-users", "same-author", "feature-section", "series-action")
 NOISE_IDS = ("series-comments", "ln-comment", "comment-section", "navbar")
+# Heads of sections.
+SECTION_TITLES = ("sect-title", "sect-header", "title-item", "sear-head", "volume-title")
+#: What ``html_pages`` must give for ``table_of_contents``.
+CONTENTS = {
+    "wanted": ("a", ".volume-list", ".chapter-time", *(f".{c}" for c in SECTION_TITLES)),
+    "scopes": {"section": (".volume-list",), "list": (".list-chapters",), "noise": ("footer", "nav", *(f".{c}" for c in NOISE_CLASSES), *(f"#{i}" for i in NOISE_IDS))},
+}
 
 
-def table_of_contents(nodes: DataFrame, base: str) -> DataFrame:
-    """Items of a work page with section, date, title and running index; page is the work's URL.
+def contents_lists(pages: DataFrame, base: str) -> DataFrame:
+    """(page, items): the table of contents of a work page as an array; page is the work's URL.
 
-    Nodes need tags a, ul, li and the classes volume-list, sect-title, list-chapters, chapter-time. Anchors in noise
-    are dropped; a URL counts once on a page, where it stands in a list before where it does not; links to items of
-    other works are dropped. Links outside of lists go to the last kept section. Dates go by position in the section.
+    Anchors in noise are dropped; a URL counts once on a page, where it stands in a list before where it does not; links
+    to items of other works are dropped. Links outside of lists go to the last kept section. Dates go by position in
+    the section. Sections take their links and dates by one pass each, and no row leaves its task.
     """
-    noisy = F.exists("up", lambda u: u["tag"].isin("footer", "nav") | F.arrays_overlap(u["classes"], F.array(*[F.lit(c) for c in NOISE_CLASSES])) | u["id"].isin(*NOISE_IDS))
-    clean = nodes.filter(~noisy).withColumn("_sec", inside("volume-list")).withColumn("_list", inside("list-chapters"))
-    order = Window.partitionBy("page").orderBy("pos")
-    sections = clean.filter(has_class("volume-list")).select("page", F.col("pos").alias("_sec"), F.row_number().over(order).alias("section_index"))
-    titles = clean.filter(has_class("sect-title", "sect-header", "title-item", "sear-head", "volume-title")).groupBy("page", "_sec").agg(F.min_by("text", "pos").alias("_title"))
-    dates = clean.filter(has_class("chapter-time") & F.col("_list").isNotNull()).select("page", "_sec", F.col("text").alias("date"), F.row_number().over(Window.partitionBy("page", "_sec").orderBy("pos")).alias("_k"))
-    links = clean.filter((F.col("tag") == "a") & (F.coalesce(F.col("attrs")["href"], F.lit("")) != ""))
-    links = links.withColumn("_in", F.col("_sec").isNotNull() & F.col("_list").isNotNull())
-    listed = Window.partitionBy("page", "_sec", "_in").orderBy("pos")
-    links = links.withColumn("_k", F.when(F.col("_in"), F.row_number().over(listed))).withColumn("item_url", U.normalize(F.col("attrs")["href"], base))
-    links = links.filter(F.col("_in") | F.col("attrs")["href"].rlike(r"/c\d+-[^/]+")).filter(U.belongs_to_work(F.col("item_url"), F.col("page")))
-    links = links.withColumn("_first", F.row_number().over(Window.partitionBy("page", "item_url").orderBy(F.col("_in").desc(), "pos"))).filter("_first = 1")
-    links = links.withColumn("item_index", F.row_number().over(Window.partitionBy("page").orderBy(F.col("_in").desc(), "pos")).cast("long"))
-    links = links.withColumn("_sec", F.when(F.col("_in"), F.col("_sec")).otherwise(F.max(F.when(F.col("_in"), F.col("_sec"))).over(Window.partitionBy("page"))))
-    out = links.join(sections, ["page", "_sec"], "left").join(titles, ["page", "_sec"], "left").join(dates, ["page", "_sec", "_k"], "left")
-    index = F.coalesce("section_index", F.lit(1))
-    return out.select(
-        "page", F.coalesce("_title", F.concat(F.lit("Quyển "), index.cast("string"))).alias("section"), index.cast("long").alias("section_index"), "item_index", "item_url",
-        F.coalesce(F.nullif("text", F.lit("")), F.concat(F.lit("Chương "), F.col("item_index").cast("string"))).alias("title"), F.coalesce("date", F.lit("")).alias("date"),
-    )
-
-
-def feed_entries(nodes: DataFrame, base: str, card: tuple[str, ...] = ("thumb-item-flow", "series-item")) -> DataFrame:
+    d = pages.withColumn("_n", F.filter("nodes", lambda n: n["within"]["noise"].isNull()))
+    section = lambda n: n["within"]["section"]
+    listed = lambda n: section(n).isNotNull() & n["within"]["list"].isNotNull()
+    links = F.filter("_n", lambda n: (n["tag"] == "a") & (F.coalesce(n["attrs"]["href"], F.lit("")) != ""))
+    d = d.withColumn("_links", F.transform(links, lambda n: F.struct(listed(n).alias("in"), section(n).alias("sec"), n["pos"].alias("pos"), n["attrs"]["href"].alias("href"), n["text"].alias("text"))))
+    d = d.withColumn("_links", F.filter("_links", lambda x: x["in"] | x["href"].rlike(r"/c\d+-[^/]+")))
+    d = d.withColumn("_urls", U.normalize_each(F.transform("_links", lambda x: x["href"]), base))
+    d = d.withColumn("_links", F.zip_with("_links", "_urls", lambda x, u: x.withField("href", u).withField("slug", U.slug(u))))
+    d = d.withColumn("_dates", F.transform(F.filter("_n", lambda n: has_class(n, "chapter-time") & n["within"]["list"].isNotNull()), lambda n: F.struct(section(n).alias("sec"), n["text"].alias("date"))))
+    d = d.withColumn("_heads", F.transform(F.filter("_n", lambda n: has_class(n, *SECTION_TITLES)), lambda n: F.struct(section(n).alias("sec"), n["text"].alias("title"))))
+    d = d.withColumn("_secs", F.transform(F.filter("_n", lambda n: has_class(n, "volume-list")), lambda n: n["pos"]))
+    # what an inner expression reads for every section is bound first: the optimiser may put a column's own expression there
+    own = lambda items, s: F.filter(items, lambda x: x["sec"] == s)
+    parts = U.let(F.struct("_secs", "_links", "_heads", "_dates"), lambda v: F.transform(v["_secs"], lambda s, i: F.struct(
+        (i + 1).alias("index"), F.get(own(v["_heads"], s), F.lit(0))["title"].alias("title"), F.filter(v["_links"], lambda x: x["in"] & (x["sec"] == s)).alias("links"), own(v["_dates"], s).alias("dates"),
+    )))
+    d = d.withColumn("_parts", parts)
+
+    def item(x: Column, index: Column, title: Column, date: Column) -> Column:
+        return F.struct(x["href"].alias("url"), x["slug"].alias("slug"), x["in"].alias("in"), x["pos"].alias("pos"), x["text"].alias("text"), index.cast("int").alias("index"), title.alias("title"), date.alias("date"))
+
+    dated = lambda p: F.filter(F.zip_with(p["links"], p["dates"], lambda x, y: F.struct(x.alias("x"), y["date"].alias("date"))), lambda z: z["x"].isNotNull())
+    inner = F.flatten(F.transform("_parts", lambda p: F.transform(dated(p), lambda z: item(z["x"], p["index"], p["title"], z["date"]))))
+    loose = F.transform(F.filter("_links", lambda x: ~x["in"]), lambda x: item(x, F.lit(None), F.lit(None).cast("string"), F.lit(None).cast("string")))
+    d = d.withColumn("_all", F.concat(F.array_sort(inner, lambda a, b: a["pos"] - b["pos"]), loose))
+    d = d.select("page", U.slug(F.col("page")).alias("_work"), "_all").withColumn("_all", U.let(F.struct("_all", "_work"), lambda v: F.filter(v["_all"], lambda x: U.belongs_to_slug(x["url"], x["slug"], v["_work"]))))
+    d = first_of_each(d, "_all", "url")
+    d = d.withColumn("_sec", F.array_max(F.transform(F.filter("_all", lambda x: x["in"]), lambda x: F.struct(x["index"].alias("index"), x["title"].alias("title")))))
+    index = lambda x: F.coalesce(x["index"], F.col("_sec")["index"], F.lit(1))
+    return d.select("page", F.transform("_all", lambda x, i: F.struct(
+        F.coalesce(F.when(x["in"], x["title"]).otherwise(F.col("_sec")["title"]), F.concat(F.lit("Quyển "), index(x).cast("string"))).alias("section"), index(x).cast("long").alias("section_index"), (i + 1).cast("long").alias("item_index"), x["url"].alias("item_url"),
+        F.coalesce(F.nullif(x["text"], F.lit("")), F.concat(F.lit("Chương "), (i + 1).cast("string"))).alias("title"), F.coalesce(x["date"], F.lit("")).alias("date"),
+    )).alias("items"))
+
+
+def table_of_contents(pages: DataFrame, base: str) -> DataFrame:
+    """Items of a work page with section, date, title and running index: ``contents_lists``, a row an item."""
+    # an outer generator: from an inner one, Spark infers a filter that works the whole array out a second time below
+    return contents_lists(pages, base).select("page", F.inline_outer("items")).filter("item_url IS NOT NULL")
+
+
+# Classes of feed cards, in the order in which they are tried.
+CARDS = ("thumb-item-flow", "series-item")
+#: What ``html_pages`` must give for ``feed_entries``.
+FEED = {"wanted": ("a", "time", ".time-ago", *(f".{c}" for c in CARDS)), "scopes": {"title": (".series-title",), "item": (".chapter-title",), **{c: (f".{c}",) for c in CARDS}}}
+
+
+def _of(name: str) -> Callable[[Column], Column]:
+    return lambda n: has_class(n, name)
+
+
+def feed_entries(pages: DataFrame, base: str, card: tuple[str, ...] = CARDS) -> DataFrame:
     """One row per card with a title link; pages without cards fall back to bare title links.
 
     The first class of cards that a page has is taken; narrower selectors of the first class choose no other cards.
     """
-    is_card = has_class(*card)
-    kinds = nodes.filter(is_card).groupBy("page").agg(*[F.max(has_class(c)).alias(f"_{i}") for i, c in enumerate(card)])
-    chosen = F.lit(None).cast("string")
-    for i, c in reversed(list(enumerate(card))):
-        chosen = F.when(F.col(f"_{i}"), c).otherwise(chosen)
-    kinds = kinds.select("page", chosen.alias("_kind"))
-    n = nodes.join(kinds, "page", "left")
-    own = F.filter("up", lambda u: F.array_contains(u["classes"], F.col("_kind")))
-    n = n.withColumn("_card", F.get(own, F.size(own) - 1)["pos"])
-    in_title, in_item = inside("series-title").isNotNull() & (F.col("tag") == "a"), inside("chapter-title").isNotNull() & (F.col("tag") == "a")
-    first = lambda what, cond: F.min_by(what, F.when(cond, F.col("pos")))
-    time = (F.col("tag") == "time") | has_class("time-ago")
-    cards = n.filter(F.col("_card").isNotNull()).groupBy("page", "_card").agg(
-        F.coalesce(first(F.col("attrs")["href"], in_title), F.when(F.max(in_title), F.lit(""))).alias("_h"), first("text", in_title).alias("title"),
-        F.coalesce(first("text", in_item), F.lit("")).alias("latest_title"), F.coalesce(first(F.col("attrs")["href"], in_item), F.lit("")).alias("_i"), F.coalesce(first("text", time), F.lit("")).alias("updated"),
-    ).filter("_h IS NOT NULL")
-    entries = cards.select("page", F.col("_card").alias("pos"), U.normalize(F.col("_h"), base).alias("work_url"), "title", "latest_title", U.normalize(F.col("_i"), base).alias("latest_url"), "updated")
-    bare = nodes.join(entries.select("page").distinct(), "page", "left_anti").filter(in_title & (F.coalesce(F.col("attrs")["href"], F.lit("")) != ""))
+    kind = F.lit(None).cast("string")
+    for c in reversed(card):
+        kind = F.when(first_node(F.col("nodes"), _of(c)).isNotNull(), c).otherwise(kind)
+    d = pages.withColumn("_kind", kind)
+    in_title, in_item = (lambda n: n["within"]["title"].isNotNull() & (n["tag"] == "a")), (lambda n: n["within"]["item"].isNotNull() & (n["tag"] == "a"))
+    time = lambda n: (n["tag"] == "time") | has_class(n, "time-ago")
+    mine = F.filter("nodes", lambda n: n["within"][F.col("_kind")].isNotNull())
+    d = d.withColumn("_own", F.transform(mine, lambda n: F.struct(n["within"][F.col("_kind")].alias("card"), n.alias("n"))))
+    cards = F.transform(F.filter("nodes", lambda n: F.array_contains(n["classes"], F.col("_kind"))), lambda n: n["pos"])
+    d = d.withColumn("_cards", U.let(F.struct(cards.alias("cards"), "_own"), lambda v: F.transform(v["cards"], lambda p: F.struct(p.alias("pos"), F.transform(F.filter(v["_own"], lambda x: x["card"] == p), lambda x: x["n"]).alias("own")))))
     none = F.lit("")
-    return entries.unionByName(bare.select("page", "pos", U.normalize(F.col("attrs")["href"], base).alias("work_url"), F.col("text").alias("title"), none.alias("latest_title"), none.alias("latest_url"), none.alias("updated")))
 
+    def entry(pos: Column, link: Column, latest: Column, when: Column) -> Column:
+        return F.struct(pos.alias("pos"), link.alias("link"), latest.alias("latest"), when.alias("when"))
 
-def asset_urls(nodes: DataFrame, base: str) -> DataFrame:
-    """Distinct image addresses of a page in order: src, else data-src."""
-    a = F.col("attrs")
-    src = F.coalesce(F.nullif(a["src"], F.lit("")), F.nullif(a["data-src"], F.lit("")))
-    hit = nodes.filter(F.col("tag") == "img").withColumn("_u", src).filter(F.col("_u").isNotNull())
-    listed = hit.groupBy("page").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", U.normalize(F.col("_u"), base).alias("u")))), lambda x: x["u"]).alias("t"))
-    return listed.select("page", F.array_distinct("t").alias("assets"))
+    told = F.filter(F.transform("_cards", lambda c: entry(c["pos"], first_node(c["own"], in_title), first_node(c["own"], in_item), first_node(c["own"], time))), lambda e: e["link"].isNotNull())
+    nothing = F.get(F.filter("nodes", lambda n: F.lit(False)), F.lit(0))
+    bare = F.transform(F.filter("nodes", lambda n: in_title(n) & (F.coalesce(n["attrs"]["href"], none) != "")), lambda n: entry(n["pos"], n, nothing, nothing))
+    d = d.withColumn("_told", told).select("page", F.inline_outer(F.when(F.size("_told") > 0, F.col("_told")).otherwise(bare))).filter("pos IS NOT NULL")
+    text = lambda c: F.coalesce(F.col(c)["text"], none)
+    href = lambda c: U.normalize(F.coalesce(F.col(c)["attrs"]["href"], none), base)
+    return d.select("page", "pos", href("link").alias("work_url"), text("link").alias("title"), text("latest").alias("latest_title"), href("latest").alias("latest_url"), text("when").alias("updated"))
 
 
-def first_text(condition: Column) -> Column:
-    """Text of the first element of a page for which the condition holds, also an empty one; an aggregate."""
-    return F.min_by("text", F.when(condition, F.col("pos")))
+def asset_urls(pages: DataFrame, base: str) -> DataFrame:
+    """Distinct image addresses of a page in order: src, else data-src; nodes need the tag img."""
+    src = lambda n: F.coalesce(F.nullif(n["attrs"]["src"], F.lit("")), F.nullif(n["attrs"]["data-src"], F.lit("")))
+    found = F.filter(F.transform(F.filter("nodes", lambda n: n["tag"] == "img"), src), lambda x: x.isNotNull())
+    return pages.select("page", F.array_distinct(U.normalize_each(found, base)).alias("assets"))
 
 
-def work_titles(pages: DataFrame, nodes: DataFrame, page: str = "page") -> DataFrame:
+def work_titles(pages: DataFrame) -> DataFrame:
     """(page, title): the first element of class series-name, or else the slug of the page's address."""
-    found = nodes.groupBy("page").agg(first_text(has_class("series-name")).alias("_title"))
-    all_pages = pages.select(F.col(page).cast("string").alias("page")).distinct()
-    return all_pages.join(found, "page", "left").select("page", F.coalesce("_title", U.slug(F.col("page"))).alias("title"))
+    named = first_node(F.col("nodes"), lambda n: has_class(n, "series-name"))["text"]  # fixed value: the class of a work's name
+    return pages.select("page", F.coalesce(named, U.slug(F.col("page"))).alias("title"))
+
 
+# Where links of a catalogue stand.
+CATALOG = {"wanted": ("a",), "scopes": {"title": (".series-title",), "card": (".thumb-item-flow",)}}
 
-def catalog_urls(nodes: DataFrame, base: str, prefixes: tuple[str, ...] = U.WORK_PREFIXES) -> DataFrame:
+
+def catalog_urls(pages: DataFrame, base: str, prefixes: tuple[str, ...] = U.WORK_PREFIXES) -> DataFrame:
     """(page, item_index, url): addresses of works on a catalogue page, distinct, in order of their first link.
 
-    Nodes need the tag a. Links count inside of series-title, and covers inside of thumb-item-flow.
+    Links count inside of series-title, and covers (class series-cover) inside of thumb-item-flow. Nodes as CATALOG says.
     """
-    linked = inside("series-title").isNotNull() | (has_class("series-cover") & inside("thumb-item-flow").isNotNull())
-    urls = nodes.filter((F.col("tag") == "a") & linked).select("page", "pos", U.normalize(F.col("attrs")["href"], base).alias("url"))
-    kept = urls.filter(" OR ".join(f"contains(url, '/{p}/')" for p in prefixes)).groupBy("page", "url").agg(F.min("pos").alias("pos"))
-    return kept.select("page", F.row_number().over(Window.partitionBy("page").orderBy("pos")).cast("long").alias("item_index"), "url")
+    linked = lambda n: (n["tag"] == "a") & (n["within"]["title"].isNotNull() | (has_class(n, "series-cover") & n["within"]["card"].isNotNull()))
+    urls = F.transform(F.filter("nodes", linked), lambda n: n["attrs"]["href"])
+    of_works = F.filter(U.normalize_each(urls, base), lambda u: u.rlike("/(" + "|".join(re.escape(p) for p in prefixes) + ")/"))
+    return pages.select("page", F.posexplode_outer(F.array_distinct(of_works)).alias("_i", "url")).filter("url IS NOT NULL").select("page", (F.col("_i") + 1).cast("long").alias("item_index"), "url")
+
 
+# Where links of a pagination stand.
+PAGINATION = {"wanted": ("a",), "scopes": {"wrap": (".paging_item", ".pagination_wrap"), "list": (".pagination",), "entry": ("li",)}}
 
-def largest_pages(nodes: DataFrame) -> DataFrame:
-    """(page, max_page): largest number among the pagination links of each page that has any, 1 at least.
 
-    Nodes need the tag a. A link whose text is a number counts with that, another with ``page=`` in its address.
+def largest_pages(pages: DataFrame) -> DataFrame:
+    """(page, max_page): largest number among the pagination links of each page, 1 at least. Nodes as PAGINATION says.
+
+    A link whose text is a number counts with that, another with ``page=`` in its address.
     """
-    within = lambda name: inside(name).isNotNull()
-    listed = within("paging_item") | within("pagination_wrap") | F.exists("up", lambda u: (u["tag"] == "li") & (u["pos"] > inside("pagination")))
-    address = F.regexp_extract(F.col("attrs")["href"], r"page=(\d+)", 1)
-    number = F.when(F.col("text").rlike(r"^\d+$"), F.col("text")).otherwise(address).try_cast("long")
-    return nodes.filter((F.col("tag") == "a") & F.coalesce(listed, F.lit(False))).groupBy("page").agg(F.greatest(F.lit(1), F.coalesce(F.max(number), F.lit(1))).cast("long").alias("max_page"))
+    listed = lambda n: (n["tag"] == "a") & (n["within"]["wrap"].isNotNull() | F.coalesce(n["within"]["entry"] > n["within"]["list"], F.lit(False)))
+    number = lambda n: F.when(n["text"].rlike(r"^\d+$"), n["text"]).otherwise(F.regexp_extract(n["attrs"]["href"], r"page=(\d+)", 1)).try_cast("long")
+    most = F.array_max(F.transform(F.filter("nodes", listed), number))
+    return pages.select("page", F.greatest(F.lit(1), F.coalesce(most, F.lit(1))).cast("long").alias("max_page"))
 
 
-#: What ``html_nodes`` must give for ``item_pages``, besides ``text_only``.
-ITEM_NODES = {"tags": ("h4", "h6", "p"), "classes": ("chapter-title", "chapter-content", "reading-content"), "ids": ("chapter-content",)}
+# Classes of an item's heads and content.
+#: What ``html_pages`` must give for ``item_pages``, besides ``text_only``.
+ITEM_NODES = {"wanted": ("h4", "h6", "p", ".chapter-title", ".chapter-content", ".reading-content", "#chapter-content"), "scopes": {"top": (".title-top",)}}
 
 
-def item_pages(nodes: DataFrame, repair: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+def item_pages(pages: DataFrame, repair: Callable[[Column], Column] = lambda c: c) -> DataFrame:
     """(page, title, section, words, date, text) of every item page.
 
     The first heading is the title, or else a constant; the first subheading is the section's title and may tell words
@@ -269,17 +424,19 @@ def item_pages(nodes: DataFrame, repair: Callable[[Column], Column] = lambda c:
     equal to a title, joined by blank lines. Without a number of words in the heading the text's are counted. Title,
     section and text are repaired after that.
     """
-    top = inside("title-top").isNotNull()
-    is_content = has_class("chapter-content", "reading-content") | (F.col("id") == "chapter-content")
-    named = (F.col("tag") == "h4") & (top | has_class("title-item")) | has_class("chapter-title")
-    content = F.min(F.when(is_content, F.col("pos")))
-    heads = nodes.groupBy("page").agg(first_text(named).alias("title"), first_text((F.col("tag") == "h6") & (top | has_class("title-item"))).alias("section"), content.alias("_content"), first_text(is_content).alias("_all"))
-    heads = heads.withColumn("title", F.coalesce("title", F.lit("Chương"))).withColumn("section", F.coalesce("section", F.lit("")))
-    inner = nodes.filter("tag = 'p'").select("page", "pos", "text", F.explode(F.transform("up", lambda u: u["pos"])).alias("_content"))
-    inner = inner.groupBy("page", "_content").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("_paragraphs"))
-    lines = F.transform(F.split(T.clean(F.col("_all")), "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
-    kept = F.filter(F.coalesce("_paragraphs", lines), lambda x: (x != "") & ~T.is_notice(x) & (x != F.col("title")) & (x != F.col("section")))
-    out = heads.join(inner, ["page", "_content"], "left").withColumn("text", repair(F.coalesce(F.array_join(kept, "\n\n"), F.lit(""))))
+    top = lambda n: n["within"]["top"].isNotNull() | has_class(n, "title-item")
+    is_content = lambda n: has_class(n, "chapter-content", "reading-content") | (n["id"] == "chapter-content")
+    nodes = F.col("nodes")
+    d = pages.select(
+        "page", F.filter(nodes, lambda n: n["tag"] == "p").alias("_p"), first_node(nodes, is_content).alias("_content"),
+        F.coalesce(first_node(nodes, lambda n: (n["tag"] == "h4") & top(n) | has_class(n, "chapter-title"))["text"], F.lit("Chương")).alias("title"),
+        F.coalesce(first_node(nodes, lambda n: (n["tag"] == "h6") & top(n))["text"], F.lit("")).alias("section"),
+    )
+    inner = F.transform(F.filter("_p", lambda n: (n["pos"] > F.col("_content")["pos"]) & (n["pos"] <= F.col("_content")["last"])), lambda n: n["text"])
+    lines = F.transform(F.split(T.clean(F.col("_content")["text"]), "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+    d = d.withColumn("_inner", inner).withColumn("_lines", F.when(F.size("_inner") > 0, F.col("_inner")).otherwise(lines))
+    kept = F.filter("_lines", lambda x: (x != "") & ~T.is_notice(x) & (x != F.col("title")) & (x != F.col("section")))
+    out = d.withColumn("text", repair(F.coalesce(F.array_join(kept, "\n\n"), F.lit(""))))
     told = T.digits_to_int(F.regexp_extract("section", r"(?iu)Độ dài:\s*([\d.,]+)\s*từ", 1))
     date = F.trim(F.regexp_extract("section", r"(?iu)Cập nhật:\s*([^\n\r]+)", 1))
     return out.select("page", repair(F.col("title")).alias("title"), repair(F.col("section")).alias("section"), F.when(told > 0, told).otherwise(T.word_count(F.col("text"))).cast("long").alias("words"), date.alias("date"), "text")
@@ -288,10 +445,14 @@ def item_pages(nodes: DataFrame, repair: Callable[[Column], Column] = lambda c:
 # Flat markup: expressions only.
 
 
+_ANCHOR = r"""<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
 def links(html: Column) -> Column:
-    """(href, text) of the anchors in order; empty addresses dropped."""
-    found = F.regexp_extract_all(html, F.lit(r'(?s)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>'), F.lit(0))
-    pairs = F.transform(found, lambda x: F.struct(F.regexp_extract(x, 'href="([^"]*)"', 1).alias("href"), F.trim(F.regexp_replace(F.regexp_replace(x, "(?s)<[^>]*>", ""), r"^\s+|\s+$", "")).alias("text")))
+    """(href, text) of the anchors in order, in any case and quoting; empty addresses dropped."""
+    found = F.regexp_extract_all(html, F.lit(rf"(?is){_ANCHOR}[^>]*>.*?</a>"), F.lit(0))
+    href = lambda x: F.trim(F.regexp_replace(F.regexp_extract(x, rf"(?is)^{_ANCHOR}", 1), r"""^["']|["']$""", ""))
+    pairs = F.transform(found, lambda x: F.struct(href(x).alias("href"), F.trim(F.regexp_replace(F.regexp_replace(x, "(?s)<[^>]*>", ""), r"^\s+|\s+$", "")).alias("text")))
     return F.filter(pairs, lambda p: p["href"] != "")
 
 

@@ -54,9 +54,19 @@ def normalize(url: Column, base: str) -> Column:
 
     Dot segments of joined paths are resolved; ``base`` is an origin with or without a path.
     """
+    return _normalized(url, F.trim(F.regexp_replace(url, r"^\s+|\s+$", "")), base)
+
+
+def normalize_each(urls: Column, base: str) -> Column:
+    """``normalize`` of every URL of an array. There nothing is shared between parts of an expression, so each step is one of its own."""
+    trimmed = F.transform(urls, lambda u: F.trim(F.regexp_replace(F.coalesce(u, F.lit("")), r"^\s+|\s+$", "")))
+    plain = lambda t: t.startswith("http://") | t.startswith("https://") | (t == "")
+    return F.transform(trimmed, lambda t: F.when(plain(t), t).otherwise(_normalized(t, t, base)))
+
+
+def _normalized(url: Column, t: Column, base: str) -> Column:
     import re
 
-    t = F.trim(F.regexp_replace(url, r"^\s+|\s+$", ""))
     origin, base_path = re.match(r"^([a-z]+://[^/?#]*)([^?#]*)", base).groups()
     folder = base_path.rpartition("/")[0]
     query = F.regexp_extract(t, r"([?#].*)$", 1)
@@ -85,14 +95,19 @@ def from_slug(x: Column, base: str) -> Column:
 
 def belongs_to_work(item_url: Column, work_url: Column, prefixes: Sequence[str] = WORK_PREFIXES) -> Column:
     """Whether an item's URL has an item part and agrees with the work by id, or else by slug."""
+    return belongs_to_slug(item_url, slug(item_url, prefixes), slug(work_url, prefixes))
+
+
+def belongs_to_slug(item_url: Column, item: Column, work: Column) -> Column:
+    """As ``belongs_to_work``, from the slugs of both URLs."""
     number = lambda s: F.coalesce(F.regexp_extract(s, r"^(\d+)", 1).try_cast("long"), F.lit(0))  # noqa: E731  an id of 0 counts as unknown
 
     def by(x: Column) -> Column:
-        s, own, a, b = x["work"], x["item"], number(x["item"]), number(x["work"])
+        s, own, a, b = x["work"], x["item"], x["a"], x["b"]
         by_slug = F.when((s != "") & (own != "") & (s != "novel"), (own == s) | item_url.contains(s)).otherwise(True)
         return F.when((a != 0) & (b != 0), a == b).otherwise(by_slug)
 
-    both = F.struct(slug(work_url, prefixes).alias("work"), slug(item_url, prefixes).alias("item"))
+    both = F.struct(work.alias("work"), item.alias("item"), number(item).alias("a"), number(work).alias("b"))
     return F.coalesce(F.when(item_url.rlike(r"/c\d+"), let(both, by)).otherwise(False), F.lit(False))
 
 

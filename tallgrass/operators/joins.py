@@ -22,11 +22,15 @@ def new_works(catalog: DataFrame, works: DataFrame, slug: Column, key: str = "ur
 
 
 def classify_feed(feed: DataFrame, works: DataFrame, completed: DataFrame, *, work: str, item: str, force: bool = False) -> DataFrame:
-    """Label feed rows new_work, new_item or recheck; all are queued."""
+    """Label feed rows new_work, new_item or recheck; all are queued.
+
+    A known work has a new item if its latest one has an address that is neither null nor '' and is not completed; with
+    ``force`` every known work counts as having one.
+    """
     w = works.select(F.col(work).alias("_w")).distinct()
     c = completed.select(F.col(item).alias("_i")).distinct()
     j = feed.join(w, feed[work] == F.col("_w"), "left").join(c, feed[item] == F.col("_i"), "left")
-    fresh = F.col(item).isNotNull() & (F.col("_i").isNull() | F.lit(force))
+    fresh = F.lit(force) | ((F.coalesce(F.col(item).cast("string"), F.lit("")) != "") & F.col("_i").isNull())
     return j.select(*feed.columns, F.when(F.col("_w").isNull(), "new_work").when(fresh, "new_item").otherwise("recheck").alias("reason"), F.lit(True).alias("queued"))
 
 

@@ -149,13 +149,27 @@ def new_works(spark: SparkSession, sf: str) -> DataFrame:
     return joins.new_works(pages, pages.filter("page_id % 3 = 0"), U.slug(F.col("url"), ("en", "fr", "de", "es")))
 
 
-@book.add("""SELECT o_orderkey, o_custkey, latest, CASE WHEN c_custkey IS NULL THEN 'new_work' WHEN latest IS NOT NULL AND k IS NULL THEN 'new_item' ELSE 'recheck' END AS reason, true AS queued
-FROM (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS latest FROM orders) LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey LEFT JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_linestatus = 'F') ON latest = k""")
-def classify_feed(spark: SparkSession, sf: str) -> DataFrame:
-    feed = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey")).alias("latest"))
+_FEED = """SELECT o_orderkey, o_custkey, latest, CASE WHEN c_custkey IS NULL THEN 'new_work' WHEN {} THEN 'new_item' ELSE 'recheck' END AS reason, true AS queued
+FROM (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 7 <> 0 THEN '/c' || o_orderkey END AS latest FROM orders) LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey LEFT JOIN (SELECT DISTINCT '/c' || l_orderkey AS k FROM lineitem WHERE l_linestatus = 'F') ON latest = k"""
+
+
+def _classified(spark: SparkSession, sf: str, force: bool) -> DataFrame:
+    address = lambda c: F.concat(F.lit("/c"), F.col(c).cast("string")).alias("latest")
+    feed = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 11 == 0, "").when(F.col("o_orderkey") % 7 != 0, address("o_orderkey")).alias("latest"))
     works = table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
-    done = table(spark, sf, "lineitem").filter("l_linestatus = 'F'").select(F.col("l_orderkey").alias("latest"))
-    return joins.classify_feed(feed, works, done, work="o_custkey", item="latest")
+    done = table(spark, sf, "lineitem").filter("l_linestatus = 'F'").select(address("l_orderkey"))
+    return joins.classify_feed(feed, works, done, work="o_custkey", item="latest", force=force)
+
+
+@book.add(_FEED.format("latest <> '' AND k IS NULL"))
+def classify_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as feed rows; some have no latest item, some an empty address."""
+    return _classified(spark, sf, False)
+
+
+@book.add(_FEED.format("true"))
+def classify_feed_forced(spark: SparkSession, sf: str) -> DataFrame:
+    return _classified(spark, sf, True)
 
 
 @book.add("SELECT l_orderkey, l_linenumber, count(*) AS n, min(coalesce(o_orderpriority, 'novel_' || l_orderkey)) AS slug FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 4 <> 0) ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_linenumber")

@@ -75,8 +75,8 @@ def info_pairs(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("c_custkey") % 2 == 0, _pair("info", "Tình trạng:", F.concat(F.lit("n"), "c_nationkey"))).otherwise('<div class="info-item"><span class="info-name">Tình trạng:</span></div>'),
         _pair("info", "Tên khác:", F.concat(F.lit("b"), "c_custkey")),
     )
-    nodes = H.html_nodes(table(spark, sf, "customer").select("c_custkey", page.alias("html")), "c_custkey", "html", classes=["info-name", "info-value"])
-    return H.info_pairs(nodes, H.INFO_LABELS, "info-item", "info-name", "info-value").select(F.col("page").cast("long").alias("c_custkey"), *H.INFO_LABELS)
+    nodes = H.html_pages(table(spark, sf, "customer").select("c_custkey", page.alias("html")), "c_custkey", "html", [".info-name", ".info-value"], scopes={"item": [".info-item"]})
+    return H.info_pairs(nodes, H.INFO_LABELS, "info-name", "info-value").select(F.col("page").cast("long").alias("c_custkey"), *H.INFO_LABELS)
 
 
 @book.add("SELECT s_suppkey, s_suppkey * 1234 AS words, s_suppkey + 5 AS views, 0 AS bookmarks, (s_suppkey % 50) / 10.0::DOUBLE AS rating, s_suppkey AS rating_count, 'n ' || s_nationkey AS updated FROM supplier")
@@ -85,15 +85,15 @@ def stat_pairs(spark: SparkSession, sf: str) -> DataFrame:
         _pair("statistic", "Số từ", F.format_number(F.col("s_suppkey") * 1234, 0)), _pair("statistic", "Lượt xem", F.concat((F.col("s_suppkey") + 5).cast("string"), F.lit(" lần"))), _pair("statistic", "Theo dõi", F.lit("-")),
         _pair("statistic", "Đánh giá", F.concat(F.regexp_replace(F.format_string("%.1f", F.col("s_suppkey") % 50 / 10), r"\.", ","), F.lit(" / "), "s_suppkey")), _pair("statistic", "Lần cuối", F.concat(F.lit("n\n"), "s_nationkey")),
     )
-    nodes = H.html_nodes(table(spark, sf, "supplier").select("s_suppkey", page.alias("html")), "s_suppkey", "html", classes=["statistic-name", "statistic-value"])
-    return H.typed_stats(H.info_pairs(nodes, H.STAT_LABELS, "statistic-item", "statistic-name", "statistic-value")).withColumn("page", F.col("page").cast("long")).withColumnRenamed("page", "s_suppkey")
+    nodes = H.html_pages(table(spark, sf, "supplier").select("s_suppkey", page.alias("html")), "s_suppkey", "html", [".statistic-name", ".statistic-value"], scopes={"item": [".statistic-item"]})
+    return H.typed_stats(H.info_pairs(nodes, H.STAT_LABELS, "statistic-name", "statistic-value")).withColumn("page", F.col("page").cast("long")).withColumnRenamed("page", "s_suppkey")
 
 
 @book.add("SELECT p_partkey, CASE WHEN p_type = p_brand THEN p_name || '|' || p_type ELSE p_name || '|' || p_type || '|' || p_brand END AS tags FROM part")
 def ordered_tags(spark: SparkSession, sf: str) -> DataFrame:
     link = lambda c: F.concat(F.lit('<a href="/the-loai/x"> '), c, F.lit(" </a>"))
     page = F.concat(link(F.col("p_name")), _tag("span", "badge-genre", F.col("p_type")), link(F.col("p_name")), F.lit('<a href="/other">no</a>'), _tag("b", "badge-genre", " "), link(F.col("p_brand")))
-    nodes = H.html_nodes(table(spark, sf, "part").select("p_partkey", page.alias("html")), "p_partkey", "html", tags=["a"], classes=["badge-genre"])
+    nodes = H.html_pages(table(spark, sf, "part").select("p_partkey", page.alias("html")), "p_partkey", "html", ["a", ".badge-genre"])
     return H.ordered_tags(nodes).select(F.col("page").cast("long").alias("p_partkey"), F.array_join("tags", "|").alias("tags"))
 
 
@@ -102,14 +102,14 @@ def type_summary(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.when(F.col("doc_id") % 4 == 0, "").otherwise(_tag("div", "series-type", F.col("source")))
     summary = F.when(F.col("doc_id") % 5 == 0, "").otherwise(_tag("div", "summary-content", F.concat(F.lit("\r\n"), F.col("lang"), F.lit("\n\n\n\n"), F.col("doc_id").cast("string"), F.lit("\n"))))
     page = F.concat(F.lit("<p>x</p>"), kind, summary, F.lit('<div class="series-end"></div>'))
-    nodes = H.html_nodes(table(spark, sf, "documents").select("doc_id", page.alias("html")), "doc_id", "html", classes=["series-type", "summary-content", "series-end"])
+    nodes = H.html_pages(table(spark, sf, "documents").select("doc_id", page.alias("html")), "doc_id", "html", [".series-type", ".summary-content"])
     return H.type_and_summary(nodes).withColumn("page", F.col("page").cast("long")).withColumnRenamed("page", "doc_id")
 
 
 @book.add("SELECT doc_id, 'https://site.example/i/' || source || '.jpg|https://cdn.example/' || doc_id || '.webp' AS assets FROM documents")
 def asset_urls(spark: SparkSession, sf: str) -> DataFrame:
     page = F.concat(F.lit('<p id="1"><img src="/i/'), "source", F.lit('.jpg" alt=""></p><img data-src="//cdn.example/'), F.col("doc_id").cast("string"), F.lit('.webp"/><img src="/i/'), "source", F.lit('.jpg"><img alt="none">'))
-    nodes = H.html_nodes(table(spark, sf, "documents").select("doc_id", page.alias("html")), "doc_id", "html", tags=["img"])
+    nodes = H.html_pages(table(spark, sf, "documents").select("doc_id", page.alias("html")), "doc_id", "html", ["img"])
     return H.asset_urls(nodes, BASE).select(F.col("page").cast("long").alias("doc_id"), F.array_join("assets", "|").alias("assets"))
 
 
@@ -142,8 +142,7 @@ def toc_extract(spark: SparkSession, sf: str) -> DataFrame:
     pages = c.select("conv_id").distinct().join(sections, "conv_id", "left").join(loose, "conv_id", "left")
     noise = F.concat(F.lit('<section id="series-comments"><a href="/truyen/'), F.col("conv_id").cast("string"), F.lit('-w/c999-no">no</a></section><a href="/truyen/7777777-other/c1-x">other</a>'))
     pages = pages.select(F.concat(F.lit(f"{BASE}/truyen/"), F.col("conv_id").cast("string"), F.lit("-w")).alias("url"), F.concat(noise, F.coalesce("listed", F.lit("")), F.coalesce("loose", F.lit(""))).alias("html"))
-    nodes = H.html_nodes(pages, "url", "html", tags=["a"], classes=["volume-list", "sect-title", "chapter-time"])
-    out = H.table_of_contents(nodes, BASE)
+    out = H.table_of_contents(H.html_pages(pages, "url", "html", **H.CONTENTS), BASE)
     return out.select(F.regexp_extract("page", r"/(\d+)-w", 1).cast("long").alias("conv_id"), "section", "item_index", "item_url", "title", "date")
 
 
@@ -158,8 +157,7 @@ def feed_extract(spark: SparkSession, sf: str) -> DataFrame:
     card = F.concat(F.lit('<div class="thumb-item-flow">'), F.when(F.col("o_orderkey") % 10 == 7, "").otherwise(title), item, F.lit("<time>"), "o_orderpriority", F.lit("</time></div>"))
     rows = o.select("o_custkey", "o_orderkey", F.when(F.col("o_custkey") % 3 == 0, title).otherwise(card).alias("b"))
     pages = rows.groupBy("o_custkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "b"))), lambda x: x["b"]), "").alias("html"))
-    nodes = H.html_nodes(pages, "o_custkey", "html", tags=["a", "time"], classes=["thumb-item-flow", "series-item"])
-    return H.feed_entries(nodes, BASE).select(F.col("page").cast("long").alias("o_custkey"), "work_url", "title", "latest_title", "latest_url", "updated")
+    return H.feed_entries(H.html_pages(pages, "o_custkey", "html", **H.FEED), BASE).select(F.col("page").cast("long").alias("o_custkey"), "work_url", "title", "latest_title", "latest_url", "updated")
 
 
 def _joined(rows: DataFrame, key: str, order: str, part: str) -> DataFrame:
@@ -180,7 +178,7 @@ def catalog_urls(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey") % 4
     part = F.when(k == 0, F.concat(title(own), cover(own))).when(k == 1, cover(shared)).when(k == 2, title(foreign)).otherwise(F.concat(title(F.concat(F.lit("/tin-tuc/"), key)), link(own)))
     pages = _joined(table(spark, sf, "orders").select("o_custkey", "o_orderkey", part.alias("part")), "o_custkey", "o_orderkey", "part")
-    found = H.catalog_urls(H.html_nodes(pages, "o_custkey", "html", tags=["a"]), BASE)
+    found = H.catalog_urls(H.html_pages(pages, "o_custkey", "html", **H.CATALOG), BASE)
     return found.select(F.col("page").cast("long").alias("o_custkey"), "item_index", "url")
 
 
@@ -194,9 +192,8 @@ def max_page(spark: SparkSession, sf: str) -> DataFrame:
     wrap = F.concat(F.lit('<div class="pagination_wrap">'), link(F.lit(" 2 "), plain), link(F.lit("Cuối"), F.concat(F.lit("/danh-sach?a=1&amp;page="), (n + 2).cast("string"))), F.lit("</div>"))
     listed = F.concat(F.lit('<ul class="pagination"><li>'), link(n.cast("string"), F.lit("/x?page=999")), F.lit("</li><li>"), link(F.lit("3"), plain), F.lit("</li>"), link(F.lit("777"), plain), F.lit("</ul>"))
     html = F.concat(link(F.lit("888"), plain), F.when(k == 0, "").when(k == 1, wrap).otherwise(listed))
-    found = H.largest_pages(H.html_nodes(c.select("c_custkey", html.alias("html")), "c_custkey", "html", tags=["a"]))
-    pages = c.select("c_custkey").join(found.select(F.col("page").cast("long").alias("c_custkey"), "max_page"), "c_custkey", "left")
-    return pages.select("c_custkey", F.coalesce("max_page", F.lit(1)).cast("long").alias("max_page"))
+    found = H.largest_pages(H.html_pages(c.select("c_custkey", html.alias("html")), "c_custkey", "html", **H.PAGINATION))
+    return found.select(F.col("page").cast("long").alias("c_custkey"), "max_page")
 
 
 @book.add("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN '' ELSE c_custkey || '-w' END AS title FROM customer")
@@ -205,7 +202,7 @@ def work_title(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("c_custkey") % 3
     name = F.when(k == 0, F.concat(F.lit('<span class="series-name"><a href="/x"> '), "c_name", F.lit(' </a></span><h1 class="series-name">second</h1>'))).when(k == 1, '<h1 class="series-name"> </h1>').otherwise("<h1>no</h1>")
     pages = table(spark, sf, "customer").select(F.concat(F.lit(f"{BASE}/truyen/"), F.col("c_custkey").cast("string"), F.lit("-w/")).alias("page"), name.alias("html"))
-    found = H.work_titles(pages, H.html_nodes(pages, "page", "html", classes=["series-name"]))
+    found = H.work_titles(H.html_pages(pages, "page", "html", [".series-name"]))
     return found.select(F.regexp_extract("page", r"/(\d+)-w", 1).cast("long").alias("c_custkey"), "title")
 
 
@@ -224,11 +221,10 @@ def item_pages(spark: SparkSession, sf: str) -> DataFrame:
     date = F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.concat(F.lit("\nCập nhật: "), i, F.lit(" giờ trước")))
     head = F.concat(F.lit('<div class="title-top"><h2>no</h2>'), F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.concat(F.lit("<h4>"), T.escape_html(title), F.lit(" </h4>"))), F.lit('<h6 class="title-item">'), length, date, F.lit("</h6></div>"))
     noise = F.concat(F.lit('<script>var p = "<p>no</p>";</script><div class="alert x"><p>no</p></div><p style="color:red;display: none">no</p><a href="https://shopee.example/1">no</a><noscript>no</noscript>'))
-    notice = "Ủng hộ Hako nhé"
+    notice = "Mã FREE ship nhé"
     paragraphs = F.array_join(F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("<p id='1'>"), T.escape_html(x), F.lit("</p>"))), "\n")
     with_p = F.concat(noise, paragraphs, F.lit(f"<p>{notice}</p><p>"), T.escape_html(F.when(F.col("doc_id") % 7 == 0, "Chương").otherwise(title)), F.lit("</p><p> </p>"))
     without = F.concat(F.lit("<style>p {}</style>"), T.escape_html(F.col("text")), F.lit(f"\n{notice}\n\n\n\n<div class='reading-notice'>no</div>\n"))
     body = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit('<div id="chapter-content">'), without)).otherwise(F.concat(F.lit('<div class="long-text reading-content">'), with_p))
     pages = d.select("doc_id", F.concat(head, F.lit("<p>outside</p>"), body, F.lit("</div><p>after</p>")).alias("html"))
-    nodes = H.html_nodes(pages, "doc_id", "html", text_only=True, **H.ITEM_NODES)
-    return H.item_pages(nodes).select(F.col("page").cast("long").alias("doc_id"), "title", "section", "words", "date", F.sha2("text", 256).alias("text"))
+    return H.item_pages(H.html_pages(pages, "doc_id", "html", text_only=True, **H.ITEM_NODES)).select(F.col("page").cast("long").alias("doc_id"), "title", "section", "words", "date", F.sha2("text", 256).alias("text"))

@@ -44,9 +44,13 @@ def normalize_url(spark: SparkSession, sf: str) -> DataFrame:
 
 @book.add(f"SELECT page_id, pos, href, text FROM ({_LINKS})")
 def extract_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Anchors of all pages, of which a third is brought to capitals and single quotes and a third to none."""
     from ..functions.html import links
 
-    return table(spark, sf, "pages").select("page_id", F.posexplode(links(F.col("html"))).alias("pos", "p")).select("page_id", F.col("pos").cast("long").alias("pos"), "p.href", "p.text")
+    k, plain = F.col("page_id") % 3, '<a href="([^"]*)"'
+    single = F.regexp_replace(F.regexp_replace("html", plain, "<A class=x HREF = '$1'"), "</a>", "</A>")
+    html = F.when((k == 1) & ~F.col("html").contains("'"), single).when(k == 2, F.regexp_replace("html", """<a href="([^" '>]+)\"""", '<a id="1" href=$1')).otherwise(F.col("html"))
+    return table(spark, sf, "pages").select("page_id", F.posexplode(links(html)).alias("pos", "p")).select("page_id", F.col("pos").cast("long").alias("pos"), "p.href", "p.text")
 
 
 @book.add(r"""SELECT doc_id, CASE WHEN f = '' THEN 'untitled' ELSE f END AS file_name FROM (SELECT doc_id, rtrim(substr(trim(regexp_replace(regexp_replace(text, '[\\/*?:"<>|]', '', 'g'), '\s+', ' ', 'g')), 1, 120)) AS f FROM documents)""")

@@ -1,6 +1,7 @@
 """Operators on small rows: the quirks, random histories against folds, streams against batches."""
 
 import random
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from tallgrass.functions import html as H
 from tallgrass.functions import text as T
 from tallgrass.functions import urls as U
 from tallgrass.functions import vietnamese as V
-from tallgrass.operators import assemble, frontier, merge, quality, retry
+from tallgrass.operators import assemble, frontier, joins, merge, quality, retry
 from tallgrass.sources import tables
 from tallgrass.streaming import pipelines
 
@@ -148,11 +149,87 @@ def test_checks(spark):
 
 def test_ill_formed_pages(spark):
     pages = spark.createDataFrame([("p", '<script>var t="</p>";</script><article><p><b>One<br><p>two &amp; three</p><p>\n</p></article>'), ("q", None), ("r", "")], "page string, html string")
-    nodes = H.html_nodes(pages, "page", "html", tags=["p"]).orderBy("pos").collect()
+    nodes = H.html_nodes(pages, "page", "html", ["p"]).orderBy("pos").collect()
     assert [n["text"] for n in nodes] == ["One", "two & three", ""]
     assert [r[0] for r in pages.orderBy("page").select(H.body_text(F.col("html"), F.lit("x"))).collect()] == ["One\n\ntwo & three", None, ""]
 
 
+def test_links_in_any_quoting(spark):
+    cases = {"<a href=\"/x\">1</a>": [("/x", "1")], "<A HREF='/x' id=1> <b>2</b></A>": [("/x", "2")], "<a id=1 href=/y>3</a><a href=''>no</a><a data-href='/z'>no</a><a\nhref = \"a b\">4</a>": [("/y", "3"), ("a b", "4")], "<abbr href='/q'>no</abbr>": []}
+    got = values(spark, H.links, list(cases))
+    assert [[tuple(p) for p in g] for g in got] == list(cases.values())
+
+
+class _Reference(HTMLParser):
+    """Texts of all elements, in order, by the standard parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.done = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "p" and (at := [i for i, n in enumerate(self.open) if n[0] == "p"]):
+            del self.open[at[-1] :]
+        node = [tag, dict(attrs).get("class") or "", dict(attrs).get("href"), []]
+        self.done.append(node)
+        if tag not in ("br", "img"):
+            self.open.append(node)
+
+    def handle_endtag(self, tag):
+        if at := [i for i, n in enumerate(self.open) if n[0] == tag]:
+            del self.open[at[-1] :]
+
+    def handle_data(self, data):
+        for n in self.open:
+            n[3].append(data)
+
+
+def test_parse_agrees_with_the_standard_parser():
+    r = random.Random(6)
+    parts = ["<p>", "</p>", "<div class='x y'>", "</div>", "<a href=\"/q?a=1&amp;b\">", "</a>", "<br/>", "<img src=/i.png>", " text ", "&lt;b&gt;", "\n", "<!-- <p>no</p> -->", "<script>var a = '<p>';</script>", "<span CLASS=z>", "</span>", "1 < 2 ", "<ul><li>", "</ul>", "é"]
+    for _ in range(400):
+        html = "".join(r.choice(parts) for _ in range(r.randrange(1, 25)))
+        ref = _Reference()
+        ref.feed(html)
+        ref.close()
+        got = H.parse(html, H._Chosen({"": ["p", "div", "a", "br", "img", "script", "span", "ul", "li"]}), H._Chosen({"box": [".x"]}), False)
+        assert [(n[2], " ".join(n[3]), dict(n[5]).get("href"), n[6]) for n in got] == [(t, c, h, "".join(x).strip()) for t, c, h, x in ref.done], html
+        around = lambda n: [m[0] for m in got if "x" in m[3] and m[0] < n[0] <= m[1]]
+        assert all(dict(n[7]).get("box") == (max(around(n)) if around(n) else None) for n in got), html
+
+
+def test_extraction_plans_one_parse_and_no_shuffle(spark):
+    pages = spark.createDataFrame([("https://h/truyen/5-a", "<a href='/truyen/5-a/c1-x'>1</a>")], "page string, html string").coalesce(1)
+    for out in (H.table_of_contents(H.html_pages(pages, "page", "html", **H.CONTENTS), "https://h"), H.feed_entries(H.html_pages(pages, "page", "html", **H.FEED), "https://h"), H.item_pages(H.html_pages(pages, "page", "html", text_only=True, **H.ITEM_NODES)), H.catalog_urls(H.html_pages(pages, "page", "html", **H.CATALOG), "https://h"), H.largest_pages(H.html_pages(pages, "page", "html", **H.PAGINATION))):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+
+
+def test_contents_of_a_long_and_an_odd_page(spark):
+    many = "".join(f'<li><a href="/truyen/5-a/c{i}-x">t{i}</a><div class="chapter-time">d{i}</div></li>' for i in range(5000))
+    long = f'<section class="volume-list"><p class="sect-title">one</p><ul class="list-chapters">{many}</ul></section><section class="volume-list"><ul class="list-chapters"><li><a href="/truyen/5-a/c3-x">again</a></li></ul></section><a href="/truyen/5-a/c9999-z">late</a>'
+    pages = spark.createDataFrame([("https://h/truyen/5-a", long), ("https://h/truyen/6-b", '<nav><a href="/truyen/6-b/c1-x">no</a></nav><a href="/truyen/6-b/c2-x"></a>'), ("https://h/truyen/7-c", None)], "page string, html string")
+    got = H.table_of_contents(H.html_pages(pages, "page", "html", **H.CONTENTS), "https://h").orderBy("page", "item_index").collect()
+    assert [(r["item_index"], r["section"], r["title"], r["date"]) for r in got[:5000]] == [(i + 1, "one", f"t{i}", f"d{i}") for i in range(5000)]
+    assert [tuple(r)[1:] for r in got[5000:]] == [("one", 1, 5001, "https://h/truyen/5-a/c9999-z", "late", ""), ("Quyển 1", 1, 1, "https://h/truyen/6-b/c2-x", "Chương 1", "")]
+
+
+def test_feed_of_pages_with_and_without_cards(spark):
+    card = '<div class="series-item"><div class="series-title"><a href="/w">W</a></div><span class="time-ago">now</span></div><div class="series-item"><a href="/no">no title</a></div>'
+    pages = spark.createDataFrame([("a", card), ("b", '<div class="series-title"><a href="x">X</a><a>none</a></div>'), ("c", "")], "page string, html string")
+    got = H.feed_entries(H.html_pages(pages, "page", "html", **H.FEED), "https://h").orderBy("page").collect()
+    assert [tuple(r)[:1] + tuple(r)[2:] for r in got] == [("a", "https://h/w", "W", "", "", "now"), ("b", "https://h/x", "X", "", "", "")]
+
+
+def test_feed_labels(spark):
+    feed = spark.createDataFrame([("w", ""), ("w", None), ("w", "a"), ("w", "b"), ("v", "a")], "work string, item string")
+    works, done = spark.createDataFrame([("w",)], "work string"), spark.createDataFrame([("a",)], "item string")
+    label = lambda force: [(r["work"], r["item"], r["reason"]) for r in joins.classify_feed(feed, works, done, work="work", item="item", force=force).collect()]
+    key = str
+    assert sorted(label(False), key=key) == sorted([("w", "", "recheck"), ("w", None, "recheck"), ("w", "a", "recheck"), ("w", "b", "new_item"), ("v", "a", "new_work")], key=key)
+    assert {x[2] for x in label(True) if x[0] == "w"} == {"new_item"}
+
+
 def test_entry_without_the_optional_part(tmp_path):
     import shutil
     import subprocess
