@@ -104,6 +104,31 @@ def pending_retries(spark: SparkSession, sf: str) -> DataFrame:
     return retry.pending(retry_ledger(spark, sf))
 
 
+_ROWS = """SELECT item_type, target_url, target_id, attempts, max_attempts, CASE WHEN base <> 'dead' AND sync_seq > coalesce(last_seq, -1) THEN 'pending' ELSE base END AS status, last_error, extra_data FROM (
+SELECT *, CASE WHEN last IS NULL THEN 'pending' WHEN last = 'resolve' THEN 'resolved' WHEN attempts >= max_attempts THEN 'dead' ELSE 'pending' END AS base FROM (
+SELECT item_type, target_url, arg_min_null(target_id, seq) AS target_id, CAST(count(*) FILTER (WHERE action IN ('add', 'fail') AND seq > f) AS BIGINT) AS attempts, CAST(arg_min(max_attempts, seq) AS BIGINT) AS max_attempts,
+arg_max_null(error, seq) FILTER (WHERE seq = f OR action IN ('add', 'fail') OR action = 'sync' AND error IS NOT NULL) AS last_error, arg_max_null(extra, seq) FILTER (WHERE seq = f OR action = 'add') AS extra_data,
+arg_max(action, seq) FILTER (WHERE action <> 'sync' AND seq > f) AS last, max(seq) FILTER (WHERE action <> 'sync' AND seq > f) AS last_seq, max(seq) FILTER (WHERE action = 'sync' AND seq > f) AS sync_seq
+FROM (SELECT *, min(seq) FILTER (WHERE action IN ('add', 'sync')) OVER (PARTITION BY item_type, target_url) AS f FROM ledger_actions WHERE action <> 'skip') WHERE seq >= f GROUP BY item_type, target_url))"""
+
+
+@book.add(_ROWS)
+def ledger_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole rows of the ledger, with limits, messages and payloads."""
+    return retry.ledger_rows(view(spark, sf, "ledger_actions"))
+
+
+_JSON = "CASE WHEN extra_data = 'not json' THEN NULL ELSE extra_data END"
+
+
+@book.add(f"""SELECT item_type, target_url, target_id, CASE WHEN item_type = 'item' THEN CAST(json_extract_string({_JSON}, '$.novel_id') AS BIGINT) END AS work_id, CASE WHEN item_type = 'item' THEN coalesce(CAST(json_extract_string({_JSON}, '$.chapter_index') AS BIGINT), 0) END AS item_index,
+CASE WHEN item_type = 'item' THEN coalesce(json_extract_string({_JSON}, '$.title'), 'Chương') END AS title, CASE WHEN item_type = 'image' THEN coalesce(json_extract_string({_JSON}, '$.image_type'), 'chapter_illustration') END AS image_type FROM ({_ROWS}) WHERE status = 'pending' AND attempts < max_attempts""")
+def retry_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries to try again, routed by type with their payloads."""
+    out = retry.payloads(ledger_rows(spark, sf))
+    return out.select("item_type", "target_url", "target_id", F.col("item.work_id").alias("work_id"), F.col("item.item_index").alias("item_index"), F.col("item.title").alias("title"), F.col("image.image_type").alias("image_type"))
+
+
 _MERGED = "SELECT l_orderkey, l_linenumber, arg_max_null(status, seq) AS status, count(*) AS writes FROM item_history GROUP BY l_orderkey, l_linenumber"
 
 
@@ -115,6 +140,21 @@ def sync_failed(spark: SparkSession, sf: str) -> DataFrame:
     return retry.sync_failed(items, ["l_orderkey", "l_linenumber"], state)
 
 
+@book.add(f"""SELECT 'item' AS item_type, url AS target_url, CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_orderkey AS BIGINT) END AS target_id, CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_linenumber AS BIGINT) ELSE 0 END AS attempts, CASE WHEN l_linenumber % 2 = 0 THEN 5 ELSE 3 END AS max_attempts,
+CASE WHEN l_linenumber % 4 = 2 THEN 'dead' ELSE 'pending' END AS status, CASE WHEN l_orderkey % 3 = 0 THEN 'gone' ELSE 'Chapter marked failed' END AS last_error,
+CASE WHEN l_linenumber % 2 = 0 THEN 'old' ELSE '{{"novel_id":' || l_orderkey || ',"chapter_index":' || l_linenumber || ',"title":"t"}}' END AS extra_data FROM (SELECT *, l_orderkey || '/c' || l_linenumber AS url FROM ({_MERGED}) WHERE status = 'failed')""")
+def sync_ledger_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Failed items enter a ledger that has the even line numbers; messages change there, payloads and limits don't."""
+    i = merge_items(spark, sf).withColumn("url", F.concat(F.col("l_orderkey").cast("string"), F.lit("/c"), F.col("l_linenumber").cast("string")))
+    number = F.col("l_linenumber").cast("long")
+    state = i.filter("status = 'failed' AND l_linenumber % 2 = 0").select(
+        F.lit("item").alias("item_type"), F.col("url").alias("target_url"), F.col("l_orderkey").cast("long").alias("target_id"), number.alias("attempts"), F.lit(5).cast("long").alias("max_attempts"),
+        F.when(F.col("l_linenumber") % 4 == 2, "dead").otherwise("resolved").alias("status"), F.lit("old").alias("last_error"), F.lit("old").alias("extra_data"),
+    )
+    items = i.select("url", "status", F.when(F.col("l_orderkey") % 3 == 0, "gone").alias("error_message"), F.col("l_orderkey").alias("novel_id"), F.col("l_linenumber").alias("chapter_index"), F.lit("t").alias("title"))
+    return retry.ledger_rows(retry.sync_actions(items, 1, payload=["novel_id", "chapter_index", "title"]), state)
+
+
 @book.add("""SELECT item_type, e.k AS target_id, CASE item_type WHEN 'work' THEN o_orderpriority ELSE p_name END AS title FROM (SELECT DISTINCT CASE WHEN event_type = 'error' THEN 'work' ELSE 'item' END AS item_type, user_id AS k FROM events WHERE event_type IN ('error', 'click')) e
 LEFT JOIN orders ON item_type = 'work' AND o_orderkey = k LEFT JOIN part ON item_type = 'item' AND p_partkey = k WHERE o_orderkey IS NOT NULL OR p_partkey IS NOT NULL""")
 def retry_targets(spark: SparkSession, sf: str) -> DataFrame:

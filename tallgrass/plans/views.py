@@ -30,6 +30,11 @@ SELECT l_partkey AS asset_key, CASE WHEN l_tax = 0 THEN NULL ELSE l_orderkey END
     "retry_actions": """
 SELECT concat('/u', CAST(user_id AS STRING), '/', CAST(CAST(ts AS DATE) AS STRING)) AS target_url, event_id AS seq,
        CASE event_type WHEN 'click' THEN 'add' WHEN 'error' THEN 'fail' WHEN 'signup' THEN 'sync' WHEN 'purchase' THEN 'resolve' ELSE 'skip' END AS action FROM events""",
+    "ledger_actions": """
+SELECT CASE user_id % 3 WHEN 0 THEN 'work' WHEN 1 THEN 'item' ELSE 'image' END AS item_type, concat('/u', CAST(user_id AS STRING), '/', CAST(CAST(ts AS DATE) AS STRING)) AS target_url, event_id AS seq,
+       CASE event_type WHEN 'click' THEN 'add' WHEN 'error' THEN 'fail' WHEN 'signup' THEN 'sync' WHEN 'purchase' THEN 'resolve' ELSE 'skip' END AS action, CASE WHEN event_type <> 'signup' AND event_id % 2 = 0 THEN user_id END AS target_id,
+       CASE WHEN event_type = 'signup' THEN 3 ELSE 1 + event_id % 4 END AS max_attempts, CASE WHEN event_id % 5 <> 0 THEN concat('e', CAST(event_id AS STRING)) END AS error,
+       CASE WHEN event_id % 7 = 0 THEN 'not json' WHEN event_id % 7 = 1 THEN NULL ELSE concat('{"novel_id":', CAST(user_id AS STRING), ',"chapter_index":', CAST(event_id % 50 AS STRING), ',"title":"t', CAST(event_id AS STRING), '","image_type":"cover"}') END AS extra FROM events""",
     "toc_items": """
 SELECT conv_id AS work_id, turn AS item_index, CASE WHEN role = 'system' THEN NULL ELSE role END AS section, text FROM conversations""",
 }
@@ -42,7 +47,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sql(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
     """Run a query over the given tables by name."""
     used = [t for t in TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", query)]
-    return spark.sql(re.sub(r"\b(FROM|JOIN) (" + "|".join(TABLES) + r")\b", r"\1 {\2}", query), **{t: table(spark, sf_dir, t) for t in used})
+    return spark.sql(re.sub(r"\b(FROM|JOIN) (" + "|".join(TABLES) + r")\b", r"\1 {\2}", query.replace("{", "{{").replace("}", "}}")), **{t: table(spark, sf_dir, t) for t in used})
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -241,3 +241,76 @@ def test_entry_without_the_optional_part(tmp_path):
     shutil.copytree(repo / "tallgrass", tmp_path / "tallgrass", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 70 and set(e.oracle_sql()) <= set(q); assert not any(k.startswith('op') and k[2].isdigit() for k in q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
+def fold_rows(actions):
+    """A key's whole row by applying its actions one by one: (action, target_id, max_attempts, error, extra)."""
+    row = None
+    for a, target, most, error, extra in actions:
+        if row is None:
+            if a in ("add", "sync"):
+                row = [target, 0, 3 if most is None else most, "pending", error, extra]
+        elif a in ("add", "fail"):
+            row[1] += 1
+            row[3] = "dead" if row[1] >= row[2] else "pending"
+            row[4] = error
+            row[5] = extra if a == "add" else row[5]
+        elif a == "resolve":
+            row[3] = "resolved"
+        else:
+            row[3] = "dead" if row[3] == "dead" else "pending"
+            row[4] = row[4] if error is None else error
+    return row
+
+
+ACTIONS = "item_type string, target_url string, seq long, action string, target_id long, max_attempts long, error string, extra string"
+
+
+def row_histories(n=300, seed=4):
+    r = random.Random(seed)
+    return {("t", f"k{i}"): [(r.choice(["add", "fail", "sync", "resolve"]), r.choice([None, 1, 2]), r.choice([None, 1, 2, 4]), r.choice([None, "e", "f"]), r.choice([None, "x", "y"])) for _ in range(r.randrange(1, 10))] for i in range(n)}
+
+
+def test_ledger_rows_equal_sequential_actions_at_once_and_by_batches(spark):
+    h = row_histories()
+    rows = [(*k, s, *x) for k, v in h.items() for s, x in enumerate(v)]
+    want = {k: fold_rows(v) for k, v in h.items() if fold_rows(v)}
+    at_once = retry.ledger_rows(spark.createDataFrame(rows, ACTIONS))
+    assert {(r["item_type"], r["target_url"]): [r[c] for c in retry.ROW] for r in at_once.collect()} == want
+    state = None
+    for part in range(4):
+        some = spark.createDataFrame([x for x in rows if x[2] // 3 == part], ACTIONS)
+        new = retry.ledger_rows(some, state)
+        state = spark.createDataFrame(new.collect(), new.schema)
+    assert {(r["item_type"], r["target_url"]): [r[c] for c in retry.ROW] for r in state.collect()} == want
+
+
+def test_payloads_by_type(spark):
+    rows = [("item", "u1", 7, 0, 3, "pending", None, '{"novel_id": 5, "title": null}'), ("image", "u2", 8, 0, 3, "pending", None, "broken"), ("work", "u3", None, 1, 3, "pending", None, None), ("item", "u4", None, 3, 3, "pending", None, "{}"), ("item", "u5", None, 0, 3, "dead", None, "{}")]
+    df = spark.createDataFrame(rows, "item_type string, target_url string, target_id long, attempts long, max_attempts long, status string, last_error string, extra_data string")
+    got = {r["target_url"]: r.asDict(True) for r in retry.payloads(df).collect()}
+    assert set(got) == {"u1", "u2", "u3"} and got["u1"]["item"] == {"work_id": 5, "section_id": None, "item_index": 0, "title": "Chương"} and got["u1"]["image"] is None
+    assert got["u2"]["image"] == {"image_id": 8, "image_type": "chapter_illustration"} and got["u3"]["work"] == {"url": "u3"}
+
+
+def test_table_set_commits_all_or_nothing(spark, tmp_path):
+    from tallgrass.sources.versions import TableSet
+
+    t = TableSet(spark, str(tmp_path / "set"), {"a": "k string, n long", "b": "k string, m long"}, "k", buckets=4)
+    rows = lambda name, *r: spark.createDataFrame(list(r), t.schemas[name])
+    assert t.head() is None and t.read("a").count() == 0
+    assert t.commit(0, {"a": rows("a", ("x", 1), ("y", 1)), "b": rows("b", ("x", 5))}, {"why": "first"})
+    pinned, at = t.read("a"), t.head()
+    broken = rows("b", ("x", 6)).withColumn("m", F.raise_error(F.lit("lost")).cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        t.commit(1, {"a": rows("a", ("x", 2)), "b": broken})
+    assert t.head() == 0 and sorted(map(tuple, t.read("a").collect())) == [("x", 1), ("y", 1)]
+    touched = t.touched(rows("a", ("x", 2)))
+    keep = [r for r in t.read("a", only=touched).collect() if r["k"] != "x"]
+    assert t.commit(1, {"a": rows("a", ("x", 2), *map(tuple, keep)), "b": rows("b", ("x", 6))}) and not t.commit(1, {"a": rows("a", ("z", 9))})
+    assert sorted(map(tuple, t.read("a").collect())) == [("x", 2), ("y", 1)] and sorted(map(tuple, t.read("a", at=at).collect())) == [("x", 1), ("y", 1)] == sorted(map(tuple, pinned.collect()))
+    assert t.record(0)["note"] == {"why": "first"}
+    assert t.clean(keep=2) == 1  # what the broken write left
+    assert sorted(map(tuple, t.read("a", at=0).collect())) == [("x", 1), ("y", 1)]
+    t.clean(keep=1)
+    assert t.commits() == [1] and sorted(map(tuple, t.read("a").collect())) == [("x", 2), ("y", 1)]
