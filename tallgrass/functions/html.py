@@ -144,7 +144,7 @@ def _maps(rows: list[list[tuple]], kind: pa.DataType) -> pa.MapArray:
     return pa.MapArray.from_arrays(pa.array(cut, pa.int32()), pa.array([k for k, _ in pairs], pa.string()), pa.array([v for _, v in pairs], kind))
 
 
-def _parsed(wanted: Iterable[str], scopes: Mapping[str, tuple[str, ...]], text_only: bool):
+def _parsed(wanted: Iterable[str], scopes: Mapping[str, tuple[str, ...]], text_only: bool, keep: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, s = _Chosen({"": wanted}), _Chosen(scopes)
         for batch in batches:
@@ -162,21 +162,23 @@ def _parsed(wanted: Iterable[str], scopes: Mapping[str, tuple[str, ...]], text_o
                     [pa.array(pos, pa.int32()), pa.array(last, pa.int32()), pa.array(tag, pa.string()), _lists(inner, pa.array([x for c in classes for x in c], pa.string())), pa.array(id_, pa.string()), _maps(list(attrs), pa.string()), pa.array(text, pa.string()), _maps(list(within), pa.int32())],
                     ["pos", "last", "tag", "classes", "id", "attrs", "text", "within"],
                 )
-                yield pa.RecordBatch.from_arrays([part["page"], _lists(cut, struct)], ["page", "nodes"])
+                yield pa.RecordBatch.from_arrays([part["page"], _lists(cut, struct), *[part[k] for k in keep]], ["page", "nodes", *keep])
 
     return run
 
 
-def html_pages(pages: DataFrame, page: str, html: str, wanted: Iterable[str], *, scopes: Mapping[str, Iterable[str]] | None = None, text_only: bool = False) -> DataFrame:
-    """(page, nodes): one row a page with the elements that ``wanted`` chooses, parsed once and in document order.
+def html_pages(pages: DataFrame, page: str, html: str, wanted: Iterable[str], *, scopes: Mapping[str, Iterable[str]] | None = None, text_only: bool = False, keep: Iterable[str] = ()) -> DataFrame:
+    """(page, nodes, what is to be kept): one row a page with the elements that ``wanted`` chooses, parsed once and in document order.
 
     Selectors are a tag, ``.class`` or ``#id``. ``scopes`` names sets of them; each node tells the innermost element of a
     scope around it. With ``text_only``, scripts, hidden elements, notice boxes and shop links are left out, also of the
     texts around them. Every page keeps its row, also a null one, so what follows needs no join back. Attributes kept
     are those that extraction reads: href, src, data-src and style.
     """
-    rows = pages.select(F.col(page).cast("string").alias("page"), F.col(html).alias("html"))
-    return rows.mapInArrow(_parsed(tuple(wanted), {k: tuple(v) for k, v in (scopes or {}).items()}, text_only), f"page string, nodes {NODES}")
+    keep = tuple(keep)
+    rows = pages.select(F.col(page).cast("string").alias("page"), F.col(html).alias("html"), *keep)
+    kept = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return rows.mapInArrow(_parsed(tuple(wanted), {k: tuple(v) for k, v in (scopes or {}).items()}, text_only, keep), f"page string, nodes {NODES}{kept}")
 
 
 def html_nodes(pages: DataFrame, page: str, html: str, wanted: Iterable[str], *, scopes: Mapping[str, Iterable[str]] | None = None, text_only: bool = False) -> DataFrame:
@@ -281,8 +283,8 @@ CONTENTS = {
 }
 
 
-def contents_lists(pages: DataFrame, base: str) -> DataFrame:
-    """(page, items): the table of contents of a work page as an array; page is the work's URL.
+def contents_lists(pages: DataFrame, base: str, keep: Iterable[str] = ()) -> DataFrame:
+    """(page, items, what is to be kept): the table of contents of a work page as an array; page is the work's URL.
 
     Anchors in noise are dropped; a URL counts once on a page, where it stands in a list before where it does not; links
     to items of other works are dropped. Links outside of lists go to the last kept section. Dates go by position in
@@ -313,11 +315,11 @@ def contents_lists(pages: DataFrame, base: str) -> DataFrame:
     inner = F.flatten(F.transform("_parts", lambda p: F.transform(dated(p), lambda z: item(z["x"], p["index"], p["title"], z["date"]))))
     loose = F.transform(F.filter("_links", lambda x: ~x["in"]), lambda x: item(x, F.lit(None), F.lit(None).cast("string"), F.lit(None).cast("string")))
     d = d.withColumn("_all", F.concat(F.array_sort(inner, lambda a, b: a["pos"] - b["pos"]), loose))
-    d = d.select("page", U.slug(F.col("page")).alias("_work"), "_all").withColumn("_all", U.let(F.struct("_all", "_work"), lambda v: F.filter(v["_all"], lambda x: U.belongs_to_slug(x["url"], x["slug"], v["_work"]))))
+    d = d.select("page", *keep, U.slug(F.col("page")).alias("_work"), "_all").withColumn("_all", U.let(F.struct("_all", "_work"), lambda v: F.filter(v["_all"], lambda x: U.belongs_to_slug(x["url"], x["slug"], v["_work"]))))
     d = first_of_each(d, "_all", "url")
     d = d.withColumn("_sec", F.array_max(F.transform(F.filter("_all", lambda x: x["in"]), lambda x: F.struct(x["index"].alias("index"), x["title"].alias("title")))))
     index = lambda x: F.coalesce(x["index"], F.col("_sec")["index"], F.lit(1))
-    return d.select("page", F.transform("_all", lambda x, i: F.struct(
+    return d.select("page", *keep, F.transform("_all", lambda x, i: F.struct(
         F.coalesce(F.when(x["in"], x["title"]).otherwise(F.col("_sec")["title"]), F.concat(F.lit("Quyển "), index(x).cast("string"))).alias("section"), index(x).cast("long").alias("section_index"), (i + 1).cast("long").alias("item_index"), x["url"].alias("item_url"),
         F.coalesce(F.nullif(x["text"], F.lit("")), F.concat(F.lit("Chương "), (i + 1).cast("string"))).alias("title"), F.coalesce(x["date"], F.lit("")).alias("date"),
     )).alias("items"))
@@ -416,8 +418,8 @@ def largest_pages(pages: DataFrame) -> DataFrame:
 ITEM_NODES = {"wanted": ("h4", "h6", "p", ".chapter-title", ".chapter-content", ".reading-content", "#chapter-content"), "scopes": {"top": (".title-top",)}}
 
 
-def item_pages(pages: DataFrame, repair: Callable[[Column], Column] = lambda c: c) -> DataFrame:
-    """(page, title, section, words, date, text) of every item page.
+def item_pages(pages: DataFrame, repair: Callable[[Column], Column] = lambda c: c, keep: Iterable[str] = ()) -> DataFrame:
+    """(page, what is to be kept, title, section, words, date, text) of every item page.
 
     The first heading is the title, or else a constant; the first subheading is the section's title and may tell words
     and date. The text is the paragraphs of the content, or where it has none its lines: trimmed, not empty, no notice, not
@@ -428,7 +430,7 @@ def item_pages(pages: DataFrame, repair: Callable[[Column], Column] = lambda c:
     is_content = lambda n: has_class(n, "chapter-content", "reading-content") | (n["id"] == "chapter-content")
     nodes = F.col("nodes")
     d = pages.select(
-        "page", F.filter(nodes, lambda n: n["tag"] == "p").alias("_p"), first_node(nodes, is_content).alias("_content"),
+        "page", *keep, F.filter(nodes, lambda n: n["tag"] == "p").alias("_p"), first_node(nodes, is_content).alias("_content"),
         F.coalesce(first_node(nodes, lambda n: (n["tag"] == "h4") & top(n) | has_class(n, "chapter-title"))["text"], F.lit("Chương")).alias("title"),
         F.coalesce(first_node(nodes, lambda n: (n["tag"] == "h6") & top(n))["text"], F.lit("")).alias("section"),
     )
@@ -439,7 +441,7 @@ def item_pages(pages: DataFrame, repair: Callable[[Column], Column] = lambda c:
     out = d.withColumn("text", repair(F.coalesce(F.array_join(kept, "\n\n"), F.lit(""))))
     told = T.digits_to_int(F.regexp_extract("section", r"(?iu)Độ dài:\s*([\d.,]+)\s*từ", 1))
     date = F.trim(F.regexp_extract("section", r"(?iu)Cập nhật:\s*([^\n\r]+)", 1))
-    return out.select("page", repair(F.col("title")).alias("title"), repair(F.col("section")).alias("section"), F.when(told > 0, told).otherwise(T.word_count(F.col("text"))).cast("long").alias("words"), date.alias("date"), "text")
+    return out.select("page", *keep, repair(F.col("title")).alias("title"), repair(F.col("section")).alias("section"), F.when(told > 0, told).otherwise(T.word_count(F.col("text"))).cast("long").alias("words"), date.alias("date"), "text")
 
 
 # Flat markup: expressions only.

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import new_folder
-from ..streaming import pipelines
+from ..streaming import pipelines, site
 from .book import Book
-from .curation import _LEDGER
+from .curation import _LEDGER, _ROWS
 from .views import table, view
 
 book = Book()
@@ -60,3 +60,73 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     pipelines.ingest(_as_stream(table(spark, sf, "pages"), "pages", "page_id"), path).awaitTermination()
     works = pipelines.current(spark, f"{path}/works")
     return works.select("url", "seen")
+
+
+@book.add(_ROWS)
+def stream_ledger_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole ledger rows after three batches of actions."""
+    path = new_folder(spark, "ledger-rows")
+    actions = view(spark, sf, "ledger_actions").filter("action != 'skip'").select("item_type", "target_url", "seq", "action", F.col("target_id").cast("long").alias("target_id"), F.col("max_attempts").cast("long").alias("max_attempts"), "error", "extra")
+    site.ledger_stream(_as_stream(actions, "ledger-actions", "seq"), path, buckets=8).awaitTermination()
+    return site.TableSet(spark, path, {"ledger": site.SCHEMAS["ledger"]}, "target_url", 8).read("ledger")
+
+
+BASE = "https://site.example"
+
+
+def site_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations as a site in four phases: work pages that list the first turns, items, of which some fail, work pages that list all (some fail), and failed items again."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.concat(F.col("role"), F.lit(" "), F.col("text")).alias("text"))
+    k, t = F.col("conv_id").cast("string"), F.col("turn").cast("string")
+    work = F.concat(F.lit(f"{BASE}/truyen/"), k, F.lit("-w"))
+    entry = F.concat(F.lit('<li><a href="/truyen/'), k, F.lit("-w/c"), t, F.lit('-x">t'), t, F.lit("</a></li>"))
+    in_order = lambda cond: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(cond, F.struct("turn", entry.alias("e"))))), lambda x: x["e"]), "")
+    lists = c.groupBy("conv_id").agg(in_order(F.col("turn") < 3).alias("few"), in_order(F.lit(True)).alias("all"))
+
+    def listing(phase: int, name: str, items: str, html_ok: F.Column) -> DataFrame:
+        html = F.concat(F.lit(f'<h1 class="series-name">{name} '), k, F.lit('</h1><section class="volume-list"><p class="sect-title">one</p><ul class="list-chapters">'), items, F.lit("</ul></section>"))
+        return lists.select((F.lit(phase * 10**12) + F.col("conv_id") * 1000).alias("page_id"), work.alias("url"), F.when(html_ok, html).alias("html"))
+
+    body = F.concat(F.lit('<div class="title-top"><h4>T'), t, F.lit('</h4></div><div class="chapter-content"><img src="/i/'), "role", F.lit('.png"><p>'), F.translate("text", "<>&", "   "), F.lit("</p></div>"))
+
+    def pages(phase: int, chosen: F.Column, html_ok: F.Column) -> DataFrame:
+        return c.filter(chosen).select((F.lit(phase * 10**12) + F.col("conv_id") * 1000 + F.col("turn") + 1).alias("page_id"), F.concat(work, F.lit("/c"), t, F.lit("-x")).alias("url"), F.when(html_ok, body).alias("html"))
+
+    n = F.col("turn")
+    first, again = pages(1, n % 4 != 2, n % 4 != 1), pages(3, (n % 4 == 1) | (n % 8 == 3), n % 4 == 1)
+    return listing(0, "Old", "few", F.lit(True)).union(first).union(listing(2, "Work", "all", F.col("conv_id") % 10 != 7)).union(again)
+
+
+_SITE_ITEMS = r"""SELECT conv_id, turn, role, listed, CASE WHEN turn % 8 = 3 THEN 'failed' WHEN turn % 4 = 2 THEN 'pending' ELSE 'completed' END AS status, CASE WHEN turn % 4 = 2 THEN 't' ELSE 'T' END || turn AS title,
+CASE WHEN turn % 8 = 3 OR turn % 4 = 2 THEN 0 ELSE len(list_filter(regexp_split_to_array(role || ' ' || translate(text, '<>&', '   '), '\s+'), lambda x: x <> '')) END AS words
+FROM (SELECT *, conv_id % 10 <> 7 OR turn < 3 AS listed FROM conversations) WHERE turn % 4 <> 2 OR listed"""
+_SITE = f"""WITH i AS ({_SITE_ITEMS})
+SELECT 'item' AS kind, conv_id || '/' || turn AS id, title, status, CAST(words AS BIGINT) AS n FROM i
+UNION ALL SELECT 'work', CAST(conv_id AS VARCHAR), CASE WHEN conv_id % 10 = 7 THEN 'Old ' ELSE 'Work ' END || conv_id, CASE WHEN conv_id % 10 = 7 THEN 'error' WHEN count(*) FILTER (WHERE status = 'failed') > 0 THEN 'partial' WHEN count(*) FILTER (WHERE status = 'pending') > 0 THEN 'crawling' ELSE 'completed' END, 0 FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN i USING (conv_id) GROUP BY conv_id
+UNION ALL SELECT 'section', CAST(conv_id AS VARCHAR), 'one', '', 1 FROM i WHERE listed GROUP BY conv_id
+UNION ALL SELECT 'asset', '{BASE}/i/' || role || '.png', 'chapter_illustration', 'pending', 0 FROM i WHERE turn % 4 <> 2 GROUP BY role
+UNION ALL SELECT 'retry', conv_id || '/' || turn, 'item', CASE WHEN turn % 4 = 1 THEN 'resolved' ELSE 'pending' END, 0 FROM i WHERE turn % 4 = 1 OR turn % 8 = 3
+UNION ALL SELECT 'retry', CAST(conv_id AS VARCHAR), 'work', 'pending', 0 FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id % 10 = 7)
+UNION ALL SELECT 'run', 'errors', '', '', (SELECT count(*) FROM conversations WHERE turn % 4 = 1 OR turn % 8 = 3) + (SELECT count(DISTINCT conv_id) FROM conversations WHERE conv_id % 10 = 7)
+UNION ALL SELECT 'run', 'new_items', '', '', (SELECT count(*) FROM conversations WHERE turn % 4 <> 2)"""
+
+
+@book.add(_SITE)
+def stream_site(spark: SparkSession, sf: str) -> DataFrame:
+    """Works, sections, items, assets, retries and sums of runs after all batches of a site's pages."""
+    path = new_folder(spark, "site")
+    site.ingest(_as_stream(site_pages(spark, sf), "site-pages", "page_id"), path, BASE, buckets=8).awaitTermination()
+    t = site.tables(spark, path, 8)
+    conv = lambda c: F.regexp_extract(c, r"/(\d+)-w", 1)
+    key = lambda c: F.concat(conv(c), F.regexp_replace(F.regexp_extract(c, r"/c\d+", 0), "/c", "/"))
+    zero = F.lit(0).cast("long").alias("n")
+    row = lambda kind, id_, title, status, n=zero: [F.lit(kind).alias("kind"), id_.alias("id"), title.alias("title"), status.alias("status"), n.alias("n")]
+    none, runs = F.lit(""), t.read("runs")
+    out = t.read("items").select(*row("item", key("item_url"), F.coalesce(F.nullif("title", F.lit("")), "listed_title"), F.col("status"), F.coalesce("words", F.lit(0))))
+    for df in (
+        t.read("works").select(*row("work", conv("work_url"), F.col("title"), F.col("status"))), t.read("sections").select(*row("section", conv("work_url"), F.col("title"), none, F.col("section_index"))),
+        t.read("assets").select(*row("asset", F.col("asset_url"), F.col("asset_type"), F.col("status"))), t.read("ledger").select(*row("retry", key("target_url"), F.col("item_type"), F.col("status"), F.col("attempts"))),
+        *(runs.agg(F.sum(c).alias("s")).select(*row("run", F.lit(c), none, none, F.col("s"))) for c in ("errors", "new_items")),
+    ):
+        out = out.union(df)
+    return out

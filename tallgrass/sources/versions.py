@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 class TableSet:
-    """Tables under one folder, each in ``buckets`` buckets by a key that they share, so what belongs together lies together.
+    """Tables under one folder, each in ``buckets`` buckets by a key, shared where rows of several tables belong together.
 
     A write makes new versions of the buckets that it touches, in a folder of its own. Only the commit record, one small
     file that is renamed into place after all tables are written, makes them current, for all tables at once. The record
@@ -20,11 +20,13 @@ class TableSet:
     that no kept record names. There is one writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, str], key: str, buckets: int = 64):
-        self.spark, self.root, self.schemas, self.key, self.buckets = spark, root.rstrip("/"), dict(schemas), key, buckets
+    def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, str], key: str | Mapping[str, str], buckets: int = 64):
+        """``key``: the column that deals out rows, one for all tables or one for each."""
+        self.spark, self.root, self.schemas, self.buckets = spark, root.rstrip("/"), dict(schemas), buckets
+        self.keys = {t: key if isinstance(key, str) else key[t] for t in schemas}
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+    def bucket(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(self.buckets)).cast("int")
 
     # small files by the interface that Spark itself writes with, so any store will do
 
@@ -60,9 +62,9 @@ class TableSet:
             return self.spark.createDataFrame([], self.schemas[table])
         return self.spark.read.schema(self.schemas[table]).parquet(*paths)
 
-    def touched(self, rows: DataFrame) -> list[int]:
-        """The buckets that rows with the key fall in: at most ``buckets`` numbers."""
-        return [r[0] for r in rows.select(self.bucket().alias("b")).distinct().collect()]
+    def touched(self, rows: DataFrame, key: str) -> list[int]:
+        """The buckets that rows fall in by a key: at most ``buckets`` numbers."""
+        return [r[0] for r in rows.select(self.bucket(key).alias("b")).distinct().collect()]
 
     def commit(self, number: int, tables: Mapping[str, DataFrame], note: Mapping[str, object] | None = None) -> bool:
         """Make new versions of the buckets that the tables' rows fall in, all at once; False if the commit is there already."""
@@ -73,7 +75,7 @@ class TableSet:
         for name, df in tables.items():
             folder = f"{number}-{uuid.uuid4().hex}"
             columns = self.spark.createDataFrame([], self.schemas[name]).columns
-            df.select(*columns, self.bucket().alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/{name}/{folder}")
+            df.select(*columns, self.bucket(self.keys[name]).alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/{name}/{folder}")
             mine = {n.removeprefix("bucket="): folder for n in self._names(f"{self.root}/{name}/{folder}") if n.startswith("bucket=")}
             folders = {**folders, name: {**folders.get(name, {}), **mine}}
         store, target = self._store(), self._path(f"{self.root}/commits/{number}.json")

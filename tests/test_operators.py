@@ -305,7 +305,7 @@ def test_table_set_commits_all_or_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         t.commit(1, {"a": rows("a", ("x", 2)), "b": broken})
     assert t.head() == 0 and sorted(map(tuple, t.read("a").collect())) == [("x", 1), ("y", 1)]
-    touched = t.touched(rows("a", ("x", 2)))
+    touched = t.touched(rows("a", ("x", 2)), "k")
     keep = [r for r in t.read("a", only=touched).collect() if r["k"] != "x"]
     assert t.commit(1, {"a": rows("a", ("x", 2), *map(tuple, keep)), "b": rows("b", ("x", 6))}) and not t.commit(1, {"a": rows("a", ("z", 9))})
     assert sorted(map(tuple, t.read("a").collect())) == [("x", 2), ("y", 1)] and sorted(map(tuple, t.read("a", at=at).collect())) == [("x", 1), ("y", 1)] == sorted(map(tuple, pinned.collect()))
@@ -314,3 +314,66 @@ def test_table_set_commits_all_or_nothing(spark, tmp_path):
     assert sorted(map(tuple, t.read("a", at=0).collect())) == [("x", 1), ("y", 1)]
     t.clean(keep=1)
     assert t.commits() == [1] and sorted(map(tuple, t.read("a").collect())) == [("x", 2), ("y", 1)]
+
+
+def test_a_key_with_very_many_actions(spark):
+    many = spark.range(300_000).select(F.lit("t").alias("item_type"), F.lit("hot").alias("target_url"), F.col("id").alias("seq"), F.when(F.col("id") % 3 == 0, "add").otherwise("fail").alias("action"), F.lit(None).cast("long").alias("target_id"), F.lit(10**6).cast("long").alias("max_attempts"), F.col("id").cast("string").alias("error"), F.lit("x").alias("extra"))
+    row = retry.ledger_rows(many).first()
+    assert (row["attempts"], row["status"], row["last_error"]) == (299_999, "pending", "299999")
+
+
+def _site_rows(t, at=None):
+    return {name: sorted(map(str, t.read(name, at=at).collect())) for name in t.schemas if name != "runs"}
+
+
+def test_streamed_site_equals_one_batch_also_after_a_kill(spark, tmp_path, monkeypatch):
+    from tallgrass.plans import streams
+    from tallgrass.sources.versions import TableSet
+    from tallgrass.streaming import site
+
+    pages = streams.site_pages(spark, "/root/testdata/sf0.001").orderBy("page_id").collect()
+    schema = "page_id long, url string, html string"
+    third = -(-len(pages) // 3)
+    for i in range(3):
+        spark.createDataFrame(pages[i * third : (i + 1) * third], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    once = site.tables(spark, f"{tmp_path}/once", 4)
+    assert site.ingest_batch(once, spark.createDataFrame(pages, schema), 0, streams.BASE)
+    want = _site_rows(once)
+    assert not site.ingest_batch(once, spark.createDataFrame(pages, schema), 0, streams.BASE) and _site_rows(once) == want  # a replay
+
+    real, killed = TableSet.commit, []
+
+    def commit(self, number, tables, note=None):
+        if number == 1 and not killed:
+            killed.append(number)
+            tables = {**tables, "items": tables["items"].withColumn("title", F.raise_error(F.lit("killed")).cast("string"))}  # works and sections are written by then
+        return real(self, number, tables, note)
+
+    monkeypatch.setattr(TableSet, "commit", commit)
+    path = f"{tmp_path}/out"
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        site.ingest(stream(), path, streams.BASE, buckets=4).awaitTermination()
+    t = site.tables(spark, path, 4)
+    first = site.tables(spark, f"{tmp_path}/first", 4)
+    site.ingest_batch(first, spark.createDataFrame(pages[:third], schema), 0, streams.BASE)
+    assert t.commits() == [0] and _site_rows(t) == _site_rows(first)  # readers see nothing of the batch that was cut short
+    site.ingest(stream(), path, streams.BASE, buckets=4).awaitTermination()
+    assert _site_rows(t) == want and t.read("runs").count() == 3
+    whole, parts = once.read("runs").first(), t.read("runs").agg(F.sum("checked").alias("checked"), F.sum("updated").alias("updated"), F.sum("new_items").alias("new_items"), F.sum("errors").alias("errors"), F.sum(F.col("details")["pages"]).alias("pages")).first()
+    assert (parts["checked"], parts["updated"], parts["errors"], parts["pages"]) == (whole["checked"], whole["updated"], whole["errors"], whole["details"]["pages"])
+    assert {tuple(r) for r in site.missing_items(t).select("item_url", "status").collect()} == {(r["item_url"], r["status"]) for r in t.read("items").collect() if r["status"] != "completed"}
+    assert t.clean(1) >= 0 and _site_rows(t) == want
+
+
+def test_streamed_ledger_rows_equal_batch(spark, tmp_path):
+    from tallgrass.streaming import site
+
+    h = row_histories(80, 8)
+    rows = [(*k, s, *x) for k, v in h.items() for s, x in enumerate(v)]
+    for part in range(3):
+        spark.createDataFrame([x for x in rows if x[2] // 4 == part], ACTIONS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(ACTIONS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    site.ledger_stream(stream, f"{tmp_path}/out", buckets=4).awaitTermination()
+    got = site.TableSet(spark, f"{tmp_path}/out", {"ledger": site.SCHEMAS["ledger"]}, "target_url", 4).read("ledger").collect()
+    assert {(r["item_type"], r["target_url"]): [r[c] for c in retry.ROW] for r in got} == {k: fold_rows(v) for k, v in h.items() if fold_rows(v)}
