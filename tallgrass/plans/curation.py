@@ -537,3 +537,18 @@ def introductions(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("<open>"), F.concat(F.lit("https://h/"), k.cast("string")), some(4, F.concat(F.lit(" one \n\n"), k.cast("string"), F.lit("\n"))),
     )
     return table(spark, sf, "customer").select("c_custkey", F.sha2(page, 256).alias("introduction"))
+
+
+@book.add("SELECT 0 AS version, work_id, status, 0.0::DOUBLE AS price FROM works_v UNION ALL SELECT 1, work_id, CASE WHEN status = 'pending' THEN 'completed' ELSE status END, CASE WHEN status = 'pending' THEN price ELSE 0.0 END FROM works_v")
+def table_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two commits of the works: all without prices, then those that were pending; a reader that stays with the first, and one of the last."""
+    from ..sources.tables import new_folder
+    from ..sources.versions import TableSet
+
+    t = TableSet(spark, new_folder(spark, "versions"), {"works": "work_id long, status string, price double"}, "work_id", 8)
+    works = view(spark, sf, "works_v").select(F.col("work_id").cast("long").alias("work_id"), "status", F.col("price").cast("double").alias("price"))
+    t.commit(0, {"works": works.withColumn("price", F.lit(0.0))})
+    change = works.filter("status = 'pending'").select("work_id", F.lit("completed").alias("status"), "price", F.lit(1).cast("long").alias("seq"))
+    stored = t.read("works", only=t.touched(change, "work_id"))
+    t.commit(1, {"works": merge.fold_merge(merge.with_existing(stored, change, "seq"), ["work_id"], "seq", {"status": "overwrite", "price": "overwrite"})})
+    return t.read("works", at=0).select(F.lit(0).alias("version"), "*").union(t.read("works").select(F.lit(1).alias("version"), "*"))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curation, extraction, flagship, scalars, streams
+from . import curation, extraction, flagship, scalars, streams, texts
 
-BOOKS = [flagship.book, scalars.book, extraction.book, curation.book, streams.book]
+BOOKS = [flagship.book, scalars.book, extraction.book, curation.book, streams.book, texts.book]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -377,3 +377,23 @@ def test_streamed_ledger_rows_equal_batch(spark, tmp_path):
     site.ledger_stream(stream, f"{tmp_path}/out", buckets=4).awaitTermination()
     got = site.TableSet(spark, f"{tmp_path}/out", {"ledger": site.SCHEMAS["ledger"]}, "target_url", 4).read("ledger").collect()
     assert {(r["item_type"], r["target_url"]): [r[c] for c in retry.ROW] for r in got} == {k: fold_rows(v) for k, v in h.items() if fold_rows(v)}
+
+
+def test_sql_functions_equal_column_forms(spark):
+    from tallgrass.functions.register import FUNCTIONS, register
+
+    register(spark)
+    texts = ["", None, "https://h/truyen/12345-a/c9-x", "https://h/convert/x", "http://h/a/b.PNG", "//x", "slug", "a\r\nb\rc\n\n\n\nd ", "a/b:c* \n <d>", "x" * 200, "1,234 từ", "Mã FREE ship", "<a href=\"x\">'&", '["a","b"]', "not json", "  two  words "]
+    spark.createDataFrame([(i, t, i * 700_000 + i) for i, t in enumerate(texts)], "i long, s string, n long").createOrReplaceTempView("told")
+    forms = {
+        "url_slug(s)": U.slug(F.col("s")), "url_work_id(s)": U.work_id(F.col("s")), "url_item_id(s)": U.item_id(F.col("s")), "is_http(s)": U.is_http(F.col("s")), "slug_to_url(s, 'https://b')": U.from_slug(F.col("s"), "https://b"),
+        "asset_ext(s)": U.asset_extension(F.col("s")), "asset_path('f', s)": U.asset_path(F.lit("f"), F.col("s")), "cover_path('f', s)": U.cover_path(F.lit("f"), F.col("s")), "clean_text(s)": T.clean(F.col("s")), "sanitize_filename(s)": T.file_name(F.col("s")),
+        "content_hash(s)": F.sha2("s", 256), "format_bytes(n * n)": T.format_bytes(F.col("n") * F.col("n")), "format_duration(n / 100)": T.format_duration(F.col("n") / 100), "first_nonempty(s, 'z')": T.first_nonempty(F.col("s"), F.lit("z")), "digits_to_int(s)": T.digits_to_int(F.col("s")),
+        "word_count(s)": T.word_count(F.col("s")), "is_notice(s)": T.is_notice(F.col("s")), "fetch_outcome(CAST(200 + i * 38 AS INT))": T.fetch_outcome(F.lit(200) + F.col("i") * 38), "json_strings(s)": T.json_array(F.col("s")), "escape_html(s)": T.escape_html(F.col("s")),
+    }
+    assert {k.split("(")[0] for k in forms} == set(FUNCTIONS)
+    told = spark.table("told")
+    for text, column in forms.items():
+        assert [r[0] for r in spark.sql(f"SELECT {text} FROM told ORDER BY i").collect()] == [r[0] for r in told.orderBy("i").select(column).collect()], text
+    found = spark.sql("SELECT t.tag, t.text, t.href FROM (SELECT '<p>1<a href=x>2</a></p>' AS h), LATERAL html_nodes(h, array('a', 'p')) AS t ORDER BY pos").collect()
+    assert [tuple(r) for r in found] == [("p", "12", None), ("a", "2", "x")]
