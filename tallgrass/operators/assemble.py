@@ -87,22 +87,60 @@ def first_embedding(assets: DataFrame, work: str, asset: str, order: list[str])
     return assets.withColumn("embedded", F.row_number().over(Window.partitionBy(work, asset).orderBy(*order)) == 1)
 
 
-def document_text(works: DataFrame, items: DataFrame, work: str = "work_id", order: tuple[str, ...] = ("item_index",), repair: Callable[[Column], Column] = lambda c: c) -> DataFrame:
-    """One text per work that has items: a header, the summary if any, and every item in order.
+def _some(c: str) -> Column:
+    return F.coalesce(F.col(c), F.lit("")) != ""
 
-    Works: title, alternative_titles, author, artist, genres (array), status, url, summary. Items: title, date, text.
-    """
-    some = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+
+def _header(repair: Callable[[Column], Column]) -> Column:
+    """The lines before a work's items, as an array."""
     rule, thin = F.lit("=" * 60), F.lit("-" * 60)
     head = F.array_compact(F.array(
         rule, F.upper(repair(F.col("title"))),
-        F.when(some("alternative_titles"), F.concat(F.lit("Tên khác: "), repair(F.col("alternative_titles")))),
+        F.when(_some("alternative_titles"), F.concat(F.lit("Tên khác: "), repair(F.col("alternative_titles")))),
         F.concat(F.lit("Tác giả: "), repair(F.coalesce(F.nullif(F.col("author"), F.lit("")), F.lit("Chưa rõ")))),
-        F.when(some("artist"), F.concat(F.lit("Họa sĩ: "), repair(F.col("artist")))),
+        F.when(_some("artist"), F.concat(F.lit("Họa sĩ: "), repair(F.col("artist")))),
         F.concat(F.lit("Thể loại: "), F.array_join("genres", ", ")), F.concat(F.lit("Tình trạng: "), F.col("status")), F.concat(F.lit("Nguồn: "), F.col("url")), rule, F.lit(""),
     ))
-    summary = F.when(some("summary"), F.array(F.lit("TÓM TẮT NỘI DUNG:"), repair(F.col("summary")), F.lit(""), thin, F.lit(""))).otherwise(F.array().cast("array<string>"))
-    block = F.array_compact(F.array(F.concat(F.lit("--- "), F.upper(repair(F.col("title"))), F.lit(" ---")), F.when(some("date"), F.concat(F.lit("["), F.col("date"), F.lit("]"))), F.lit(""), repair(F.col("text")), F.lit(""), thin, F.lit("")))
-    body = items.select(work, F.struct(*order, F.array_join(block, "\n").alias("b")).alias("_b")).groupBy(work).agg(F.array_join(F.transform(F.sort_array(F.collect_list("_b")), lambda x: x["b"]), "\n").alias("_body"))
-    top = works.select(work, "title", F.array_join(F.concat(head, summary), "\n").alias("_head"))
+    summary = F.when(_some("summary"), F.array(F.lit("TÓM TẮT NỘI DUNG:"), repair(F.col("summary")), F.lit(""), thin, F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.concat(head, summary), "\n")
+
+
+def _block(repair: Callable[[Column], Column]) -> Column:
+    """The lines of an item."""
+    lines = F.array(F.concat(F.lit("--- "), F.upper(repair(F.col("title"))), F.lit(" ---")), F.when(_some("date"), F.concat(F.lit("["), F.col("date"), F.lit("]"))), F.lit(""), repair(F.col("text")), F.lit(""), F.lit("-" * 60), F.lit(""))
+    return F.array_join(F.array_compact(lines), "\n")
+
+
+def document_text(works: DataFrame, items: DataFrame, work: str = "work_id", order: tuple[str, ...] = ("item_index",), repair: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """One text per work that has items: a header, the summary if any, and every item in order.
+
+    Works: title, alternative_titles, author, artist, genres (array), status, url, summary. Items: title, date, text.
+    A work's text must fit a row; ``document_rows`` has no such limit.
+    """
+    body = items.select(work, F.struct(*order, _block(repair).alias("b")).alias("_b")).groupBy(work).agg(F.array_join(F.transform(F.sort_array(F.collect_list("_b")), lambda x: x["b"]), "\n").alias("_body"))
+    top = works.select(work, "title", _header(repair).alias("_head"))
     return top.join(body, work).select(work, "title", F.concat_ws("\n", "_head", "_body").alias("content"))
+
+
+def document_rows(works: DataFrame, items: DataFrame, work: str = "work_id", order: tuple[str, ...] = ("item_index",), repair: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """The parts of the same texts as rows: the header (``is_item`` false, order null), then a row for every item.
+
+    Sorted by work, is_item, order and block, and joined by line ends, a work's blocks are its ``document_text``. No
+    work's items come together in a row or a task, so a work may have any number of them. Null keys have no text.
+    """
+    none = [F.lit(None).cast(items.schema[c].dataType).alias(c) for c in order]
+    used = items.select(work).distinct()
+    head = works.join(used, work, "left_semi").select(work, F.lit(False).alias("is_item"), *none, _header(repair).alias("block"))
+    body = items.join(works.select(work), work, "left_semi").select(work, F.lit(True).alias("is_item"), *order, _block(repair).alias("block"))
+    return head.union(body)
+
+
+def export_rows(rows: DataFrame, path: str, work: str = "work_id", order: tuple[str, ...] = ("item_index",)) -> None:
+    """Write ``document_rows`` as text: a folder for each work, whose files, in the order of their names, make up its text.
+
+    Rows are dealt out by ranges of work and place and sorted in their tasks, so a long work takes as many tasks, and
+    files, as its size asks for. Null and empty names go to the folder ``_``.
+    """
+    keys = ["_folder", "is_item", *order, "block"]
+    named = rows.withColumn("_folder", F.coalesce(F.nullif(F.col(work).cast("string"), F.lit("")), F.lit("_")))
+    named.repartitionByRange(*keys).sortWithinPartitions(*keys).select(F.col("_folder").alias("work"), F.col("block").alias("value")).write.partitionBy("work").text(path)

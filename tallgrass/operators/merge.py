@@ -92,18 +92,31 @@ def mark_assets(assets: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
 
 
-def update_status(works: DataFrame, changes: DataFrame, key: str, status: str = "status", error: str = "error_message") -> DataFrame:
-    """New status by key; the message stays unless a new one is given."""
-    c = changes.select(F.col(key).alias("_key"), F.col(status).alias("_status"), F.col(error).alias("_error"))
+def update_status(works: DataFrame, changes: DataFrame, key: str, status: str = "status", error: str = "error_message", filled: Sequence[str] = ()) -> DataFrame:
+    """New status by key; the message stays unless a new one is given, and so do the columns ``filled``, as a cover's path."""
+    kept = [error, *filled]
+    c = changes.select(F.col(key).alias("_key"), F.col(status).alias("_status"), *[F.col(x).alias(f"_new_{x}") for x in kept])
     j = works.join(c, works[key] == c["_key"], "left")
-    return j.withColumn(status, F.coalesce("_status", status)).withColumn(error, F.coalesce("_error", error)).drop("_key", "_status", "_error")
+    return j.withColumns({status: F.coalesce("_status", status), **{x: F.coalesce(f"_new_{x}", x) for x in kept}}).drop(*c.columns)
 
 
-def close_runs(opened: DataFrame, closed: DataFrame, key: str = "run_id") -> DataFrame:
-    """Runs with the last close of each; a close without its run does nothing, a run without one is running."""
-    last = closed.groupBy(F.col(key).alias("_key")).agg(F.max_by("status", "seq").alias("_status"), F.max_by("items", "seq").alias("_items"))
+def close_runs(opened: DataFrame, closed: DataFrame, key: str = "run_id", seq: str = "seq") -> DataFrame:
+    """Runs with all that the last close of each tells; a close without its run does nothing.
+
+    A run without a close is running, with 0 items, and null for whatever else closes tell, as when it ended or its details.
+    """
+    told = [c for c in closed.columns if c not in (key, seq)]
+    last = closed.groupBy(F.col(key).alias("_key")).agg(*[F.max_by(c, seq).alias(f"_{c}") for c in told])
+    unknown = {"status": F.lit("running"), "items": F.lit(0)}
+    value = lambda c: F.coalesce(f"_{c}", unknown[c]) if c in unknown else F.col(f"_{c}")
     j = opened.join(last, opened[key] == last["_key"], "left")
-    return j.select(*opened.columns, F.coalesce("_status", F.lit("running")).alias("status"), F.coalesce("_items", F.lit(0)).cast("long").alias("items"))
+    return j.select(*opened.columns, *[(value(c).cast("long") if c == "items" else value(c)).alias(c) for c in told])
+
+
+def run_seconds(began: Column, ended: Column) -> Column:
+    """How long a run took, to the microsecond; null while it runs."""
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    return (micros(ended) - micros(began)) / 1e6
 
 
 def failed_work_stubs(failures: DataFrame, works: DataFrame, key: str) -> DataFrame:

@@ -78,6 +78,58 @@ def update_status(spark: SparkSession, sf: str) -> DataFrame:
     return merge.update_status(works, stats.work_completion(items, "work_id"), "work_id")
 
 
+@book.add("""SELECT e.user_id AS run_id, CASE WHEN e.user_id % 2 = 0 THEN 'daily' ELSE 'full' END AS run_type, coalesce(status, 'running') AS status, coalesce(items, 0) AS items, (epoch_us(finished) - epoch_us(started)) / 1e6 AS seconds, details FROM (SELECT user_id, min(ts) AS started FROM events GROUP BY user_id) AS e
+LEFT JOIN (SELECT user_id, arg_max(CASE event_type WHEN 'error' THEN 'partial' ELSE 'success' END, event_id) AS status, arg_max(CAST(floor(value) AS BIGINT), event_id) AS items, arg_max(ts, event_id) AS finished, arg_max('{"event":' || event_id || '}', event_id) AS details FROM events WHERE event_type IN ('error', 'purchase') GROUP BY user_id) AS c USING (user_id)""")
+def run_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole rows of runs: type, outcome, items, how long each took, and details; as ``run_log``, runs being users."""
+    e = table(spark, sf, "events")
+    opened = e.groupBy(F.col("user_id").alias("run_id")).agg(F.min("ts").alias("started")).withColumn("run_type", F.when(F.col("run_id") % 2 == 0, "daily").otherwise("full"))
+    closed = e.filter("event_type IN ('error', 'purchase')").select(
+        F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "error", "partial").otherwise("success").alias("status"),
+        F.floor("value").alias("items"), F.col("ts").alias("finished"), F.to_json(F.struct(F.col("event_id").alias("event"))).alias("details"),
+    )
+    runs = merge.close_runs(opened, closed)
+    return runs.select("run_id", "run_type", "status", "items", merge.run_seconds(F.col("started"), F.col("finished")).alias("seconds"), "details")
+
+
+@book.add("""SELECT work_id, coalesce(s, status) AS status, error_message, coalesce(c, cover_local_path) AS cover_local_path FROM (SELECT work_id, status, CASE WHEN work_id % 5 = 0 THEN 'old' END AS error_message, CASE WHEN work_id % 3 = 0 THEN 'covers/' || work_id END AS cover_local_path FROM works_v)
+LEFT JOIN (SELECT l_orderkey, 'completed' AS s, CASE WHEN sum(l_quantity) > 100 THEN 'covers/new' || l_orderkey END AS c FROM lineitem GROUP BY l_orderkey) ON work_id = l_orderkey""")
+def update_covers(spark: SparkSession, sf: str) -> DataFrame:
+    """Status with the path of a cover, which stays where none is given."""
+    key = F.col("work_id").cast("string")
+    works = view(spark, sf, "works_v").select("work_id", "status", F.when(F.col("work_id") % 5 == 0, "old").alias("error_message"), F.when(F.col("work_id") % 3 == 0, F.concat(F.lit("covers/"), key)).alias("cover_local_path"))
+    changes = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("work_id")).agg(F.sum("l_quantity").alias("q"))
+    changes = changes.select("work_id", F.lit("completed").alias("status"), F.lit(None).cast("string").alias("error_message"), F.when(F.col("q") > 100, F.concat(F.lit("covers/new"), key)).alias("cover_local_path"))
+    return merge.update_status(works, changes, "work_id", filled=["cover_local_path"])
+
+
+_KEYED = {"title": "overwrite", "author": "keep_if_empty", "cover": "keep_if_null", "since": "insert_only"}
+
+
+@book.add("""SELECT work_key, arg_max_null(title, seq) AS title, coalesce(arg_max(author, seq) FILTER (WHERE author <> ''), '') AS author, arg_max(cover, seq) FILTER (WHERE cover IS NOT NULL) AS cover, arg_min_null(title, seq) AS since FROM work_history GROUP BY work_key""")
+def keyed_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Writes of works merged into a table in buckets by key, in two batches, the stored rows staying where they are."""
+    from ..sources import keyed
+    from ..sources.tables import new_folder
+
+    history, path = view(spark, sf, "work_history").withColumn("since", F.col("title")), new_folder(spark, "keyed")
+    n = 16
+    stored = keyed.write_keyed(merge.fold_merge(history.filter("seq <= 2"), ["work_key"], "seq", _KEYED), "works", "work_key", buckets=n, path=path)
+    stored = keyed.merge_into(spark, stored, history.filter("seq > 2 AND seq <= 9"), "work_key", "seq", _KEYED, name="works", buckets=n, path=path)
+    return keyed.merged(spark, stored, history.filter("seq > 9"), "work_key", "seq", _KEYED)
+
+
+@book.add("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity < 3)")
+def keyed_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of some lines, looked up in a table in buckets by key."""
+    from ..sources import keyed
+    from ..sources.tables import new_folder
+
+    stored = keyed.write_keyed(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "orders", "o_orderkey", buckets=16, path=new_folder(spark, "keyed"))
+    keys = table(spark, sf, "lineitem").filter("l_returnflag = 'R' AND l_quantity < 3").select(F.col("l_orderkey").alias("o_orderkey"))
+    return keyed.look_up(spark, stored, keys, "o_orderkey")
+
+
 @book.add("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'update' ELSE 'stub' END AS change, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE 'work-' || o_orderkey END AS title, 'error' AS status, 'status ' || o_orderstatus AS error_message, 'add' AS ledger_action FROM orders WHERE o_orderstatus = 'P'""")
 def failed_stub(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
@@ -326,6 +378,19 @@ def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
     return stats.corpus_stats(view(spark, sf, "works_v"), sections, view(spark, sf, "item_history"), mark_assets(spark, sf), retry_ledger(spark, sf))
 
 
+@book.add("""SELECT (SELECT count(*) FROM orders) AS works, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS incomplete_works, (SELECT CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) FROM pages) AS store_bytes""")
+def store_size(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistics with the size of the store, for pages written fifty to a file."""
+    from ..sources.tables import asset_inventory as inventory
+    from ..sources.tables import new_folder
+
+    path = new_folder(spark, "store")
+    table(spark, sf, "pages").select(F.floor(F.col("page_id") / 50).alias("folder"), "html").repartition("folder").write.partitionBy("folder").text(path)
+    works = view(spark, sf, "works_v")
+    none = works.limit(0)
+    return stats.corpus_stats(works, none, none, none, none, inventory(spark, path, least=0)).select("works", "incomplete_works", "store_bytes")
+
+
 @book.add("""SELECT day, count(DISTINCT user_id) AS checked, count(*) FILTER (WHERE event_type = 'purchase') AS updated, CAST(sum(floor(value)) AS BIGINT) AS new_items, count(*) FILTER (WHERE event_type = 'error') AS errors, CASE WHEN count(*) FILTER (WHERE event_type = 'error') = 0 THEN 'success' ELSE 'partial' END AS status FROM (SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events) GROUP BY day""")
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     outcome = F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "purchase", "ok").otherwise("skip")
@@ -363,11 +428,8 @@ def item_fragments(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "conversations").select("conv_id", F.concat(F.lit("chap_"), "turn", F.lit(".xhtml")).alias("file_name"), F.sha2(fragment, 256).alias("fragment"))
 
 
-@book.add("""SELECT conv_id, sha256(array_to_string(list_concat(list_filter([repeat('=', 60), 'WORK ' || conv_id, CASE WHEN conv_id % 2 = 0 THEN 'Tên khác: alt ' || conv_id END, 'Tác giả: ' || CASE WHEN conv_id % 3 = 0 THEN 'a ' || conv_id ELSE 'Chưa rõ' END,
-CASE WHEN conv_id % 5 = 0 THEN 'Họa sĩ: h' END, 'Thể loại: a, b', 'Tình trạng: completed', 'Nguồn: https://h/' || conv_id, repeat('=', 60), ''], lambda x: x IS NOT NULL), CASE WHEN conv_id % 4 = 0 THEN ['TÓM TẮT NỘI DUNG:', 's' || chr(10) || conv_id, '', repeat('-', 60), ''] ELSE [] END), chr(10)) || chr(10)
-|| string_agg('--- ' || upper(role) || ' ---' || chr(10) || CASE WHEN turn % 2 = 0 THEN '[' || turn || ']' || chr(10) ELSE '' END || chr(10) || text || chr(10) || chr(10) || repeat('-', 60) || chr(10), chr(10) ORDER BY turn)) AS content FROM conversations GROUP BY conv_id""")
-def assemble_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Conversations as works; other names, authors, artists, summaries and dates are there for some."""
+def _conversation_works(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Conversations as works and items; other names, authors, artists, summaries and dates are there for some."""
     turns = table(spark, sf, "conversations")
     k = F.col("conv_id")
     some = lambda n, value: F.when(k % n == 0, value).otherwise("")
@@ -377,7 +439,38 @@ def assemble_text(spark: SparkSession, sf: str) -> DataFrame:
         F.array(F.lit("a"), F.lit("b")).alias("genres"), F.lit("completed").alias("status"), F.concat(F.lit("https://h/"), key).alias("url"), some(4, F.concat(F.lit("s\n"), key)).alias("summary"),
     )
     items = turns.select("conv_id", F.col("turn").alias("item_index"), F.col("role").alias("title"), F.when(F.col("turn") % 2 == 0, F.col("turn").cast("string")).alias("date"), "text")
-    return assemble.document_text(works, items, "conv_id").select("conv_id", F.sha2("content", 256).alias("content"))
+    return works, items
+
+
+_HEAD = """array_to_string(list_concat(list_filter([repeat('=', 60), 'WORK ' || conv_id, CASE WHEN conv_id % 2 = 0 THEN 'Tên khác: alt ' || conv_id END, 'Tác giả: ' || CASE WHEN conv_id % 3 = 0 THEN 'a ' || conv_id ELSE 'Chưa rõ' END,
+CASE WHEN conv_id % 5 = 0 THEN 'Họa sĩ: h' END, 'Thể loại: a, b', 'Tình trạng: completed', 'Nguồn: https://h/' || conv_id, repeat('=', 60), ''], lambda x: x IS NOT NULL), CASE WHEN conv_id % 4 = 0 THEN ['TÓM TẮT NỘI DUNG:', 's' || chr(10) || conv_id, '', repeat('-', 60), ''] ELSE [] END), chr(10))"""
+_TURN = """'--- ' || upper(role) || ' ---' || chr(10) || CASE WHEN turn % 2 = 0 THEN '[' || turn || ']' || chr(10) ELSE '' END || chr(10) || text || chr(10) || chr(10) || repeat('-', 60) || chr(10)"""
+
+
+@book.add(f"SELECT conv_id, sha256({_HEAD} || chr(10) || string_agg({_TURN}, chr(10) ORDER BY turn)) AS content FROM conversations GROUP BY conv_id")
+def assemble_text(spark: SparkSession, sf: str) -> DataFrame:
+    return assemble.document_text(*_conversation_works(spark, sf), "conv_id").select("conv_id", F.sha2("content", 256).alias("content"))
+
+
+@book.add(f"SELECT conv_id, FALSE AS is_item, NULL AS item_index, sha256({_HEAD}) AS block FROM conversations GROUP BY conv_id UNION ALL SELECT conv_id, TRUE, turn, sha256({_TURN}) FROM conversations")
+def assemble_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same texts as rows, for works of any length."""
+    return assemble.document_rows(*_conversation_works(spark, sf), "conv_id").withColumn("block", F.sha2("block", 256))
+
+
+_SIZES = "SELECT conv_id, CAST(sum(octet_length(encode(b)) + 1) AS BIGINT) AS length FROM (SELECT conv_id, {0} AS b FROM conversations GROUP BY conv_id UNION ALL SELECT conv_id, {1} FROM conversations) GROUP BY conv_id"
+
+
+@book.add(_SIZES.format(_HEAD, _TURN))
+def export_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same texts written in folders by work, files in order; the bytes of each work's files."""
+    from ..sources.tables import asset_inventory as inventory
+    from ..sources.tables import new_folder
+
+    path = new_folder(spark, "works")
+    assemble.export_rows(assemble.document_rows(*_conversation_works(spark, sf), "conv_id"), path, "conv_id")
+    files = inventory(spark, path, least=0).groupBy(F.regexp_extract("path", r"work=(\d+)", 1).cast("long").alias("conv_id"))
+    return files.agg(F.sum("length").alias("length"))
 
 
 @book.add("SELECT l_orderkey, l_partkey, min(l_linenumber) AS first_item, CAST(count(*) AS BIGINT) AS uses FROM lineitem GROUP BY 1, 2")

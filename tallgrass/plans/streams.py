@@ -36,6 +36,15 @@ def stream_first_seen(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.run_to_end(stream, new_folder(spark, "seen")).select("url")
 
 
+@book.add("SELECT DISTINCT user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events")
+def stream_first_seen_recent(spark: SparkSession, sf: str) -> DataFrame:
+    """First events of a user, type and day, whose keys are forgotten two days behind the newest event; batches come in order of time."""
+    events = table(spark, sf, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")).withColumn("at", F.unix_micros("ts"))
+    events = events.withColumn("day", F.to_date("ts").cast("string"))
+    stream = pipelines.first_seen(_as_stream(events, "recent", "at"), ["user_id", "event_type", "day"], event_time="ts", watermark="2 days")
+    return pipelines.run_to_end(stream, new_folder(spark, "recent")).select("user_id", "event_type", "day")
+
+
 @book.add(_LEDGER)
 def stream_retry_ledger(spark: SparkSession, sf: str) -> DataFrame:
     actions = view(spark, sf, "retry_actions").filter("action != 'skip'")
@@ -111,6 +120,16 @@ UNION ALL SELECT 'run', 'errors', '', '', (SELECT count(*) FROM conversations WH
 UNION ALL SELECT 'run', 'new_items', '', '', (SELECT count(*) FROM conversations WHERE turn % 4 <> 2)"""
 
 
+@book.add(f"""WITH i AS ({_SITE_ITEMS}), w AS (SELECT conv_id, CASE WHEN conv_id % 10 = 7 THEN 'error' WHEN count(*) FILTER (WHERE status = 'failed') > 0 THEN 'partial' WHEN count(*) FILTER (WHERE status = 'pending') > 0 THEN 'crawling' ELSE 'completed' END AS status FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN i USING (conv_id) GROUP BY conv_id)
+SELECT * FROM (SELECT count(*) AS works, count(*) FILTER (WHERE status = 'error') AS failed_works, count(*) FILTER (WHERE status <> 'completed') AS incomplete_works FROM w), (SELECT count(DISTINCT conv_id) FILTER (WHERE listed) AS sections, count(*) FILTER (WHERE status = 'completed') AS completed_items, count(*) FILTER (WHERE status = 'failed') AS failed_items, count(DISTINCT role) FILTER (WHERE turn % 4 <> 2) AS assets, 0 AS downloaded_assets FROM i),
+(SELECT (SELECT count(*) FROM i WHERE turn % 8 = 3) + (SELECT count(*) FROM w WHERE status = 'error') AS pending_retries, 0 AS dead_retries)""")
+def stream_corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistics after all batches of a site's pages, kept current by what each batch changed."""
+    path = new_folder(spark, "site-counts")
+    site.ingest(_as_stream(site_pages(spark, sf), "site-pages", "page_id"), path, BASE, buckets=8).awaitTermination()
+    return site.corpus_stats(site.tables(spark, path, 8))
+
+
 @book.add(_SITE)
 def stream_site(spark: SparkSession, sf: str) -> DataFrame:
     """Works, sections, items, assets, retries and sums of runs after all batches of a site's pages."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,18 +66,29 @@ class TableSet:
         """The buckets that rows fall in by a key: at most ``buckets`` numbers."""
         return [r[0] for r in rows.select(self.bucket(key).alias("b")).distinct().collect()]
 
-    def commit(self, number: int, tables: Mapping[str, DataFrame], note: Mapping[str, object] | None = None) -> bool:
-        """Make new versions of the buckets that the tables' rows fall in, all at once; False if the commit is there already."""
+    def commit(self, number: int, tables: Mapping[str, DataFrame], note: Mapping[str, object] | None = None, *, then: Callable[[dict[str, DataFrame]], Mapping[str, DataFrame]] | None = None) -> bool:
+        """Make new versions of the buckets that the tables' rows fall in, all at once; False if the commit is there already.
+
+        ``then`` gets the rows just written, read from where they lie, and returns tables that follow from them, which
+        become current by the same commit.
+        """
         if number in self.commits():
             return False
         last = self.head()
         folders = self.record(last)["tables"] if last is not None else {}
-        for name, df in tables.items():
+
+        def put(name: str, df: DataFrame) -> DataFrame:
             folder = f"{number}-{uuid.uuid4().hex}"
-            columns = self.spark.createDataFrame([], self.schemas[name]).columns
-            df.select(*columns, self.bucket(self.keys[name]).alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/{name}/{folder}")
+            empty = self.spark.createDataFrame([], self.schemas[name])
+            df.select(*empty.columns, self.bucket(self.keys[name]).alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/{name}/{folder}")
             mine = {n.removeprefix("bucket="): folder for n in self._names(f"{self.root}/{name}/{folder}") if n.startswith("bucket=")}
-            folders = {**folders, name: {**folders.get(name, {}), **mine}}
+            folders[name] = {**folders.get(name, {}), **mine}
+            paths = [f"{self.root}/{name}/{folder}/bucket={b}" for b in mine]
+            return self.spark.read.schema(self.schemas[name]).parquet(*paths) if paths else empty
+
+        written = {name: put(name, df) for name, df in tables.items()}
+        for name, df in then(written).items() if then else ():
+            put(name, df)
         store, target = self._store(), self._path(f"{self.root}/commits/{number}.json")
         waiting = self._path(f"{self.root}/commits/.{number}-{uuid.uuid4().hex}")
         out = store.create(waiting)

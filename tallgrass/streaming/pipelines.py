@@ -17,7 +17,13 @@ from ..operators import joins, merge
 
 
 def first_seen(stream: DataFrame, key: list[str], *, event_time: str | None = None, watermark: str | None = None) -> DataFrame:
-    """Rows whose key was not seen before; with a watermark the memory of keys is bounded by event time."""
+    """Rows whose key was not seen before; with a watermark the memory of keys is bounded by event time.
+
+    The watermark after a batch is the newest event time so far, less the delay. A batch drops rows behind the watermark
+    that the batch before it worked with, so a row that is late by one batch only still counts. A key is forgotten, at the
+    end of a batch, once the watermark that the batch works with has passed its first row's time and the delay: until
+    then all its rows are repeats, and one that comes later is first again.
+    """
     if event_time and watermark:
         return stream.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(key)
     return stream.dropDuplicates(key)

@@ -1,4 +1,4 @@
-"""A stream of site pages kept as tables of works, sections, items, assets, retries and runs, which change together."""
+"""A stream of site pages kept as tables of works, sections, items, assets, retries, runs and counts, which change together."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import urls as U
-from ..operators import merge, retry
+from ..operators import merge, retry, stats
 from ..sources.versions import TableSet
 
 SCHEMAS = {
@@ -19,9 +19,12 @@ SCHEMAS = {
     "assets": "asset_url string, work_url string, item_url string, asset_type string, status string",
     "ledger": "item_type string, target_url string, target_id long, attempts long, max_attempts long, status string, last_error string, extra_data string",
     "runs": "run_id long, run_type string, status string, checked long, updated long, new_items long, errors long, details map<string,long>",
+    "counts": "of string, status string, n long",
 }
 #: What deals out the rows of each table: all of a work lies in one bucket, so its completion needs no other.
-KEYS = {"works": "work_url", "sections": "work_url", "items": "work_url", "assets": "asset_url", "ledger": "target_url", "runs": "run_id"}
+KEYS = {"works": "work_url", "sections": "work_url", "items": "work_url", "assets": "asset_url", "ledger": "target_url", "runs": "run_id", "counts": "of"}
+#: Tables whose rows are counted, and by which column.
+COUNTED = {"works": "status", "sections": None, "items": "status", "assets": "status", "ledger": "status"}
 _ITEM = r"/c\d+[^/]*/?$"
 NOT_FETCHED = "page not fetched"
 
@@ -95,6 +98,11 @@ def missing_items(set_: TableSet, *, at: int | None = None) -> DataFrame:
     return set_.read("items", at=at).filter("status != 'completed'").select("work_url", "item_url", "section", "item_index", "status")
 
 
+def corpus_stats(set_: TableSet, *, at: int | None = None) -> DataFrame:
+    """The counts of the corpus as of a commit, from a few rows that every commit keeps current."""
+    return stats.stats_of_counts(set_.read("counts", at=at))
+
+
 def ingest_batch(set_: TableSet, pages: DataFrame, number: int, base: str) -> bool:
     """Fold one batch of pages into all tables under one commit; one that is there already changes nothing."""
     if number in set_.commits():
@@ -106,7 +114,9 @@ def ingest_batch(set_: TableSet, pages: DataFrame, number: int, base: str) -> bo
         only = {"works": by_work, "sections": by_work, "items": by_work, "assets": set_.touched(events["assets"], "asset_url"), "ledger": set_.touched(events["tries"], "target_url")}
         only["runs"] = set_.touched(set_.spark.range(number, number + 1), "id")
         stored = {t: set_.read(t, only=b) for t, b in only.items()}
-        return set_.commit(number, fold(events, stored, number))
+        # counts change by what the touched buckets gain and lose, and are never taken over whole tables
+        changes = lambda new: [stats.count_changes(t, stored[t], new[t], c) for t, c in COUNTED.items()]
+        return set_.commit(number, fold(events, stored, number), then=lambda new: {"counts": stats.add_counts(set_.read("counts"), *changes(new))})
     finally:
         for d in held:
             d.unpersist()

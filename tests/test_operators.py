@@ -344,11 +344,11 @@ def test_streamed_site_equals_one_batch_also_after_a_kill(spark, tmp_path, monke
 
     real, killed = TableSet.commit, []
 
-    def commit(self, number, tables, note=None):
+    def commit(self, number, tables, note=None, **more):
         if number == 1 and not killed:
             killed.append(number)
             tables = {**tables, "items": tables["items"].withColumn("title", F.raise_error(F.lit("killed")).cast("string"))}  # works and sections are written by then
-        return real(self, number, tables, note)
+        return real(self, number, tables, note, **more)
 
     monkeypatch.setattr(TableSet, "commit", commit)
     path = f"{tmp_path}/out"
