@@ -139,7 +139,7 @@ def export_rows(rows: DataFrame, path: str, work: str = "work_id", order: tuple[
     """Write ``document_rows`` as text: a folder for each work, whose files, in the order of their names, make up its text.
 
     Rows are dealt out by ranges of work and place and sorted in their tasks, so a long work takes as many tasks, and
-    files, as its size asks for. Null and empty names go to the folder ``_``.
+    files, as its size asks for. Null and empty names go to the folder ``_``. Very many short works are better kept as rows.
     """
     keys = ["_folder", "is_item", *order, "block"]
     named = rows.withColumn("_folder", F.coalesce(F.nullif(F.col(work).cast("string"), F.lit("")), F.lit("_")))
