@@ -16,6 +16,9 @@ TONES = {
     "\u0303": "\u007e\u02dc\u0303",
     "\u0323": "\u0323\u02d9",
 }
+# Pairs of vowels that get an ending with the tilde where older texts are to be matched.
+STRICT_ENDINGS = {"ươ": "ng", "Ươ": "ng", "ƯƠ": "NG"}
+TILDE = "\u0303"
 # Vowels that take a tone mark.
 VOWELS = "aăâeêioôơuưyAĂÂEÊIOÔƠUƯY"
 # Pieces that end a syllable, and the marked vowels that a syllable may end with before them.
@@ -32,14 +35,17 @@ def nfc(s: Column) -> Column:
     return F.pandas_udf(_composed, "string")(s)
 
 
-def repair(s: Column, *, reconnect: bool = True) -> Column:
+def repair(s: Column, *, reconnect: bool = True, strict: bool = False) -> Column:
     """Join tone marks to their vowels and split syllables to their ends, in composed form; null is ''.
 
-    Only the composition is a Python function; it sees one column in Arrow batches.
+    ``strict`` keeps a known oddity of older texts: a tilde joined to a horned pair of vowels is followed by an ending that
+    was not there, so exports made before can be made again byte by byte. Only the composition is a Python function; it sees one column in Arrow batches.
     """
     s = F.regexp_replace(F.coalesce(s, F.lit("")), "\u00a0", " ")
     s = F.regexp_replace(s, "[\u200b\u200c\u200d\ufeff\u00ad\r]", "")
     s = F.regexp_replace(s, "([a-zA-Z\u00c0-\u1ef9])\\s+([\u0300-\u036f\u1dc0-\u1dff\u1ab0-\u1aff])", "$1$2")
+    for pair, ending in STRICT_ENDINGS.items() if strict else ():
+        s = F.regexp_replace(s, rf"({pair})\s*[{TONES[TILDE]}]", f"$1{TILDE}{ending}")
     for mark, forms in TONES.items():
         s = F.regexp_replace(s, rf"([{VOWELS}])\s*[{forms}]", "$1" + mark)
     s = nfc(s)

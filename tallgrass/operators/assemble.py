@@ -41,14 +41,16 @@ def export_assets(uses: DataFrame, stored: DataFrame, work: str, url: str, path:
     return j.withColumn("embedded", F.col("_p").isNotNull() & first).drop("_p")
 
 
-def introduction(title: Column, alternative_titles: Column, author: Column, artist: Column, genres: Column, status: Column, url: Column, summary: Column) -> Column:
-    """Markup of a work's first page: title, facts that are there, and the summary's lines; escaped."""
+def introduction(title: Column, alternative_titles: Column, author: Column, artist: Column, genres: Column, status: Column, url: Column, summary: Column, *, repair: Callable[[Column], Column] = lambda c: c) -> Column:
+    """Markup of a work's first page: title, facts that are there, and the summary's lines; escaped. ``repair`` mends all but genres, status and address."""
+    title, alternative_titles, artist, summary = (repair(c) for c in (title, alternative_titles, artist, summary))
+    author = repair(F.coalesce(F.nullif(author, F.lit("")), F.lit("Chưa rõ")))
     fact = lambda label, value: F.concat(F.lit(f"<p><strong>{label}:</strong> "), value, F.lit("</p>"))
     given = lambda label, value: F.when(F.coalesce(value, F.lit("")) != "", fact(label, escape_html(value)))
     link = F.concat(F.lit('<a href="'), escape_html(url), F.lit('">'), escape_html(url), F.lit("</a>"))
     facts = [
         F.concat(F.lit("<h1>"), escape_html(title), F.lit("</h1>")), F.lit('<div class="meta">'), given("Tên khác", alternative_titles),
-        fact("Tác giả", escape_html(F.coalesce(F.nullif(author, F.lit("")), F.lit("Chưa rõ")))), given("Họa sĩ", artist), given("Thể loại", F.array_join(genres, ", ")),
+        fact("Tác giả", escape_html(author)), given("Họa sĩ", artist), given("Thể loại", F.array_join(genres, ", ")),
         fact("Tình trạng", escape_html(status)), F.when(F.coalesce(url, F.lit("")) != "", fact("Nguồn", link)), F.lit("</div>"),
     ]
     lines = F.filter(F.transform(F.split(F.coalesce(summary, F.lit("")), "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
@@ -62,8 +64,9 @@ def exportable_works(works: DataFrame, work: str = "work_id", status: str = "sta
     return works.filter(F.col(status) == "completed").orderBy(work)
 
 
-def fragment(title: Column, text: Column, words: Column, date: Column | None = None, assets: Column | None = None) -> Column:
-    """Markup of one item: heading, a line of date and words if there are any, images, paragraphs with line breaks, escaped."""
+def fragment(title: Column, text: Column, words: Column, date: Column | None = None, assets: Column | None = None, *, repair: Callable[[Column], Column] = lambda c: c) -> Column:
+    """Markup of one item: heading, a line of date and words if there are any, images, paragraphs with line breaks, escaped. ``repair`` mends title and text first."""
+    title, text = repair(title), repair(text)
     facts = [F.when(words > 0, F.concat(F.format_number(words, 0), F.lit(" từ")))]
     if date is not None:
         facts.insert(0, F.when(F.coalesce(date, F.lit("")) != "", F.concat(F.lit("Cập nhật: "), escape_html(date))))

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import urls as U
+from ..functions import vietnamese as V
 from ..operators import assemble, frontier as fr, joins, merge, quality, retry, stats
 from .book import Book
+from .scalars import came_apart, vn_sql
 from .views import sql, table, view
 
 book = Book()
@@ -458,6 +460,13 @@ def assemble_rows(spark: SparkSession, sf: str) -> DataFrame:
     return assemble.document_rows(*_conversation_works(spark, sf), "conv_id").withColumn("block", F.sha2("block", 256))
 
 
+@book.add(f"SELECT conv_id, FALSE AS is_item, NULL AS item_index, sha256({_HEAD}) AS block FROM conversations GROUP BY conv_id UNION ALL SELECT conv_id, TRUE, turn, sha256({_TURN}) FROM (SELECT conv_id, turn, role, {vn_sql()} AS text FROM conversations)")
+def repaired_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, of texts that came apart and are repaired on the way, every field of them."""
+    works, items = _conversation_works(spark, sf)
+    return assemble.document_rows(works, items.withColumn("text", came_apart(F.col("text"))), "conv_id", repair=V.repair).withColumn("block", F.sha2("block", 256))
+
+
 _SIZES = "SELECT conv_id, CAST(sum(octet_length(encode(b)) + 1) AS BIGINT) AS length FROM (SELECT conv_id, {0} AS b FROM conversations GROUP BY conv_id UNION ALL SELECT conv_id, {1} FROM conversations) GROUP BY conv_id"
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -67,8 +67,8 @@ def clean_text(spark: SparkSession, sf: str) -> DataFrame:
 _BROKEN = {".": " ", "an": "a ` n", "on": "ô n", "ed": "e\u0302 \u00b4 t", "er": "ư\u00a0\u0323\u200bơ ng", "la": "nga\u0303\u00ad i"}
 
 
-def _vn_sql() -> str:
-    s = "text"
+def vn_sql(s: str = "text") -> str:
+    """A text that came apart, repaired, in SQL."""
     for a, b in _BROKEN.items():
         s = f"replace({s}, '{a}', '{b}')"
     s = "regexp_replace(replace(%s, chr(160), ' '), '[\\x{200B}\\x{200C}\\x{200D}\\x{FEFF}\\x{00AD}\\r]', '', 'g')" % s
@@ -78,16 +78,20 @@ def _vn_sql() -> str:
     s = f"nfc_normalize({s})"
     for _ in range(2):
         s = f"regexp_replace({s}, '(?i)([a-z\\x{{00C0}}-\\x{{1EF9}}]*[{V.MARKED}])\\s+({V.TAILS})([^\\p{{L}}\\p{{N}}_\\x{{00C0}}-\\x{{1EF9}}]|$)', '\\1\\2\\3', 'g')"
-    return f"SELECT doc_id, sha256(regexp_replace(regexp_replace({s}, '[ \\t]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g')) AS repaired FROM documents"
+    return f"regexp_replace(regexp_replace({s}, '[ \\t]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g')"
 
 
-@book.add(_vn_sql())
-def vn_repair(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts in which common letter pairs became syllables that came apart."""
-    text = F.col("text")
+def came_apart(text: Column) -> Column:
+    """Common letter pairs become syllables that came apart."""
     for a, b in _BROKEN.items():
         text = F.replace(text, F.lit(a), F.lit(b))
-    return table(spark, sf, "documents").select("doc_id", F.sha2(V.repair(text), 256).alias("repaired"))
+    return text
+
+
+@book.add(f"SELECT doc_id, sha256({vn_sql()}) AS repaired FROM documents")
+def vn_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts in which common letter pairs became syllables that came apart."""
+    return table(spark, sf, "documents").select("doc_id", F.sha2(V.repair(came_apart(F.col("text"))), 256).alias("repaired"))
 
 
 @book.add("SELECT page_id, concat('work/', substr(md5(u), 1, 12), CASE WHEN contains(lower(u), '.png') THEN '.png' WHEN contains(lower(u), '.webp') THEN '.webp' ELSE '.jpg' END) AS asset_path FROM (SELECT page_id, concat(url, CASE page_id % 3 WHEN 0 THEN '.PNG' WHEN 1 THEN '.webp' ELSE '' END) AS u FROM pages)")

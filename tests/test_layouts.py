@@ -149,6 +149,20 @@ def test_first_seen_drops_rows_behind_the_watermark_and_forgets_old_keys(spark,
     assert got == {"a": [0, 58], "b": [3], "early": [30, 55], "c": [21], "d": [60], "between": [49], "e": [51]}
 
 
+def test_repair_of_every_field_and_its_strict_form(spark):
+    from tallgrass.functions import vietnamese as V
+
+    cases = {"cươ ~ ": ("cưỡ", "cưỡng"), "CƯƠ\u0303": ("CƯỠ", "CƯỠNG"), "Ươ ˜": ("Ưỡ", "Ưỡng"), "lươ ´ i": ("lưới", "lưới"), "a ~": ("ã", "ã"), None: ("", "")}
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, x string").orderBy("i")
+    assert [tuple(r) for r in df.select(V.repair(F.col("x")), V.repair(F.col("x"), strict=True)).collect()] == list(cases.values())
+    t = lambda s: F.lit(s)
+    one = spark.range(1)
+    page = one.select(assemble.introduction(t("a ~ b"), t("e ´"), t(None), t("i `"), F.array(t("a ~")), t("s"), t("u"), t("o ~\nx"), repair=V.repair)).first()[0]
+    assert all(x in page for x in ("<h1>ã b</h1>", "é</p>", "Chưa rõ", "ì</p>", "a ~</p>", "<p>õ</p>")) and "´" not in page
+    item = one.select(assemble.fragment(t("a ~"), t("e ´\n\no ~"), F.lit(3), repair=V.repair)).first()[0]
+    assert item.startswith("<h2>ã</h2>") and item.endswith("<p>é</p>\n<p>õ</p>")
+
+
 def test_runs_and_covers(spark):
     opened = spark.createDataFrame([(1, "daily"), (2, "full")], "run_id long, run_type string")
     closed = spark.createDataFrame([(1, 5, "partial", 3, "x"), (1, 9, "success", None, None), (7, 1, "success", 1, "y")], "run_id long, seq long, status string, items long, details string")
