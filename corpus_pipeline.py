@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.llm import lines, mixing, packing, setjoin, trees
-from tallgrass.llm.common import stored, table, with_copies
+from tallgrass.llm.common import discard, new_path, scratch, stored, table, with_copies
 from tallgrass.llm.queries import tokenizer_file
 
 
@@ -64,8 +64,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; every stage's rows are written and read before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents; every stage's rows are written and read before the next, and deleted after it."""
+    given = docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, path = docs, new_path(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            docs = stored(stage(spark, docs, sf_dir), name, path)
+        if before is not given:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

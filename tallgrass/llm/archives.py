@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, stored
+from .common import new_path, scratch, stored
 from .textops import pieces
 
 # The field names that the second and third lines of a version block announce, by version.
@@ -243,19 +243,23 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_parse_warc, _WARC)
 
 
-def archive_pages(pages: DataFrame, **columns: str) -> DataFrame:
+def archive_pages(pages: DataFrame, *, folder: str | None = None, **columns: str) -> DataFrame:
     """Pages to ARC files, ARC to WARC files with revisits, and back: one row per page.
 
     Returns page_id, payload_bytes, payload_digest, record_type and refers_to, the page id of the response that a
     revisit stands for. A null html or url is empty. Payloads are equal if their UTF-8 bytes are; those under 100
     bytes are always responses. Of repeated rows one is the response. Null ids are kept; as they rank last, they are
-    responses only among themselves. An empty table gives no rows; other columns are not read.
+    responses only among themselves. An empty table gives no rows; other columns are not read. The files stay in
+    ``folder``/arc and ``folder``/warc, or without a folder go once they are read back.
     """
     spark = pages.sparkSession
-    arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
-    write_arc(pages, arc, **columns)
-    write_warc(plan_revisits(read_arc(spark, arc)), warc)
-    back = read_warc(spark, warc)
+    path = new_path(spark, "warc-rows")
+    with scratch(spark):
+        arc, warc = (f"{folder.rstrip('/')}/{kind}" if folder else new_path(spark, kind) for kind in ("arc", "warc"))
+        write_arc(pages, arc, **columns)
+        write_warc(plan_revisits(read_arc(spark, arc)), warc)
+        rows = read_warc(spark, warc).select("record_id", "refers_to_id", "page_id", "payload_bytes", "payload_digest", "record_type")
+        back = stored(rows, "warc-rows", path)  # archives are parsed once
     responses = back.filter("record_type != 'revisit'").select(F.col("record_id").alias("_r"), F.col("page_id").alias("refers_to"))
     back = back.join(responses, back["refers_to_id"] == responses["_r"], "left")
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ WS_CLASS = r"\x20\x09-\x0D"
 WORD = rf"[^{WS_CLASS}]+"
 
 _own_dir: str | None = None
+#: Paths made in the open ``scratch`` blocks, the innermost block last.
+_scratch: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,12 +37,35 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Own the tables that operators store within the block: all of them are deleted at its end.
+
+    Operators delete what their result does not read. What it reads has to stay until the result was used, which only
+    the caller knows: ``with scratch(spark): operator(docs).write.parquet(path)``. Blocks nest; a table belongs to the
+    innermost block that was open when its path was made. Results made within must not be used after the block.
+    """
+    mine: list[str] = []
+    _scratch.append(mine)
+    try:
+        yield
+    finally:
+        _scratch.remove(mine)
+        _delete(spark, *mine)
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    A ``path`` made before by ``new_path`` gives the table to the ``scratch`` block that was open then.
+    """
+    path = path or new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
@@ -48,9 +75,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables that no result reads any more."""
     for t in tables:
-        jvm = t.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(t._stored_at)
-        path.getFileSystem(t.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)
+        _delete(t.sparkSession, t._stored_at)
+
+
+def _delete(spark: SparkSession, *paths: str) -> None:
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(path, True)
 
 
 def text_tag(text: str | Column) -> Column:

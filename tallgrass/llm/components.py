@@ -34,7 +34,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component) for every node that a link names; component is the smallest node reachable.
+    """A stored table (node, component) for every node that a link names; component is the smallest node reachable.
 
     Large-star and small-star steps alternate until nothing changes, about log2 of the longest path rounds. The
     minimum of a node's neighbours is a partial aggregate, written and joined back, so a node with very many
@@ -58,4 +58,7 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         if state == last:
             break
         last = state
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    parts = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    parts = stored(parts, "parts")
+    discard(edges)
+    return parts

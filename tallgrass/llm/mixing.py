@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, new_path, text_tag
+from .common import WORD, discard, stored, text_tag
 
 #: Hex digits of the shuffle key that name a slice of a source for the running sums.
 SLICE_DIGITS = 3
@@ -72,9 +72,7 @@ def mix_sources(
         n_words(text).alias("size"),
         F.md5(F.concat(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))).alias("_h"),
     )
-    path = new_path(docs.sparkSession, "mix-sizes")
-    sized.write.option("compression", "zstd").parquet(path)
-    sized = docs.sparkSession.read.schema(sized.schema).parquet(path)
+    sized = stored(sized, "mix-sizes")
     # rows without an id share one key, so they have slices of their own, one for each size, in their place in the order
     none = F.md5(F.lit(seed))
     side = F.when(F.col("_h") < none, "0").when(F.col("doc_id").isNull(), F.concat(F.lit("1"), F.lpad(F.col("size").cast("string"), 18, "0"))).otherwise("2")
@@ -88,9 +86,8 @@ def mix_sources(
     )
     placed = _null_join(_null_join(placed, slices, ["_source", "_slice"]), targets, ["_source"])
     placed = placed.withColumn("_at", F.col("_before") + F.col("_within")).select("doc_id", "_t", "size", "source_size", "target", "source_rank", "_at")
-    placed_path = new_path(docs.sparkSession, "mix-placed")
-    placed.write.option("compression", "zstd").parquet(placed_path)
-    placed = docs.sparkSession.read.schema(placed.schema).parquet(placed_path)
+    placed = stored(placed, "mix-placed")
+    discard(sized)
 
     def finish(epoch: Column) -> Column:
         return (epoch * F.col("source_size") + F.col("_at")) / F.col("target")
@@ -113,18 +110,18 @@ def first_beyond(df: DataFrame, keys: list[str], size: str, budget: int):
     partition the budget ends, and only that one gets a running sum by row.
     """
     spark = df.sparkSession
-    path = new_path(spark, "ranges")
     ranged = df.select(*keys, size).repartitionByRange(max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
-    ranged.withColumn("_part", F.spark_partition_id()).write.option("compression", "zstd").parquet(path)
-    schema = ranged.withColumn("_part", F.lit(0)).schema
-    ranged = spark.read.schema(schema).parquet(path)
+    ranged = stored(ranged.withColumn("_part", F.spark_partition_id()), "ranges")
     parts = ranged.groupBy("_part").agg(F.sum(size).alias("_n")).withColumn("_sum", F.sum("_n").over(Window.orderBy("_part")))
     last = parts.filter(F.col("_sum") > budget).orderBy("_part").first()
     if last is None:
+        discard(ranged)
         return None
     run = F.sum(size).over(Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
     inside = ranged.filter(F.col("_part") == last["_part"]).withColumn("_run", run + F.lit(int(last["_sum"] - last["_n"])))
-    return inside.filter(F.col("_run") > budget).orderBy(*keys).select(*keys).first()
+    found = inside.filter(F.col("_run") > budget).orderBy(*keys).select(*keys).first()
+    discard(ranged)
+    return found
 
 
 def _null_join(a: DataFrame, b: DataFrame, names: list[str]) -> DataFrame:

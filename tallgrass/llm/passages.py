@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import anchors
-from .common import stored
+from .common import discard, stored
 from .filters import has_key, key_filter
 from .textops import flat, ints, mix, pieces, powers, span_hash, word_hashes
 
@@ -96,13 +96,16 @@ def repeated_passages(rows: DataFrame, window: int) -> DataFrame:
     """
     spark = rows.sparkSession
     ddl = "gram long, words long, _id long, _t long, low long, more long"
-    places = stored(rows.mapInArrow(_places(window), ddl), "passage-anchors")
-    grams = stored(places.groupBy("gram").count().filter("count > 1").select("gram"), "passage-grams")
-    places = stored(places.join(grams, "gram"), "passage-places")
+    all_places = stored(rows.mapInArrow(_places(window), ddl), "passage-anchors")
+    grams = stored(all_places.groupBy("gram").count().filter("count > 1").select("gram"), "passage-grams")
+    places = stored(all_places.join(grams, "gram"), "passage-places")
+    discard(all_places, grams)
     firsts = stored(_firsts(places), "passage-firsts")
     kinds = stored(firsts.groupBy("gram").count().filter("count > 1").select("gram"), "passage-kinds")
     edge = firsts.join(kinds, "gram").select("words", F.col("f_t").alias("_t"), F.col("f_low").alias("low"))
-    edges = spark.sparkContext.broadcast(key_filter(stored(edge.mapInArrow(_edge_keys, "key long"), "edge-keys")))
+    edge_keys = stored(edge.mapInArrow(_edge_keys, "key long"), "edge-keys")
+    edges = spark.sparkContext.broadcast(key_filter(edge_keys))
+    discard(kinds, edge_keys)
     windows = stored(rows.mapInArrow(_windows(window, edges), ddl), "passage-windows")
     edges.destroy()  # the windows are a table now
     spans = _later(places, firsts, window).union(_later(windows, stored(_firsts(windows).filter("c > 1"), "first-windows"), window))

@@ -340,7 +340,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         stars = stars.join(mapped("a"), "c_a").join(mapped("b"), "c_b").filter(alike("n_a", "n_b"))
         stars = stored(stars.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")), "stars")
         links = verified(stars)
-        grouped = stored(connected_components(links, "a", "b"), "parts")
+        grouped = connected_components(links, "a", "b")
         discard(leaders, stars)
         placed = found.join(grouped, found["c"] == grouped["node"], "left").select("c", "p", "tokens", "places", F.coalesce("component", "c").alias("part"))
     placed = stored(placed.select("c", "p", "part", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select("c", F.col("at.tokens").alias("token"), F.shiftright("p", 3).alias("n"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), F.col("at.places").alias("pos"), "part"), "placed")
@@ -354,14 +354,17 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     pairs = stored(pairs.filter("met >= m").select("a", "b"), "pairs")
     more = verified(pairs)
     discard(found, classes, placed, apart, pairs, *([] if all_links else [grouped]))
-    parts = stored(connected_components(more if all_links else links.union(more), "a", "b"), "parts")
+    parts = connected_components(more if all_links else links.union(more), "a", "b")
     counted = []
     if all_links:
         copies = stored(keyed.filter("n > 0").groupBy(F.col("c").alias("b")).agg(F.count("*").alias("copies")), "copies")
         both = more.union(more.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
         linked = stored(both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("others")), "linked")
+        discard(more)
         keyed = keyed.join(copies, keyed["c"] == copies["b"], "left").join(linked, F.col("c") == F.col("a"), "left").withColumn("n_links", F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)))
         counted = ["n_links"]
+    else:
+        discard(links, more)
 
     docs_in = keyed.join(parts, F.col("c") == parts["node"], "left").select("_id", "_t", "n", F.coalesce("component", "c").alias("g"), *counted)
     smallest = docs_in.filter("n > 0").groupBy("g").agg(F.min(F.struct(F.col("_id").isNull().alias("x"), "_id", "_t")).alias("r"))

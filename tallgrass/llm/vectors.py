@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 from .components import connected_components
 
 
@@ -128,7 +128,9 @@ def link_vectors(
     twins = [r["node"] for r in classes.groupBy("node").count().filter("count > 1").select("node").collect()]
     if twins:
         other = F.xxhash64(F.substring("_key", 9, 8), F.substring("_key", 1, 8))
+        before = classes
         classes = stored(classes.withColumn("node", F.when(F.col("node").isin(twins), other).otherwise(F.col("node"))), "classes")
+        discard(before)
     largest = classes.groupBy("_label").count().agg(F.max("count")).first()[0] or 0
     bits = max(0, math.ceil(math.log2(max(1, largest / cell_size))))
     rounds = rounds_for(hit_probability(min_cosine, bits), least_collisions, recall)
@@ -147,11 +149,12 @@ def link_vectors(
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     copies = classes.select(F.col("node").alias("b"), "copies")
     degree = stored(both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("others")), "degrees")
-    parts = stored(connected_components(links, "a", "b"), "parts")
+    parts = connected_components(links, "a", "b")
     told = classes.select("_key", "node", "rep", "copies").join(degree, F.col("node") == F.col("a"), "left").join(parts.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
-    told = stored(told.select("_key", "rep", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("part")), "told")
-    smallest = stored(told.groupBy("part").agg(F.min("rep").alias("component_id")), "smallest")
-    told = stored(told.join(smallest, "part").select(F.col("_key").alias("_k"), "n_links", "component_id"), "told")
+    linked = stored(told.select("_key", "rep", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("part")), "told")
+    smallest = stored(linked.groupBy("part").agg(F.min("rep").alias("component_id")), "smallest")
+    told = stored(linked.join(smallest, "part").select(F.col("_key").alias("_k"), "n_links", "component_id"), "told")
+    discard(classes, links, degree, parts, linked, smallest)
     out = rows.select("_id", "_key").join(told, F.col("_key") == F.col("_k"), "left")
     component = F.when(F.col("_k").isNull(), F.col("_id")).otherwise(F.col("component_id"))
     return out.select(F.col("_id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("_id")).alias("kept"))
