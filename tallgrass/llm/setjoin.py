@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, stored, text_tag, with_copies
@@ -335,8 +335,12 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
         leaders = met.groupBy("token").agg(F.min_by("c", least).alias("lead"), F.min_by("n", least).alias("lead_n"), F.min(least).alias("at"), F.count("*").alias("count")).filter("count > 1")
         leaders = stored(leaders.select("token", "lead", "lead_n", F.shiftright("at", 40).alias("lead_pos")), "leaders")
         stars = met.join(leaders, "token").filter("c != lead").filter(allowed("n", "lead_n", "pos", "lead_pos", "1"))
-        # pairs with fewer matches are left to the second step
-        stars = stars.groupBy(F.col("lead").alias("c_a"), F.col("c").alias("c_b"), F.col("lead_n").alias("n_a"), F.col("n").alias("n_b")).agg(F.count("*").alias("met"), F.min("m").alias("m")).filter("met >= m")
+        stars = stars.groupBy(F.col("lead").alias("c_a"), F.col("c").alias("c_b"), F.col("lead_n").alias("n_a"), F.col("n").alias("n_b")).agg(F.count("*").alias("met"), F.min("m").alias("m"))
+        # one match will do where bitmaps tell chance pairs apart, whose bits differ in near half; longer sets need all
+        # matches or are met most by the class, so that groups hold together. Other pairs are left to the second step.
+        tells = (100 - percent) * (F.col("n_a") + F.col("n_b")) < (100 + percent) * 25 * MAP
+        best = F.row_number().over(Window.partitionBy("c_b").orderBy(F.desc("met"), "c_a"))  # a row for each leader in a prefix
+        stars = stars.withColumn("best", best).filter(tells | (F.col("met") >= F.col("m")) | (F.col("best") == 1))
         stars = stars.join(mapped("a"), "c_a").join(mapped("b"), "c_b").filter(alike("n_a", "n_b"))
         stars = stored(stars.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")), "stars")
         links = verified(stars)
