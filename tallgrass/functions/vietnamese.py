@@ -26,6 +26,23 @@ TAILS = "(?:ng|nh|ch|[cmnptk]|u|i|o|y)"
 MARKED = "âêôơưăáàảãạắằẳẵặấầẩẫậéèẻẽẹếềểễệíìỉĩịóòỏõọốồổỗộớờởỡợúùủũụứừửữựýỳỷỹỵ"
 
 
+def _class(chars: str) -> str:
+    """A class of characters as ranges; a regular expression tries single ones beyond Latin-1 one after the other."""
+    points = sorted(set(map(ord, chars)))
+    runs = [[points[0], points[0]]]
+    for p in points[1:]:
+        if p == runs[-1][1] + 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    return "[" + "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in runs) + "]"
+
+
+# White space between a marked vowel and an end of its syllable. It is looked for by the space, so the time does not depend
+# on the length of words; as no end is a marked vowel, one pass finds all there are.
+_APART = f"(?<=[^\\x00-\\x7f])(?<={_class(MARKED + MARKED.upper())})\\s+(?iu)(?={TAILS}(?:[^\\p{{L}}\\p{{N}}_\u00c0-\u1ef9]|$))"
+
+
 def _composed(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
@@ -41,16 +58,18 @@ def repair(s: Column, *, reconnect: bool = True, strict: bool = False) -> Column
     ``strict`` keeps a known oddity of older texts: a tilde joined to a horned pair of vowels is followed by an ending that
     was not there, so exports made before can be made again byte by byte. Only the composition is a Python function; it sees one column in Arrow batches.
     """
-    s = F.regexp_replace(F.coalesce(s, F.lit("")), "\u00a0", " ")
-    s = F.regexp_replace(s, "[\u200b\u200c\u200d\ufeff\u00ad\r]", "")
+    s = F.replace(F.coalesce(s, F.lit("")), F.lit("\u00a0"), F.lit(" "))
+    s = F.regexp_replace(s, "[\r\u00ad\u200b-\u200d\ufeff]", "")
     s = F.regexp_replace(s, "([a-zA-Z\u00c0-\u1ef9])\\s+([\u0300-\u036f\u1dc0-\u1dff\u1ab0-\u1aff])", "$1$2")
     for pair, ending in STRICT_ENDINGS.items() if strict else ():
         s = F.regexp_replace(s, rf"({pair})\s*[{TONES[TILDE]}]", f"$1{TILDE}{ending}")
+    # marks of all tones are moved up to their vowels at once; then those that stand beside become those that combine
+    s = F.regexp_replace(s, rf"({_class(VOWELS)})\s+(?=[{''.join(TONES.values())}])", "$1")
     for mark, forms in TONES.items():
-        s = F.regexp_replace(s, rf"([{VOWELS}])\s*[{forms}]", "$1" + mark)
+        if beside := forms.replace(mark, ""):
+            s = F.regexp_replace(s, rf"[{beside}](?<={_class(VOWELS)}[{beside}])", mark)
     s = nfc(s)
     if reconnect:
-        for _ in range(2):
-            s = F.regexp_replace(s, f"(?iu)([a-z\u00c0-\u1ef9]*[{MARKED}])\\s+({TAILS})(?=[^\\p{{L}}\\p{{N}}_\u00c0-\u1ef9]|$)", "$1$2")
+        s = F.regexp_replace(s, _APART, "")
     s = F.regexp_replace(s, "[ \t]+", " ")
     return F.regexp_replace(s, r"^\s+|\s+$", "")

@@ -2,6 +2,7 @@
 
 import glob
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -163,6 +164,16 @@ def test_repair_of_every_field_and_its_strict_form(spark):
     assert item.startswith("<h2>ã</h2>") and item.endswith("<p>é</p>\n<p>õ</p>")
 
 
+def test_repair_takes_time_in_proportion_to_a_word(spark):
+    from tallgrass.functions import vietnamese as V
+
+    cases = {"b" * 60_000: "b" * 60_000, "a ´ ` nghê\tn hô i. Ộ NG": "á ` nghên hôi. ỘNG", "ươ  ˙ e ´ t~ x ´": "ượ ét~ x ´"}
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, x string").orderBy("i")
+    began = time.perf_counter()
+    assert [r[0] for r in df.select(V.repair(F.col("x"))).collect()] == list(cases.values())
+    assert time.perf_counter() - began < 20
+
+
 def test_runs_and_covers(spark):
     opened = spark.createDataFrame([(1, "daily"), (2, "full")], "run_id long, run_type string")
     closed = spark.createDataFrame([(1, 5, "partial", 3, "x"), (1, 9, "success", None, None), (7, 1, "success", 1, "y")], "run_id long, seq long, status string, items long, details string")
