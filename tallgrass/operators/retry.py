@@ -8,31 +8,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def ledger(actions: DataFrame, key: Sequence[str] = ("target_url",), *, seq: str = "seq", action: str = "action", max_attempts: int = 3) -> DataFrame:
-    """Fold add, sync, fail and resolve into (key, attempts, status).
+def ledger(actions: DataFrame, key: Sequence[str] = ("target_url",), *, seq: str = "seq", action: str = "action", max_attempts: int = 3, state: DataFrame | None = None) -> DataFrame:
+    """Fold add, sync, fail and resolve into (key, attempts, status), from an earlier such state if there is one.
 
     The first add or sync inserts with no attempts; later adds and fails count one, and die at ``max_attempts``; a
     resolve resolves; a sync leaves the dead dead and makes all others pending. What comes before the insert is void.
 
     In closed form: attempts are the adds and fails after the insert; the last action that is no sync decides, and a
     sync after it turns all but death into pending. So the insert is one group by key, joined back so that the actions
-    of a hot key can be split, and the fold another; both have partial aggregates.
+    of a hot key can be split, and the fold another; both have partial aggregates. A stored row is an insert before all
+    actions, with the attempts and the status that it has.
     """
     a = F.col(action)
     known = actions.filter(a.isin("add", "sync", "fail", "resolve"))
-    first = known.filter(a.isin("add", "sync")).groupBy(*key).agg(F.min(seq).alias("_first"))
-    after = known.join(first, list(key)).filter(F.col(seq) >= F.col("_first"))
+    if state is not None:
+        known = known.select(*key, F.col(seq).cast("long").alias(seq), action, F.lit(0).cast("long").alias("_attempts"), F.lit(None).cast("string").alias("_status"))
+        known = known.unionByName(state.select(*key, F.lit(-(1 << 62)).alias(seq), F.lit("stored").alias(action), F.col("attempts").alias("_attempts"), F.col("status").alias("_status")))
+    first = known.filter(a.isin("add", "sync", "stored")).groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.min(seq).alias("_first"))
+    after = known.join(first, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]).filter(F.col(seq) >= F.col("_first"))
     later = F.col(seq) > F.col("_first")
     counted = a.isin("add", "fail") & later
+    kept = (F.sum("_attempts"), F.max("_status")) if state is not None else (F.lit(0), F.lit(None).cast("string"))
     folded = after.groupBy(*key).agg(
-        F.count_if(counted).alias("attempts"),
+        (kept[0] + F.count_if(counted)).alias("attempts"),
+        kept[1].alias("_before"),
         F.max_by(a, F.when((a != "sync") & later, F.col(seq))).alias("_last"),
         F.max(F.when((a != "sync") & later, F.col(seq))).alias("_last_seq"),
         F.max(F.when(a == "sync", F.col(seq))).alias("_sync_seq"),
     )
     dead = F.col("attempts") >= max_attempts
-    base = F.when(F.col("_last").isNull(), "pending").when(F.col("_last") == "resolve", "resolved").when(dead, "dead").otherwise("pending")
-    synced = F.coalesce(F.col("_sync_seq") > F.col("_last_seq"), F.lit(False))
+    base = F.when(F.col("_last").isNull(), F.coalesce("_before", F.lit("pending"))).when(F.col("_last") == "resolve", "resolved").when(dead, "dead").otherwise("pending")
+    synced = F.col("_sync_seq").isNotNull() & (F.col("_sync_seq") > F.coalesce("_last_seq", F.lit(-(1 << 63))))
     status = F.when(synced & (base != "dead"), "pending").otherwise(base)
     return folded.select(*key, F.col("attempts").cast("long").alias("attempts"), status.alias("status"))
 

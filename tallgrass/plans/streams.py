@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import retry
 from ..sources.tables import new_folder
 from ..streaming import pipelines, site
 from .book import Book
@@ -48,8 +49,10 @@ def stream_first_seen_recent(spark: SparkSession, sf: str) -> DataFrame:
 @book.add(_LEDGER)
 def stream_retry_ledger(spark: SparkSession, sf: str) -> DataFrame:
     actions = view(spark, sf, "retry_actions").filter("action != 'skip'")
-    out = pipelines.run_to_end(pipelines.retry_ledger(_as_stream(actions, "actions", "seq")), new_folder(spark, "ledger"), mode="update")
-    return out.groupBy("target_url").agg(F.max_by("attempts", "batch").alias("attempts"), F.max_by("status", "batch").alias("status"))
+    path = new_folder(spark, "ledger")
+    pipelines.ledger_table(_as_stream(actions, "actions", "seq"), path).awaitTermination()
+    rows = pipelines.current(spark, f"{path}/ledger")
+    return rows.select("target_url", "attempts", "status") if rows is not None else retry.ledger(actions)
 
 
 @book.add("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.utils import AnalysisException
@@ -13,7 +13,7 @@ from pyspark.sql.utils import AnalysisException
 from ..functions import html as H
 from ..functions import text as T
 from ..functions import urls as U
-from ..operators import joins, merge
+from ..operators import joins, merge, retry
 
 
 def first_seen(stream: DataFrame, key: list[str], *, event_time: str | None = None, watermark: str | None = None) -> DataFrame:
@@ -62,7 +62,8 @@ def _ledger_step(max_attempts: int):
 def retry_ledger(actions: DataFrame, *, max_attempts: int = 3) -> DataFrame:
     """The state of every key after each batch that touches it; actions (target_url, seq, action) come in order of seq.
 
-    A key's state is its attempts and status, whatever the number of its actions.
+    A key's state is its attempts and status, whatever the number of its actions. Every key of a batch is a call of a
+    Python function, so this is for batches of some thousand keys; ``ledger_table`` folds large ones.
     """
     return actions.groupBy("target_url").applyInPandasWithState(_ledger_step(max_attempts), f"target_url string, {_STATE}", _STATE, "update", GroupStateTimeout.NoTimeout)
 
@@ -112,16 +113,35 @@ def ingest(pages: DataFrame, path: str, *, interval: str | None = None, buckets:
     folder of its number, so a small batch rewrites little, and a batch that runs again changes nothing.
     Without an interval, what is there is read and the query ends.
     """
-    spark = pages.sparkSession
-    bucket = F.pmod(F.xxhash64(F.regexp_replace("url", "[?#].*$", "")), F.lit(buckets)).cast("int")
+    return _folded(pages, f"{path}/works", f"{path}/state", F.regexp_replace("url", "[?#].*$", ""), ingest_batch, interval, buckets)
+
+
+def ledger_table(actions: DataFrame, path: str, *, max_attempts: int = 3, interval: str | None = None, buckets: int = 64):
+    """Keep attempts and status of every key under ``path`` current with a stream of actions, as ``ingest`` keeps works.
+
+    Actions (target_url, seq, action) come in order of seq. A batch is folded with the stored rows by ``retry.ledger``:
+    groups with partial aggregates, so neither many keys nor many actions of a key cost Python or a task's memory. Read
+    it by ``current(spark, f"{path}/ledger")``.
+    """
+
+    def fold(batch: DataFrame, known: DataFrame | None, number: int) -> DataFrame:
+        return retry.ledger(batch, max_attempts=max_attempts, state=known)
+
+    return _folded(actions, f"{path}/ledger", f"{path}/state", F.col("target_url"), fold, interval, buckets)
+
+
+def _folded(stream: DataFrame, path: str, checkpoint: str, key: Column, fold: Callable[[DataFrame, DataFrame | None, int], DataFrame], interval: str | None, buckets: int):
+    """Fold every batch with the rows stored in the buckets that it touches, and write these buckets anew."""
+    spark = stream.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
     def step(batch: DataFrame, number: int) -> None:
-        known = current(spark, f"{path}/works", number) if number else None
+        known = current(spark, path, number) if number else None
         if known is not None:
             touched = [r[0] for r in batch.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
             known = known.filter(F.col("bucket").isin(touched)).drop("bucket")
-        works = ingest_batch(batch, known, number).withColumn("bucket", bucket)
-        works.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/works/batch={number}")
+        rows = fold(batch, known, number).withColumn("bucket", bucket)
+        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch={number}")
 
-    w = pages.writeStream.option("checkpointLocation", f"{path}/state").foreachBatch(step)
+    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(step)
     return (w.trigger(processingTime=interval) if interval else w.trigger(availableNow=True)).start()

@@ -107,6 +107,24 @@ def test_streamed_ledger_equals_batch(spark, tmp_path):
     assert got == {k: fold(v) for k, v in h.items() if fold(v)}
 
 
+def test_ledger_table_equals_fold_without_python(spark, tmp_path, monkeypatch):
+    h = histories(200) | {None: ["fail", "add", "fail", "sync", "fail", "fail", "resolve"]}
+    rows = [(k, s, a) for k, v in h.items() for s, a in enumerate(v)]
+    schema = "target_url string, seq int, action string"
+    for part in range(3):
+        spark.createDataFrame([x for x in rows if x[1] // 3 == part], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    pipelines.ledger_table(stream, f"{tmp_path}/run", buckets=4).awaitTermination()
+    out = pipelines.current(spark, f"{tmp_path}/run/ledger")
+    assert {r["target_url"]: (r["attempts"], r["status"]) for r in out.collect()} == {k: fold(v) for k, v in h.items() if fold(v)}
+
+    # the query calls no Python function for each key of a batch
+    from tallgrass.plans import streams
+
+    monkeypatch.setattr(pipelines, "retry_ledger", None)
+    assert streams.stream_retry_ledger(spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_toc_islands(spark):
     def groups(sections):
         df = spark.createDataFrame([(1, i, s) for i, s in enumerate(sections)], "work_id int, item_index int, section string")
