@@ -15,6 +15,11 @@ book = Book()
 BASE = "https://site.example"
 
 
+def _dealt(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    """A table's rows dealt out to tasks: they become pages, whose parse takes far longer than the few bytes of a row let Spark expect."""
+    return table(spark, sf, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _tag(name: str, cls: str, *body) -> F.Column:
     return F.concat(F.lit(f'<{name} class="{cls}">'), *[F.lit(b) if isinstance(b, str) else b for b in body], F.lit(f"</{name}>"))
 
@@ -75,7 +80,7 @@ def info_pairs(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("c_custkey") % 2 == 0, _pair("info", "Tình trạng:", F.concat(F.lit("n"), "c_nationkey"))).otherwise('<div class="info-item"><span class="info-name">Tình trạng:</span></div>'),
         _pair("info", "Tên khác:", F.concat(F.lit("b"), "c_custkey")),
     )
-    nodes = H.html_pages(table(spark, sf, "customer").select("c_custkey", page.alias("html")), "c_custkey", "html", [".info-name", ".info-value"], scopes={"item": [".info-item"]})
+    nodes = H.html_pages(_dealt(spark, sf, "customer", "c_custkey").select("c_custkey", page.alias("html")), "c_custkey", "html", [".info-name", ".info-value"], scopes={"item": [".info-item"]})
     return H.info_pairs(nodes, H.INFO_LABELS, "info-name", "info-value").select(F.col("page").cast("long").alias("c_custkey"), *H.INFO_LABELS)
 
 
@@ -85,7 +90,7 @@ def stat_pairs(spark: SparkSession, sf: str) -> DataFrame:
         _pair("statistic", "Số từ", F.format_number(F.col("s_suppkey") * 1234, 0)), _pair("statistic", "Lượt xem", F.concat((F.col("s_suppkey") + 5).cast("string"), F.lit(" lần"))), _pair("statistic", "Theo dõi", F.lit("-")),
         _pair("statistic", "Đánh giá", F.concat(F.regexp_replace(F.format_string("%.1f", F.col("s_suppkey") % 50 / 10), r"\.", ","), F.lit(" / "), "s_suppkey")), _pair("statistic", "Lần cuối", F.concat(F.lit("n\n"), "s_nationkey")),
     )
-    nodes = H.html_pages(table(spark, sf, "supplier").select("s_suppkey", page.alias("html")), "s_suppkey", "html", [".statistic-name", ".statistic-value"], scopes={"item": [".statistic-item"]})
+    nodes = H.html_pages(_dealt(spark, sf, "supplier", "s_suppkey").select("s_suppkey", page.alias("html")), "s_suppkey", "html", [".statistic-name", ".statistic-value"], scopes={"item": [".statistic-item"]})
     return H.typed_stats(H.info_pairs(nodes, H.STAT_LABELS, "statistic-name", "statistic-value")).withColumn("page", F.col("page").cast("long")).withColumnRenamed("page", "s_suppkey")
 
 
@@ -93,7 +98,7 @@ def stat_pairs(spark: SparkSession, sf: str) -> DataFrame:
 def ordered_tags(spark: SparkSession, sf: str) -> DataFrame:
     link = lambda c: F.concat(F.lit('<a href="/the-loai/x"> '), c, F.lit(" </a>"))
     page = F.concat(link(F.col("p_name")), _tag("span", "badge-genre", F.col("p_type")), link(F.col("p_name")), F.lit('<a href="/other">no</a>'), _tag("b", "badge-genre", " "), link(F.col("p_brand")))
-    nodes = H.html_pages(table(spark, sf, "part").select("p_partkey", page.alias("html")), "p_partkey", "html", ["a", ".badge-genre"])
+    nodes = H.html_pages(_dealt(spark, sf, "part", "p_partkey").select("p_partkey", page.alias("html")), "p_partkey", "html", ["a", ".badge-genre"])
     return H.ordered_tags(nodes).select(F.col("page").cast("long").alias("p_partkey"), F.array_join("tags", "|").alias("tags"))
 
 
@@ -102,14 +107,14 @@ def type_summary(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.when(F.col("doc_id") % 4 == 0, "").otherwise(_tag("div", "series-type", F.col("source")))
     summary = F.when(F.col("doc_id") % 5 == 0, "").otherwise(_tag("div", "summary-content", F.concat(F.lit("\r\n"), F.col("lang"), F.lit("\n\n\n\n"), F.col("doc_id").cast("string"), F.lit("\n"))))
     page = F.concat(F.lit("<p>x</p>"), kind, summary, F.lit('<div class="series-end"></div>'))
-    nodes = H.html_pages(table(spark, sf, "documents").select("doc_id", page.alias("html")), "doc_id", "html", [".series-type", ".summary-content"])
+    nodes = H.html_pages(_dealt(spark, sf, "documents", "doc_id").select("doc_id", page.alias("html")), "doc_id", "html", [".series-type", ".summary-content"])
     return H.type_and_summary(nodes).withColumn("page", F.col("page").cast("long")).withColumnRenamed("page", "doc_id")
 
 
 @book.add("SELECT doc_id, 'https://site.example/i/' || source || '.jpg|https://cdn.example/' || doc_id || '.webp' AS assets FROM documents")
 def asset_urls(spark: SparkSession, sf: str) -> DataFrame:
     page = F.concat(F.lit('<p id="1"><img src="/i/'), "source", F.lit('.jpg" alt=""></p><img data-src="//cdn.example/'), F.col("doc_id").cast("string"), F.lit('.webp"/><img src="/i/'), "source", F.lit('.jpg"><img alt="none">'))
-    nodes = H.html_pages(table(spark, sf, "documents").select("doc_id", page.alias("html")), "doc_id", "html", ["img"])
+    nodes = H.html_pages(_dealt(spark, sf, "documents", "doc_id").select("doc_id", page.alias("html")), "doc_id", "html", ["img"])
     return H.asset_urls(nodes, BASE).select(F.col("page").cast("long").alias("doc_id"), F.array_join("assets", "|").alias("assets"))
 
 
@@ -185,7 +190,7 @@ def catalog_urls(spark: SparkSession, sf: str) -> DataFrame:
 @book.add("SELECT c_custkey, greatest(1, CASE WHEN c_custkey % 5 = 0 THEN 1 WHEN c_custkey % 5 = 1 THEN c_nationkey + 2 ELSE greatest(c_nationkey, 3) END) AS max_page FROM (SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer)")
 def max_page(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as pages with pagination: numbers, a last page known by its address only, numbers that are no pages, or none."""
-    c = table(spark, sf, "customer")
+    c = _dealt(spark, sf, "customer", "c_custkey")
     n, k = F.col("c_nationkey").cast("long"), F.col("c_custkey") % 5
     link = lambda text, href: F.concat(F.lit('<a href="'), href, F.lit('">'), text, F.lit("</a>"))
     plain = F.lit("/danh-sach")
@@ -201,7 +206,7 @@ def work_title(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as work pages: with a name, with an empty one, and with none."""
     k = F.col("c_custkey") % 3
     name = F.when(k == 0, F.concat(F.lit('<span class="series-name"><a href="/x"> '), "c_name", F.lit(' </a></span><h1 class="series-name">second</h1>'))).when(k == 1, '<h1 class="series-name"> </h1>').otherwise("<h1>no</h1>")
-    pages = table(spark, sf, "customer").select(F.concat(F.lit(f"{BASE}/truyen/"), F.col("c_custkey").cast("string"), F.lit("-w/")).alias("page"), name.alias("html"))
+    pages = _dealt(spark, sf, "customer", "c_custkey").select(F.concat(F.lit(f"{BASE}/truyen/"), F.col("c_custkey").cast("string"), F.lit("-w/")).alias("page"), name.alias("html"))
     found = H.work_titles(H.html_pages(pages, "page", "html", [".series-name"]))
     return found.select(F.regexp_extract("page", r"/(\d+)-w", 1).cast("long").alias("c_custkey"), "title")
 

@@ -125,6 +125,14 @@ def test_ledger_table_equals_fold_without_python(spark, tmp_path, monkeypatch):
     assert streams.stream_retry_ledger(spark, "/root/testdata/sf0.001").count() > 0
 
 
+@pytest.mark.parametrize("name", ["info_pairs", "stat_pairs", "ordered_tags", "type_summary", "asset_urls", "max_page", "work_title"])
+def test_pages_made_of_small_rows_are_parsed_in_several_tasks(spark, name):
+    from tallgrass.plans import registry
+
+    df = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert df.groupBy(F.spark_partition_id()).count().count() > 1  # a small file is one split
+
+
 def test_toc_islands(spark):
     def groups(sections):
         df = spark.createDataFrame([(1, i, s) for i, s in enumerate(sections)], "work_id int, item_index int, section string")
