@@ -85,8 +85,12 @@ def fragment(title: Column, text: Column, words: Column, date: Column | None = N
     return F.array_join(parts, "\n")
 
 
-def first_embedding(assets: DataFrame, work: str, asset: str, order: list[str]) -> DataFrame:
-    """Flag the first use of an asset within a work; a window holds the uses of one asset in one work."""
+def first_embedding(assets: DataFrame, work: str, asset: str, order: list[str], *, task_rows: int = 500_000) -> DataFrame:
+    """Flag the first use of an asset within a work; a window holds the uses of one asset in one work.
+
+    The rows are counted and dealt out to so many tasks that each sorts about ``task_rows``, whatever the size of the table.
+    """
+    assets = assets.repartition(max(int(assets.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-assets.count() // task_rows)), work, asset)
     return assets.withColumn("embedded", F.row_number().over(Window.partitionBy(work, asset).orderBy(*order)) == 1)
 
 

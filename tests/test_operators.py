@@ -125,6 +125,13 @@ def test_ledger_table_equals_fold_without_python(spark, tmp_path, monkeypatch):
     assert streams.stream_retry_ledger(spark, "/root/testdata/sf0.001").count() > 0
 
 
+def test_first_embedding_takes_more_tasks_for_more_rows(spark):
+    uses = spark.range(4000).selectExpr("id % 50 AS w", "id % 7 AS a", "id AS place")
+    out = assemble.first_embedding(uses, "w", "a", ["place"], task_rows=100)
+    assert out.groupBy(F.spark_partition_id()).count().count() > 30
+    assert sorted(r["place"] for r in out.filter("embedded").collect()) == list(range(350))
+
+
 @pytest.mark.parametrize("name", ["info_pairs", "stat_pairs", "ordered_tags", "type_summary", "asset_urls", "max_page", "work_title"])
 def test_pages_made_of_small_rows_are_parsed_in_several_tasks(spark, name):
     from tallgrass.plans import registry
