@@ -142,12 +142,19 @@ def document_rows(works: DataFrame, items: DataFrame, work: str = "work_id", ord
     return head.union(body)
 
 
-def export_rows(rows: DataFrame, path: str, work: str = "work_id", order: tuple[str, ...] = ("item_index",)) -> None:
+def export_rows(rows: DataFrame, path: str, work: str = "work_id", order: tuple[str, ...] = ("item_index",), *, each: bool = True) -> None:
     """Write ``document_rows`` as text: a folder for each work, whose files, in the order of their names, make up its text.
 
+    A folder and a file for each work take far longer to make than a short text to write, so that is for some thousand works.
+    Without ``each``, works share files: lines of JSON with the work and a block, in the same order, all blocks of all works.
+
     Rows are dealt out by ranges of work and place and sorted in their tasks, so a long work takes as many tasks, and
-    files, as its size asks for. Null and empty names go to the folder ``_``. Very many short works are better kept as rows.
+    files, as its size asks for. Null and empty names go to the folder ``_``.
     """
+    if not each:
+        keys = [work, "is_item", *order, "block"]
+        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select(work, "block").write.json(path)
+        return
     keys = ["_folder", "is_item", *order, "block"]
     named = rows.withColumn("_folder", F.coalesce(F.nullif(F.col(work).cast("string"), F.lit("")), F.lit("_")))
     named.repartitionByRange(*keys).sortWithinPartitions(*keys).select(F.col("_folder").alias("work"), F.col("block").alias("value")).write.partitionBy("work").text(path)

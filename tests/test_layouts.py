@@ -1,6 +1,7 @@
 """Tables in buckets by key, counts kept by changes, texts as ordered rows, late rows of streams."""
 
 import glob
+import json
 import random
 import time
 from datetime import datetime, timedelta
@@ -130,6 +131,19 @@ def test_ordered_rows_equal_whole_texts(spark, tmp_path, kind):
     assemble.export_rows(rows.limit(0), f"{tmp_path}/none")
 
 
+def test_many_short_works_share_files(spark, tmp_path):
+    works = spark.range(3000).selectExpr("id AS work_id", "'t' AS title", "'' AS alternative_titles", "'' AS author", "'' AS artist", "array('g') AS genres", "'s' AS status", "'u' AS url", "'' AS summary")
+    items = spark.range(9000).selectExpr("id % 3000 AS work_id", "id div 3000 AS item_index", "concat('i', id) AS title", "'' AS date", "concat('\\r x\\n\"ư\t', id) AS text")
+    assemble.export_rows(assemble.document_rows(works, items), f"{tmp_path}/out", each=False)
+    files = sorted(glob.glob(f"{tmp_path}/out/part-*"))
+    assert 1 <= len(files) <= 200
+    got = {}
+    for line in (x for f in files for x in open(f, encoding="utf-8")):
+        row = json.loads(line)
+        got.setdefault(row["work_id"], []).append(row["block"])
+    assert {k: "\n".join(v) for k, v in got.items()} == {r["work_id"]: r["content"] for r in assemble.document_text(works, items).collect()}
+
+
 def test_first_seen_drops_rows_behind_the_watermark_and_forgets_old_keys(spark, tmp_path):
     noon = datetime(2024, 1, 1, 12)
     at = lambda m: noon + timedelta(minutes=m)
