@@ -23,6 +23,8 @@ _MAPS = [f"x{i}" for i in range(MAP)]
 #: Longest extension of a prefix, and how many other sets a token meets at least by chance, whatever the estimate.
 MOST_MATCHES = 7
 BY_CHANCE = 0.02
+#: Matches of a pair that are asked for when all classes of a token meet, and how many tokens before a match tell which they are.
+FIRST, BEFORE = 4, 8
 #: Steps of estimated frequencies for each doubling, and the step of frequency one.
 STEPS, ONE = 3, 120
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -265,6 +267,20 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "s_a", "s_b").mapInArrow(_verified(percent), "a long, b long")
 
 
+def with_before(met: DataFrame) -> DataFrame:
+    """Rows (c, token, pos, ...) with the ``BEFORE`` tokens that the class has before this one, in its order."""
+    return met.withColumn("before", F.collect_list("token").over(Window.partitionBy("c").orderBy("pos").rowsBetween(-BEFORE, -1)))
+
+
+def early(asked: str) -> F.Column:
+    """Whether a match can be among the first ``asked`` of its pair: fewer shared tokens stand right before it on both sides.
+
+    The first ones always pass, as fewer shared tokens stand before them at all. Of the others few do, so a pair makes
+    about as many rows as it is asked for, not as many as there are tokens in both prefixes.
+    """
+    return F.size(F.array_intersect("before_a", "before_b")) < F.expr(asked)
+
+
 def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, all_links: bool = False) -> DataFrame:
     """Group documents whose sets of ``words``-word shingles are linked by a Jaccard similarity of ``percent``/100 or more.
 
@@ -277,7 +293,8 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     cost. First, each shingle compares its classes with the one that
     has it earliest in its order, which links most members of a group without any pairs inside it. Then classes of
     different components that meet in a shingle, of sizes and positions that allow the similarity, are counted, and
-    pairs with as many matches as the shorter of both asks for are compared. Both steps compare whole sets. With
+    pairs with as many matches as the shorter of both asks for, or ``FIRST``, are compared; only about the first of a
+    pair's matches are made into rows (``early``). Both steps compare whole sets. With
     ``all_links`` the first step is left out and all similar classes are found, also inside of components; pairs then
     grow with the links there are.
 
@@ -350,11 +367,12 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     placed = stored(placed.select("c", "p", "part", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select("c", F.col("at.tokens").alias("token"), F.shiftright("p", 3).alias("n"), F.col("p").bitwiseAND(F.lit(7)).alias("m"), F.col("at.places").alias("pos"), "part"), "placed")
     apart = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("token")
     apart = stored(apart, "apart")
-    open_ = placed.join(apart, "token", "left_semi").join(classes.select("c", *_MAPS), "c").withColumn("size", F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-9)))
+    open_ = with_before(placed.join(apart, "token", "left_semi")).join(classes.select("c", *_MAPS), "c").withColumn("size", F.floor(F.log(F.col("n")) / math.log(100 / percent + 1e-9)))
+    asked = f"least(m_a, m_b, {FIRST})"
     left = open_.withColumn("at", F.explode(F.array(F.col("size"), F.col("size") + 1))).toDF(*[f"{c}_a" for c in open_.columns], "at").withColumn("key", F.xxhash64("token_a", "at")).drop("at")
     right = open_.toDF(*[f"{c}_b" for c in open_.columns]).withColumn("key", F.xxhash64("token_b", "size_b"))
-    pairs = left.join(right, "key").filter("token_a = token_b AND part_a != part_b AND (size_a != size_b OR c_a < c_b)").filter(allowed("n_a", "n_b", "pos_a", "pos_b", "least(m_a, m_b)")).filter(alike("n_a", "n_b"))
-    pairs = pairs.groupBy(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).agg(F.count("*").alias("met"), F.min(F.least("m_a", "m_b")).alias("m"))
+    pairs = left.join(right, "key").filter("token_a = token_b AND part_a != part_b AND (size_a != size_b OR c_a < c_b)").filter(allowed("n_a", "n_b", "pos_a", "pos_b", asked)).filter(alike("n_a", "n_b")).filter(early(asked))
+    pairs = pairs.groupBy(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).agg(F.count("*").alias("met"), F.min(F.expr(asked)).alias("m"))
     pairs = stored(pairs.filter("met >= m").select("a", "b"), "pairs")
     more = verified(pairs)
     discard(found, classes, placed, apart, pairs, *([] if all_links else [grouped]))

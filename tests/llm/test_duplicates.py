@@ -61,6 +61,66 @@ def test_jaccard_chain_of_many(spark):
     assert got.component_id.tolist() == brute_components(150, links)
 
 
+def _joined_rows(df):
+    """How many rows the join of classes with a token in common made as ``df`` ran."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif kind.endswith("JoinExec") and "token_a" in node.simpleString(1000):
+            found.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return sum(found)
+
+
+@pytest.mark.parametrize("all_links", [False, True])
+def test_jaccard_family_of_unlike_texts(spark, monkeypatch, all_links):
+    """Long texts that share most of their prefixes and are not similar make some rows a pair, not one for each shared token."""
+    r = random.Random(3)
+    rows = []
+    for i in range(12):  # families of four, few enough that counters don't tell what they share from noise
+        w = [f"v{i // 4}x{p}" for p in range(1500)]
+        for p in r.sample(range(len(w)), 30):
+            w[p] = f"n{i}x{p}"
+        rows.append((i, " ".join(w)))
+    rows.append((12, " ".join([*w[:-3], "other", "last", "words"])))
+    sets = _sets(rows, 5)
+    links = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 100 * len(a & b) >= 80 * len(a | b)]
+    assert links == [(12, 11)]
+    made, real = [], setjoin.stored
+
+    def stored(df, name, *path):
+        if name == "pairs":
+            made.append(_joined_rows(df))
+        return real(df, name, *path)
+
+    monkeypatch.setattr(setjoin, "stored", stored)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = setjoin.jaccard_components(docs, words=5, percent=80, all_links=all_links).toPandas().sort_values("doc_id")
+    assert got.component_id.tolist() == brute_components(13, links)
+    assert not all_links or got.n_links.tolist() == [0] * 11 + [1, 1]
+    assert len(made) == 1 and 0 < made[0] < 10 * (6 + 6 + 10)
+
+
+def test_first_matches_of_a_pair_pass(spark):
+    """Of the tokens that two classes share, the first that are asked for are always kept, whatever stands between them."""
+    r = random.Random(4)
+    for asked in (1, 2, setjoin.FIRST):
+        lists = {c: sorted(r.sample(range(60), r.randrange(10, 50))) for c in range(6)}
+        met = spark.createDataFrame([(c, t, i) for c, ts in lists.items() for i, t in enumerate(ts)], "c long, token long, pos long")
+        met = setjoin.with_before(met)
+        a, b = (met.toDF(f"c_{x}", f"token_{x}", f"pos_{x}", f"before_{x}") for x in "ab")
+        kept = {(x.c_a, x.c_b, x.token_a) for x in a.join(b, a.token_a == b.token_b).filter("c_a < c_b").filter(setjoin.early(str(asked))).collect()}
+        for c in lists:
+            for d in range(c + 1, 6):
+                assert {(c, d, t) for t in sorted(set(lists[c]) & set(lists[d]))[:asked]} <= kept
+
+
 def test_jaccard_empty(spark):
     assert setjoin.jaccard_components(no_documents(spark)).count() == 0
 
