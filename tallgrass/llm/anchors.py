@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .textops import prefix_hash, span_hash
+from .textops import prefix_hash, spans_hash
 
 GRAM = 32
 
@@ -19,22 +19,22 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int = GRAM, pr
     if n < window:
         return none
     count, wide = n - gram + 1, window - gram + 1
-    at = np.arange(count)
-    h = span_hash(prefix_hash(data) if prefix is None else prefix, at, at + gram)
+    prefix = prefix_hash(data) if prefix is None else prefix
+    h = spans_hash(prefix, gram)
     place = np.uint64(max(1, int(count).bit_length()))
-    key = ((h >> place) << place) | at.astype(np.uint64)
-    padded = np.full(-(-count // wide) * wide, np.iinfo(np.uint64).max, np.uint64)
-    padded[:count] = key
-    blocks = padded.reshape(-1, wide)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    starts = np.arange(n - window + 1)
-    least = np.minimum(behind[starts], ahead[starts + wide - 1])
-    row = np.repeat(np.arange(len(off) - 1), np.diff(off))[: n - window + 1]
-    ok = starts + window <= off[1:][row]
-    starts, least, row = starts[ok], (least[ok] & ((np.uint64(1) << place) - np.uint64(1))).astype(np.int64), row[ok]
-    if not len(starts):
-        return none
-    first = np.flatnonzero(np.concatenate([[True], (least[1:] != least[:-1]) | (row[1:] != row[:-1])]))
-    last = np.concatenate([first[1:], [len(starts)]]) - 1
-    return row[first], least[first], starts[first], starts[last], h[least[first]]
+    below = (np.uint64(1) << place) - np.uint64(1)
+    least = (h & ~below) | np.arange(count, dtype=np.uint64)
+    reach = 1
+    while reach < wide:  # the least of ``reach`` neighbours, from twice the least of fewer
+        step = min(reach, wide - reach)
+        least = np.minimum(least[:-step], least[step:])
+        reach += step
+    first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1, off[:-1], off[1:] - window + 1])
+    first = np.sort(first[(first >= 0) & (first < len(least))])
+    first = first[np.diff(first, prepend=-1) > 0]
+    last = np.append(first[1:], len(least)) - 1
+    row = np.searchsorted(off, first, side="right") - 1
+    ok = first + window <= off[row + 1]
+    row, first, last = row[ok], first[ok], last[ok]
+    anchor = (least[first] & below).astype(np.int64)
+    return row, anchor, first, last, h[anchor]

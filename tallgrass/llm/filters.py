@@ -17,6 +17,8 @@ BITS_A_KEY = 10
 SETS = 4
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28
 BLOCK = 1 << 13
+#: Blocks of a ``twice_filter``, by the first 12 bits of a hash.
+BLOCKS = 1 << 12
 _ODD = np.uint64(0x85EBCA77C2B2AE63)
 _STEPS = [np.uint64(k * 0x85EBCA77C2B2AE63 % (1 << 64)) for k in range(SETS)]
 
@@ -73,7 +75,24 @@ def has_key(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def has_twice(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether a ``twice_filter`` lets keys pass."""
-    return _on(bits, _places(keys, len(bits) * 8))
+    block, rest = _parted(keys)
+    shift = np.uint64((len(bits) * 8 // BLOCKS).bit_length() - 1)
+    out = np.ones(len(keys), bool)
+    for at in _block_places(rest, len(bits) * 8 // BLOCKS):
+        out &= _on(bits, ((block << shift) | at).astype(np.int64))
+    return out
+
+
+def _parted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The block of a key, and the 32 bits by which keys of a block are told apart."""
+    h = mix(keys * _ODD)
+    return h >> np.uint64(52), (h >> np.uint64(20)) & np.uint64(0xFFFFFFFF)
+
+
+def _block_places(rest: np.ndarray, n_bits: int) -> Iterator[np.ndarray]:
+    """The places that a key sets in its block of ``n_bits`` bits."""
+    for step in _STEPS:
+        yield mix(rest + step) >> np.uint64(64 - (n_bits.bit_length() - 1))
 
 
 def _bit_rows(n_bits: int):
@@ -101,68 +120,79 @@ def key_filter(keys: DataFrame) -> np.ndarray:
     return gathered(keys.select(F.col(keys.columns[0]).alias("key")).mapInArrow(_bit_rows(n_bits), "block int, part binary"), n_bits // 8, np.bitwise_or, np.uint8)
 
 
-def _twice_rows(column: str, n_bits: int):
-    """The places of a task's keys by blocks of 2^16 places, two bytes each, whatever the number of blocks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for batch in batches:
-            with np.errstate(over="ignore"):
-                held.append(_places(batch[column].flatten().to_numpy().astype(np.int64).view(np.uint64), n_bits).astype(np.int32))
-            if sum(map(len, held)) > 1 << 21:
-                yield _by_block(np.concatenate(held))
-                held.clear()
-        if held:
+def _twice_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's numbers by blocks, four bytes each and none more than twice, a row for each block and some 2^21 of them."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        with np.errstate(over="ignore"):
+            block, rest = _parted(batch[0].flatten().to_numpy().astype(np.int64).view(np.uint64))
+        held.append((block << np.uint64(32)) | rest)
+        if sum(map(len, held)) > 1 << 21:
             yield _by_block(np.concatenate(held))
+            held.clear()
+    if held:
+        yield _by_block(np.concatenate(held))
 
-    return run
 
+def _two_each(values: np.ndarray) -> np.ndarray:
+    """The values in order, without those that are the third or later of their kind."""
+    values = np.sort(values)
+    return np.concatenate([values[:2], values[2:][values[2:] != values[:-2]]])
 
-def _by_block(places: np.ndarray) -> pa.RecordBatch:
-    places = np.sort(places)
-    first = np.flatnonzero(np.diff(places >> 16, prepend=-1))
-    cut = np.append(first, len(places)).astype(np.int32) * 2
-    data = pa.py_buffer((places & 0xFFFF).astype(np.uint16).tobytes())
-    parts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(cut.tobytes()), data])
-    return pa.RecordBatch.from_arrays([pa.array(places[first] >> 16, pa.int32()), parts], ["block", "part"])
 
+def _by_block(values: np.ndarray) -> pa.RecordBatch:
+    values = _two_each(values)
+    block = (values >> np.uint64(32)).astype(np.int32)
+    first = np.flatnonzero(np.diff(block, prepend=-1))
+    cut = np.append(first, len(block)).astype(np.int32) * 4
+    parts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(cut.tobytes()), pa.py_buffer(values.astype(np.uint32).tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(block[first]), parts], ["block", "part"])
 
-def _counted_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: dict[int, list[np.ndarray]] = {}  # for each block the places met once and twice, as bits
-    late: dict[int, list[bytes]] = {}
 
-    def count() -> None:
-        for block, parts in late.items():
-            n = np.bincount(np.frombuffer(b"".join(parts), np.uint16), minlength=1 << 16)
-            once, twice = found.get(block) or [np.uint8(0)] * 2
-            mine = np.packbits(n > 0, bitorder="little")
-            found[block] = [once | mine, twice | (once & mine) | np.packbits(n > 1, bitorder="little")]
-        late.clear()
+def _counted_twice(n_bits: int):
+    """The bits of a block's numbers that come twice or more."""
 
-    size = 0
-    for batch in batches:
-        for block, part in zip(batch["block"].to_pylist(), batch["part"].to_pylist(), strict=True):
-            late.setdefault(block, []).append(part)
-            size += len(part)
-        if size > 1 << 25:
-            count()
-            size = 0
-    count()
-    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for _, x in found.values()], pa.binary())], ["block", "part"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[bytes]] = {}
+        size, most = 0, 1 << 25
+        for batch in batches:
+            for block, part in zip(batch["block"].to_pylist(), batch["part"].to_pylist(), strict=True):
+                found.setdefault(block, []).append(part)
+                size += len(part)
+            if size > most:
+                for block, parts in found.items():
+                    found[block] = [_two_each(np.frombuffer(b"".join(parts), np.uint32)).tobytes()]
+                size = sum(len(parts[0]) for parts in found.values())
+                most = max(most, 2 * size)
+        out: list[tuple[int, bytes]] = []
+        for block, parts in found.items():
+            values = _two_each(np.frombuffer(b"".join(parts), np.uint32))
+            twice = values[1:][values[1:] == values[:-1]].astype(np.uint64)
+            if len(twice):
+                on = np.zeros(n_bits, bool)
+                with np.errstate(over="ignore"):
+                    for at in _block_places(twice, n_bits):
+                        on[at.astype(np.int64)] = True
+                out.append((block, zlib.compress(np.packbits(on, bitorder="little").tobytes(), 1)))
+        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["block", "part"])
+
+    return run
 
 
 def twice_filter(lists: DataFrame, column: str, total: int) -> np.ndarray:
-    """A bit for the hash of every number that the lists hold twice or more, about ``total`` in all; others pass by chance.
+    """Bits for the hash of every number that the lists hold twice or more, about ``total`` in all; others pass by chance.
 
-    Only two bytes a number are shuffled. Like ``key_filter`` it is bounded, and what it lets through in vain a later
-    aggregate by the number itself sorts out.
+    Four bytes a number are shuffled, which with the block tell numbers apart, so that only those held twice take room in
+    the filter: BITS_A_KEY bits or more for each up to MOST_BITS in all, whatever the number of those held once. Like
+    ``key_filter`` it is bounded, and what it lets through in vain a later aggregate by the number itself sorts out.
     """
     n_bits = LEAST_BITS
-    while n_bits < min(2 * BITS_A_KEY * total, MOST_BITS):
+    while n_bits < min(BITS_A_KEY * total // 2, MOST_BITS):
         n_bits *= 2
-    parts = lists.select(column).mapInArrow(_twice_rows(column, n_bits), "block int, part binary")
-    tasks = min(n_bits >> 16, int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = lists.select(column).mapInArrow(_twice_rows, "block int, part binary")
+    tasks = min(BLOCKS, int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = n_bits // 8 // BLOCKS
     out = np.zeros(n_bits // 8, np.uint8)
-    for row in parts.repartition(tasks, "block").mapInArrow(_counted_twice, "block int, part binary").collect():  # as many blocks as the filter has
-        out[row["block"] << 13 : row["block"] + 1 << 13] = np.frombuffer(zlib.decompress(bytes(row["part"])), np.uint8)
+    for row in parts.repartition(tasks, "block").mapInArrow(_counted_twice(8 * size), "block int, part binary").collect():  # as many blocks as the filter has
+        out[row["block"] * size : (row["block"] + 1) * size] = np.frombuffer(zlib.decompress(bytes(row["part"])), np.uint8)
     return out

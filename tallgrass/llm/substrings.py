@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from .anchors import GRAM, anchors
 from .common import discard, same, stored, text_tag
 from .filters import has_twice, twice_filter
-from .textops import flat, ints, mix, pieces, prefix_hash, span_hash
+from .textops import flat, ints, pieces, prefix_hash, span_hash, spans_hash
 
 #: Bytes of text that a task looks at together, and suffixes in a new array of the index.
-CHUNK = 1 << 18
+CHUNK = 1 << 17
 BATCH = 30_000
+#: Windows of whole grams that are compared together.
+SHARE = 1 << 18
 #: Surroundings of one gram up to which one task takes them all; those of other grams are dealt out by window.
 MANY = 1024
 #: Bytes of surroundings for each task of the index.
@@ -88,8 +90,8 @@ def _suffixes(data: np.ndarray, start: np.ndarray, end: np.ndarray, window: int)
     out = np.zeros((len(start), wide + 2), np.uint8)
     extra = end - start - window
     out[:, 0], out[:, 1] = extra >> 8, extra & 255
-    at = np.minimum(start[:, None] + np.arange(wide), len(data) - 1)
-    out[:, 2:] = data[at] * (np.arange(wide) < (end - start)[:, None])
+    padded = np.concatenate([data, np.zeros(wide, np.uint8)])
+    np.multiply(np.lib.stride_tricks.sliding_window_view(padded, wide)[start], np.arange(wide) < (end - start)[:, None], out=out[:, 2:])
     return out.view(f"S{wide + 2}").ravel()
 
 
@@ -139,14 +141,19 @@ def _contents(window: int, repeated):
     return run
 
 
+def _window_places(off: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place in the flat bytes of every window of rows of contents."""
+    each = np.diff(off) - window + 1
+    row = np.repeat(np.arange(len(each)), each)
+    return row, np.arange(len(row)) + np.repeat(off[:-1] - np.cumsum(each) + each, each)
+
+
 def _windows(batch: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All windows of a batch of contents: as fixed-length bytes, their row, and their start in the row's document."""
     data, off = flat(batch["bytes"])
-    each = np.diff(off) - window + 1
-    row = np.repeat(np.arange(len(each)), each)
-    start = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
-    view = np.lib.stride_tricks.sliding_window_view(data, window)[off[:-1][row] + start]
-    return np.ascontiguousarray(view).view(f"S{window}").ravel(), row, start + batch["low"].to_numpy()[row]
+    row, at = _window_places(off, window)
+    view = np.lib.stride_tricks.sliding_window_view(data, window)[at]
+    return np.ascontiguousarray(view).view(f"S{window}").ravel(), row, at - off[:-1][row] + batch["low"].to_numpy()[row]
 
 
 def _runs(batch: pa.RecordBatch, row: np.ndarray, start: np.ndarray, window: int) -> pa.RecordBatch:
@@ -165,10 +172,12 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted batches without rows of the same place as the row before: what repeated rows of a document send twice."""
     last = None
     for batch in batches:
-        places = list(zip(*(batch[c].to_pylist() for c in ("_id", "_t", "low")), strict=True))
-        new = [p != q for p, q in zip(places, [last, *places[:-1]], strict=True)]
-        last = places[-1] if places else last
-        yield batch if all(new) else batch.filter(pa.array(new))
+        if not batch.num_rows:
+            continue
+        places = np.stack([np.asarray(x, np.int64) for c in ("_id", "_t", "low") for x in (batch[c].fill_null(0), batch[c].is_null())], axis=1)
+        new = np.concatenate([[last is None or (places[0] != last).any()], (places[1:] != places[:-1]).any(axis=1)])
+        last = places[-1]
+        yield batch if new.all() else batch.filter(pa.array(new))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -181,15 +190,42 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
                 yield whole.slice(a, b - a)
 
 
+def _by_gram(table: pa.Table, window: int) -> Iterator[pa.RecordBatch]:
+    """The contents of grams that have several, in batches of whole grams and some SHARE windows, each gram in order of the rows."""
+    gram = table["gram"].to_numpy()
+    order = np.argsort(gram, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], gram[order][1:] != gram[order][:-1]])[: len(gram)])
+    n = np.diff(np.append(first, len(gram)))
+    several = table.take(pa.array(order[np.repeat(n > 1, n)])).combine_chunks()
+    if not several.num_rows:
+        return
+    ends = np.cumsum(n[n > 1])
+    held = np.cumsum(pc.binary_length(several["bytes"]).to_numpy().astype(np.int64) - window + 1)[ends - 1]
+    cuts = ends[np.flatnonzero(np.diff(held // SHARE))].tolist()
+    batch = several.to_batches()[0]
+    for a, b in zip([0, *cuts], [*cuts, several.num_rows], strict=True):
+        yield batch.slice(a, b - a)
+
+
+def _met_twice(keys: np.ndarray) -> np.ndarray:
+    """Places of the keys that stand there twice or more."""
+    order = np.argsort(keys)
+    same = keys[order][1:] == keys[order][:-1]
+    on = np.zeros(len(keys), bool)
+    on[order[1:][same]] = on[order[:-1][same]] = True
+    return np.flatnonzero(on)
+
+
 def _scan(window: int):
     """Spans of the windows that came before, of all surroundings of some grams in order of the documents.
 
     Surroundings as wholes go through one family. Of those that came first, grams that have several are cut into
-    windows, which go through another, again in order.
+    windows, which go through others, again in order: equal windows have one gram, so a family holds some grams only,
+    and of their windows those whose hash comes twice.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole, single = SuffixFamily(), SuffixFamily()
+        whole = SuffixFamily()
         first: list[pa.RecordBatch] = []  # bounded by TASK_BYTES
         for some in _once(batches):
             for a in range(0, some.num_rows, BATCH):
@@ -202,12 +238,19 @@ def _scan(window: int):
                 first.append(batch.filter(pa.array(~seen)))
         if not first:
             return
-        table = pa.Table.from_batches(first).combine_chunks()
-        _, at, n = np.unique(table["gram"].to_numpy(), return_inverse=True, return_counts=True)
-        several = table.filter(pa.array(n[at] > 1)).combine_chunks()
-        for batch in _cut(iter(several.to_batches()), window):
-            suffixes, row, start = _windows(batch, window)
-            seen = single.add(suffixes)
+        del whole
+        for batch in _by_gram(pa.Table.from_batches(first), window):
+            single = SuffixFamily()
+            data, off = flat(batch["bytes"])
+            row, at = _window_places(off, window)
+            with np.errstate(over="ignore"):
+                on = _met_twice(spans_hash(prefix_hash(data), window)[at])
+            row, at = row[on], at[on]
+            view = np.lib.stride_tricks.sliding_window_view(data, window)
+            seen = np.zeros(len(on), bool)
+            for a in range(0, len(on), BATCH):
+                seen[a : a + BATCH] = single.add(np.ascontiguousarray(view[at[a : a + BATCH]]).view(f"S{window}").ravel())
+            start = at - off[:-1][row] + batch["low"].to_numpy()[row]
             yield _runs(batch, row[seen], start[seen], window)
 
     return run

@@ -20,9 +20,12 @@ _powers: list[np.ndarray] = []
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,6 +53,12 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(np.uint64))
 
 
+def spans_hash(prefix: np.ndarray, size: int) -> np.ndarray:
+    """``span_hash`` of every span of ``size``, in order of their starts."""
+    inv = powers(len(prefix))[1]
+    return mix((prefix[size:] - prefix[:-size]) * inv[: len(prefix) - size] + np.uint64(size))
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column as one array, and the offsets of its rows (null: empty)."""
     if isinstance(column, pa.ChunkedArray):
