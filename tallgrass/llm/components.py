@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import discard, stored, unbroadcast
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,21 +43,21 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     edges = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL AND a != b")
     edges = edges.mapInArrow(_forest, "a long, b long")  # a > b from here on
     edges = stored(edges.distinct(), "edges")
-    last = None
+    last, n = None, edges.count()
     while True:
         before, stars = edges, []
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         stars.append(least := stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "large"))
-        large = both.join(least, "a").filter("b > a AND b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(unbroadcast(least, 2 * n), "a").filter("b > a AND b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         stars.append(large := stored(large, "star"))
         stars.append(least := stored(large.groupBy("a").agg(F.min("b").alias("m")), "small"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
+        small = large.join(unbroadcast(least, 2 * n), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
         edges = stored(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
         discard(before, *stars)
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == last:
             break
-        last = state
+        last, n = state, state[0]
     parts = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
     parts = stored(parts, "parts")
     discard(edges)

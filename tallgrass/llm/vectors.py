@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import discard, stored, unbroadcast
 from .components import connected_components
 
 
@@ -131,7 +131,7 @@ def link_vectors(
         before = classes
         classes = stored(classes.withColumn("node", F.when(F.col("node").isin(twins), other).otherwise(F.col("node"))), "classes")
         discard(before)
-    largest = classes.groupBy("_label").count().agg(F.max("count")).first()[0] or 0
+    largest, n = (x or 0 for x in classes.groupBy("_label").count().agg(F.max("count"), F.sum("count")).first())
     bits = max(0, math.ceil(math.log2(max(1, largest / cell_size))))
     rounds = rounds_for(hit_probability(min_cosine, bits), least_collisions, recall)
     width = 2 * math.sqrt(2 - 2 * min_cosine)
@@ -140,21 +140,21 @@ def link_vectors(
     left = points.select(F.col("node").alias("a"), F.col("place").alias("place_a"), F.col("bin").alias("bin_a"), F.explode(F.array(F.col("bin"), F.col("bin") + 1)).alias("at"), "cell").withColumn("key", F.xxhash64("cell", "at"))
     right = points.select(F.col("node").alias("b"), F.col("place").alias("place_b"), F.col("bin").alias("bin_b"), F.xxhash64("cell", "bin").alias("key"))
     near = (F.abs(F.col("place_a") - F.col("place_b")) <= width) & ((F.col("bin_a") < F.col("bin_b")) | (F.col("a") < F.col("b")))
-    hits = left.join(right, "key").filter(near)
+    hits = left.join(unbroadcast(right, n * rounds), "key").filter(near)
     pairs = hits.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("n")).filter(F.col("n") >= least_collisions)
     a = classes.select(F.col("node").alias("a"), F.col("_unit").alias("u_a"), F.col("_label").alias("l_a"))
     b = classes.select(F.col("node").alias("b"), F.col("_unit").alias("u_b"), F.col("_label").alias("l_b"))
-    links = pairs.select("a", "b").join(a, "a").join(b, "b").filter("l_a = l_b AND length(u_a) = length(u_b)")
+    links = pairs.select("a", "b").join(unbroadcast(a, n), "a").join(unbroadcast(b, n), "b").filter("l_a = l_b AND length(u_a) = length(u_b)")
     links = stored(links.select("a", "b", "u_a", "u_b").mapInArrow(_cosines(min_cosine), "a long, b long"), "links")
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     copies = classes.select(F.col("node").alias("b"), "copies")
-    degree = stored(both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("others")), "degrees")
+    degree = stored(both.join(unbroadcast(copies, 2 * links.count()), "b").groupBy("a").agg(F.sum("copies").alias("others")), "degrees")
     parts = connected_components(links, "a", "b")
-    told = classes.select("_key", "node", "rep", "copies").join(degree, F.col("node") == F.col("a"), "left").join(parts.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
+    told = classes.select("_key", "node", "rep", "copies").join(unbroadcast(degree, n), F.col("node") == F.col("a"), "left").join(unbroadcast(parts.withColumnRenamed("node", "_n"), n), F.col("node") == F.col("_n"), "left")
     linked = stored(told.select("_key", "rep", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("part")), "told")
     smallest = stored(linked.groupBy("part").agg(F.min("rep").alias("component_id")), "smallest")
-    told = stored(linked.join(smallest, "part").select(F.col("_key").alias("_k"), "n_links", "component_id"), "told")
+    told = stored(linked.join(unbroadcast(smallest, n), "part").select(F.col("_key").alias("_k"), "n_links", "component_id"), "told")
     discard(classes, links, degree, parts, linked, smallest)
-    out = rows.select("_id", "_key").join(told, F.col("_key") == F.col("_k"), "left")
+    out = rows.select("_id", "_key").join(unbroadcast(told, n), F.col("_key") == F.col("_k"), "left")
     component = F.when(F.col("_k").isNull(), F.col("_id")).otherwise(F.col("component_id"))
     return out.select(F.col("_id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("_id")).alias("kept"))

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from tallgrass.llm import filters, substrings
+from tallgrass.llm import common, filters, substrings, vectors
 
 
 def test_filter_of_repeated_numbers_takes_no_room_for_single_ones(spark, monkeypatch):
@@ -40,3 +40,22 @@ def test_windows_are_compared_by_whole_grams(monkeypatch):
                 want.setdefault(k, set()).update(range(p, p + 100))
             seen.add(w)
     assert want and covered == want
+
+
+def _plans(spark):
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return {found.apply(i).executionId(): found.apply(i).physicalPlanDescription() for i in range(found.size())}
+
+
+def test_links_of_many_vectors_are_joined_without_broadcasts(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    x = r.normal(size=(150, 8))
+    x = np.concatenate([x, x + r.normal(size=x.shape) * 0.02])
+    df = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").coalesce(2)
+    want = sorted(vectors.link_vectors(df).collect())
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 20)
+    before = _plans(spark)
+    assert sorted(vectors.link_vectors(df).collect()) == want and sum(x["n_links"] for x in want) > 50
+    joins = [p for i, p in _plans(spark).items() if i not in before and "Join" in p]
+    assert len(joins) > 5 and not [p for p in joins if "BroadcastExchange" in p.split("Initial Plan")[0]]
